@@ -154,7 +154,7 @@ def new_members_only(
     members: DataFrame,
     audience_id: str,
     email: str = "email",
-    order: Sequence[Column | str] = ("child_service_id",),
+    order: Sequence[Column | str] = ("child_service_id", "email"),
 ) -> DataFrame:
     """Contacts the mailing list would accept: not yet a member, and the first with its address.
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from cohortline.operators import audience as au
 from cohortline.operators import journeys
@@ -29,10 +29,9 @@ def _mailing(
     audience_id: str,
     campaign: au.Campaign,
     merge_fields: bool,
-    order: tuple[Column | str, ...] = ("child_service_id",),
 ) -> Mailing:
     usable, rejected = au.split_contacts(contacts)
-    accepted = au.new_members_only(usable, members, audience_id, order=order)
+    accepted = au.new_members_only(usable, members, audience_id)
     return Mailing(
         accepted=accepted,
         rejected=rejected,

@@ -160,9 +160,10 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 WHEN '3-MEDIUM' THEN concat('guardian', o_custkey, ' at example')
                 WHEN '4-NOT SPECIFIED' THEN '  ' END AS child_educational_guardian_email""",
         "concat('N', o_orderkey % 25) AS educational_center_code",
-        "CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE 'wasnt scheduled' END AS child_adaptation_scheduling_flag",
-        """CASE o_orderstatus WHEN 'F' THEN date_format(o_orderdate, 'd/M/yyyy H:m:s')
-                WHEN 'O' THEN '' ELSE 'not a date' END AS child_adaptation_scheduling_dt""",
+        """CASE WHEN o_orderstatus = 'O' THEN 'false' WHEN o_orderpriority = '5-LOW' THEN 'wasnt scheduled'
+                ELSE 'true' END AS child_adaptation_scheduling_flag""",
+        """CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderpriority = '5-LOW' THEN 'not a date'
+                ELSE date_format(o_orderdate, 'd/M/yyyy H:m:s') END AS child_adaptation_scheduling_dt""",
         """CASE WHEN o_orderstatus <> 'O' THEN
                 date_format(date_add(to_date(o_orderdate), CAST(o_orderkey % 30 AS INT)), 'dd/MM/yyyy HH:mm:ss')
                 ELSE '' END AS child_adaptation_scheduling_end_dt""",
@@ -311,12 +312,12 @@ SQL = {
                     THEN o_orderdate - to_days(CAST(o_orderkey % 45 AS INTEGER)) - INTERVAL 15 HOUR END AS modified_ts
         FROM orders""",
     "renewals_history": """
-        SELECT o_custkey AS child_id, year(o_orderdate) AS year,
+        SELECT o_custkey AS child_id, CAST(year(o_orderdate) AS INTEGER) AS year,
                CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS renewal_ts
         FROM orders WHERE o_orderpriority = '2-HIGH'""",
     "action_history": """
         SELECT o_custkey AS child_id, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 15 ELSE 7 END AS action_id,
-               year(o_orderdate) + CASE WHEN month(o_orderdate) >= 6 THEN 1 ELSE 0 END AS period,
+               CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS period,
                o_orderdate AS action_ts
         FROM orders""",
     "attendance": """
@@ -332,9 +333,10 @@ SQL = {
                     WHEN '3-MEDIUM' THEN 'guardian' || o_custkey || ' at example'
                     WHEN '4-NOT SPECIFIED' THEN '  ' END AS child_educational_guardian_email,
                'N' || (o_orderkey % 25) AS educational_center_code,
-               CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE 'wasnt scheduled' END AS child_adaptation_scheduling_flag,
-               CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%-d/%-m/%Y %-H:%-M:%-S')
-                    WHEN 'O' THEN '' ELSE 'not a date' END AS child_adaptation_scheduling_dt,
+               CASE WHEN o_orderstatus = 'O' THEN 'false' WHEN o_orderpriority = '5-LOW' THEN 'wasnt scheduled'
+                    ELSE 'true' END AS child_adaptation_scheduling_flag,
+               CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderpriority = '5-LOW' THEN 'not a date'
+                    ELSE strftime(o_orderdate, '%-d/%-m/%Y %-H:%-M:%-S') END AS child_adaptation_scheduling_dt,
                CASE WHEN o_orderstatus <> 'O'
                     THEN strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER), '%d/%m/%Y %H:%M:%S')
                     ELSE '' END AS child_adaptation_scheduling_end_dt,
