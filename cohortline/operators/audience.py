@@ -13,7 +13,7 @@ from cohortline.functions import dates
 from cohortline.functions.business_days import business_days_between
 from cohortline.functions.text import audience_tag, nonblank
 from cohortline.operators.columns import require_nonblank, try_casts
-from cohortline.operators.keys import first_per_key
+from cohortline.operators.keys import absent_from, first_per_key
 
 # Fixed values.
 SEND, DO_NOT_SEND = "Enviar", "No enviar"
@@ -165,7 +165,7 @@ def new_members_only(
     listed = members.filter(F.col("audience_id") == audience_id).select(
         F.lower(F.trim("email_address")).alias("_address")
     )
-    return first.join(listed, "_address", "left_anti").drop("_address")
+    return absent_from(first, listed, ["_address"]).drop("_address")
 
 
 @dataclass(frozen=True)

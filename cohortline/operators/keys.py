@@ -24,24 +24,28 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def absent_from(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Incoming rows whose key is not stored.
+
+    The stored keys are narrowed to the incoming ones first: a small ``incoming`` is broadcast to
+    the scan of the stored table, which then never moves.
+    """
+    present = stored.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
+    return incoming.join(present, list(keys), "left_anti")
+
+
 def upsert_replace(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Put: an incoming row replaces the stored row of its key as a whole.
 
-    ``incoming`` holds one row per key; only its keys are shuffled or broadcast.
+    ``incoming`` holds one row per key.
     """
     kept = target.join(incoming.select(*keys), list(keys), "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
 def upsert_insert_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert if absent: stored rows keep their values.
-
-    The stored keys are narrowed to the incoming ones first: a small ``incoming`` is broadcast to
-    the scan of the stored table, which then never moves.
-    """
-    present = target.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
-    added = incoming.join(present, list(keys), "left_anti")
-    return target.unionByName(added, allowMissingColumns=True)
+    """Insert if absent: stored rows keep their values; ``incoming`` holds one row per key."""
+    return target.unionByName(absent_from(incoming, target, keys), allowMissingColumns=True)
 
 
 def upsert_patch(
@@ -54,12 +58,17 @@ def upsert_patch(
     """Update the named columns of matched keys; a patch may set NULL.
 
     With ``create`` an unmatched patch row becomes a new row whose other columns are NULL.
+    ``patch`` holds one row per key; a small one is broadcast and the target stays in place.
     """
-    new = {c: f"_new_{c}" for c in columns}
-    changes = patch.select(*keys, *[F.col(c).alias(n) for c, n in new.items()], F.lit(True).alias("_hit"))
-    joined = target.join(changes, list(keys), "full_outer" if create else "left")
-    patched = [
-        F.when(F.col("_hit"), F.col(new[c])).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
-        for c in target.columns
-    ]
-    return joined.select(*patched)
+    changes = patch.select(*keys, *columns)
+    renamed = changes.withColumnsRenamed({c: f"_new_{c}" for c in columns})
+    joined = target.join(renamed.withColumn("_hit", F.lit(True)), list(keys), "left")
+    patched = joined.select(
+        *[
+            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+            for c in target.columns
+        ]
+    )
+    if not create:
+        return patched
+    return patched.unionByName(absent_from(changes, target, keys), allowMissingColumns=True)

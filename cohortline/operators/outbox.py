@@ -64,8 +64,10 @@ def outbox_batches(
     A batch lies in one or two neighbouring partitions, so most of its rows meet before the
     exchange, and no group ever holds more than ``size`` rows.
     """
-    item = F.struct(*(columns or df.columns)).alias("item")
-    rows = numbered_rows(df, order_by).select(
+    columns = list(columns or df.columns)
+    item = F.struct(*columns).alias("item")
+    needed = df.select(*dict.fromkeys([*order_by, *columns]))
+    rows = numbered_rows(needed, order_by).select(
         F.floor(F.col("row_index") / size).alias("batch_id"), "row_index", item
     )
     batches = rows.groupBy("batch_id").agg(

@@ -165,6 +165,21 @@ def renewal_first_action(actions: DataFrame, spells: DataFrame, as_of: dt.date)
     return first.join(children_enrolled_in(spells, year - 1), "child_id", "left_semi")
 
 
+def child_facts(spells: DataFrame, quotes: DataFrame, actions: DataFrame, as_of: dt.date) -> DataFrame:
+    """Latest conversion, first renewal action and last year's enrolment, one row per child.
+
+    Stacked and combined, so that spells are joined once per child and not once per fact.
+    """
+    converted = latest_conversion(spells, quotes, as_of).select("child_id", "converted_ts")
+    renewed = renewal_first_action(actions, spells, as_of).select("child_id", "first_action_ts")
+    enrolled = children_enrolled_in(spells, as_of.year - 1).withColumn("enrolled_last_year", F.lit(True))
+    stacked = converted.unionByName(renewed, allowMissingColumns=True).unionByName(
+        enrolled, allowMissingColumns=True
+    )
+    facts = ["converted_ts", "first_action_ts", "enrolled_last_year"]
+    return stacked.groupBy("child_id").agg(*[F.max(f).alias(f) for f in facts])
+
+
 def attendance_days(attendance: DataFrame) -> DataFrame:
     """Attended days per service: any of the three flags set."""
     attended = (F.col("day_flag") == 1) | (F.col("retail_flag") == 1) | (F.col("night_flag") == 1)

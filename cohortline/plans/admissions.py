@@ -127,19 +127,14 @@ def with_service(rows: DataFrame, tables: OperationalTables) -> DataFrame:
 
 def with_enrollment_dates(rows: DataFrame, tables: OperationalTables, as_of: dt.date) -> DataFrame:
     """Last enrolment and renewal date; the rows must carry ``is_corporate``."""
-    last_year = as_of.year - 1
-    conversions = spells.latest_conversion(tables.spells, tables.quotes, as_of)
-    history = tables.renewals_history.filter(F.col("year") == last_year).select(
+    facts = spells.child_facts(tables.spells, tables.quotes, tables.action_history, as_of)
+    history = tables.renewals_history.filter(F.col("year") == as_of.year - 1).select(
         "child_id", "renewal_ts", F.lit(True).alias("in_history")
     )
-    actions = spells.renewal_first_action(tables.action_history, tables.spells, as_of)
-    enrolled = spells.children_enrolled_in(tables.spells, last_year)
     joined = (
         rows.join(tables.quotes.select("quote_id", "modified_ts"), "quote_id", "left")
-        .join(conversions.select("child_id", "converted_ts"), "child_id", "left")
+        .join(facts, "child_id", "left")
         .join(history, "child_id", "left")
-        .join(actions.select("child_id", "first_action_ts"), "child_id", "left")
-        .join(enrolled.withColumn("enrolled_last_year", F.lit(True)), "child_id", "left")
     )
     return joined.withColumns(
         {

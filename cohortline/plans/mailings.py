@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from cohortline.operators import audience as au
 from cohortline.operators import journeys
+from cohortline.session import staged
 
 
 @dataclass(frozen=True)
@@ -29,9 +30,13 @@ def _mailing(
     audience_id: str,
     campaign: au.Campaign,
     merge_fields: bool,
+    min_rows: int = 0,
 ) -> Mailing:
-    usable, rejected = au.split_contacts(contacts)
-    accepted = au.new_members_only(usable, members, audience_id)
+    """The contacts and the accepted members are staged: both are one day's share of the
+    admissions, and documents and events must come from the same rows."""
+    due = au.audience_gate(staged(contacts, "audience"), min_rows)
+    usable, rejected = au.split_contacts(due)
+    accepted = staged(au.new_members_only(usable, members, audience_id), "accepted")
     return Mailing(
         accepted=accepted,
         rejected=rejected,
@@ -57,7 +62,7 @@ def reminder(
     contacts = au.contacts_by_working_days(
         admissions, as_of, campaign.threshold_days, code, holidays, convention
     )
-    return _mailing(au.audience_gate(contacts, min_rows), members, audience_id, campaign, True)
+    return _mailing(contacts, members, audience_id, campaign, True, min_rows)
 
 
 def welcome(

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from cohortline.operators import migrate, reporting, scheduling
+from cohortline.session import staged
 from cohortline.sources.writers import write_extract
 
 
@@ -18,9 +19,9 @@ def mark_overdue(
     holidays: Iterable[dt.date] = (),
     convention: str = "legacy",
 ) -> tuple[DataFrame, DataFrame]:
-    """New state of the admissions and of the calendar."""
+    """New state of the admissions and of the calendar; the few new entries are staged."""
     marked, rows = scheduling.mark_unscheduled(admissions, as_of, holidays, convention=convention)
-    return marked, scheduling.calendar_with(calendar, rows)
+    return marked, scheduling.calendar_with(calendar, staged(rows, "unscheduled"))
 
 
 def write_monitoring(

@@ -76,15 +76,14 @@ def flatten_typed_items(df: DataFrame, item: str, schema: str | T.StructType) ->
     Text that does not fit the wanted type gives NULL, as does a missing attribute.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    tagged = F.from_json(
-        F.col(item), "map<string, struct<S: string, N: string, BOOL: boolean>>"
-    )
-    plain = F.transform_values(
-        tagged, lambda _, v: F.coalesce(v["S"], v["N"], v["BOOL"].cast("string"))
-    )
-    attributes = df.select(plain.alias("attributes"))
-    return attributes.select(*[_attribute(f) for f in wanted.fields])
-
-
-def _attribute(wanted: T.StructField) -> Column:
-    return F.col("attributes")[wanted.name].try_cast(wanted.dataType).alias(wanted.name)
+    tagged = T.StructType([T.StructField(f.name, _TAGGED) for f in wanted.fields])
+    items = df.select(F.from_json(F.col(item), tagged).alias("item"))
+    return items.select(*[_attribute(F.col("item")[f.name], f) for f in wanted.fields])
+
+
+_TAGGED = T.StructType.fromDDL("S string, N string, BOOL boolean")
+
+
+def _attribute(value: Column, wanted: T.StructField) -> Column:
+    text = F.coalesce(value["S"], value["N"], value["BOOL"].cast("string"))
+    return text.try_cast(wanted.dataType).alias(wanted.name)

@@ -17,6 +17,7 @@ AS_OF = dt.date(1998, 6, 15)
 CODE = "ENADAP"
 CAMPAIGN = "Supplier#000000009"  # its threshold is nine days, in every scale factor
 DAYS = 9
+SURVEY_CAMPAIGN = "Supplier#000000006"
 HOLIDAYS = [
     dt.date(1997, 12, 25), dt.date(1998, 1, 1), dt.date(1998, 5, 1), dt.date(1998, 5, 21),
     dt.date(1998, 5, 31), dt.date(1998, 6, 1), dt.date(1998, 6, 29), dt.date(1999, 1, 1),
@@ -303,11 +304,11 @@ def welcome_mailing(spark, sf_dir):
 
 @query(
     EVENT.format(
-        code=CAMPAIGN,
+        code=SURVEY_CAMPAIGN,
         rows=_accepted(
             f"""SELECT child_service_id, {TAG} AS tag, child_educational_guardian_email AS email FROM admissions
             WHERE trim(child_adaptation_scheduling_end_dt) <> ''
-              AND {TEXT_DATE.format('child_adaptation_scheduling_end_dt')} - DATE '1998-06-15' = -9"""
+              AND {TEXT_DATE.format('child_adaptation_scheduling_end_dt')} - DATE '1998-06-15' = -6"""
         ),
     ),
     "admissions", "members",
@@ -315,7 +316,7 @@ def welcome_mailing(spark, sf_dir):
 def survey_mailing(spark, sf_dir):
     return mailings.survey(
         st.admissions(spark, sf_dir), st.campaign_config(spark, sf_dir), st.members(spark, sf_dir),
-        "journey", CAMPAIGN, AS_OF, "child_adaptation_scheduling_end_dt",
+        "journey", SURVEY_CAMPAIGN, AS_OF, "child_adaptation_scheduling_end_dt",
     ).events
 
 
