@@ -81,7 +81,7 @@ def flatten_typed_items(df: DataFrame, item: str, schema: str | T.StructType) ->
     return items.select(*[_attribute(F.col("item")[f.name], f) for f in wanted.fields])
 
 
-_TAGGED = T.StructType.fromDDL("S string, N string, BOOL boolean")
+_TAGGED = T.StructType().add("S", T.StringType()).add("N", T.StringType()).add("BOOL", T.BooleanType())
 
 
 def _attribute(value: Column, wanted: T.StructField) -> Column:
