@@ -22,16 +22,14 @@ def business_days_between(
     ``[end, begin)`` under ``legacy`` and ``(end, begin]`` under ``modern`` (the two behaviours of
     ``numpy.busday_count`` before and since 1.25).
     """
-    before = _business_days_before(holidays)
-    forward = before(end) - before(begin)
-    if convention == "legacy":
-        counted = forward
-    elif convention == "modern":
-        backward = before(F.date_add(end, 1)) - before(F.date_add(begin, 1))
-        counted = F.when(begin <= end, forward).otherwise(backward)
-    else:
+    if convention not in ("legacy", "modern"):
         raise ValueError(f"unknown convention {convention!r}")
-    return counted.cast("int")
+    before = _business_days_before(holidays)
+    days = before(end) - before(begin)
+    if convention == "modern":
+        shifted = before(F.date_add(end, 1)) - before(F.date_add(begin, 1))
+        days = F.when(begin <= end, days).otherwise(shifted)
+    return days.cast("int")
 
 
 def holiday_dates(holidays: DataFrame, column: str = "holiday") -> list[dt.date]:
@@ -46,7 +44,10 @@ def holiday_dates(holidays: DataFrame, column: str = "holiday") -> list[dt.date]
 
 
 def _business_days_before(holidays: Iterable[dt.date]):
-    """Count of business days from the reference Monday up to a date, both engines' ``N(d)``."""
+    """A function of a date: business days from the reference Monday up to that date.
+
+    The signed count between two dates is the difference of two such numbers.
+    """
     offs = sorted({(h - _EPOCH).days for h in holidays if h.weekday() < 5})
 
     def weekdays(day: Column) -> Column:
