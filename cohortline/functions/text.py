@@ -43,5 +43,10 @@ def audience_tag(service: Column, child: Column, guardian: Column, as_of: dt.dat
     return F.translate(F.concat(*parts, F.lit(as_of.isoformat())), "-", "")
 
 
+def service_day_tag(service: Column, as_of: dt.date) -> Column:
+    """The older tag: service and date, dashes kept."""
+    return F.concat_ws("-", service.cast("string"), F.lit(as_of.isoformat()))
+
+
 def event_key(service: Column, code: Column) -> Column:
     return F.concat_ws("-", service.cast("string"), code)

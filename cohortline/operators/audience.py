@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import dates
 from cohortline.functions.business_days import business_days_between
-from cohortline.functions.text import audience_tag, nonblank
+from cohortline.functions.text import audience_tag, nonblank, service_day_tag
 from cohortline.operators.columns import require_nonblank, try_casts
 from cohortline.operators.keys import absent_from, first_per_key
 
@@ -116,6 +116,25 @@ def contacts_by_working_days(
     )
 
 
+def contacts_by_days(admissions: DataFrame, tags: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+    """Guardians whose adaptation was scheduled exactly ``days`` calendar days ago.
+
+    The tag and the campaign code come from a table of tags by service; a service without a tag
+    stays, tagged with service and date.
+    """
+    scheduled = require_nonblank(admissions, "child_adaptation_scheduling_dt").select(
+        "child_service_id", "child_educational_guardian_email", "child_adaptation_scheduling_dt"
+    )
+    due = _due(scheduled, dates.parse_text_ts("child_adaptation_scheduling_dt"), as_of, days)
+    own_tag = service_day_tag(F.col("child_service_id"), as_of)
+    return due.join(tags.select("child_service_id", "tag", "campaign_code"), "child_service_id", "left").select(
+        "child_service_id",
+        F.col("child_educational_guardian_email").alias("email"),
+        F.coalesce("tag", own_tag).alias("tag"),
+        "campaign_code",
+    )
+
+
 def with_constant_lookup(df: DataFrame, lookup: DataFrame, key: str, value: object, column: str) -> DataFrame:
     """Attach one column of the lookup row with a constant key; no such row, no result.
 

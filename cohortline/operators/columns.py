@@ -24,6 +24,11 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, str]) -> DataFrame:
     return df.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in defaults.items()})
 
 
+def blank_to_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Read the three forms of missing text, NULL, empty and blank, as one."""
+    return df.withColumns({c: nonblank(c) for c in columns})
+
+
 def require_nonblank(df: DataFrame, column: str) -> DataFrame:
     """Rows whose text column holds something."""
     return df.filter(nonblank(column).isNotNull())

@@ -6,23 +6,34 @@ shuffles it otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.text import clean_email, full_name
 
+# Fixed values.
 FAMILY_CHANNEL = "Familia"
 CORPORATE_CHANNEL = "Empresa"
 
+NARROW_ROWS = 1_000_000  # keys of so many rows fit into any executor
+
 
-def only_for(table: DataFrame, rows: DataFrame, key: str, rows_key: str | None = None) -> DataFrame:
-    """Rows of a large table whose key occurs in ``rows``.
+def narrower(rows: DataFrame) -> Callable[..., DataFrame]:
+    """A function that cuts a large table to the keys in ``rows``, a staged table.
 
-    With few ``rows`` Spark broadcasts their keys to the scan, so that a left join or an
-    aggregate afterwards moves only what it needs.
+    Up to ``NARROW_ROWS`` rows their keys are broadcast to the scan of the table, which then is
+    never shuffled.  Beyond that the table is left whole: the joins that follow pick its rows,
+    and a shuffle before them would only come on top.
     """
-    wanted = rows.select(F.col(rows_key or key).alias(key)).distinct()
-    return table.join(wanted, key, "left_semi")
+    if rows.count() > NARROW_ROWS:
+        return lambda table, key: table
+
+    def narrow(table: DataFrame, key: str) -> DataFrame:
+        return table.join(F.broadcast(rows.select(key)), key, "left_semi")
+
+    return narrow
 
 
 def channel(is_corporate: Column) -> Column:

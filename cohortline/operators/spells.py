@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import dates
 from cohortline.operators.keys import first_per_key
+from cohortline.session import staged
 
 # Fixed values.
 LOOKBACK_DAYS = 10  # how long ago a new admission may have started
@@ -145,6 +146,17 @@ def children_enrolled_in(spells: DataFrame, year: int) -> DataFrame:
     return touching.select("child_id").distinct()
 
 
+def with_enrolled_flag(rows: DataFrame, spells: DataFrame, year: int) -> DataFrame:
+    """Whether the child of each row had a live spell in the year.
+
+    The children are staged, so that Spark broadcasts them if they are few and can split the
+    rows of a hot child if they are not.
+    """
+    children = staged(children_enrolled_in(spells, year), "enrolled")
+    marked = rows.join(children.withColumn("enrolled", F.lit(True)), "child_id", "left")
+    return marked.withColumn("enrolled", F.coalesce("enrolled", F.lit(False)))
+
+
 def renewal_first_action(actions: DataFrame, spells: DataFrame, as_of: dt.date) -> DataFrame:
     """First renewal action of each child for the year of ``as_of``.
 

@@ -85,22 +85,30 @@ LOAD_DEFAULTS = {
 BASE_COLUMNS = ["child_id", *PUBLISHED_NAMES]
 
 
-def narrowed(
-    tables: OperationalTables, admitted: DataFrame, own_spells: DataFrame, families: DataFrame
-) -> OperationalTables:
-    """The tables cut down to the admitted children, their spells and the people they name."""
-    people = families.select(F.col("payer_id").alias("person_id")).union(families.select("guardian_id"))
-    only_for = enrich.only_for
+def narrowed(tables: OperationalTables, admitted: DataFrame) -> OperationalTables:
+    """The tables cut down to the admitted children and their spells."""
+    narrow = enrich.narrower(admitted)
+    own_spells = staged(narrow(tables.spells, "child_id"), "own-spells")
     return replace(
         tables,
         spells=own_spells,
-        persons=only_for(tables.persons, people, "person_id"),
-        family_members=only_for(tables.family_members, families, "family_id"),
-        company_services=only_for(tables.company_services, admitted, "service_id"),
-        quotes=only_for(tables.quotes, own_spells, "quote_id"),
-        renewals_history=only_for(tables.renewals_history, admitted, "child_id"),
-        action_history=only_for(tables.action_history, admitted, "child_id"),
-        attendance=only_for(tables.attendance, admitted, "service_id"),
+        children=narrow(tables.children, "child_id"),
+        child_payers=narrow(tables.child_payers, "child_id"),
+        company_services=narrow(tables.company_services, "service_id"),
+        quotes=enrich.narrower(own_spells)(tables.quotes, "quote_id"),
+        renewals_history=narrow(tables.renewals_history, "child_id"),
+        action_history=narrow(tables.action_history, "child_id"),
+        attendance=narrow(tables.attendance, "service_id"),
+    )
+
+
+def narrowed_people(tables: OperationalTables, families: DataFrame) -> OperationalTables:
+    """Persons and family members cut down to the payers and guardians of the families."""
+    people = families.select(F.col("payer_id").alias("person_id")).union(families.select("guardian_id"))
+    return replace(
+        tables,
+        persons=enrich.narrower(people)(tables.persons, "person_id"),
+        family_members=enrich.narrower(families)(tables.family_members, "family_id"),
     )
 
 
@@ -126,8 +134,14 @@ def with_service(rows: DataFrame, tables: OperationalTables) -> DataFrame:
 
 
 def with_enrollment_dates(rows: DataFrame, tables: OperationalTables, as_of: dt.date) -> DataFrame:
-    """Last enrolment and renewal date; the rows must carry ``is_corporate``."""
-    facts = spells.child_facts(tables.spells, tables.quotes, tables.action_history, as_of)
+    """Last enrolment and renewal date; the rows must carry ``is_corporate``.
+
+    The facts per child are staged: fresh from their aggregate they would pin the join to its
+    partitions, and Spark could not split the rows of a hot child.
+    """
+    facts = staged(
+        spells.child_facts(tables.spells, tables.quotes, tables.action_history, as_of), "child-facts"
+    )
     history = tables.renewals_history.filter(F.col("year") == as_of.year - 1).select(
         "child_id", "renewal_ts", F.lit(True).alias("in_history")
     )
@@ -167,17 +181,14 @@ def admissions_base(
 ) -> DataFrame:
     """New admissions as of a date, enriched; several payers of a child give several rows.
 
-    The admissions, their families and their children's spells are staged: they are a small part
-    of the tables they come from, so each big table is read once and narrowed by a broadcast of
-    few keys instead of being shuffled.
+    The admissions, their families and their children's spells are staged.  A daily load is a
+    small part of the tables, so their keys narrow each big table in its one scan; a load too
+    large for that is joined as it is.
     """
     admitted = staged(spells.new_admissions(tables.spells, as_of, lookback_days), "admitted")
-    own_spells = staged(enrich.only_for(tables.spells, admitted, "child_id"), "own-spells")
-    children = enrich.only_for(tables.children, admitted, "child_id")
-    payers = enrich.only_for(tables.child_payers, admitted, "child_id")
-    families = staged(with_family(admitted, children, payers), "families")
-    near = narrowed(tables, admitted, own_spells, families)
-    served = with_service(with_people(families, near), near)
+    near = narrowed(tables, admitted)
+    families = staged(with_family(admitted, near.children, near.child_payers), "families")
+    served = with_service(with_people(families, narrowed_people(near, families)), near)
     dated = with_enrollment_dates(served, near, as_of)
     return with_attendance(dated, near.attendance).select(*BASE_COLUMNS)
 

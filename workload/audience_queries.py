@@ -127,6 +127,22 @@ def contacts_by_working_days(spark, sf_dir):
     return au.contacts_by_working_days(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS)
 
 
+@query(
+    f"""SELECT a.child_service_id, a.child_educational_guardian_email AS email,
+           coalesce(j.child_adaptation_survey_tag, a.child_service_id || '-1998-06-15') AS tag,
+           CASE WHEN j.child_service_id IS NOT NULL THEN 'ENADAP' END AS campaign_code
+    FROM admissions a LEFT JOIN journey_control j ON j.child_service_id = a.child_service_id
+    WHERE trim(a.child_adaptation_scheduling_dt) <> ''
+      AND {TEXT_DATE.format('a.child_adaptation_scheduling_dt')} - DATE '1998-06-15' = -9""",
+    "admissions", "journey_control",
+)
+def contacts_by_days(spark, sf_dir):
+    tags = st.journey_control(spark, sf_dir).select(
+        "child_service_id", F.col("child_adaptation_survey_tag").alias("tag"), F.lit(CODE).alias("campaign_code")
+    )
+    return au.contacts_by_days(st.admissions(spark, sf_dir), tags, AS_OF, DAYS)
+
+
 @query(
     f"""SELECT child_service_id, {TEXT_DATE.format('child_adaptation_scheduling_dt')} AS event_date,
            CAST({TEXT_DATE.format('child_adaptation_scheduling_dt')} - DATE '1998-06-15' AS INTEGER) AS days_difference,

@@ -170,9 +170,8 @@ def renewal_first_action(spark, sf_dir):
 @query(f"SELECT s.service_id, s.child_id, {ENROLLED_LAST_YEAR} AS enrolled_last_year FROM spells s", "spells")
 def enrolled_last_year(spark, sf_dir):
     every = st.spells(spark, sf_dir)
-    enrolled = spells.children_enrolled_in(every, AS_OF.year - 1).withColumn("enrolled_last_year", F.lit(True))
-    marked = every.select("service_id", "child_id").join(enrolled, "child_id", "left")
-    return marked.withColumn("enrolled_last_year", F.coalesce("enrolled_last_year", F.lit(False)))
+    marked = spells.with_enrolled_flag(every.select("service_id", "child_id"), every, AS_OF.year - 1)
+    return marked.withColumnRenamed("enrolled", "enrolled_last_year")
 
 
 @query(ATTENDANCE, "attendance")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,7 +11,9 @@ from cohortline.functions import dates
 from cohortline.functions.text import clean_email, full_name, in_list_flag
 from cohortline.operators import columns, keys, migrate, outbox, reporting, scheduling
 from cohortline.plans.admissions import LOAD_DEFAULTS
-from cohortline.sources.readers import TableSpec, flatten_typed_items, read_table
+from cohortline.session import shared_dir
+from cohortline.sources.readers import TableSpec, flatten_typed_items, read_records_json, read_table
+from cohortline.sources.writers import append_rows, write_documents, write_extract
 from workload import standins as st
 from workload.audience_queries import AS_OF, HOLIDAYS, TEXT_DATE, _difference
 from workload.registry import query
@@ -128,7 +131,8 @@ def scalar_text(spark, sf_dir):
            CAST(year(start_dt) AS INTEGER) AS start_year, CAST(month(start_dt) AS INTEGER) AS month_no, CAST(day(start_dt) AS INTEGER) AS day_no,
            CAST(end_dt - start_dt AS INTEGER) AS length_days, start_dt + 14 AS two_weeks_on,
            CAST(start_dt - INTERVAL 1 MONTH AS DATE) AS month_before, coalesce(end_dt, DATE '3000-01-01') AS open_end,
-           CAST(start_dt - DATE '1998-06-15' AS INTEGER) AS days_difference, strftime(start_dt, '%-d/%-m/%Y %-H:%-M:%-S') AS unpadded
+           CAST(start_dt - DATE '1998-06-15' AS INTEGER) AS days_difference, strftime(start_dt, '%-d/%-m/%Y %-H:%-M:%-S') AS unpadded,
+           strftime(start_dt, '%Y%-m%-d') AS unpadded_day
     FROM spells""",
     "spells",
 )
@@ -147,6 +151,7 @@ def scalar_dates(spark, sf_dir):
         dates.open_end("end_dt").alias("open_end"),
         dates.days_from(AS_OF, start).alias("days_difference"),
         F.date_format(start, dates.TEXT_TS).alias("unpadded"),
+        F.date_format(start, "yyyyMd").alias("unpadded_day"),
     )
 
 
@@ -273,6 +278,47 @@ DOCUMENT_SCHEMA = (
 )
 
 
+def _landing(spark, label):
+    """A new folder in the shared place for files that a query writes and reads back."""
+    return f"{shared_dir(spark)}/cohortline/{label}-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT {', '.join(DOCUMENT_COLUMNS)} FROM admissions", "admissions")
+def records_json_scan(spark, sf_dir):
+    """Records landed as JSON lines, read with a fixed schema."""
+    path = _landing(spark, "records")
+    record = F.to_json(F.struct(*DOCUMENT_COLUMNS)).alias("payload")
+    write_documents(st.admissions(spark, sf_dir).select(record), path)
+    return read_records_json(spark, path, DOCUMENT_SCHEMA, array_files=False)
+
+
+@query(
+    """SELECT child_service_id, child_name, nullif(child_adaptation_scheduling_dt, '') AS child_adaptation_scheduling_dt,
+           child_attendance_days_value FROM admissions""",
+    "admissions",
+)
+def csv_extract_scan(spark, sf_dir):
+    """An extract with a header, read back; CSV has one form for NULL and for empty text."""
+    path = _landing(spark, "extract")
+    kept = ["child_service_id", "child_name", "child_adaptation_scheduling_dt", "child_attendance_days_value"]
+    write_extract(st.admissions(spark, sf_dir).select(*kept), path)
+    schema = "child_service_id long, child_name string, child_adaptation_scheduling_dt string, child_attendance_days_value string"
+    return columns.blank_to_null(read_table(spark, TableSpec("csv", path, schema)), ["child_adaptation_scheduling_dt"])
+
+
+@query(
+    """SELECT '15/06/1998 07:04:24' AS data_ingestion_process_dt, count(*) AS loaded_rows_value FROM orders
+    UNION ALL SELECT '16/06/1998 07:04:24', count(*) FROM lineitem"""
+)
+def append_log(spark, sf_dir):
+    """Two loads, each adding its row to the log."""
+    path = _landing(spark, "log")
+    for day, name in ((15, "orders"), (16, "lineitem")):
+        row = reporting.ingestion_log_row(st.table(spark, sf_dir, name), dt.datetime(1998, 6, day, 7, 4, 24))
+        append_rows(row, path)
+    return read_table(spark, TableSpec("parquet", path))
+
+
 @query(f"SELECT {', '.join(DOCUMENT_COLUMNS)} FROM admissions", "admissions")
 def outbox_items(spark, sf_dir):
     documents = outbox.outbox_items(st.admissions(spark, sf_dir), DOCUMENT_COLUMNS)
