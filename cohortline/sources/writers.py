@@ -1,7 +1,9 @@
-"""Sinks: appended rows, CSV extracts, JSON documents."""
+"""Sinks: appended rows, keyed tables, CSV extracts, JSON documents."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
@@ -10,6 +12,14 @@ def append_rows(df: DataFrame, path: str, format: str = "parquet") -> None:
     df.write.mode("append").format(format).save(path)
 
 
+def write_keyed_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str) -> None:
+    """A state table bucketed by its key: writes by key and joins on it then need no exchange.
+
+    A job that reads the old state writes the new one under a new name and path.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+
+
 def write_extract(df: DataFrame, path: str) -> None:
     """CSV part files with a header; ``path`` may be any URI that Spark can write to."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from cohortline import session
 from cohortline.operators import columns, reporting, slots
+from cohortline.operators.keys import upsert_patch
 from cohortline.sources import schemas
 from cohortline.sources.readers import TableSpec, flatten_typed_items, jdbc_options, read_records_json, read_table
-from cohortline.sources.writers import append_rows, write_documents, write_extract
+from cohortline.sources.writers import append_rows, write_documents, write_extract, write_keyed_table
 
 
 def test_json_array_and_line_files(spark, tmp_path):
@@ -82,6 +83,22 @@ def test_append_and_extract(spark, tmp_path):
     assert rows(again) == [(dt.datetime(2024, 2, 3, 7, 4, 9), 410)] * 2
 
 
+def test_keyed_tables_join_without_exchange(spark, tmp_path):
+    state = spark.range(100).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    patch = spark.range(50).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    write_keyed_table(state, "state_day_1", ["k"], 4, str(tmp_path / "state"))
+    write_keyed_table(patch, "patch_day_1", ["k"], 4, str(tmp_path / "patch"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        patched = upsert_patch(spark.table("state_day_1"), spark.table("patch_day_1"), ["k"], ["v"])
+        assert "Exchange" not in patched._jdf.queryExecution().executedPlan().toString()
+        assert patched.filter("v = 'new'").count() == 50 and patched.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE state_day_1")
+        spark.sql("DROP TABLE patch_day_1")
+
+
 def test_documents(spark, tmp_path):
     df = spark.createDataFrame([('{"item":{"k":1}}',), ('{"item":{"k":2}}',)], "payload string")
     write_documents(df, str(tmp_path / "out"))
