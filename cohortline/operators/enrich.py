@@ -6,8 +6,6 @@ shuffles it otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +18,18 @@ CORPORATE_CHANNEL = "Empresa"
 NARROW_ROWS = 1_000_000  # keys of so many rows fit into any executor
 
 
-def narrower(rows: DataFrame) -> Callable[..., DataFrame]:
-    """A function that cuts a large table to the keys in ``rows``, a staged table.
+def is_few(rows: DataFrame) -> bool:
+    """Whether the keys of a staged table may be broadcast."""
+    return rows.count() <= NARROW_ROWS
 
-    Up to ``NARROW_ROWS`` rows their keys are broadcast to the scan of the table, which then is
-    never shuffled.  Beyond that the table is left whole: the joins that follow pick its rows,
-    and a shuffle before them would only come on top.
-    """
-    if rows.count() > NARROW_ROWS:
-        return lambda table, key: table
 
-    def narrow(table: DataFrame, key: str) -> DataFrame:
-        return table.join(F.broadcast(rows.select(key)), key, "left_semi")
+def only_for(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The part of a large table whose key occurs in ``rows``, of which there must be few.
 
-    return narrow
+    The keys are broadcast to the scan of the table, so that the joins and aggregates behind it
+    move only what they need.
+    """
+    return table.join(F.broadcast(rows.select(key)), key, "left_semi")
 
 
 def channel(is_corporate: Column) -> Column:
@@ -67,6 +63,7 @@ def with_relation(
 def with_children(df: DataFrame, children: DataFrame) -> DataFrame:
     named = children.select(
         "child_id",
+        F.col("child_id").alias("known_child_id"),
         "family_id",
         F.col("edu_guardian_id").alias("guardian_id"),
         full_name(F.col("first_name"), F.col("last_name"), F.col("second_last_name")).alias("child_full_name"),
@@ -78,8 +75,12 @@ def with_children(df: DataFrame, children: DataFrame) -> DataFrame:
 
 
 def with_payers(df: DataFrame, child_payers: DataFrame) -> DataFrame:
-    """One row per payer of the child; a child without payer keeps its row."""
-    return df.join(child_payers.select("child_id", F.col("person_id").alias("payer_id")), "child_id", "left")
+    """One row per payer of a known child; any other row stays once.
+
+    The rows come from ``with_children``.
+    """
+    payers = child_payers.select(F.col("child_id").alias("known_child_id"), F.col("person_id").alias("payer_id"))
+    return df.join(payers, "known_child_id", "left").drop("known_child_id")
 
 
 def with_center(df: DataFrame, centers: DataFrame) -> DataFrame:

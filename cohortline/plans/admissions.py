@@ -86,29 +86,36 @@ BASE_COLUMNS = ["child_id", *PUBLISHED_NAMES]
 
 
 def narrowed(tables: OperationalTables, admitted: DataFrame) -> OperationalTables:
-    """The tables cut down to the admitted children and their spells."""
-    narrow = enrich.narrower(admitted)
-    own_spells = staged(narrow(tables.spells, "child_id"), "own-spells")
-    return replace(
-        tables,
-        spells=own_spells,
-        children=narrow(tables.children, "child_id"),
-        child_payers=narrow(tables.child_payers, "child_id"),
-        company_services=narrow(tables.company_services, "service_id"),
-        quotes=enrich.narrower(own_spells)(tables.quotes, "quote_id"),
-        renewals_history=narrow(tables.renewals_history, "child_id"),
-        action_history=narrow(tables.action_history, "child_id"),
-        attendance=narrow(tables.attendance, "service_id"),
-    )
+    """The tables cut down to the admitted children and their spells, if these are few.
+
+    Otherwise the tables stay whole: the joins that follow pick their rows, and a shuffle before
+    them would only come on top.
+    """
+    if not enrich.is_few(admitted):
+        return tables
+    own_spells = staged(enrich.only_for(tables.spells, admitted, "child_id"), "own-spells")
+    by_child = {
+        name: enrich.only_for(getattr(tables, name), admitted, "child_id")
+        for name in ("children", "child_payers", "renewals_history", "action_history")
+    }
+    by_service = {
+        name: enrich.only_for(getattr(tables, name), admitted, "service_id")
+        for name in ("company_services", "attendance")
+    }
+    # One child may own very many spells.
+    quotes = enrich.only_for(tables.quotes, own_spells, "quote_id") if enrich.is_few(own_spells) else tables.quotes
+    return replace(tables, spells=own_spells, quotes=quotes, **by_child, **by_service)
 
 
 def narrowed_people(tables: OperationalTables, families: DataFrame) -> OperationalTables:
-    """Persons and family members cut down to the payers and guardians of the families."""
+    """Persons and family members cut down to the families, if these are few."""
+    if not enrich.is_few(families):
+        return tables
     people = families.select(F.col("payer_id").alias("person_id")).union(families.select("guardian_id"))
     return replace(
         tables,
-        persons=enrich.narrower(people)(tables.persons, "person_id"),
-        family_members=enrich.narrower(families)(tables.family_members, "family_id"),
+        persons=enrich.only_for(tables.persons, people, "person_id"),
+        family_members=enrich.only_for(tables.family_members, families, "family_id"),
     )
 
 

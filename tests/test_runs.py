@@ -6,6 +6,7 @@ import json
 import pytest
 from conftest import rows
 
+from cohortline.operators import enrich
 from cohortline.operators.keys import duplicate_keys
 from cohortline.operators.journeys import SUBSCRIBED
 from cohortline.plans import admissions as base
@@ -27,6 +28,7 @@ def tables(spark):
                 (2, 2, "QLC", 2, 1, None, d(2024, 3, 11), d(2024, 12, 31)),
                 (3, 3, "N1", 1, 9, 3, d(2024, 3, 12), None),
                 (4, 4, "N1", 1, 1, 4, d(2023, 3, 1), None),
+                (5, 5, "N9", 8, 1, None, d(2024, 3, 12), None),  # a child that is not on file
             ],
             s.SPELLS,
         ),
@@ -38,7 +40,7 @@ def tables(spark):
             ],
             s.CHILDREN,
         ),
-        child_payers=frame([(1, 201), (1, 202), (2, 102)], s.CHILD_PAYERS),
+        child_payers=frame([(1, 201), (1, 202), (2, 102), (5, 201), (5, 202)], s.CHILD_PAYERS),
         persons=frame(
             [
                 (101, "Gia", "Diaz", "", 51, "Gia@Example.org  "),
@@ -63,10 +65,14 @@ def tables(spark):
     )
 
 
-def test_base(spark, tables):
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_base(spark, tables, monkeypatch, few):
+    """The same rows, whether the tables are narrowed first or joined as they are."""
+    monkeypatch.setattr(enrich, "NARROW_ROWS", few)
     got = {(r.service_id, r.payer_id): r for r in base.admissions_base(tables, AS_OF).collect()}
-    assert set(got) == {(1, 201), (1, 202), (2, 102), (3, None)}
+    assert set(got) == {(1, 201), (1, 202), (2, 102), (3, None), (5, None)}
     one, two, three = got[1, 201], got[2, 102], got[3, None]
+    assert got[5, None].child_full_name is None and got[5, None].payer_dni is None
     assert (one.child_full_name, one.payer_relation, one.guardian_email) == ("Ana Diaz", "Father", "gia@example.org")
     assert (one.center_id, one.center_name, one.level, one.shift, one.channel) == ("N1", "North", "Nursery", "Morning", "Familia")
     assert (one.last_enrollment_ts, one.last_renewal_ts) == (dt.datetime(2024, 2, 20, 9), dt.datetime(2023, 11, 2))
@@ -82,8 +88,8 @@ def test_ingestion_sets_incomplete_rows_aside_and_is_idempotent(spark, tables):
     store = spark.createDataFrame([], s.ADMISSIONS)
     load = ingestion.ingest_admissions(tables, store, AS_OF, NOW)
     assert rows(load.loaded, "child_service_id", "child_financial_guardian_id") == [(1, 201), (1, 202), (2, 102)]
-    missing = load.rejected.first()
-    assert missing.child_service_id == 3 and "child_financial_guardian_id" in missing.reject_reason
+    missing = {r.child_service_id: r.reject_reason for r in load.rejected.collect()}
+    assert set(missing) == {3, 5} and "child_financial_guardian_id" in missing[3]
     assert rows(load.log) == [("15/03/2024 07:04:24", 3)]
     assert duplicate_keys(load.state, ["child_service_id"]).count() == 0
     assert rows(load.state, "child_service_id", "flag_poc_center", "child_adaptation_scheduling_flag", "child_service_start_dt") == [
@@ -130,6 +136,6 @@ def test_mailings(spark, tables):
     survey = mailings.survey(ended, config, members, "list", "REM", AS_OF)
     assert json.loads(survey.payloads.first().payload)["merge_fields"]["TIPO"] == "REM"
     assert rows(survey.accepted, "email") == [("gia@example.org",), ("hal@example.org",)]
-    assert rows(survey.rejected, "child_service_id", "reject_reason") == [(3, "missing")]
+    assert rows(survey.rejected, "child_service_id", "reject_reason") == [(3, "missing"), (5, "missing")]
 
 
