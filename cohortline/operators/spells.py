@@ -157,39 +157,39 @@ def with_enrolled_flag(rows: DataFrame, spells: DataFrame, year: int) -> DataFra
     return marked.withColumn("enrolled", F.coalesce("enrolled", F.lit(False)))
 
 
+def first_renewal_action(actions: DataFrame, year: int) -> DataFrame:
+    """First renewal action of each child for a year: from July of the year before to February."""
+    in_band = (F.col("action_ts") >= F.lit(dt.datetime(year - 1, 7, 1)).cast("timestamp_ntz")) & (
+        F.col("action_ts") < F.lit(dt.datetime(year, 3, 1)).cast("timestamp_ntz")
+    )
+    renewals = actions.filter((F.col("action_id") == RENEWAL_ACTION) & (F.col("period") == year) & in_band)
+    return renewals.groupBy("child_id", "period").agg(F.min("action_ts").alias("first_action_ts"))
+
+
 def renewal_first_action(actions: DataFrame, spells: DataFrame, as_of: dt.date) -> DataFrame:
-    """First renewal action of each child for the year of ``as_of``.
+    """First renewal action for the year of ``as_of``, for children enrolled in the year before.
 
-    Actions count from July of the year before to February; the child must have been enrolled
-    in the year before.  Actions are combined per child before the semi-join.
+    Actions are combined per child before the semi-join.
     """
-    year = as_of.year
-    first = (
-        actions.filter(
-            (F.col("action_id") == RENEWAL_ACTION)
-            & (F.col("period") == year)
-            & (F.col("action_ts") >= F.lit(dt.datetime(year - 1, 7, 1)).cast("timestamp_ntz"))
-            & (F.col("action_ts") < F.lit(dt.datetime(year, 3, 1)).cast("timestamp_ntz"))
-        )
-        .groupBy("child_id", "period")
-        .agg(F.min("action_ts").alias("first_action_ts"))
-    )
-    return first.join(children_enrolled_in(spells, year - 1), "child_id", "left_semi")
+    first = first_renewal_action(actions, as_of.year)
+    return first.join(children_enrolled_in(spells, as_of.year - 1), "child_id", "left_semi")
 
 
 def child_facts(spells: DataFrame, quotes: DataFrame, actions: DataFrame, as_of: dt.date) -> DataFrame:
     """Latest conversion, first renewal action and last year's enrolment, one row per child.
 
-    Stacked and combined, so that spells are joined once per child and not once per fact.
+    Stacked and combined, so that spells are joined once per child and not once per fact.  A
+    renewal action counts for children enrolled last year, which the combined row knows.
     """
     converted = latest_conversion(spells, quotes, as_of).select("child_id", "converted_ts")
-    renewed = renewal_first_action(actions, spells, as_of).select("child_id", "first_action_ts")
+    renewed = first_renewal_action(actions, as_of.year).select("child_id", "first_action_ts")
     enrolled = children_enrolled_in(spells, as_of.year - 1).withColumn("enrolled_last_year", F.lit(True))
     stacked = converted.unionByName(renewed, allowMissingColumns=True).unionByName(
         enrolled, allowMissingColumns=True
     )
     facts = ["converted_ts", "first_action_ts", "enrolled_last_year"]
-    return stacked.groupBy("child_id").agg(*[F.max(f).alias(f) for f in facts])
+    combined = stacked.groupBy("child_id").agg(*[F.max(f).alias(f) for f in facts])
+    return combined.withColumn("first_action_ts", F.when(F.col("enrolled_last_year"), F.col("first_action_ts")))
 
 
 def attendance_days(attendance: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import re
 from pathlib import Path
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from cohortline import session
 from cohortline.operators import spells
+from cohortline.plans import admissions as base
 from workload import standins
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -52,7 +54,26 @@ def test_pair_checks_became_key_joins(large_tables):
         assert "Window [" not in plan or plan.index("Window [") < plan.rindex("HashAggregate")
 
 
+def dated(every):
+    """Enrolment and renewal dates of all spells, without any narrowing."""
+    ts = F.col("start_dt").cast("timestamp_ntz")
+    tables = dict.fromkeys(f.name for f in dataclasses.fields(base.OperationalTables))
+    tables |= {
+        "spells": every,
+        "quotes": every.select("quote_id", ts.alias("modified_ts")),
+        "renewals_history": every.filter("child_id <> 7").select(
+            "child_id", F.lit(1997).alias("year"), ts.alias("renewal_ts")
+        ),
+        "action_history": every.select(
+            "child_id", F.lit(15).alias("action_id"), F.lit(1998).alias("period"), ts.alias("action_ts")
+        ),
+    }
+    corporate = every.withColumn("is_corporate", F.col("service_id") % 2 == 0)
+    return base.with_enrollment_dates(corporate, base.OperationalTables(**tables), AS_OF)
+
+
 HOT_QUERIES = {
+    "with_enrollment_dates": dated,
     "current_spell": lambda every: spells.current_spell(every, AS_OF),
     "first_admission": spells.first_admission,
     "new_admissions": lambda every: spells.new_admissions(every, AS_OF, 365),
@@ -75,7 +96,7 @@ def test_a_hot_child_is_split_in_joins(large_tables, name):
         # All spells of the hot child start on one day, so that its join key is hot as well.
         every = session.staged(
             spark.range(90_000).repartition(12).selectExpr(
-                "id AS service_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS child_id",
+                "id AS service_id", "id AS quote_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS child_id",
                 "date_add(DATE'1998-01-01', CAST(CASE WHEN id % 3 = 0 THEN 9 ELSE id % 90 END AS INT)) AS start_dt",
                 "CASE WHEN id % 2 = 0 THEN DATE'1999-01-01' END AS end_dt", "xxhash64(id) AS payload",
             ),
