@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,16 +36,19 @@ def member_rows(contacts: DataFrame) -> DataFrame:
     )
 
 
-def member_payloads(members: DataFrame, audience_id: str, merge_fields: bool = True) -> DataFrame:
+def member_payloads(
+    members: DataFrame,
+    audience_id: str,
+    merge_fields: bool = True,
+    keep: Sequence[str] = ("child_service_id",),
+) -> DataFrame:
     """The document that subscribes a member, with code and tag unless told otherwise."""
     fields = [F.col("email").alias("email_address"), F.lit(SUBSCRIBED).alias("status")]
     if merge_fields:
         merged = F.struct(F.col("campaign_code").alias("TIPO"), F.col("tag").alias("TAG"))
         fields.append(merged.alias("merge_fields"))
     payload = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    return members.select(
-        F.lit(audience_id).alias("audience_id"), "child_service_id", payload.alias("payload")
-    )
+    return members.select(F.lit(audience_id).alias("audience_id"), *keep, payload.alias("payload"))
 
 
 def journey_events(members: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import dates
 from cohortline.functions.business_days import business_days_between
-from cohortline.functions.text import in_list_flag
+from cohortline.functions.text import flag, in_list_flag
 from cohortline.operators.columns import fill_defaults
 from cohortline.operators.keys import upsert_patch
 from cohortline.sources.schemas import PILOT_CENTERS
@@ -37,6 +37,11 @@ def scheduling_flag(responsible: Column, scheduled: Column) -> Column:
     )
 
 
+def two_state_flag(scheduled: Column) -> Column:
+    """The older flag, which knows no "given up"."""
+    return flag(scheduled.isNotNull())
+
+
 def scheduling_state(
     admissions: DataFrame, calendar: DataFrame, pilot_centers: tuple[str, ...] = PILOT_CENTERS
 ) -> DataFrame:

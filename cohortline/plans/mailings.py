@@ -1,4 +1,4 @@
-"""The three mailing runs: working-day reminder, welcome, end-of-adaptation survey."""
+"""The mailing runs: working-day reminder, welcome, end-of-adaptation survey, survey from a view."""
 
 from __future__ import annotations
 
@@ -15,12 +15,15 @@ from cohortline.session import staged
 
 @dataclass(frozen=True)
 class Mailing:
-    """One run: the contacts to subscribe, those set aside, their documents and events."""
+    """One run: the contacts to subscribe, those set aside, their documents and events.
+
+    A run over contacts without a service has no events.
+    """
 
     accepted: DataFrame
     rejected: DataFrame
     payloads: DataFrame
-    events: DataFrame
+    events: DataFrame | None
     sends_automatically: bool
 
 
@@ -87,3 +90,26 @@ def survey(
     campaign = au.load_campaign(config, code)
     due = au.end_of_period_audience(admissions, as_of, campaign.threshold_days, code, end_col)
     return _mailing(due, members, audience_id, campaign, True)
+
+
+def view_survey(
+    recipients: DataFrame,
+    types: DataFrame,
+    type_id: int,
+    config: DataFrame,
+    members: DataFrame,
+    audience_id: str,
+    code: str,
+    automatic: tuple[str, ...] = (au.AUTOMATIC, "true"),
+) -> Mailing:
+    """The recipients of a survey view, typed by one row of the survey types."""
+    campaign = au.load_campaign(config, code)
+    usable, rejected = au.split_contacts(staged(au.survey_audience(recipients, types, type_id), "audience"))
+    accepted = staged(au.new_members_only(usable, members, audience_id, order=("tag", "email")), "accepted")
+    return Mailing(
+        accepted=accepted,
+        rejected=rejected,
+        payloads=journeys.member_payloads(accepted, audience_id, keep=()),
+        events=None,
+        sends_automatically=campaign.send_flag in automatic,
+    )

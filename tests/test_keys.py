@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -59,3 +60,25 @@ def test_first_per_key_with_a_hot_key(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (1, dt.date(2024, 1, 1)), (2, None)], "k long, d date")
     assert rows(keys.duplicate_keys(df, ["k", "d"])) == [(1, dt.date(2024, 1, 1), 2)]
+
+
+def test_writes_by_key_match_dictionaries(spark):
+    rng = random.Random(5)
+    for size in (0, 40, 200):
+        stored = {k: (rng.choice(["s", None]), rng.randrange(9)) for k in rng.sample(range(300), size)}
+        coming = {k: (rng.choice(["i", None]), rng.choice([None, 7])) for k in rng.sample(range(300), 60)}
+        target = spark.createDataFrame([(k, *v) for k, v in stored.items()], SCHEMA)
+        incoming = spark.createDataFrame([(k, *v) for k, v in coming.items()], SCHEMA)
+
+        def as_dict(df):
+            collected = df.select("k", "a", "b").collect()
+            made = {r.k: (r.a, r.b) for r in collected}
+            assert len(made) == len(collected)
+            return made
+
+        assert as_dict(keys.upsert_replace(target, incoming, KEY)) == {**stored, **coming}
+        assert as_dict(keys.upsert_insert_only(target, incoming, KEY)) == {**coming, **stored}
+        patched = {k: (a, coming[k][1] if k in coming else b) for k, (a, b) in stored.items()}
+        assert as_dict(keys.upsert_patch(target, incoming, KEY, ["b"])) == patched
+        created = {k: (None, b) for k, (_, b) in coming.items() if k not in stored}
+        assert as_dict(keys.upsert_patch(target, incoming, KEY, ["b"], create=True)) == {**patched, **created}

@@ -69,19 +69,21 @@ def some_spells(seed, n=400, hot=False):
     return result
 
 
-@pytest.mark.parametrize("hot", [False, True])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_spell_rules_match_pairwise_checks(spark, seed, hot):
+@pytest.mark.parametrize(
+    ("seed", "hot", "as_of"),
+    [(1, False, AS_OF), (2, True, AS_OF), (3, True, dt.date(2024, 2, 29)), (4, False, dt.date(2023, 12, 31))],
+)
+def test_spell_rules_match_pairwise_checks(spark, seed, hot, as_of):
     spells = some_spells(seed, hot=hot)
     frame = spell_frame(spark, spells)
-    current, first = brute_current(spells, AS_OF), brute_first(spells)
-    assert {r.service_id for r in sp.current_spell(frame, AS_OF).collect()} == current
+    current, first = brute_current(spells, as_of), brute_first(spells)
+    assert {r.service_id for r in sp.current_spell(frame, as_of).collect()} == current
     assert {r.service_id for r in sp.first_admission(frame).collect()} == first
     for days in (0, 10, 90):
-        window = brute_window(spells, AS_OF, days)
-        kept = {r.service_id for r in frame.filter(sp.admission_window(AS_OF, days)).collect()}
+        window = brute_window(spells, as_of, days)
+        kept = {r.service_id for r in frame.filter(sp.admission_window(as_of, days)).collect()}
         assert kept == window
-        admitted = {r.service_id for r in sp.new_admissions(frame, AS_OF, days).collect()}
+        admitted = {r.service_id for r in sp.new_admissions(frame, as_of, days).collect()}
         assert admitted == current & first & window
 
 

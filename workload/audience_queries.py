@@ -195,6 +195,13 @@ def new_members_only(spark, sf_dir):
     return au.new_members_only(usable, st.members(spark, sf_dir), "journey")
 
 
+def _survey_tables(spark, sf_dir):
+    recipients = st.admissions(spark, sf_dir).select(
+        F.col("child_financial_guardian_email").alias("email"), F.col("child_service_id").cast("string").alias("tag")
+    )
+    return recipients, st.table(spark, sf_dir, "region").selectExpr("r_regionkey AS type_id", "r_name AS name")
+
+
 @query(
     """SELECT u.email, u.tag, t.r_name AS campaign_code FROM (
         SELECT child_financial_guardian_email AS email, min(CAST(child_service_id AS VARCHAR)) AS tag FROM admissions GROUP BY 1) u
@@ -202,11 +209,7 @@ def new_members_only(spark, sf_dir):
     "admissions",
 )
 def survey_audience(spark, sf_dir):
-    recipients = st.admissions(spark, sf_dir).select(
-        F.col("child_financial_guardian_email").alias("email"), F.col("child_service_id").cast("string").alias("tag")
-    )
-    types = st.table(spark, sf_dir, "region").selectExpr("r_regionkey AS type_id", "r_name AS name")
-    return au.survey_audience(recipients, types, 3)
+    return au.survey_audience(*_survey_tables(spark, sf_dir), 3)
 
 
 @query(
@@ -336,6 +339,24 @@ def survey_mailing(spark, sf_dir):
     ).events
 
 
+@query(
+    f"""SELECT 'journey' AS audience_id, u.email AS email_address, t.r_name AS field_tipo, u.tag AS field_tag FROM (
+        SELECT child_financial_guardian_email AS email, min(CAST(child_service_id AS VARCHAR)) AS tag FROM admissions GROUP BY 1) u
+    JOIN region t ON t.r_regionkey = 3
+    WHERE {REASON} IS NULL AND lower(email) NOT IN (SELECT lower(email_address) FROM members WHERE audience_id = 'journey')""",
+    "admissions", "members",
+)
+def view_survey_mailing(spark, sf_dir):
+    payloads = mailings.view_survey(
+        *_survey_tables(spark, sf_dir), 3, st.campaign_config(spark, sf_dir), st.members(spark, sf_dir), "journey", CAMPAIGN
+    ).payloads
+    parsed = F.from_json("payload", "email_address string, merge_fields struct<TIPO: string, TAG: string>")
+    return payloads.select("audience_id", parsed.alias("p")).select(
+        "audience_id", "p.email_address", F.col("p.merge_fields.TIPO").alias("field_tipo"),
+        F.col("p.merge_fields.TAG").alias("field_tag"),
+    )
+
+
 @query(
     """SELECT d.slot, count(e.event_id) AS n_events
     FROM (SELECT strftime(m, '%H:%M') AS slot

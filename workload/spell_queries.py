@@ -11,11 +11,14 @@ from cohortline.operators.columns import rename_columns
 from cohortline.operators.keys import duplicate_keys
 from cohortline.operators.reporting import ingestion_log_row
 from cohortline.plans import admissions as base
+from cohortline.plans import ingestion
+from cohortline.sources.schemas import ADMISSION_ID_COLUMNS
 from workload import standins as st
 from workload.registry import query
 
 AS_OF = dt.date(1998, 6, 15)
 LOOKBACK_DAYS = 60
+LOADED_AT = dt.datetime(1998, 6, 15, 7, 4, 24)
 
 # The rules in plain SQL, written the long way: pairs of spells and month text compares.
 LATEST_END = """
@@ -111,6 +114,54 @@ def admissions_base(spark, sf_dir):
     return base.admissions_base(st.operational(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
 
 
+PUBLISHED_SQL = f"""
+    SELECT service_id AS child_service_id, child_id, child_full_name AS child_name, child_dni AS child_dni_code,
+           strftime(child_birth_dt, '%Y-%m-%d %H:%M:%S') AS child_date_birth, child_gender AS child_gender_desc,
+           payer_id AS child_financial_guardian_id, payer_full_name AS child_financial_guardian_name,
+           payer_dni AS child_financial_guardian_dni_code, payer_relation AS child_financial_guardian_relationship_desc,
+           payer_email AS child_financial_guardian_email, guardian_id AS child_educational_guardian_id,
+           guardian_full_name AS child_educational_guardian_name, guardian_dni AS child_educational_guardian_dni_code,
+           guardian_relation AS child_educational_guardian_relationship_desc, guardian_email AS child_educational_guardian_email,
+           center_id AS educational_center_code, center_name AS educational_center_name, channel AS child_admission_channel_value,
+           level AS child_level_name, shift AS child_service_type_desc, room_id AS educational_center_room_id,
+           strftime(last_enrollment_ts, '%Y-%m-%d %H:%M:%S') AS child_last_enrollment_dt,
+           strftime(last_renewal_ts, '%Y-%m-%d %H:%M:%S') AS child_last_renewal_process_dt,
+           strftime(start_dt, '%Y-%m-%d %H:%M:%S') AS child_service_start_dt, status AS child_service_status,
+           attendance_days AS child_attendance_days_value, 'false' AS child_adaptation_scheduling_flag,
+           'Sin comentarios' AS child_adaptation_scheduling_comment, '' AS child_adaptation_scheduling_start_dt,
+           '' AS child_adaptation_responsible, 'false' AS interview_flag, '' AS child_interview_start_dt,
+           '' AS child_interview_responsible, '' AS child_interview_end_dt, '' AS scheduling_channel_value,
+           '' AS child_adaptation_scheduling_end_dt, '' AS center_interview_responsible,
+           CASE WHEN center_id IN ('NPL2', 'QLC', 'SMH', 'CCBA') THEN 'true' ELSE 'false' END AS flag_poc_center
+    FROM ({BASE_SQL})"""
+COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in ADMISSION_ID_COLUMNS)
+
+
+def _load(spark, sf_dir):
+    """A load into a store that already holds the urgent orders."""
+    store = st.admissions(spark, sf_dir).join(st.company_services(spark, sf_dir), F.expr("child_service_id = service_id"), "left_semi")
+    stored = store.select("child_service_id", "child_name", "child_adaptation_scheduling_flag")
+    return ingestion.ingest_admissions(st.operational(spark, sf_dir), stored, AS_OF, LOADED_AT, LOOKBACK_DAYS)
+
+
+@query(f"SELECT * FROM ({PUBLISHED_SQL}) WHERE {COMPLETE}", *BASE_TABLES)
+def loaded_admissions(spark, sf_dir):
+    return _load(spark, sf_dir).loaded
+
+
+@query(
+    f"""SELECT child_service_id, child_name, child_adaptation_scheduling_flag FROM admissions
+    WHERE child_service_id IN (SELECT service_id FROM company_services)
+    UNION ALL
+    SELECT DISTINCT child_service_id, child_name, child_adaptation_scheduling_flag FROM ({PUBLISHED_SQL})
+    WHERE {COMPLETE} AND child_service_id NOT IN (SELECT service_id FROM company_services)""",
+    "admissions", *BASE_TABLES,
+)
+def ingested_state(spark, sf_dir):
+    state = _load(spark, sf_dir).state
+    return state.select("child_service_id", "child_name", "child_adaptation_scheduling_flag")
+
+
 @query(f"SELECT service_id, child_id, start_dt, end_dt FROM ({ADMITTED})", "spells")
 def new_admissions(spark, sf_dir):
     admitted = spells.new_admissions(st.spells(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
@@ -306,7 +357,7 @@ def top_recent_spells(spark, sf_dir):
 )
 def log_row_of_load(spark, sf_dir):
     admitted = spells.new_admissions(st.spells(spark, sf_dir), AS_OF, LOOKBACK_DAYS)
-    return ingestion_log_row(admitted, dt.datetime(1998, 6, 15, 7, 4, 24))
+    return ingestion_log_row(admitted, LOADED_AT)
 
 
 @query(

@@ -7,13 +7,17 @@ definitions as common table expressions.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.plans.admissions import OperationalTables
 
 
+@functools.cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; each file is opened once per session, its rows are read by every query."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

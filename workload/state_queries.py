@@ -188,6 +188,16 @@ def scheduling_state(spark, sf_dir):
     return scheduling.scheduling_state(loaded, st.calendar(spark, sf_dir), PILOTS)
 
 
+@query(
+    """SELECT child_service_id, CASE WHEN child_adaptation_scheduling_dt IS NOT NULL THEN 'true' ELSE 'false' END AS scheduled
+    FROM calendar""",
+    "calendar",
+)
+def two_state_flag(spark, sf_dir):
+    scheduled = scheduling.two_state_flag(F.col("child_adaptation_scheduling_dt"))
+    return st.calendar(spark, sf_dir).select("child_service_id", scheduled.alias("scheduled"))
+
+
 OVERDUE = f"""(child_adaptation_scheduling_flag = 'false' AND (
     {_difference('CAST(CAST(child_service_start_dt AS TIMESTAMP) AS DATE)')} <= -10 OR CAST(child_attendance_days_value AS INTEGER) >= 6))"""
 
