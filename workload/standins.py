@@ -104,11 +104,13 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def renewals_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter("o_orderpriority = '2-HIGH'").selectExpr(
+    """The first renewal of each child and year; its date may be unknown."""
+    renewed = table(spark, sf_dir, "orders").filter("o_orderpriority = '2-HIGH'").selectExpr(
         "o_custkey AS child_id",
         "year(o_orderdate) AS year",
         "CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS renewal_ts",
     )
+    return renewed.groupBy("child_id", "year").agg(F.min("renewal_ts").alias("renewal_ts"))
 
 
 def action_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,8 +319,9 @@ SQL = {
         FROM orders""",
     "renewals_history": """
         SELECT o_custkey AS child_id, CAST(year(o_orderdate) AS INTEGER) AS year,
-               CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS renewal_ts
-        FROM orders WHERE o_orderpriority = '2-HIGH'""",
+               min(CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END) AS renewal_ts
+        FROM orders WHERE o_orderpriority = '2-HIGH'
+        GROUP BY o_custkey, CAST(year(o_orderdate) AS INTEGER)""",
     "action_history": """
         SELECT o_custkey AS child_id, CASE WHEN o_orderpriority = '3-MEDIUM' THEN 15 ELSE 7 END AS action_id,
                CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS period,
