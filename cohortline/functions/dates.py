@@ -12,8 +12,8 @@ OPEN_END = dt.date(3000, 1, 1)  # how an open (NULL) end date compares
 NO_CONVERSION = dt.date(2000, 1, 1)  # corporate services without any quote
 NEVER_SCHEDULED = "31/12/2050 09:00:00"
 TEXT_TS = "d/M/yyyy H:m:s"  # reads padded and unpadded day, month and time
-PADDED_TEXT_TS = "dd/MM/yyyy HH:mm:ss"
-ISO_TS = "yyyy-MM-dd HH:mm:ss"
+
+_TEXT_PARTS = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 
 def open_end(end: str | Column) -> Column:
@@ -41,8 +41,24 @@ def month_after(day: dt.date) -> dt.date:
 
 
 def parse_text_ts(text: str | Column) -> Column:
-    """``d/M/yyyy H:m:s`` text to a timestamp; blank or malformed text gives NULL."""
-    return F.try_to_timestamp(F.trim(_col(text)), F.lit(TEXT_TS)).cast("timestamp_ntz")
+    """``d/M/yyyy H:m:s`` text to a timestamp; blank or malformed text gives NULL.
+
+    The parts are put in ISO order and cast, so no time zone shifts a midnight that a change of
+    the clocks skips.
+    """
+    written = F.trim(_col(text))
+    iso = F.regexp_replace(written, _TEXT_PARTS, "$3-$2-$1 $4:$5:$6")
+    return F.when(written.rlike(_TEXT_PARTS), iso).try_cast("timestamp_ntz")
+
+
+def iso_text(moment: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a date or timestamp."""
+    return F.substring(moment.cast("timestamp_ntz").cast("string"), 1, 19)
+
+
+def midnight(day: dt.date) -> Column:
+    """The start of a day as a timestamp literal without time zone."""
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def as_ts(value: str | Column) -> Column:
@@ -52,10 +68,7 @@ def as_ts(value: str | Column) -> Column:
 
 def falls_on(ts: Column, day: dt.date) -> Column:
     """The timestamp lies on the day; written as a range that a typed scan can prune by."""
-    start = dt.datetime.combine(day, dt.time())
-    return (ts >= F.lit(start).cast("timestamp_ntz")) & (
-        ts < F.lit(start + dt.timedelta(days=1)).cast("timestamp_ntz")
-    )
+    return (ts >= midnight(day)) & (ts < midnight(day + dt.timedelta(days=1)))
 
 
 def days_from(as_of: dt.date, event: str | Column) -> Column:

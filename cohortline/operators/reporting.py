@@ -120,7 +120,7 @@ def campaign_report(documents: DataFrame, column: str = "document") -> DataFrame
 
 def _wall_clock(iso: Column) -> Column:
     """Date and time as written, whatever the offset behind them."""
-    return F.date_format(F.substring(iso, 1, 19).try_cast("timestamp_ntz"), dates.ISO_TS)
+    return dates.iso_text(dates.as_ts(F.substring(iso, 1, 19)))
 
 
 def campaigns_titled(report: DataFrame, needle: str) -> DataFrame:

@@ -159,8 +159,8 @@ def with_enrolled_flag(rows: DataFrame, spells: DataFrame, year: int) -> DataFra
 
 def first_renewal_action(actions: DataFrame, year: int) -> DataFrame:
     """First renewal action of each child for a year: from July of the year before to February."""
-    in_band = (F.col("action_ts") >= F.lit(dt.datetime(year - 1, 7, 1)).cast("timestamp_ntz")) & (
-        F.col("action_ts") < F.lit(dt.datetime(year, 3, 1)).cast("timestamp_ntz")
+    in_band = (F.col("action_ts") >= dates.midnight(dt.date(year - 1, 7, 1))) & (
+        F.col("action_ts") < dates.midnight(dt.date(year, 3, 1))
     )
     renewals = actions.filter((F.col("action_id") == RENEWAL_ACTION) & (F.col("period") == year) & in_band)
     return renewals.groupBy("child_id", "period").agg(F.min("action_ts").alias("first_action_ts"))
@@ -220,10 +220,10 @@ def renewal_ts(
 
     ``has_renewal`` says that a history row or a renewal action exists, whatever its date.
     """
-    new_year = F.lit(dt.datetime(as_of.year, 1, 1)).cast("timestamp_ntz")
-    february = F.lit(dt.datetime(as_of.year, 2, 1)).cast("timestamp_ntz")
+    new_year = dates.midnight(dt.date(as_of.year, 1, 1))
+    february = dates.midnight(dt.date(as_of.year, 2, 1))
     enrolled_ts = F.coalesce(quote_ts, conversion_ts)
-    no_conversion = F.lit(dates.NO_CONVERSION).cast("timestamp_ntz")
+    no_conversion = dates.midnight(dates.NO_CONVERSION)
     family = F.when(has_renewal, F.coalesce(history_ts, action_ts)).when(enrolled_ts < new_year, enrolled_ts)
     in_january = (enrolled_ts >= new_year) & (enrolled_ts < february)
     corporate = F.when(F.coalesce(enrolled_ts, no_conversion) < new_year, new_year).when(

@@ -202,14 +202,8 @@ def admissions_base(
 
 def published(base: DataFrame, pilot_centers: tuple[str, ...] = PILOT_CENTERS) -> DataFrame:
     """The base in the shape of the admissions table: its names, load defaults and text dates."""
-    as_text = base.withColumns(
-        {
-            "last_enrollment_ts": F.date_format("last_enrollment_ts", dates.ISO_TS),
-            "last_renewal_ts": F.date_format("last_renewal_ts", dates.ISO_TS),
-            "start_dt": F.date_format("start_dt", dates.ISO_TS),
-            "child_birth_dt": F.date_format("child_birth_dt", dates.ISO_TS),
-        }
-    )
+    moments = ["last_enrollment_ts", "last_renewal_ts", "start_dt", "child_birth_dt"]
+    as_text = base.withColumns({c: dates.iso_text(F.col(c)) for c in moments})
     renamed = with_defaults(rename_columns(as_text, PUBLISHED_NAMES), LOAD_DEFAULTS)
     flagged = renamed.withColumn(
         "flag_poc_center", in_list_flag(F.col("educational_center_code"), pilot_centers)

@@ -24,7 +24,7 @@ PILOTS = ("N2", "N3", "N5", "N7")
 @query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-05'")
 def scan_orders(spark, sf_dir):
     orders = read_table(spark, TableSpec("parquet", f"{sf_dir}/orders.parquet"))
-    recent = orders.filter(F.col("o_orderdate") >= F.lit(dt.datetime(1998, 6, 5)).cast("timestamp_ntz"))
+    recent = orders.filter(F.col("o_orderdate") >= dates.midnight(dt.date(1998, 6, 5)))
     return recent.select("o_orderkey", "o_custkey", "o_orderdate")
 
 
