@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, packing, token_ids, warc
+from llm import decontaminate, line_crf, packing, pu_quality, redirects, token_ids, warc, weak_toxicity
 from llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,59 @@ def op3_warc_round_trip(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
+@query()
+def op4_line_crf_filter(spark, sf_dir):
+    found = line_crf.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("boilerplate_lines")
+
+
+@query()
+def op5_pu_quality(spark, sf_dir):
+    return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op6_weak_toxicity(spark, sf_dir):
+    return weak_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+URL_RULES = redirects.rules(
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@query(
+    r"""
+WITH RECURSIVE rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+found AS (
+  SELECT url AS a, unnest([
+    regexp_extract(html, '(?is)<link\s[^>]*rel\s*=\s*["'']?canonical[^>]*href\s*=\s*["'']?([^"''\s>]+)', 1),
+    regexp_extract(html, '(?is)<link\s[^>]*href\s*=\s*["'']?([^"''\s>]+)["'']?[^>]*rel\s*=\s*["'']?canonical', 1),
+    regexp_extract(html, '(?is)<meta\s[^>]*refresh[^>]*url\s*=\s*''?([^"''\s>]+)', 1)]) AS b
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+edges AS (SELECT a, b FROM found WHERE contains(b, '://') UNION SELECT b, a FROM found WHERE contains(b, '://')),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+split AS (
+  SELECT DISTINCT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT coalesce(url, '') AS url FROM pages UNION SELECT b FROM edges)),
+ruled AS (
+  SELECT url, any_value(host) AS host, any_value(path) AS path, arg_max(rule, length(rule)) AS rule, arg_max(rule_verdict, length(rule)) AS own
+  FROM split LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY url),
+bad AS (SELECT DISTINCT reach.a AS url FROM reach JOIN ruled ON ruled.url = reach.b WHERE own = 'block')
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN bad.url IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages JOIN ruled ON ruled.url = coalesce(pages.url, '') LEFT JOIN bad ON bad.url = ruled.url
+"""
+)
+def op9_redirect_rules(spark, sf_dir):
+    return redirects.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query(
     r"""
 WITH dw AS (
