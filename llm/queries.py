@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontaminate, jaccard_forest, line_crf, packing, pu_quality, redirects, token_ids, warc, weak_toxicity
+from llm import decontaminate, jaccard_forest, line_crf, packing, pu_quality, redirects, suffix_dedup, token_ids, warc, weak_toxicity
 from llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,12 @@ def op6_weak_toxicity(spark, sf_dir):
     return weak_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op7_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), text=False)
+    return found.selectExpr("doc_id", "n_bytes", "n_removed", "cast(size(spans) as long) AS n_spans", "kept_sha256")
+
+
 @query()
 def op8_jaccard_forest(spark, sf_dir):
     return jaccard_forest.join(table(spark, sf_dir, "documents"))
