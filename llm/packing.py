@@ -168,8 +168,8 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text"), strict=True):
-                ids = np.concatenate([enc.encode(text), end])
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(texts(batch, "text")), strict=True):
+                ids = np.concatenate([ids, end])
                 if len(ids):
                     packer.add(doc_id, ids)
             if packer.rows:

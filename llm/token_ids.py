@@ -183,8 +183,9 @@ def write_token_ids(
             end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
 
             def add(batch: pa.RecordBatch) -> None:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text"), strict=True):
-                    shard.add(doc_id, np.concatenate([enc.encode(text), end]))
+                encoded = enc.encode(texts(batch, "text"))
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                    shard.add(doc_id, np.concatenate([ids, end]))
 
             add(first)
             for batch in batches:

@@ -1,22 +1,25 @@
 """Token ids of whole texts, with repeated words encoded once.
 
-The byte-level pattern never lets a pre-token reach across a space that stands between two
-other characters: a new pre-token begins at that space.  A text is therefore cut before each
-such space, each distinct piece is encoded once by the library, and its ids are reused.
+The byte-level pattern never lets a pre-token reach across a space that stands between two characters that aren't white
+space: a new pre-token begins at that space.  Texts are therefore split at their spaces, each distinct word is
+encoded once by the library, and its ids are reused.  A text with a space anywhere else is encoded as it stands.
+
+Most new words are Latin letters and a few marks; letters are one pre-token and marks another.  Such
+words skip the pattern: they go to the library already written in the byte-level alphabet.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
-# A space beside another white-space character belongs to the same pre-token as that.
-BESIDE = re.compile(r"\s \s?| \s|^ | $")
-# Distinct pieces that one worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 200_000
+# Distinct words that one worker remembers; beyond it the memory starts afresh.
+REMEMBERED = 400_000
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
+MARKS = ".,;:!?"
+LATIN = "ɐ"
+JOINED = 256
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -26,82 +29,127 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return name if os.path.isabs(name) else public_tokenizers.path(name)
 
 
-def pieces(text: str) -> list[str]:
-    """Cut before every space between two characters that aren't white space."""
-    words = text.split(" ")
-    if not BESIDE.search(text):
-        return [words[0], *[" " + w for w in words[1:]]]
-    out = [words[0]]
-    for w in words[1:]:
-        if not w or w[0].isspace() or not out[-1] or out[-1][-1].isspace():
-            out[-1] += " " + w
-        else:
-            out.append(" " + w)
-    return out
+def byte_alphabet() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others are moved above 255 in order."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    moved = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + k) for k, b in enumerate(moved)}
+
+
+class Words(dict):
+    """Numbers of the words met so far; a new word gets the next number and waits to be encoded."""
+
+    def __init__(self) -> None:
+        self.waiting: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.waiting.append(word)
+        return number
 
 
 class Encoder:
-    """Ids by the tokenizers library; ``encode`` gives all ids of a batch and each text's end."""
+    """Ids by the tokenizers library, for a batch of texts at a time."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.alphabet = byte_alphabet()
+        self.space = self.alphabet[0x20]
+        self.words_only = Tokenizer.from_file(path)
+        self.words_only.pre_tokenizer = pre_tokenizers.Split(self.space, "merged_with_next")
+        self.begins = np.zeros(self.vocabulary_size, dtype=bool)
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.begins[number] = token.startswith(self.space)
         self.remembered = remembered
+        self.marks: dict[str, list[int]] = {"": []}
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.words = Words()
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 12, dtype=np.int64)
-        self.used = 0
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > self.remembered:
-            self._forget()
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        count = len(self.known)
-        flat = np.fromiter((i for ids in encoded for i in ids), dtype=np.uint32)
-        while self.used + len(flat) > len(self.ids):
+        self.odd = np.zeros(1 << 12, dtype=bool)
+        self.learned = 0
+
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _letters(self, bases: list[str]) -> list[list[int]]:
+        """Ids of words of Latin letters, each with a space before it."""
+        joined = [" " + " ".join(bases[i : i + JOINED]) for i in range(0, len(bases), JOINED)]
+        written = [t.encode().decode("latin-1").translate(self.alphabet) for t in joined]
+        flat = [i for e in self.words_only.encode_batch_fast(written, add_special_tokens=False) for i in e.ids]
+        edge = [*np.flatnonzero(self.begins[np.array(flat, dtype=np.int64)]).tolist(), len(flat)] if flat else [0]
+        return [flat[a:b] for a, b in zip(edge, edge[1:], strict=False)]
+
+    def _learn(self) -> None:
+        """Encode the words that wait and append their ids to the table."""
+        waiting, self.words.waiting = self.words.waiting, []
+        if not waiting:
+            return
+        odd = [not w or w[-1].isspace() or (w[0].isspace() and (w[0] != " " or w[1:2].isspace())) for w in waiting]
+        bases: dict[str, int] = {}
+        form: list[tuple[str, int, str]] = []
+        plain: list[str] = []
+        for w in waiting:
+            base = w.rstrip(MARKS)
+            if base.isalpha() and (base.isascii() or max(base) < LATIN):
+                form.append(("base", bases.setdefault(base, len(bases)), w[len(base) :]))
+            else:  # a text's first word carries a space in its key, all others lack it
+                form.append(("plain", len(plain), ""))
+                plain.append(w[1:] if w[:1] == " " else " " + w)
+        by_base, by_plain = self._letters(list(bases)), self._plain(plain)
+        flat, length = [], []
+        for kind, k, mark in form:
+            if mark not in self.marks:
+                self.marks[mark] = self._plain([mark])[0]
+            own = by_base[k] + self.marks[mark] if kind == "base" else by_plain[k]
+            flat += own
+            length.append(len(own))
+        used, new = int(self.ends[self.learned]), len(waiting)
+        while used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while count + len(new) + 1 > len(self.ends):
+        while self.learned + new + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        self.ends[count + 1 : count + 1 + len(new)] = self.used + np.cumsum(lengths)
-        self.used += len(flat)
-        self.known.update(zip(new, range(count, count + len(new)), strict=True))
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of one whole text."""
-        cut = pieces(text)
-        known = self.known
-        missing = {p for p in cut if p not in known}
-        if missing:
-            if len(known) + len(missing) > self.remembered:
-                missing = set(cut)
-                if len(missing) > self.remembered // 2:  # one very long text of many words
-                    half = len(cut) // 2
-                    return np.concatenate([self.encode("".join(cut[:half])), self._rest(cut[half:])])
-            self._learn(sorted(missing))
-            known = self.known
-        which = np.fromiter(map(known.__getitem__, cut), dtype=np.int64, count=len(cut))
+            self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
+        self.ids[used : used + len(flat)] = flat
+        self.ends[self.learned + 1 : self.learned + new + 1] = used + np.cumsum(length)
+        self.odd[self.learned : self.learned + new] = odd
+        self.learned += new
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts."""
+        if self.learned > self.remembered:
+            self._forget()
+        if len(self.marks) > 1000:
+            self.marks = {"": []}
+        every: list[str] = []
+        ends = []
+        for text in texts:
+            words = text.split(" ")
+            words[0] = " " + words[0]
+            every += words
+            ends.append(len(every))
+        which = np.fromiter(map(self.words.__getitem__, every), dtype=np.int64, count=len(every))
+        self._learn()
         begin = self.ends[which]
         length = self.ends[which + 1] - begin
-        total = int(length.sum())
-        at = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(total)
-        return self.ids[at]
-
-    def _rest(self, cut: list[str]) -> np.ndarray:
-        # These pieces begin at a cut, so they are encoded as they stand, in parts.
-        step = max(1, self.remembered // 4)
-        parts = []
-        for i in range(0, len(cut), step):
-            encoded = self.tokenizer.encode_batch_fast(cut[i : i + step], add_special_tokens=False)
-            parts.append(np.fromiter((x for e in encoded for x in e.ids), dtype=np.uint32))
-        return np.concatenate(parts)
+        stop = np.cumsum(length)
+        at = np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)
+        ids = self.ids[at]
+        edge = np.concatenate([[0], stop])[np.array([0, *ends], dtype=np.int64)]
+        out = [ids[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False)]
+        strange = self.odd[which]
+        if strange.any():  # only texts in which some space isn't between two other characters
+            first = np.array([0, *ends[:-1]], dtype=np.int64)
+            strange = [k for k, n in enumerate(np.add.reduceat(strange, first)) if n]
+            for k, own in zip(strange, self._plain([texts[k] for k in strange]), strict=True):
+                out[k] = np.array(own, dtype=np.uint32)
+        return out
 
 
 def encoder(vocabulary: str = DEFAULT_VOCABULARY) -> Encoder:
