@@ -131,8 +131,8 @@ def forest_edges(n: int, pairs: Iterator[tuple[int, np.ndarray]]) -> list[tuple[
 
 
 def _nodes(docs: DataFrame, forest: Forest) -> DataFrame:
-    """Each document's node, its text's keys, and the node's signature."""
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2"))
+    """Each row's node, and the node's signature."""
+    rows = docs.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,12 +148,17 @@ def _nodes(docs: DataFrame, forest: Forest) -> DataFrame:
                     keys.append([])
                     whole.append(b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("t1"), batch.column("t2"), pa.array(nodes, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(whole, pa.binary())],
-                names=["doc_id", "t1", "t2", "node", "keys", "bits"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("row1"), batch.column("row2"), batch.column("bytes"),
+                 pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(whole, pa.binary())],
+                names=["doc_id", "row1", "row2", "bytes", "node", "keys", "bits"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, t1 long, t2 long, node binary, keys array<long>, bits binary")
+    return rows.mapInArrow(run, "doc_id long, row1 long, row2 long, bytes long, node binary, keys array<long>, bits binary")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with two hashes that know a row by its id and text together."""
+    return docs.withColumn("row1", F.xxhash64("doc_id", "text")).withColumn("row2", F.xxhash64("text", "doc_id", F.lit(1)))
 
 
 def _dealt(rows: DataFrame, sizes: DataFrame, key: str, block: int, block_bytes: int | None = None) -> DataFrame:
@@ -283,20 +288,12 @@ def _verify(units: DataFrame, threshold: float) -> DataFrame:
     return ordered.mapInArrow(run, "a binary, b binary, links long, others long")
 
 
-def join(docs: DataFrame, forest: Forest = Forest(), block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """A row for each row of ``docs(doc_id, text)``.
-
-    ``class_id`` is the smallest ``doc_id`` among documents connected by links, ``copy_id`` the smallest with an
-    equal shingle set, ``n_links`` the number of other documents that reach the threshold, copies included, and
-    ``n_text_links`` the same among different shingle sets.  Texts without words (null and empty ones) equal one another;
-    one to four words are one shingle.  Repeated rows are copies; a null ``doc_id`` belongs to a class like any
-    other but never names it, unless it is alone (null); other columns are ignored.
-    """
-    docs = only(docs, doc_id="doc_id", text="text")
+def _classes(docs: DataFrame, forest: Forest, block: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their nodes, and each node's class and link counts."""
     rows = staged(_nodes(docs, forest), "forest")
     nodes = rows.groupBy("node").agg(
         F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"),
-        F.first("bits").alias("bits"), F.min(F.struct("t1", "t2")).alias("t"),
+        F.first("bits").alias("bits"), F.min(F.struct("row1", "row2", "bytes")).alias("one"),
     )
     nodes = staged(nodes, "forest-nodes")
 
@@ -305,25 +302,39 @@ def join(docs: DataFrame, forest: Forest = Forest(), block: int = BLOCK, block_b
     sizes = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = _dealt(every, sizes, "key", block)
     units = buckets.join(nodes.select(F.col("node").alias("of"), "bits"), F.col("node") == F.col("of")).drop("of")
-    group = staged(components(_candidates(units, MAYBE)), "forest-groups")
+    group = components(_candidates(units, MAYBE))
 
-    # Texts of the groups' nodes: one text stands for all of a node's copies.
-    members = group.join(nodes.select(F.col("node").alias("of"), "t", "copies"), F.col("node") == F.col("of"))
-    members = members.select("node", F.col("component").alias("key"), "copies", F.col("t.t1").alias("m1"), F.col("t.t2").alias("m2"))
-    read = docs.select("text", F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2"))
-    read = read.join(members.hint("shuffle_hash"), (F.col("t1") == F.col("m1")) & (F.col("t2") == F.col("m2")))
-    read = staged(read.select("node", "key", "copies", "text").dropDuplicates(["node"]), "forest-texts")
-    weights = read.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
-    checked = staged(_verify(_dealt(read, weights, "key", block, block_bytes), forest.threshold), "forest-links")
+    # Texts of the groups' nodes: one row's text stands for all of a node's copies.
+    members = group.join(nodes.select(F.col("node").alias("of"), "one", "copies"), F.col("node") == F.col("of"))
+    members = staged(members.select("node", F.col("component").alias("key"), "copies", "one.*"), "forest-groups")
+    weights = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    units = _dealt(members.drop("bytes"), weights, "key", block, block_bytes).withColumnsRenamed({"row1": "m1", "row2": "m2"})
+    texts = docs.select("text", "row1", "row2")
+    texts = texts.join(units.hint("shuffle_hash"), (F.col("row1") == F.col("m1")) & (F.col("row2") == F.col("m2")))
+    checked = staged(_verify(texts, forest.threshold), "forest-links")
 
     classes = components(checked.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "of")
-    counts = checked.filter("b IS NULL").groupBy(F.col("a").alias("of")).agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
-    known = classes.join(counts, "of", "left")
-    own = nodes.select("node", "copy_id", "copies").join(known, F.col("node") == F.col("of"), "left")
-    own = own.withColumn("component", F.coalesce("component", "node")).drop("of")
-    names = own.groupBy(F.col("component").alias("of")).agg(F.min("copy_id").alias("class_id"))
-    own = staged(own.join(names, F.col("component") == F.col("of")).drop("of").withColumnRenamed("node", "of"), "forest-classes")
-    out = rows.select("doc_id", "node").join(own, F.col("node") == F.col("of"))
+    counts = checked.filter("b IS NULL").groupBy(F.col("a").alias("at")).agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
+    known = classes.join(counts, F.col("of") == F.col("at"), "left").drop("at")
+    own = nodes.select("node", "copy_id", "copies").join(known, F.col("node") == F.col("of"), "left").drop("of")
+    own = own.withColumn("component", F.coalesce("component", "node"))
+    return rows.select("doc_id", "row1", "row2", "node"), own.withColumnRenamed("node", "of")
+
+
+def join(docs: DataFrame, forest: Forest = Forest(), block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """A row for each row of ``docs(doc_id, text)``.
+
+    ``class_id`` is the smallest ``doc_id`` among documents connected by links, ``copy_id`` the smallest with an
+    equal shingle set, ``n_links`` the number of other documents that reach the threshold, copies included, and
+    ``n_text_links`` the number of other shingle sets that do.  Texts without words (null and empty ones) equal one another;
+    one to four words are one shingle.  Repeated rows are copies; a null ``doc_id`` belongs to a class like any
+    other but never names it, unless no other does (null); other columns are ignored.
+    """
+    docs = _keyed(only(docs, doc_id="doc_id", text="text"))
+    rows, own = _classes(docs, forest, block, block_bytes)
+    names = own.groupBy(F.col("component").alias("name")).agg(F.min("copy_id").alias("class_id"))
+    own = own.join(names, F.col("component") == F.col("name")).drop("name")
+    out = rows.join(own, F.col("node") == F.col("of"))
     return out.select(
         "doc_id",
         "class_id",
@@ -331,3 +342,19 @@ def join(docs: DataFrame, forest: Forest = Forest(), block: int = BLOCK, block_b
         (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_text_links"),
     )
+
+
+def representatives(docs: DataFrame, forest: Forest = Forest(), block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row of ``docs`` for each class, with all its columns: that with the smallest ``doc_id``, null ids last."""
+    keyed = _keyed(only(docs, doc_id="doc_id", text="text"))
+    rows, own = _classes(keyed, forest, block, block_bytes)
+    same = rows.groupBy("doc_id", "row1", "row2", "node").agg(F.count("*").alias("n"))
+    member = same.join(own.select("of", "component"), F.col("node") == F.col("of"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row1", "row2", "n")).alias("one")
+    keep = staged(member.groupBy("component").agg(first).select("one.row1", "one.row2", "one.n"), "forest-kept")
+    keep = keep.withColumnsRenamed({"row1": "__m1", "row2": "__m2", "n": "__n"})
+    every = docs.withColumn("__row1", F.xxhash64("doc_id", "text")).withColumn("__row2", F.xxhash64("text", "doc_id", F.lit(1)))
+    found = every.join(keep.hint("shuffle_hash"), (F.col("__row1") == F.col("__m1")) & (F.col("__row2") == F.col("__m2")))
+    if not keep.filter("__n > 1").isEmpty():  # a row that the table holds more than once
+        found = found.dropDuplicates(["__row1", "__row2"])
+    return found.select(*docs.columns)

@@ -267,6 +267,26 @@ def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX)
     return out
 
 
+def _with_cuts(docs: DataFrame, length: int, group_max: int) -> DataFrame:
+    """``docs`` with ``__cut``: all repeated stretches of its text."""
+    key1, key2 = F.xxhash64("doc_id", "text"), F.xxhash64("text", "doc_id", F.lit(1))
+    found = stretches(docs.select(key1.alias("row1"), key2.alias("row2"), "text"), length, group_max)
+    by_row = found.groupBy(F.col("row1").alias("__own1"), F.col("row2").alias("__own2")).agg(F.collect_set(F.struct("first", "stop")).alias("__cut"))
+    return docs.join(by_row.hint("shuffle_hash"), (key1 == F.col("__own1")) & (key2 == F.col("__own2")), "left").drop("__own1", "__own2")
+
+
+def cut_out(raw: bytes | memoryview, cut: list | None) -> tuple[list[tuple[int, int]], bytes]:
+    """Maximal removed runs and what is left."""
+    spans: list[list[int]] = []
+    for a, b in sorted((max(0, s["first"]), min(len(raw), s["stop"])) for s in (() if cut is None else cut)):
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b)
+        else:
+            spans.append([a, b])
+    edges = [0, *(x for s in spans for x in s), len(raw)]
+    return [(a, b) for a, b in spans], b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
 def deduplicate(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX, text: bool = True) -> DataFrame:
     """A row for each row of ``docs``: ``doc_id, n_bytes, spans, n_removed, kept_sha256`` and, with ``text``, the bytes ``kept``.
 
@@ -275,33 +295,29 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MA
     ``doc_id`` is no obstacle, as a row is known by its id and text together; other columns are ignored.
     """
     docs = only(docs, doc_id="doc_id", text="text").withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.withColumn("row1", F.xxhash64("doc_id", "text")).withColumn("row2", F.xxhash64("text", "doc_id", F.lit(1)))
-    found = stretches(docs.select("row1", "row2", "text"), length, group_max)
-    by_row = found.groupBy(F.col("row1").alias("own1"), F.col("row2").alias("own2")).agg(F.collect_set(F.struct("first", "stop")).alias("cut"))
-    joined = docs.join(by_row.hint("shuffle_hash"), (F.col("row1") == F.col("own1")) & (F.col("row2") == F.col("own2")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
+        types = [pa.int64(), span, pa.int64(), pa.string(), pa.binary()]
+        names = ["doc_id", "n_bytes", "spans", "n_removed", "kept_sha256", "kept"]
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
-            for cut, raw in zip(batch.column("cut").to_pylist(), raw_texts(batch, "text"), strict=True):
-                spans: list[list[int]] = []
-                for a, b in sorted((max(0, s["first"]), min(len(raw), s["stop"])) for s in cut or []):
-                    if spans and a <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], b)
-                    else:
-                        spans.append([a, b])
-                kept, at = [], 0
-                for a, b in spans:
-                    kept.append(raw[at:a])
-                    at = b
-                left = b"".join([*kept, raw[at:]])
+            for cut, raw in zip(batch.column("__cut").to_pylist(), raw_texts(batch, "text"), strict=True):
+                spans, left = cut_out(raw, cut)
                 new = (len(raw), [{"first": a, "stop": b} for a, b in spans], len(raw) - len(left), hashlib.sha256(left).hexdigest(), left if text else None)
                 for c, v in zip(columns, new, strict=True):
                     c.append(v)
-            span = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
-            types = [pa.int64(), span, pa.int64(), pa.string(), pa.binary()]
-            names = ["doc_id", "n_bytes", "spans", "n_removed", "kept_sha256", "kept"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=names)
 
     ddl = "doc_id long, n_bytes long, spans array<struct<first:long,stop:long>>, n_removed long, kept_sha256 string, kept binary"
-    return joined.select("doc_id", "text", "cut").mapInArrow(run, ddl)
+    return _with_cuts(docs, length, group_max).select("doc_id", "text", "__cut").mapInArrow(run, ddl)
+
+
+def cut_texts(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:
+    """``docs`` with the repeated bytes cut out of ``text``; a character that the cut splits goes as well, null stays null."""
+
+    @F.pandas_udf("string")
+    def shorter(text, cut):
+        return text.combine(cut, lambda t, c: t if t is None or c is None else cut_out(t.encode(), c)[1].decode(errors="ignore"))
+
+    return _with_cuts(docs, length, group_max).withColumn("text", shorter("text", "__cut")).select(*docs.columns)
