@@ -3,10 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm import decontaminate, packing
+from llm import decontaminate, jaccard_forest, packing, suffix_dedup, weak_toxicity
 from llm.common import prepare, staged, table
 
+TOXIC = 0.7
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go."""
+    classifier = weak_toxicity.train(docs, table(prepare(spark), sf_dir, "labels"))
+    scored = weak_toxicity.with_scores(docs, classifier, "__toxicity")
+    return scored.filter(F.col("__toxicity") < TOXIC).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of copies and near copies the document with the smallest id stays."""
+    prepare(spark)
+    return jaccard_forest.representatives(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes in 400-byte strings that start elsewhere too are cut out; no document goes."""
+    prepare(spark)
+    cut = suffix_dedup.cut_texts(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
+
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth of the words or more lie in benchmark windows go."""
@@ -16,10 +39,14 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 token ids: a row for each piece, with its ids."""
-    return packing.pack_documents(docs if prepare(spark) else docs)
+    prepare(spark)
+    return packing.pack_documents(docs)
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
     ("benchmark decontamination", benchmark_decontamination),
     ("packing", pack),
 ]
