@@ -365,8 +365,13 @@ def archive(pages: DataFrame, path: str, min_bytes: int = 0, compression: str =
 
 
 def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """All records below ``path``.
+
+    Spark keeps the filters that were last pushed to a loaded source; the filter that accepts all makes sure that
+    each query over these records pushes its own.
+    """
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(path).filter("record_type IS NOT NULL")
 
 
 def page_number(record_id: F.Column) -> F.Column:

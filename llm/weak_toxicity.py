@@ -97,6 +97,9 @@ class Voters:
 
     def votes(self, text: str) -> list[int]:
         signs_found, words = self.hits(text)
+        return self.votes_on(signs_found, len(words))
+
+    def votes_on(self, signs_found: set[str], n_words: int) -> list[int]:
         own = [s for s in signs_found if s in self.lexicon]
         starts = [s for s in signs_found if s in self.beginnings]
         by_lexicon = {self.lexicon[s] for s in own}
@@ -106,15 +109,16 @@ class Voters:
             *[1 if g in by_lexicon else ABSTAIN for g in range(GROUPS + 1)],
             *[1 if g in by_start else ABSTAIN for g in range(GROUPS)],
             1 if many >= 2 else ABSTAIN,
-            1 if own and len(own) * 200 >= len(words) else ABSTAIN,
+            1 if own and len(own) * 200 >= n_words else ABSTAIN,
             -1 if not many else ABSTAIN,
             -1 if not own else ABSTAIN,
             -1 if not starts else ABSTAIN,
-            -1 if not many and len(words) >= 50 else ABSTAIN,
+            -1 if not many and n_words >= 50 else ABSTAIN,
         ]
 
 
-N_VOTERS = GROUPS * 2 + 7
+# Rates of the votes -1, 0 and 1 that are believed beforehand, for clean and for toxic texts.
+BELIEF = ((0.5, 0.49, 0.01), (0.05, 0.55, 0.4))
 
 
 @dataclass
@@ -133,24 +137,29 @@ class LabelModel:
         return sigmoid(evidence.sum(axis=1) + np.log(self.balance / (1 - self.balance)))
 
     @classmethod
-    def fit(cls, votes: np.ndarray, rounds: int = 30, prior: float = 1.0) -> "LabelModel":
-        """Expectation-maximisation from the majority's vote; correlations from what the classes leave unexplained."""
+    def fit(cls, votes: np.ndarray, rounds: int = 30, prior: float = 4.0) -> "LabelModel":
+        """Expectation-maximisation from the majority's vote; correlations from what the classes leave unexplained.
+
+        ``prior`` texts of each class stand for the belief that voters are better than chance.
+        """
         n, m = votes.shape
-        share = np.ones(m)
+        voting = (votes != 0).any(axis=0).astype(float)  # a voter that never votes says nothing
+        share = voting
         q = np.where((votes > 0).any(axis=1), 0.9, 0.02)
         model = None
         for step in range(rounds):
             rates = np.empty((2, m, 3))
             for v in (-1, 0, 1):
                 on = votes == v
-                rates[1, :, v + 1] = (q @ on + prior) / (q.sum() + 3 * prior)
-                rates[0, :, v + 1] = ((1 - q) @ on + prior) / (n - q.sum() + 3 * prior)
+                rates[1, :, v + 1] = (q @ on + prior * BELIEF[1][v + 1]) / (q.sum() + prior)
+                rates[0, :, v + 1] = ((1 - q) @ on + prior * BELIEF[0][v + 1]) / (n - q.sum() + prior)
             model = cls(np.log(rates), share, float(np.clip(q.mean(), 1e-3, 0.5)))
-            if step % 5 == 4:  # two voters that still move together within a class share one weight
-                left = votes - (q[:, None] * (rates[1, :, 2] - rates[1, :, 0]) + (1 - q)[:, None] * (rates[0, :, 2] - rates[0, :, 0]))
-                spread = np.sqrt((left**2).mean(axis=0)) + 1e-9
+            if step == 4:  # two voters that still move together within a class share one weight
+                mean1, mean0 = q @ votes / max(q.sum(), 1e-9), (1 - q) @ votes / max((1 - q).sum(), 1e-9)
+                left = votes - (q[:, None] * mean1 + (1 - q)[:, None] * mean0)
+                spread = np.sqrt((left**2).mean(axis=0)) + 1e-6
                 together = np.abs(left.T @ left / n / np.outer(spread, spread))
-                share = 1 / np.maximum(1.0, np.where(together > 0.1, together, 0).sum(axis=0))
+                share = voting / np.maximum(1.0, np.where(together > 0.1, together, 0).sum(axis=0))
                 model.share = share
             q = model.posterior(votes)
         return model
@@ -164,7 +173,9 @@ class Classifier:
 
     def features(self, text: str) -> tuple[list[int], np.ndarray]:
         """Numbers of the vocabulary's signs in a text, and dense hit counts."""
-        found, words = self.voters.hits(text)
+        return self.features_of(self.voters.hits(text)[0])
+
+    def features_of(self, found: set[str]) -> tuple[list[int], np.ndarray]:
         own = sum(1 for s in found if s in self.voters.lexicon)
         starts = len(found) - own
         insults = sum(1 for s in found if self.voters.lexicon.get(s) == 0)
@@ -180,7 +191,7 @@ class Classifier:
 N_DENSE = 7
 
 
-def train_classifier(voters: Voters, rows: list[tuple[list[int], np.ndarray]], target: np.ndarray, steps: int = 400, ridge: float = 2e-4) -> Classifier:
+def train_classifier(voters: Voters, rows: list[tuple[list[int], np.ndarray]], target: np.ndarray, steps: int = 600, ridge: float = 1e-5) -> Classifier:
     """Logistic regression on the posterior labels."""
     names = voters.vocabulary()
     index = {s: k for k, s in enumerate(names)}
@@ -220,8 +231,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1,
     if not found:
         return train_classifier(voters, [], np.empty(0))
     model = LabelModel.fit(np.array([r.votes for r in found]))
-    target = model.posterior(np.array([r.votes for r in found]))
-    return train_classifier(voters, [(sorted(r.signs), np.array(r.dense)) for r in found], target)
+    # Texts with a single sign are rare in a sample; one for each sign is added, labelled by the same model.
+    alone = [(empty.features_of({s}), voters.votes_on({s}, 100)) for s in voters.vocabulary()]
+    target = model.posterior(np.array([r.votes for r in found] + [v for _, v in alone]))
+    return train_classifier(voters, [(sorted(r.signs), np.array(r.dense)) for r in found] + [f for f, _ in alone], target)
 
 
 def with_scores(docs: DataFrame, classifier: Classifier, column: str = "toxicity") -> DataFrame:
