@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 _EPOCH = dt.date(1970, 1, 1)
 _MONDAY = 3  # days from Monday 1969-12-29 to the epoch
-MAX_HOLIDAYS = 50_000  # more distinct days than a century of calendar holds
+LOOKUP_DAYS = 100_000  # a calendar of more days is counted from its list and not from a table by day
 
 
 def business_days_between(
-    begin: Column, end: Column, holidays: Iterable[dt.date] = (), convention: str = "legacy"
+    begin: Column, end: Column, holidays: Iterable[dt.date] | DataFrame = (), convention: str = "legacy"
 ) -> Column:
     """Signed count of weekdays that are no holidays from ``begin`` to ``end``.
 
@@ -24,7 +24,7 @@ def business_days_between(
     """
     if convention not in ("legacy", "modern"):
         raise ValueError(f"unknown convention {convention!r}")
-    before = _business_days_before(holidays)
+    before = _business_days_before(holiday_dates(holidays))
     days = before(end) - before(begin)
     if convention == "modern":
         shifted = before(F.date_add(end, 1)) - before(F.date_add(begin, 1))
@@ -32,15 +32,15 @@ def business_days_between(
     return days.cast("int")
 
 
-def holiday_dates(holidays: DataFrame, column: str = "holiday") -> list[dt.date]:
-    """The distinct dates of a holiday table: at most one value per calendar day."""
-    rows = (
-        holidays.select(F.to_date(column).alias("day")).filter("day is not null").distinct()
-        .limit(MAX_HOLIDAYS + 1).collect()
-    )
-    if len(rows) > MAX_HOLIDAYS:
-        raise ValueError("the holiday table holds more dates than a calendar can")
-    return sorted(r.day for r in rows)
+def holiday_dates(holidays: Iterable[dt.date] | DataFrame, column: str = "holiday") -> list[dt.date]:
+    """Distinct dates in order, from a holiday table or from dates as they are.
+
+    Spark combines a table into one row, which has at most one value per calendar day.
+    """
+    if isinstance(holidays, DataFrame):
+        days = F.sort_array(F.collect_set(F.to_date(column)))
+        return list(holidays.agg(days.alias("days")).first()["days"])
+    return sorted(set(holidays))
 
 
 def _business_days_before(holidays: Iterable[dt.date]):
@@ -57,6 +57,12 @@ def _business_days_before(holidays: Iterable[dt.date]):
     if not offs:
         return weekdays
 
+    if offs[-1] - offs[0] > LOOKUP_DAYS:
+        listed = F.split(F.lit(",".join(map(str, offs))), ",").cast("array<int>")
+        return lambda day: F.when(
+            day.isNotNull(), weekdays(day) - F.size(F.filter(listed, lambda off: off < F.unix_date(day)))
+        )
+
     # Running count of holidays for each day from the first to past the last one: a lookup by
     # day number, whose cost does not depend on how many holidays there are.
     first, span = offs[0], offs[-1] - offs[0] + 1

@@ -30,6 +30,10 @@ def ends_on_or_after(end: str | Column, day: dt.date) -> Column:
     return _col(end).isNull() | (_col(end) >= F.lit(day))
 
 
+def ends_after(end: str | Column, day: dt.date) -> Column:
+    return _col(end).isNull() | (_col(end) > F.lit(day))
+
+
 def lasts_into_year(start: str | Column, end: str | Column, year: int) -> Column:
     """The spell touches the calendar year; written as ranges so the scan can prune."""
     return (_col(start) < F.lit(dt.date(year + 1, 1, 1))) & ends_on_or_after(end, dt.date(year, 1, 1))

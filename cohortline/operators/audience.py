@@ -14,6 +14,7 @@ from cohortline.functions.business_days import business_days_between
 from cohortline.functions.text import audience_tag, nonblank, service_day_tag
 from cohortline.operators.columns import require_nonblank, try_casts
 from cohortline.operators.keys import absent_from, first_per_key
+from cohortline.sources.schemas import ENDED_COLUMN, SCHEDULED_COLUMN
 
 # Fixed values.
 SEND, DO_NOT_SEND = "Enviar", "No enviar"
@@ -58,14 +59,14 @@ def end_of_period_audience(
     as_of: dt.date,
     days: int,
     code: str,
-    end_col: str = "child_adaptation_scheduling_end_dt",
+    end_col: str = ENDED_COLUMN,
 ) -> DataFrame:
     """Adaptations that ended exactly ``days`` days ago, by the chosen end column."""
-    shown = "child_adaptation_scheduling_end_dt"
+    shown = ENDED_COLUMN
     columns = list(dict.fromkeys([*_PERSON_COLUMNS, shown, end_col]))
     ended = require_nonblank(admissions.select(*columns), end_col)
     due = _due(ended, dates.parse_text_ts(end_col), as_of, days)
-    dated = due.withColumn("adaptation_end_date", F.substring(shown, 1, 10))
+    dated = due.withColumn("adaptation_end_date", F.date_format(dates.parse_text_ts(shown), "dd/MM/yyyy"))
     return with_tag(dated, as_of, code).withColumnRenamed("child_educational_guardian_email", "email")
 
 
@@ -79,9 +80,9 @@ def scheduled_contacts(
     as_of: dt.date,
     days: int,
     code: str,
-    holidays: Iterable[dt.date] = (),
+    holidays: Iterable[dt.date] | DataFrame = (),
     convention: str = "legacy",
-    date_col: str = "child_adaptation_scheduling_dt",
+    date_col: str = SCHEDULED_COLUMN,
 ) -> DataFrame:
     """Scheduled adaptations with calendar and working days from today and the send flag."""
     scheduled = admissions.filter(F.col("child_adaptation_scheduling_flag") == "true").select(
@@ -100,9 +101,9 @@ def contacts_by_working_days(
     as_of: dt.date,
     days: int,
     code: str,
-    holidays: Iterable[dt.date] = (),
+    holidays: Iterable[dt.date] | DataFrame = (),
     convention: str = "legacy",
-    date_col: str = "child_adaptation_scheduling_dt",
+    date_col: str = SCHEDULED_COLUMN,
 ) -> DataFrame:
     """Guardians whose scheduled adaptation was exactly ``days`` working days ago."""
     contacts = scheduled_contacts(admissions, as_of, days, code, holidays, convention, date_col)
@@ -116,16 +117,18 @@ def contacts_by_working_days(
     )
 
 
-def contacts_by_days(admissions: DataFrame, tags: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+def contacts_by_days(
+    admissions: DataFrame, tags: DataFrame, as_of: dt.date, days: int, date_col: str = SCHEDULED_COLUMN
+) -> DataFrame:
     """Guardians whose adaptation was scheduled exactly ``days`` calendar days ago.
 
     The tag and the campaign code come from a table of tags by service; a service without a tag
     stays, tagged with service and date.
     """
-    scheduled = require_nonblank(admissions, "child_adaptation_scheduling_dt").select(
-        "child_service_id", "child_educational_guardian_email", "child_adaptation_scheduling_dt"
+    scheduled = require_nonblank(admissions, date_col).select(
+        "child_service_id", "child_educational_guardian_email", date_col
     )
-    due = _due(scheduled, dates.parse_text_ts("child_adaptation_scheduling_dt"), as_of, days)
+    due = _due(scheduled, dates.parse_text_ts(date_col), as_of, days)
     own_tag = service_day_tag(F.col("child_service_id"), as_of)
     return due.join(tags.select("child_service_id", "tag", "campaign_code"), "child_service_id", "left").select(
         "child_service_id",
@@ -138,11 +141,11 @@ def contacts_by_days(admissions: DataFrame, tags: DataFrame, as_of: dt.date, day
 def with_constant_lookup(df: DataFrame, lookup: DataFrame, key: str, value: object, column: str) -> DataFrame:
     """Attach one column of the lookup row with a constant key; no such row, no result.
 
-    The row comes in as a scalar subquery, so nothing is joined; a key that is not unique
-    in the lookup fails the query.
+    A key that is not unique gives a row for each of its lookup rows, as a join does.  The rows come in
+    as one list by a scalar subquery, so nothing is shuffled.
     """
-    row = lookup.filter(F.col(key) == F.lit(value)).select(F.struct(column).alias("row")).scalar()
-    attached = df.withColumn("_row", row).filter("_row IS NOT NULL")
+    found = lookup.filter(F.col(key) == F.lit(value)).agg(F.collect_list(F.struct(column)).alias("found")).scalar()
+    attached = df.withColumn("_row", F.explode(found))
     return attached.withColumn(column, F.col("_row")[column]).drop("_row")
 
 
@@ -187,6 +190,39 @@ def new_members_only(
     return absent_from(first, listed, ["_address"]).drop("_address")
 
 
+def with_refusal(
+    contacts: DataFrame,
+    members: DataFrame,
+    audience_id: str,
+    email: str = "email",
+    order: Sequence[Column | str] = ("child_service_id", "email"),
+) -> DataFrame:
+    """Each contact with the reason why the list would refuse it: ``member``, ``repeated`` or NULL.
+
+    The accepted ones are those of ``new_members_only``.  ``contacts`` must be a stored table: the first row of an
+    address is known by its place there.  No window holds an address's rows: its first row is
+    cut before the exchange and joined back.
+    """
+    place = F.monotonically_increasing_id()
+    keyed = contacts.withColumn("_address", F.lower(F.trim(email))).withColumn("_place", place)
+    first = first_per_key(keyed.select("_address", "_place", *_names(order)), ["_address"], [*order, "_place"])
+    first = first.select(F.col("_address").alias("_of"), F.col("_place").alias("_first"))
+    listed = members.filter(F.col("audience_id") == audience_id).select(
+        F.lower(F.trim("email_address")).alias("_listed")
+    )
+    known = keyed.join(first, F.col("_address") == F.col("_of"), "left")
+    known = known.join(listed.distinct(), F.col("_address") == F.col("_listed"), "left")
+    reason = F.when(F.col("_listed").isNotNull(), "member").when(F.col("_place") != F.col("_first"), "repeated")
+    return known.withColumn("reject_reason", reason).select(*contacts.columns, "reject_reason")
+
+
+def _names(order: Sequence[Column | str]) -> list[str]:
+    """The columns of an order that names columns."""
+    if not all(isinstance(o, str) for o in order):
+        raise TypeError("an order of column names is wanted")
+    return list(order)
+
+
 @dataclass(frozen=True)
 class Campaign:
     """Settings of one campaign; ``threshold_days`` is the positive N of "N days ago"."""
@@ -201,17 +237,17 @@ class Campaign:
 
 
 def campaign_config(config: DataFrame, code: str) -> DataFrame:
-    """The settings row of a campaign code, numbers cast from text."""
+    """The settings rows of a campaign code, numbers cast from text; there should be one."""
     picked = config.filter(F.col("campaign_email_code") == code)
-    typed = try_casts(picked, {"html_template_code": "int", "trigger_threshold_days": "int"})
-    return typed.orderBy("html_template_code").limit(1)
+    return try_casts(picked, {"html_template_code": "int", "trigger_threshold_days": "int"})
 
 
 def load_campaign(config: DataFrame, code: str) -> Campaign:
-    """The one settings row on the driver; an unknown code is an error."""
-    row = campaign_config(config, code).first()
-    if row is None:
-        raise LookupError(f"no campaign is configured under {code!r}")
+    """The one settings row on the driver; an unknown or a repeated code is an error."""
+    rows = campaign_config(config, code).limit(2).collect()
+    if len(rows) != 1:
+        raise LookupError(f"{'no' if not rows else 'more than one'} campaign is configured under {code!r}")
+    row = rows[0]
     return Campaign(
         code=row["campaign_email_code"],
         send_flag=row["automation_send_email_flag"],

@@ -15,49 +15,35 @@ from cohortline.functions.text import clean_email, full_name
 FAMILY_CHANNEL = "Familia"
 CORPORATE_CHANNEL = "Empresa"
 
-NARROW_ROWS = 1_000_000  # keys of so many rows fit into any executor
-
-
-def is_few(rows: DataFrame) -> bool:
-    """Whether the keys of a staged table may be broadcast."""
-    return rows.count() <= NARROW_ROWS
-
-
-def only_for(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The part of a large table whose key occurs in ``rows``, of which there must be few.
-
-    The keys are broadcast to the scan of the table, so that the joins and aggregates behind it
-    move only what they need.
-    """
-    return table.join(F.broadcast(rows.select(key)), key, "left_semi")
-
 
 def channel(is_corporate: Column) -> Column:
     return F.when(is_corporate, CORPORATE_CHANNEL).otherwise(FAMILY_CHANNEL)
 
 
-def with_person(df: DataFrame, persons: DataFrame, person_id: str, role: str) -> DataFrame:
-    """Name, document number and e-mail of a person in one role; the role prefixes the columns."""
+def with_person(df: DataFrame, persons: DataFrame, role: str) -> DataFrame:
+    """Id, name, document number and e-mail of a person in one role; the role prefixes the columns.
+
+    ``{role}_link`` points to the person; the id is the person's own, unknown if none is on file.
+    """
     in_role = persons.select(
-        F.col("person_id").alias(person_id),
+        F.col("person_id").alias(f"{role}_link"),
+        F.col("person_id").alias(f"{role}_id"),
         full_name(F.col("first_name"), F.col("last_name"), F.col("second_last_name")).alias(f"{role}_full_name"),
         F.col("dni").alias(f"{role}_dni"),
         clean_email(F.col("email")).alias(f"{role}_email"),
     )
-    return df.join(in_role, person_id, "left")
+    return df.join(in_role, f"{role}_link", "left")
 
 
-def with_relation(
-    df: DataFrame, family_members: DataFrame, relations: DataFrame, person_id: str, role: str
-) -> DataFrame:
-    """How the person in a role relates to the family."""
+def with_relation(df: DataFrame, family_members: DataFrame, relations: DataFrame, role: str) -> DataFrame:
+    """How the linked person relates to the family."""
     described = family_members.join(
         relations.select(F.col("id").alias("relation_id"), F.rtrim("description").alias(f"{role}_relation")),
         "relation_id",
         "left",
     )
-    in_role = described.select("family_id", F.col("person_id").alias(person_id), f"{role}_relation")
-    return df.join(in_role, ["family_id", person_id], "left")
+    in_role = described.select("family_id", F.col("person_id").alias(f"{role}_link"), f"{role}_relation")
+    return df.join(in_role, ["family_id", f"{role}_link"], "left")
 
 
 def with_children(df: DataFrame, children: DataFrame) -> DataFrame:
@@ -65,7 +51,7 @@ def with_children(df: DataFrame, children: DataFrame) -> DataFrame:
         "child_id",
         F.col("child_id").alias("known_child_id"),
         "family_id",
-        F.col("edu_guardian_id").alias("guardian_id"),
+        F.col("edu_guardian_id").alias("guardian_link"),
         full_name(F.col("first_name"), F.col("last_name"), F.col("second_last_name")).alias("child_full_name"),
         F.col("dni").alias("child_dni"),
         F.col("birth_dt").alias("child_birth_dt"),
@@ -79,7 +65,7 @@ def with_payers(df: DataFrame, child_payers: DataFrame) -> DataFrame:
 
     The rows come from ``with_children``.
     """
-    payers = child_payers.select(F.col("child_id").alias("known_child_id"), F.col("person_id").alias("payer_id"))
+    payers = child_payers.select(F.col("child_id").alias("known_child_id"), F.col("person_id").alias("payer_link"))
     return df.join(payers, "known_child_id", "left").drop("known_child_id")
 
 

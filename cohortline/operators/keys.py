@@ -25,27 +25,41 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def absent_from(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key is not stored.
+    """Incoming rows whose key is not stored; both sides are read once."""
+    return incoming.join(stored.select(*keys), list(keys), "left_anti")
 
-    The stored keys are narrowed to the incoming ones first: a small ``incoming`` is broadcast to
-    the scan of the stored table, which then never moves.
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` itself, if no key occurs twice; else an error that names some of them.
+
+    The check is a job of its own; the writes below rely on it and don't run it themselves.
     """
-    present = stored.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
-    return incoming.join(present, list(keys), "left_anti")
+    repeated = duplicate_keys(df, keys).limit(5).collect()
+    if repeated:
+        raise ValueError(f"repeated keys: {[tuple(r)[:-1] for r in repeated]}")
+    return df
+
+
+def _like(target: DataFrame, incoming: DataFrame) -> DataFrame:
+    """``incoming`` in the target's column order; a column more or less is an error."""
+    if sorted(target.columns) != sorted(incoming.columns):
+        odd = sorted(set(target.columns) ^ set(incoming.columns))
+        raise ValueError(f"columns on one side only: {odd}")
+    return incoming.select(*target.columns)
 
 
 def upsert_replace(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Put: an incoming row replaces the stored row of its key as a whole.
 
-    ``incoming`` holds one row per key.
+    ``incoming`` holds one row per key (``require_unique`` checks that) and the target's columns.
     """
-    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
+    kept = target.join(incoming.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return kept.unionByName(_like(target, incoming))
 
 
 def upsert_insert_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert if absent: stored rows keep their values; ``incoming`` holds one row per key."""
-    return target.unionByName(absent_from(incoming, target, keys), allowMissingColumns=True)
+    """Insert if absent: stored rows keep their values; ``incoming`` as for ``upsert_replace``."""
+    return target.unionByName(absent_from(_like(target, incoming), target, keys).select(*target.columns))
 
 
 def upsert_patch(
@@ -57,18 +71,14 @@ def upsert_patch(
 ) -> DataFrame:
     """Update the named columns of matched keys; a patch may set NULL.
 
-    With ``create`` an unmatched patch row becomes a new row whose other columns are NULL.
-    ``patch`` holds one row per key; a small one is broadcast and the target stays in place.
+    With ``create`` an unmatched patch row becomes a new row whose other columns are NULL.  ``patch``
+    holds one row per key.  Either way it is one join of both sides.
     """
-    changes = patch.select(*keys, *columns)
-    renamed = changes.withColumnsRenamed({c: f"_new_{c}" for c in columns})
-    joined = target.join(renamed.withColumn("_hit", F.lit(True)), list(keys), "left")
-    patched = joined.select(
+    renamed = patch.select(*keys, *columns).withColumnsRenamed({c: f"_new_{c}" for c in columns})
+    joined = target.join(renamed.withColumn("_hit", F.lit(True)), list(keys), "full_outer" if create else "left")
+    return joined.select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
             for c in target.columns
         ]
     )
-    if not create:
-        return patched
-    return patched.unionByName(absent_from(changes, target, keys), allowMissingColumns=True)

@@ -68,7 +68,7 @@ def outbox_batches(
     item = F.struct(*columns).alias("item")
     needed = df.select(*dict.fromkeys([*order_by, *columns]))
     rows = numbered_rows(needed, order_by).select(
-        F.floor(F.col("row_index") / size).alias("batch_id"), "row_index", item
+        F.expr(f"row_index div {int(size)}").alias("batch_id"), "row_index", item
     )
     batches = rows.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_items"),

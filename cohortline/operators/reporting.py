@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import dates
 from cohortline.operators.columns import fill_defaults
-from cohortline.sources.schemas import CAMPAIGN_REPORT
+from cohortline.sources.schemas import CAMPAIGN_REPORT, SCHEDULED_COLUMN
 
 # Fixed values.
 CONTROL_FILLS = {
@@ -45,13 +45,16 @@ def scheduling_indicators(admissions: DataFrame, by: str = "educational_center_c
     return with_indicators(admissions).groupBy(by).agg(*[F.sum(c).alias(c) for c in totals])
 
 
-def monitoring_extract(admissions: DataFrame, control: DataFrame) -> DataFrame:
-    """One flat row per admission with indicators, date parts and mailing flags, newest id first."""
+def monitoring_extract(admissions: DataFrame, control: DataFrame, date_col: str = SCHEDULED_COLUMN) -> DataFrame:
+    """One flat row per admission with indicators, date parts and mailing flags, newest id first.
+
+    The extract names the date ``child_adaptation_scheduling_dt``, whatever the table calls it.
+    """
     measured = with_indicators(
         admissions.withColumns(
             {
                 "child_service_id": F.col("child_service_id").try_cast("long"),
-                "child_adaptation_scheduling_dt": dates.parse_text_ts("child_adaptation_scheduling_dt"),
+                "child_adaptation_scheduling_dt": dates.parse_text_ts(date_col),
             }
         )
     )

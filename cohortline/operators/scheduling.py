@@ -13,19 +13,21 @@ from cohortline.functions.business_days import business_days_between
 from cohortline.functions.text import flag, in_list_flag
 from cohortline.operators.columns import fill_defaults
 from cohortline.operators.keys import upsert_patch
-from cohortline.sources.schemas import PILOT_CENTERS
+from cohortline.sources.schemas import INTERVIEW_COLUMN, SCHEDULED_COLUMN
 
 # Fixed values.
 NOT_SCHEDULED_BY = "No agendado"
 NO_COMMENT = "Sin comentarios"
+CALENDAR_DATE, CALENDAR_INTERVIEW = "child_adaptation_scheduling_dt", "first_interview_flag"
+NO_ANSWER = "Sin respuesta"
 UNSCHEDULED_PATCH = {
-    "child_adaptation_scheduling_dt": dates.NEVER_SCHEDULED,
     "child_adaptation_responsible": NOT_SCHEDULED_BY,
     "child_adaptation_scheduling_comment": "Adaptación no agendada por aplicación",
-    "first_interview_flag": "Sin respuesta",
     "child_adaptation_scheduling_flag": "wasnt scheduled",
 }
-CALENDAR_PATCH_COLUMNS = [c for c in UNSCHEDULED_PATCH if c != "child_adaptation_scheduling_flag"]
+CALENDAR_PATCH_COLUMNS = [
+    CALENDAR_DATE, "child_adaptation_responsible", "child_adaptation_scheduling_comment", CALENDAR_INTERVIEW
+]
 
 
 def scheduling_flag(responsible: Column, scheduled: Column) -> Column:
@@ -43,7 +45,7 @@ def two_state_flag(scheduled: Column) -> Column:
 
 
 def scheduling_state(
-    admissions: DataFrame, calendar: DataFrame, pilot_centers: tuple[str, ...] = PILOT_CENTERS
+    admissions: DataFrame, calendar: DataFrame, pilot_centers: tuple[str, ...]
 ) -> DataFrame:
     """Admissions with what the calendar says about them, and the pilot-center flag."""
     entries = calendar.select(
@@ -74,7 +76,7 @@ def scheduling_state(
 
 def is_overdue(
     as_of: dt.date,
-    holidays: Iterable[dt.date] = (),
+    holidays: Iterable[dt.date] | DataFrame = (),
     max_wait: int = 10,
     min_attendance: int = 6,
     convention: str = "legacy",
@@ -86,30 +88,40 @@ def is_overdue(
     return (F.col("child_adaptation_scheduling_flag") == "false") & (waited | attended)
 
 
-def unscheduled_patch(admissions: DataFrame, overdue: Column) -> DataFrame:
+def unscheduled_values(date_col: str = SCHEDULED_COLUMN, interview_col: str = INTERVIEW_COLUMN) -> dict[str, str]:
+    """New values of an overdue row, under the names that its table uses."""
+    return {date_col: dates.NEVER_SCHEDULED, interview_col: NO_ANSWER, **UNSCHEDULED_PATCH}
+
+
+def unscheduled_patch(
+    admissions: DataFrame, overdue: Column, date_col: str = SCHEDULED_COLUMN, interview_col: str = INTERVIEW_COLUMN
+) -> DataFrame:
     """Key and new values of the overdue rows, for a store that takes patches."""
-    values = [F.lit(v).alias(c) for c, v in UNSCHEDULED_PATCH.items()]
+    values = [F.lit(v).alias(c) for c, v in unscheduled_values(date_col, interview_col).items()]
     return admissions.filter(overdue).select(F.col("child_service_id").cast("long").alias("child_service_id"), *values)
 
 
 def mark_unscheduled(
     admissions: DataFrame,
     as_of: dt.date,
-    holidays: Iterable[dt.date] = (),
+    holidays: Iterable[dt.date] | DataFrame = (),
     max_wait: int = 10,
     min_attendance: int = 6,
     convention: str = "legacy",
+    date_col: str = SCHEDULED_COLUMN,
+    interview_col: str = INTERVIEW_COLUMN,
 ) -> tuple[DataFrame, DataFrame]:
     """Admissions with overdue rows marked, and the rows to add to the calendar.
 
     The rule looks at one row at a time, so the marking is a projection without any join.
     """
     overdue = is_overdue(as_of, holidays, max_wait, min_attendance, convention)
+    values = unscheduled_values(date_col, interview_col)
     marked = admissions.withColumn("_overdue", overdue).withColumns(
-        {c: F.when(F.col("_overdue"), F.lit(v)).otherwise(F.col(c)) for c, v in UNSCHEDULED_PATCH.items()}
+        {c: F.when(F.col("_overdue"), F.lit(v)).otherwise(F.col(c)) for c, v in values.items()}
     )
-    calendar_rows = unscheduled_patch(admissions, overdue).drop("child_adaptation_scheduling_flag")
-    return marked.drop("_overdue"), calendar_rows
+    calendar_rows = unscheduled_patch(admissions, overdue, CALENDAR_DATE, CALENDAR_INTERVIEW)
+    return marked.drop("_overdue"), calendar_rows.drop("child_adaptation_scheduling_flag")
 
 
 def calendar_with(calendar: DataFrame, calendar_rows: DataFrame) -> DataFrame:

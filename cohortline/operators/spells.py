@@ -22,11 +22,14 @@ RENEWAL_ACTION = 15
 
 
 def _is_current(as_of: dt.date) -> Column:
-    """Live, not ended, starting no later than the month of ``as_of`` plus two weeks."""
+    """Live, not ended, starting no later than the month of ``as_of`` plus two weeks.
+
+    A spell that ends on ``as_of`` has ended: its end is the midnight that the day begins with.
+    """
     horizon = dates.month_after(as_of + dt.timedelta(days=AHEAD_DAYS))
     return (
         dates.is_live("start_dt", "end_dt")
-        & dates.ends_on_or_after("end_dt", as_of)
+        & dates.ends_after("end_dt", as_of)
         & (F.col("start_dt") < F.lit(horizon))
     )
 
@@ -39,8 +42,8 @@ def current_spell(spells: DataFrame, as_of: dt.date) -> DataFrame:
         .agg(F.max(dates.open_end("end_dt")).alias("latest_end"))
         .withColumnRenamed("child_id", "latest_child_id")
     )
-    # The latest end is never before as_of, so older spells need not take part in the join.
-    reachable = spells.filter(dates.ends_on_or_after("end_dt", as_of))
+    # The latest end lies after as_of, so older spells need not take part in the join.
+    reachable = spells.filter(dates.ends_after("end_dt", as_of))
     return reachable.join(
         latest,
         (F.col("child_id") == F.col("latest_child_id"))
@@ -58,10 +61,12 @@ def first_admission(spells: DataFrame) -> DataFrame:
     """Spells without an earlier live spell of the same child that ended recently.
 
     Stands for a NOT EXISTS over pairs of spells: the latest end among earlier starts decides, so
-    a running maximum over one row per child and day replaces the pairs.
+    a running maximum over one row per child and day replaces the pairs.  A spell without a start
+    is earlier than none, and none is earlier than it.
     """
     live_end = F.when(dates.is_live("start_dt", "end_dt"), dates.open_end("end_dt"))
-    by_day = spells.groupBy("child_id", "start_dt").agg(F.max(live_end).alias("day_end"))
+    started = spells.filter(F.col("start_dt").isNotNull())
+    by_day = started.groupBy("child_id", "start_dt").agg(F.max(live_end).alias("day_end"))
     earlier = Window.partitionBy("child_id").orderBy("start_dt").rowsBetween(Window.unboundedPreceding, -1)
     returning = (
         by_day.withColumn("prior_end", F.max("day_end").over(earlier))
@@ -94,7 +99,7 @@ def new_admissions(spells: DataFrame, as_of: dt.date, lookback_days: int = LOOKB
     window_start = as_of - dt.timedelta(days=lookback_days)
     bucket = F.greatest(F.col("start_dt"), F.lit(window_start - dt.timedelta(days=1)))
     by_bucket = (
-        spells.filter(dates.is_live("start_dt", "end_dt"))
+        spells.filter(F.col("start_dt").isNotNull() & dates.is_live("start_dt", "end_dt"))
         .groupBy(F.col("child_id").alias("history_child_id"), bucket.alias("bucket_dt"))
         .agg(
             F.max(dates.open_end("end_dt")).alias("bucket_end"),
@@ -113,7 +118,7 @@ def new_admissions(spells: DataFrame, as_of: dt.date, lookback_days: int = LOOKB
         )
     )
     candidates = spells.filter(admission_window(as_of, lookback_days)).filter(
-        dates.ends_on_or_after("end_dt", as_of)
+        dates.ends_after("end_dt", as_of)
     )
     return candidates.join(
         admitted,
@@ -178,20 +183,38 @@ def renewal_first_action(actions: DataFrame, spells: DataFrame, as_of: dt.date)
 def child_facts(spells: DataFrame, quotes: DataFrame, actions: DataFrame, as_of: dt.date) -> DataFrame:
     """Latest conversion, first renewal action and last year's enrolment, one row per child.
 
-    Stacked and combined, so that spells are joined once per child and not once per fact.  A
-    renewal action counts for children enrolled last year, which the combined row knows.
+    One join of spells and quotes and one aggregate give both facts of the spells.  A renewal
+    action counts for children enrolled last year, which the combined row knows.
     """
-    converted = latest_conversion(spells, quotes, as_of).select("child_id", "converted_ts")
-    renewed = first_renewal_action(actions, as_of.year).select("child_id", "first_action_ts")
-    enrolled = children_enrolled_in(spells, as_of.year - 1).withColumn("enrolled_last_year", F.lit(True))
-    stacked = converted.unionByName(renewed, allowMissingColumns=True).unionByName(
-        enrolled, allowMissingColumns=True
+    live_last_year = dates.is_live("start_dt", "end_dt") & dates.lasts_into_year("start_dt", "end_dt", as_of.year - 1)
+    of_spells = spells.join(quotes.select("quote_id", "modified_ts"), "quote_id", "left").select(
+        "child_id",
+        F.when(F.col("start_dt") < F.lit(dates.month_after(as_of)), F.col("modified_ts")).alias("converted_ts"),
+        F.lit(None).cast("timestamp_ntz").alias("first_action_ts"),
+        live_last_year.alias("enrolled_last_year"),
+    )
+    of_actions = first_renewal_action(actions, as_of.year).select(
+        "child_id",
+        F.lit(None).cast("timestamp_ntz").alias("converted_ts"),
+        "first_action_ts",
+        F.lit(None).cast("boolean").alias("enrolled_last_year"),
     )
     facts = ["converted_ts", "first_action_ts", "enrolled_last_year"]
-    combined = stacked.groupBy("child_id").agg(*[F.max(f).alias(f) for f in facts])
+    combined = of_spells.unionByName(of_actions).groupBy("child_id").agg(*[F.max(f).alias(f) for f in facts])
     return combined.withColumn("first_action_ts", F.when(F.col("enrolled_last_year"), F.col("first_action_ts")))
 
 
+def with_last_enrollment(rows: DataFrame, spells: DataFrame, quotes: DataFrame, as_of: dt.date) -> DataFrame:
+    """Last enrolment of each row: its quote's change, else its child's latest conversion, else its start.
+
+    The conversions are staged, so that Spark can split the rows of a hot child.
+    """
+    converted = staged(latest_conversion(spells, quotes, as_of).select("child_id", "converted_ts"), "conversions")
+    joined = rows.join(quotes.select("quote_id", "modified_ts"), "quote_id", "left").join(converted, "child_id", "left")
+    latest = last_enrollment_ts(F.col("modified_ts"), F.col("converted_ts"), F.col("start_dt"))
+    return joined.withColumn("last_enrollment_ts", latest).drop("modified_ts", "converted_ts")
+
+
 def attendance_days(attendance: DataFrame) -> DataFrame:
     """Attended days per service: any of the three flags set."""
     attended = (F.col("day_flag") == 1) | (F.col("retail_flag") == 1) | (F.col("night_flag") == 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from cohortline.functions.text import in_list_flag
 from cohortline.operators import enrich, spells
 from cohortline.operators.columns import rename_columns, try_casts, with_defaults
 from cohortline.session import staged
-from cohortline.sources.schemas import ADMISSION_ID_COLUMNS, PILOT_CENTERS
+from cohortline.sources.schemas import ADMISSION_ID_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -85,40 +85,6 @@ LOAD_DEFAULTS = {
 BASE_COLUMNS = ["child_id", *PUBLISHED_NAMES]
 
 
-def narrowed(tables: OperationalTables, admitted: DataFrame) -> OperationalTables:
-    """The tables cut down to the admitted children and their spells, if these are few.
-
-    Otherwise the tables stay whole: the joins that follow pick their rows, and a shuffle before
-    them would only come on top.
-    """
-    if not enrich.is_few(admitted):
-        return tables
-    own_spells = staged(enrich.only_for(tables.spells, admitted, "child_id"), "own-spells")
-    by_child = {
-        name: enrich.only_for(getattr(tables, name), admitted, "child_id")
-        for name in ("children", "child_payers", "renewals_history", "action_history")
-    }
-    by_service = {
-        name: enrich.only_for(getattr(tables, name), admitted, "service_id")
-        for name in ("company_services", "attendance")
-    }
-    # One child may own very many spells.
-    quotes = enrich.only_for(tables.quotes, own_spells, "quote_id") if enrich.is_few(own_spells) else tables.quotes
-    return replace(tables, spells=own_spells, quotes=quotes, **by_child, **by_service)
-
-
-def narrowed_people(tables: OperationalTables, families: DataFrame) -> OperationalTables:
-    """Persons and family members cut down to the families, if these are few."""
-    if not enrich.is_few(families):
-        return tables
-    people = families.select(F.col("payer_id").alias("person_id")).union(families.select("guardian_id"))
-    return replace(
-        tables,
-        persons=enrich.only_for(tables.persons, people, "person_id"),
-        family_members=enrich.only_for(tables.family_members, families, "family_id"),
-    )
-
-
 def with_family(rows: DataFrame, children: DataFrame, child_payers: DataFrame) -> DataFrame:
     """Child and payers; one row per payer, and a child without payer keeps its row."""
     return enrich.with_payers(enrich.with_children(rows, children), child_payers)
@@ -127,9 +93,9 @@ def with_family(rows: DataFrame, children: DataFrame, child_payers: DataFrame) -
 def with_people(families: DataFrame, tables: OperationalTables) -> DataFrame:
     """Payer and educational guardian, each with the relation to the family."""
     known = families
-    for person_id, role in (("payer_id", "payer"), ("guardian_id", "guardian")):
-        known = enrich.with_person(known, tables.persons, person_id, role)
-        known = enrich.with_relation(known, tables.family_members, tables.relations, person_id, role)
+    for role in ("payer", "guardian"):
+        known = enrich.with_person(known, tables.persons, role)
+        known = enrich.with_relation(known, tables.family_members, tables.relations, role)
     return known
 
 
@@ -140,15 +106,16 @@ def with_service(rows: DataFrame, tables: OperationalTables) -> DataFrame:
     return enrich.with_channel(sold, tables.company_services)
 
 
-def with_enrollment_dates(rows: DataFrame, tables: OperationalTables, as_of: dt.date) -> DataFrame:
+def with_enrollment_dates(
+    rows: DataFrame, tables: OperationalTables, as_of: dt.date, facts: DataFrame | None = None
+) -> DataFrame:
     """Last enrolment and renewal date; the rows must carry ``is_corporate``.
 
-    The facts per child are staged: fresh from their aggregate they would pin the join to its
-    partitions, and Spark could not split the rows of a hot child.
+    Without ``facts`` those of all children are staged: fresh from their aggregate they would pin
+    the join to its partitions, and Spark could not split the rows of a hot child.
     """
-    facts = staged(
-        spells.child_facts(tables.spells, tables.quotes, tables.action_history, as_of), "child-facts"
-    )
+    if facts is None:
+        facts = staged(spells.child_facts(tables.spells, tables.quotes, tables.action_history, as_of), "child-facts")
     history = tables.renewals_history.filter(F.col("year") == as_of.year - 1).select(
         "child_id", "renewal_ts", F.lit(True).alias("in_history")
     )
@@ -188,19 +155,23 @@ def admissions_base(
 ) -> DataFrame:
     """New admissions as of a date, enriched; several payers of a child give several rows.
 
-    The admissions, their families and their children's spells are staged.  A daily load is a
-    small part of the tables, so their keys narrow each big table in its one scan; a load too
-    large for that is joined as it is.
+    Only the admissions are staged.  All joins are without hints: a staged table carries its
+    size, so Spark broadcasts a day's admissions to the scans of the large tables and shuffles a
+    load that is too large for that.  A child has few new admissions, so no join key is hot here.
     """
     admitted = staged(spells.new_admissions(tables.spells, as_of, lookback_days), "admitted")
-    near = narrowed(tables, admitted)
-    families = staged(with_family(admitted, near.children, near.child_payers), "families")
-    served = with_service(with_people(families, narrowed_people(near, families)), near)
-    dated = with_enrollment_dates(served, near, as_of)
-    return with_attendance(dated, near.attendance).select(*BASE_COLUMNS)
-
-
-def published(base: DataFrame, pilot_centers: tuple[str, ...] = PILOT_CENTERS) -> DataFrame:
+    own = admitted.select("child_id")
+    history = tables.spells.join(own, "child_id", "left_semi")
+    actions = tables.action_history.join(own, "child_id", "left_semi")
+    facts = spells.child_facts(history, tables.quotes, actions, as_of)
+    families = with_family(admitted, tables.children, tables.child_payers)
+    served = with_service(with_people(families, tables), tables)
+    dated = with_enrollment_dates(served, tables, as_of, facts)
+    attended = tables.attendance.join(admitted.select("service_id"), "service_id", "left_semi")
+    return with_attendance(dated, attended).select(*BASE_COLUMNS)
+
+
+def published(base: DataFrame, pilot_centers: tuple[str, ...]) -> DataFrame:
     """The base in the shape of the admissions table: its names, load defaults and text dates."""
     moments = ["last_enrollment_ts", "last_renewal_ts", "start_dt", "child_birth_dt"]
     as_text = base.withColumns({c: dates.iso_text(F.col(c)) for c in moments})

@@ -37,6 +37,7 @@ def ingest_admissions(
     store: DataFrame,
     as_of: dt.date,
     loaded_at: dt.datetime,
+    pilot_centers: tuple[str, ...],
     lookback_days: int = spells.LOOKBACK_DAYS,
 ) -> Load:
     """Insert the new admissions that the store lacks; stored rows keep their values.
@@ -44,7 +45,7 @@ def ingest_admissions(
     Rows without a required id are set aside.  Of a child with several payers the store takes
     the lowest payer id.
     """
-    base = staged(published(admissions_base(tables, as_of, lookback_days)), "published")
+    base = staged(published(admissions_base(tables, as_of, lookback_days), pilot_centers), "published")
     loaded, rejected = split_on_required(base.select(*ADMISSION_COLUMNS), ADMISSION_ID_COLUMNS)
     incoming = first_per_key(loaded, ["child_service_id"], ["child_financial_guardian_id"])
     return Load(

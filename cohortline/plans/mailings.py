@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from cohortline.operators import audience as au
 from cohortline.operators import journeys
 from cohortline.session import staged
+from cohortline.sources.schemas import ENDED_COLUMN, SCHEDULED_COLUMN
 
 
 @dataclass(frozen=True)
@@ -35,11 +36,10 @@ def _mailing(
     merge_fields: bool,
     min_rows: int = 0,
 ) -> Mailing:
-    """The contacts and the accepted members are staged: both are one day's share of the
+    """The contacts and what the list says of them are staged: both are one day's share of the
     admissions, and documents and events must come from the same rows."""
     due = au.audience_gate(staged(contacts, "audience"), min_rows)
-    usable, rejected = au.split_contacts(due)
-    accepted = staged(au.new_members_only(usable, members, audience_id), "accepted")
+    accepted, rejected = _split(due, members, audience_id)
     return Mailing(
         accepted=accepted,
         rejected=rejected,
@@ -49,6 +49,16 @@ def _mailing(
     )
 
 
+def _split(
+    due: DataFrame, members: DataFrame, audience_id: str, order: tuple[str, ...] = ("child_service_id", "email")
+) -> tuple[DataFrame, DataFrame]:
+    """Contacts that the list accepts, and all others with the reason; together they are all that is due."""
+    usable, unusable = au.split_contacts(due)
+    judged = staged(au.with_refusal(usable, members, audience_id, order=order), "judged")
+    accepted = judged.filter("reject_reason IS NULL").drop("reject_reason")
+    return accepted, unusable.unionByName(judged.filter("reject_reason IS NOT NULL"))
+
+
 def reminder(
     admissions: DataFrame,
     config: DataFrame,
@@ -56,14 +66,15 @@ def reminder(
     audience_id: str,
     code: str,
     as_of: dt.date,
-    holidays: Iterable[dt.date] = (),
+    holidays: Iterable[dt.date] | DataFrame = (),
     min_rows: int = 0,
     convention: str = "legacy",
+    date_col: str = SCHEDULED_COLUMN,
 ) -> Mailing:
     """Guardians of adaptations scheduled N working days ago, if there are more than ``min_rows``."""
     campaign = au.load_campaign(config, code)
     contacts = au.contacts_by_working_days(
-        admissions, as_of, campaign.threshold_days, code, holidays, convention
+        admissions, as_of, campaign.threshold_days, code, holidays, convention, date_col
     )
     return _mailing(contacts, members, audience_id, campaign, True, min_rows)
 
@@ -84,7 +95,7 @@ def survey(
     audience_id: str,
     code: str,
     as_of: dt.date,
-    end_col: str = "child_adaptation_end_process_dt",
+    end_col: str = ENDED_COLUMN,
 ) -> Mailing:
     """Guardians of adaptations that ended N days ago."""
     campaign = au.load_campaign(config, code)
@@ -104,8 +115,8 @@ def view_survey(
 ) -> Mailing:
     """The recipients of a survey view, typed by one row of the survey types."""
     campaign = au.load_campaign(config, code)
-    usable, rejected = au.split_contacts(staged(au.survey_audience(recipients, types, type_id), "audience"))
-    accepted = staged(au.new_members_only(usable, members, audience_id, order=("tag", "email")), "accepted")
+    due = staged(au.survey_audience(recipients, types, type_id), "audience")
+    accepted, rejected = _split(due, members, audience_id, ("tag", "email"))
     return Mailing(
         accepted=accepted,
         rejected=rejected,

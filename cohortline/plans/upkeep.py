@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from cohortline.operators import migrate, reporting, scheduling
 from cohortline.session import staged
+from cohortline.sources.schemas import INTERVIEW_COLUMN, SCHEDULED_COLUMN
 from cohortline.sources.writers import write_extract
 
 
@@ -16,11 +17,13 @@ def mark_overdue(
     admissions: DataFrame,
     calendar: DataFrame,
     as_of: dt.date,
-    holidays: Iterable[dt.date] = (),
+    holidays: Iterable[dt.date] | DataFrame = (),
     convention: str = "legacy",
+    date_col: str = SCHEDULED_COLUMN,
+    interview_col: str = INTERVIEW_COLUMN,
 ) -> tuple[DataFrame, DataFrame]:
     """New state of the admissions and of the calendar; the few new entries are staged."""
-    marked, rows = scheduling.mark_unscheduled(admissions, as_of, holidays, convention=convention)
+    marked, rows = scheduling.mark_unscheduled(admissions, as_of, holidays, convention=convention, date_col=date_col, interview_col=interview_col)
     return marked, scheduling.calendar_with(calendar, staged(rows, "unscheduled"))
 
 

@@ -61,9 +61,9 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 def read_records_json(
-    spark: SparkSession, path: str, schema: str | T.StructType, array_files: bool = True
+    spark: SparkSession, path: str, schema: str | T.StructType, array_files: bool = False
 ) -> DataFrame:
-    """JSON records landed as files: one array per file, or one record per line.
+    """JSON records landed as files: one record per line, or with ``array_files`` one array per file.
 
     Line files split across tasks; array files do not, so land big extracts as many files.
     """

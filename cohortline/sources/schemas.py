@@ -65,7 +65,10 @@ ADMISSION_TEXT_COLUMNS = [
     "child_adaptation_scheduling_end_dt",
     "center_interview_responsible",
 ]
-PILOT_CENTERS = ("NPL2", "QLC", "SMH", "CCBA")
+# What the stored admissions call the date and end of an adaptation and the answer to the interview.
+SCHEDULED_COLUMN = "child_adaptation_scheduling_start_dt"
+ENDED_COLUMN = "child_adaptation_scheduling_end_dt"
+INTERVIEW_COLUMN = "interview_flag"
 
 ADMISSION_COLUMNS = ADMISSION_ID_COLUMNS + ADMISSION_TEXT_COLUMNS
 

@@ -25,6 +25,6 @@ def write_extract(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_documents(df: DataFrame, path: str, column: str = "payload") -> None:
-    """One JSON document per line, ready for a client that posts them."""
-    df.select(column).write.mode("overwrite").text(path)
+def write_documents(df: DataFrame, path: str, column: str = "payload", records_per_file: int = 0) -> None:
+    """One JSON document per line, ready for a client that posts them; 0 sets no limit for a file."""
+    df.select(column).write.mode("overwrite").option("maxRecordsPerFile", records_per_file).text(path)

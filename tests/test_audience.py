@@ -11,7 +11,7 @@ AS_OF = dt.date(2024, 3, 15)  # a Friday
 ADMISSIONS = (
     "child_service_id long, child_id long, child_name string, child_educational_guardian_id long, "
     "child_financial_guardian_email string, child_educational_guardian_email string, "
-    "child_last_enrollment_dt string, child_adaptation_scheduling_dt string, "
+    "child_last_enrollment_dt string, child_adaptation_scheduling_start_dt string, "
     "child_adaptation_scheduling_end_dt string, child_adaptation_scheduling_flag string"
 )
 
@@ -25,7 +25,7 @@ def admissions(spark, *changes):
         "child_financial_guardian_email": "payer@example.org",
         "child_educational_guardian_email": "guardian@example.org",
         "child_last_enrollment_dt": "2024-03-13 08:30:00",
-        "child_adaptation_scheduling_dt": "13/03/2024 09:00:00",
+        "child_adaptation_scheduling_start_dt": "13/03/2024 09:00:00",
         "child_adaptation_scheduling_end_dt": "13/3/2024 9:5:7",
         "child_adaptation_scheduling_flag": "true",
     }
@@ -67,14 +67,14 @@ def test_end_of_period_reads_both_text_forms(spark):
     )
     due = au.end_of_period_audience(df, AS_OF, 2, "SURVEY")
     assert rows(due, "child_service_id", "adaptation_end_date", "email") == [
-        (1, "13/3/2024 ", "guardian@example.org"),
+        (1, "13/03/2024", "guardian@example.org"),
         (2, "13/03/2024", "guardian@example.org"),
     ]
 
 
 def test_working_days_skip_weekend_and_holiday(spark):
     dates = ["11/3/2024 8:0:0", "8/3/2024 8:0:0", "9/3/2024 8:0:0", "10/3/2024 8:0:0", "7/3/2024 8:0:0"]
-    df = admissions(spark, *[{"child_adaptation_scheduling_dt": d} for d in dates])
+    df = admissions(spark, *[{"child_adaptation_scheduling_start_dt": d} for d in dates])
     contacts = au.contacts_by_working_days(df, AS_OF, 4, "R")
     assert rows(contacts, "child_service_id") == [(1,), (3,), (4,)]
     contacts = au.contacts_by_working_days(df, AS_OF, 4, "R", [dt.date(2024, 3, 12)])

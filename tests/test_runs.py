@@ -2,19 +2,22 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from conftest import rows
 
-from cohortline.operators import enrich
+from cohortline import session
 from cohortline.operators.keys import duplicate_keys
 from cohortline.operators.journeys import SUBSCRIBED
 from cohortline.plans import admissions as base
-from cohortline.plans import ingestion, mailings
+from cohortline.plans import ingestion, mailings, upkeep
+from cohortline.operators import reporting
 from cohortline.sources import schemas as s
 
 AS_OF = dt.date(2024, 3, 15)
 NOW = dt.datetime(2024, 3, 15, 7, 4, 24)
+PILOTS = ("NPL2", "QLC", "SMH", "CCBA")
 
 
 @pytest.fixture(scope="module")
@@ -65,10 +68,7 @@ def tables(spark):
     )
 
 
-@pytest.mark.parametrize("few", [1_000_000, 0])
-def test_base(spark, tables, monkeypatch, few):
-    """The same rows, whether the tables are narrowed first or joined as they are."""
-    monkeypatch.setattr(enrich, "NARROW_ROWS", few)
+def test_base(spark, tables):
     got = {(r.service_id, r.payer_id): r for r in base.admissions_base(tables, AS_OF).collect()}
     assert set(got) == {(1, 201), (1, 202), (2, 102), (3, None), (5, None)}
     one, two, three = got[1, 201], got[2, 102], got[3, None]
@@ -86,7 +86,7 @@ def test_base(spark, tables, monkeypatch, few):
 
 def test_ingestion_sets_incomplete_rows_aside_and_is_idempotent(spark, tables):
     store = spark.createDataFrame([], s.ADMISSIONS)
-    load = ingestion.ingest_admissions(tables, store, AS_OF, NOW)
+    load = ingestion.ingest_admissions(tables, store, AS_OF, NOW, PILOTS)
     assert rows(load.loaded, "child_service_id", "child_financial_guardian_id") == [(1, 201), (1, 202), (2, 102)]
     missing = {r.child_service_id: r.reject_reason for r in load.rejected.collect()}
     assert set(missing) == {3, 5} and "child_financial_guardian_id" in missing[3]
@@ -101,12 +101,12 @@ def test_ingestion_sets_incomplete_rows_aside_and_is_idempotent(spark, tables):
     assert list(first) == s.ADMISSION_COLUMNS and first["child_name"] == "Ana Diaz"
 
     kept = load.state.selectExpr("* EXCEPT (child_adaptation_scheduling_flag)", "'true' AS child_adaptation_scheduling_flag")
-    again = ingestion.ingest_admissions(tables, kept.select(load.state.columns), AS_OF, NOW)
+    again = ingestion.ingest_admissions(tables, kept.select(load.state.columns), AS_OF, NOW, PILOTS)
     assert rows(again.state, "child_service_id", "child_adaptation_scheduling_flag") == [(1, "true"), (2, "true")]
 
 
 def test_mailings(spark, tables):
-    published = base.published(base.admissions_base(tables, AS_OF))
+    published = base.published(base.admissions_base(tables, AS_OF), PILOTS)
     config = spark.createDataFrame(
         [("WEL", "Automatico", "7", "Team", "t@example.org", "Hello", "4"), ("REM", "Manual", "8", "Team", "t@example.org", "Hi", "2")],
         s.CAMPAIGN_CONFIG,
@@ -122,8 +122,8 @@ def test_mailings(spark, tables):
     assert mailings.welcome(published, config, listed, "list", "WEL", AS_OF).events.count() == 0
 
     scheduled = published.selectExpr(
-        "* EXCEPT (child_adaptation_scheduling_flag)", "'true' AS child_adaptation_scheduling_flag",
-        "'13/3/2024 9:0:0' AS child_adaptation_scheduling_dt",
+        "* EXCEPT (child_adaptation_scheduling_flag, child_adaptation_scheduling_start_dt)",
+        "'true' AS child_adaptation_scheduling_flag", "'13/3/2024 9:0:0' AS child_adaptation_scheduling_start_dt",
     )
     reminder = mailings.reminder(scheduled, config, members, "list", "REM", AS_OF)
     assert not reminder.sends_automatically
@@ -133,9 +133,70 @@ def test_mailings(spark, tables):
         mailings.reminder(scheduled, config, members, "list", "NONE", AS_OF)
 
     ended = published.selectExpr("*", "'13/03/2024 18:00:00' AS child_adaptation_end_process_dt")
-    survey = mailings.survey(ended, config, members, "list", "REM", AS_OF)
+    survey = mailings.survey(ended, config, members, "list", "REM", AS_OF, "child_adaptation_end_process_dt")
     assert json.loads(survey.payloads.first().payload)["merge_fields"]["TIPO"] == "REM"
     assert rows(survey.accepted, "email") == [("gia@example.org",), ("hal@example.org",)]
     assert rows(survey.rejected, "child_service_id", "reject_reason") == [(3, "missing"), (5, "missing")]
 
 
+def test_a_dangling_link_gives_no_id(spark, tables):
+    """Payer 999 and guardian 998 are on no file: the links stay, the ids don't."""
+    children = tables.children.union(spark.createDataFrame([(6, 16, 998, "Kim", "Lee", "", 6000, None, "F")], s.CHILDREN))
+    payers = tables.child_payers.union(spark.createDataFrame([(6, 999)], s.CHILD_PAYERS))
+    family = base.with_family(children.select("child_id"), children, payers)
+    known = base.with_people(family, tables).filter("child_id IN (2, 6)")
+    assert rows(known, "child_id", "payer_id", "payer_link", "guardian_id", "guardian_link") == [
+        (2, 102, 102, 102, 102), (6, None, 999, None, 998),
+    ]
+
+
+def test_the_runs_work_on_what_the_load_stores(spark, tables):
+    """From an empty table: load, marking, schedule, mailings and monitoring, no column added by hand."""
+    load = ingestion.ingest_admissions(tables, spark.createDataFrame([], s.ADMISSIONS), AS_OF, NOW, PILOTS)
+    state = session.staged(load.state, "state")
+    assert sorted(state.columns) == sorted(s.ADMISSION_COLUMNS)
+    config = spark.createDataFrame([("REM", "Manual", "8", "Team", "t@example.org", "Hi", "2")], s.CAMPAIGN_CONFIG)
+    members = spark.createDataFrame([("list", "gia@example.org")], "audience_id string, email_address string")
+    holidays = spark.createDataFrame([(dt.date(2024, 3, 14),)], s.HOLIDAYS)
+
+    marked, calendar = upkeep.mark_overdue(state, spark.createDataFrame([], s.CALENDAR), AS_OF + dt.timedelta(days=30), holidays)
+    assert rows(marked, "child_service_id", "child_adaptation_scheduling_start_dt", "interview_flag") == [
+        (1, "31/12/2050 09:00:00", "Sin respuesta"), (2, "31/12/2050 09:00:00", "Sin respuesta"),
+    ]
+    assert rows(calendar, "child_service_id", "first_interview_flag") == [(1, "Sin respuesta"), (2, "Sin respuesta")]
+
+    scheduled = state.selectExpr(
+        *[c for c in state.columns if c not in ("child_adaptation_scheduling_flag", s.SCHEDULED_COLUMN, s.ENDED_COLUMN)],
+        "'true' AS child_adaptation_scheduling_flag", f"'12/3/2024 9:0:0' AS {s.SCHEDULED_COLUMN}", f"'13/3/2024 9:0:0' AS {s.ENDED_COLUMN}",
+    )
+    reminder = mailings.reminder(scheduled, config, members, "list", "REM", AS_OF, holidays)
+    assert rows(reminder.accepted, "email") == [("hal@example.org",)]
+    assert rows(reminder.rejected, "email", "reject_reason") == [("gia@example.org", "member")]
+    survey = mailings.survey(scheduled, config, members, "list", "REM", AS_OF)
+    assert survey.accepted.count() + survey.rejected.count() == 2
+    extract = reporting.monitoring_extract(scheduled, spark.createDataFrame([], s.JOURNEY_CONTROL))
+    assert rows(extract, "child_service_id", "child_adaptation_scheduling_day") == [(1, 12), (2, 12)]
+
+
+def test_refused_contacts_have_a_reason(spark):
+    contacts = session.staged(
+        spark.createDataFrame(
+            [(1, "A@b.cl"), (2, "a@b.cl "), (2, "a@b.cl "), (3, "c@d.cl"), (4, "e@f.cl")], "child_service_id long, email string"
+        ),
+        "contacts",
+    )
+    members = spark.createDataFrame([("list", "C@d.cl"), ("other", "e@f.cl"), ("list", "c@D.cl")], "audience_id string, email_address string")
+    judged = mailings.au.with_refusal(contacts, members, "list")
+    assert rows(judged, "child_service_id", "reject_reason") == [(1, None), (2, "repeated"), (2, "repeated"), (3, "member"), (4, None)]
+    accepted = mailings.au.new_members_only(contacts, members, "list")
+    assert rows(judged.filter("reject_reason IS NULL"), "child_service_id") == rows(accepted, "child_service_id")
+
+
+def test_a_finished_run_leaves_nothing(spark):
+    own = spark.newSession()
+    own.conf.set(session.RUN, "")
+    session.staged(own.range(5), "some")
+    folder = session.run_dir(own).removeprefix("file:")
+    assert os.listdir(folder)
+    session.drop_run(own)
+    assert not os.path.exists(folder) and own.conf.get(session.RUN, None) is None

@@ -12,8 +12,8 @@ from cohortline.sources import schemas
 AS_OF = dt.date(2024, 3, 15)
 STATE = (
     "child_service_id long, child_adaptation_scheduling_flag string, child_service_start_dt string, "
-    "child_attendance_days_value string, child_adaptation_scheduling_dt string, child_adaptation_responsible string, "
-    "child_adaptation_scheduling_comment string, first_interview_flag string"
+    "child_attendance_days_value string, child_adaptation_scheduling_start_dt string, child_adaptation_responsible string, "
+    "child_adaptation_scheduling_comment string, interview_flag string"
 )
 
 
@@ -55,7 +55,7 @@ def test_marking_equals_patching(spark):
     df = cases(spark)
     marked, _ = scheduling.mark_unscheduled(df, AS_OF)
     patch = scheduling.unscheduled_patch(df, scheduling.is_overdue(AS_OF))
-    patched = upsert_patch(df, patch, ["child_service_id"], list(scheduling.UNSCHEDULED_PATCH))
+    patched = upsert_patch(df, patch, ["child_service_id"], list(scheduling.unscheduled_values()))
     assert rows(patched.select(marked.columns)) == rows(marked)
     again, more = scheduling.mark_unscheduled(marked, AS_OF)
     assert rows(again) == rows(marked) and more.count() == 0
@@ -82,7 +82,7 @@ def test_scheduling_state(spark):
         ],
         schemas.CALENDAR,
     )
-    got = scheduling.scheduling_state(admissions, calendar)
+    got = scheduling.scheduling_state(admissions, calendar, ("QLC",))
     assert rows(got, "child_service_id", "child_adaptation_scheduling_flag", "flag_poc_center") == [
         (1, "wasnt scheduled", "true"), (2, "true", "false"), (3, "true", "false"), (4, "false", "false"), (5, "false", "false"),
     ]

@@ -19,8 +19,8 @@ def test_json_array_and_line_files(spark, tmp_path):
     (tmp_path / "lines.json").write_text("\n".join(json.dumps(r) for r in records))
     schema = "child_service_id long, child_adaptation_responsible string"
     want = [(1, "O'Neil"), (2, None)]
-    assert rows(read_records_json(spark, str(tmp_path / "array.json"), schema)) == want
-    assert rows(read_records_json(spark, str(tmp_path / "lines.json"), schema, array_files=False)) == want
+    assert rows(read_records_json(spark, str(tmp_path / "array.json"), schema, array_files=True)) == want
+    assert rows(read_records_json(spark, str(tmp_path / "lines.json"), schema)) == want
 
 
 def test_csv_with_byte_order_mark(spark, tmp_path):
@@ -131,7 +131,7 @@ def test_monitoring_extract_keeps_unparsed_rows(spark):
         "child_service_id string, child_adaptation_scheduling_flag string, child_adaptation_scheduling_dt string",
     )
     control = spark.createDataFrame([tuple([2] + ["x"] * 11)], schemas.JOURNEY_CONTROL)
-    extract = reporting.monitoring_extract(admissions, control).collect()
+    extract = reporting.monitoring_extract(admissions, control, "child_adaptation_scheduling_dt").collect()
     assert [r.child_service_id for r in extract] == [10, 3, 2]
     assert [r.child_adaptation_scheduling_year for r in extract] == [2050, None, 2024]
     assert [r.child_welcome_email_sent_flag for r in extract] == ["false", "false", "x"]

@@ -23,14 +23,14 @@ def month_before(day):
 
 
 def live(start, end):
-    return end is None or end > start
+    return end is None or start is not None and end > start
 
 
 def brute_current(spells, as_of):
     ahead = as_of + dt.timedelta(days=14)
     latest = {}
     for _, child, start, end in spells:
-        if live(start, end) and (end is None or end >= as_of) and (start.year, start.month) <= (ahead.year, ahead.month):
+        if live(start, end) and start and (end is None or end > as_of) and (start.year, start.month) <= (ahead.year, ahead.month):
             latest[child] = max(latest.get(child, dt.date.min), end or OPEN)
     return {s for s, c, _, e in spells if latest.get(c) == (e or OPEN)}
 
@@ -39,7 +39,7 @@ def brute_first(spells):
     kept = set()
     for service, child, start, _ in spells:
         earlier = [
-            e or OPEN for s, c, a, e in spells if c == child and s != service and a < start and live(a, e)
+            e or OPEN for s, c, a, e in spells if c == child and s != service and start and a and a < start and live(a, e)
         ]
         if not any((e.year, e.month) >= month_before(start) for e in earlier):
             kept.add(service)
@@ -49,6 +49,8 @@ def brute_first(spells):
 def brute_window(spells, as_of, days):
     kept = set()
     for service, _, start, end in spells:
+        if start is None:
+            continue
         later = start + dt.timedelta(days=14)
         stays = dt.date(later.year + later.month // 12, later.month % 12 + 1, 1)
         if start >= as_of - dt.timedelta(days=days) and live(start, end) and (end is None or end >= stays):
@@ -65,7 +67,7 @@ def some_spells(seed, n=400, hot=False):
         start = dt.date(2023, 10, 1) + dt.timedelta(days=rng.randrange(0, 220))
         length = rng.choice([0, 1, 10, 29, 30, 31, 60, 120, 400])
         end = None if rng.random() < 0.15 else start + dt.timedelta(days=length)
-        result.append((service, child, start, end))
+        result.append((service, child, None if rng.random() < 0.08 else start, end))
     return result
 
 
@@ -96,12 +98,14 @@ def test_current_spell_keeps_ties_and_skips_cancelled(spark):
             (2, 1, d(2024, 2, 1), None),  # tie with 1: both open
             (3, 1, d(2024, 2, 1), d(2024, 12, 1)),
             (4, 2, d(2024, 3, 15), d(2024, 3, 15)),  # cancelled
-            (5, 3, d(2024, 1, 1), AS_OF),  # ends today: still current
+            (5, 3, d(2024, 1, 1), AS_OF),  # ended with the midnight that today begins with
+            (8, 6, d(2024, 1, 1), AS_OF + dt.timedelta(days=1)),
+            (9, 7, None, None),
             (6, 4, d(2024, 1, 1), AS_OF - dt.timedelta(days=1)),
             (7, 5, d(2024, 4, 1), None),  # starts after the month of as_of + 14 days
         ],
     )
-    assert rows(sp.current_spell(frame, AS_OF), "service_id") == [(1,), (2,), (5,)]
+    assert rows(sp.current_spell(frame, AS_OF), "service_id") == [(1,), (2,), (8,)]
 
 
 def test_first_admission_month_gap(spark):
@@ -210,3 +214,9 @@ def test_last_enrollment_falls_back(spark):
     assert rows(df.select(got)) == [
         (dt.datetime(2023, 9, 9),), (dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 2, 10),),
     ]
+
+
+def test_a_spell_without_a_start_is_not_earlier(spark):
+    frame = spell_frame(spark, [(1, 7, dt.date(2024, 3, 10), None), (2, 7, None, None)])
+    assert rows(sp.first_admission(frame), "service_id") == [(1,), (2,)]
+    assert rows(sp.new_admissions(frame, AS_OF), "service_id") == [(1,)]

@@ -10,10 +10,12 @@ from cohortline.functions.business_days import business_days_between
 from cohortline.operators import audience as au
 from cohortline.operators import journeys, slots
 from cohortline.plans import mailings
+from cohortline.session import staged
 from workload import standins as st
 from workload.registry import query
 
 AS_OF = dt.date(1998, 6, 15)
+OLDER_DATE = "child_adaptation_scheduling_dt"  # what older admissions call the date
 CODE = "ENADAP"
 CAMPAIGN = "Supplier#000000009"  # its threshold is nine days, in every scale factor
 DAYS = 9
@@ -23,6 +25,12 @@ HOLIDAYS = [
     dt.date(1998, 5, 31), dt.date(1998, 6, 1), dt.date(1998, 6, 29), dt.date(1999, 1, 1),
 ]
 
+
+def _holiday_table(spark):
+    """The holidays as the table that a run reads."""
+    return spark.createDataFrame([(h,) for h in HOLIDAYS], "holiday date")
+
+
 _HOLIDAY_LIST = ", ".join(f"DATE '{h}'" for h in HOLIDAYS)
 
 
@@ -111,7 +119,7 @@ def new_admission_audience(spark, sf_dir):
 @query(
     f"""SELECT child_service_id, child_id, child_name, child_educational_guardian_id, child_financial_guardian_email,
            child_educational_guardian_email AS email, child_adaptation_scheduling_end_dt, DATE '1998-06-06' AS event_date,
-           CAST(-9 AS INTEGER) AS days_difference, substr(child_adaptation_scheduling_end_dt, 1, 10) AS adaptation_end_date,
+           CAST(-9 AS INTEGER) AS days_difference, strftime({TEXT_DATE.format('child_adaptation_scheduling_end_dt')}, '%d/%m/%Y') AS adaptation_end_date,
            DATE '1998-06-15' AS "current_date", {TAG} AS tag, 'ENADAP' AS campaign_code
     FROM admissions
     WHERE trim(child_adaptation_scheduling_end_dt) <> ''
@@ -124,7 +132,7 @@ def end_of_period_audience(spark, sf_dir):
 
 @query(REMINDED, "admissions")
 def contacts_by_working_days(spark, sf_dir):
-    return au.contacts_by_working_days(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS)
+    return au.contacts_by_working_days(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS, date_col=OLDER_DATE)
 
 
 @query(
@@ -140,7 +148,7 @@ def contacts_by_days(spark, sf_dir):
     tags = st.journey_control(spark, sf_dir).select(
         "child_service_id", F.col("child_adaptation_survey_tag").alias("tag"), F.lit(CODE).alias("campaign_code")
     )
-    return au.contacts_by_days(st.admissions(spark, sf_dir), tags, AS_OF, DAYS)
+    return au.contacts_by_days(st.admissions(spark, sf_dir), tags, AS_OF, DAYS, OLDER_DATE)
 
 
 @query(
@@ -152,7 +160,7 @@ def contacts_by_days(spark, sf_dir):
     "admissions",
 )
 def send_flag(spark, sf_dir):
-    contacts = au.scheduled_contacts(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS)
+    contacts = au.scheduled_contacts(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS, date_col=OLDER_DATE)
     return contacts.select(
         "child_service_id", "event_date", "days_difference", "working_days_difference", "send_email_flag"
     )
@@ -189,6 +197,22 @@ def usable_contacts(spark, sf_dir):
     return accepted
 
 
+@query(
+    f"""SELECT child_service_id, email, CASE WHEN m.address IS NOT NULL THEN 'member' ELSE 'repeated' END AS reject_reason
+    FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(email)) ORDER BY child_service_id, email) AS place
+          FROM ({EVERY_ADDRESS}) WHERE {REASON} IS NULL) c
+    LEFT JOIN (SELECT DISTINCT lower(trim(email_address)) AS address FROM members WHERE audience_id = 'journey') m
+      ON m.address = lower(trim(email))
+    WHERE m.address IS NOT NULL OR place > 1
+    UNION ALL SELECT child_service_id, email, {REASON} FROM ({EVERY_ADDRESS}) WHERE {REASON} IS NOT NULL""",
+    "admissions", "members",
+)
+def rejected_contacts(spark, sf_dir):
+    usable, unusable = au.split_contacts(staged(_every_address(spark, sf_dir), "addresses"))
+    refused = au.with_refusal(usable, st.members(spark, sf_dir), "journey").filter("reject_reason IS NOT NULL")
+    return unusable.unionByName(refused)
+
+
 @query(_accepted(EVERY_ADDRESS), "admissions", "members")
 def new_members_only(spark, sf_dir):
     usable, _ = au.split_contacts(_every_address(spark, sf_dir))
@@ -232,7 +256,7 @@ def campaign_config_pick(spark, sf_dir):
 
 @query(f"SELECT * FROM ({REMINDED}) WHERE (SELECT count(*) FROM ({REMINDED})) > 3", "admissions")
 def audience_gate(spark, sf_dir):
-    contacts = au.contacts_by_working_days(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS)
+    contacts = au.contacts_by_working_days(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS, date_col=OLDER_DATE)
     return au.audience_gate(contacts, 3)
 
 
@@ -307,7 +331,7 @@ EVENT = """
 def reminder_mailing(spark, sf_dir):
     return mailings.reminder(
         st.admissions(spark, sf_dir), st.campaign_config(spark, sf_dir), st.members(spark, sf_dir),
-        "journey", CAMPAIGN, AS_OF, HOLIDAYS,
+        "journey", CAMPAIGN, AS_OF, _holiday_table(spark), date_col=OLDER_DATE,
     ).events
 
 

@@ -5,14 +5,18 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortline.operators import enrich, spells
+from cohortline.operators import enrich, reporting, scheduling, spells
 from cohortline.operators.columns import rename_columns
 from cohortline.operators.keys import duplicate_keys
 from cohortline.operators.reporting import ingestion_log_row
 from cohortline.plans import admissions as base
 from cohortline.plans import ingestion
-from cohortline.sources.schemas import ADMISSION_ID_COLUMNS
+from cohortline.session import landing
+from cohortline.sources.readers import TableSpec, read_table
+from cohortline.sources.schemas import ADMISSIONS, RENEWALS_HISTORY
+from cohortline.sources.writers import write_extract
 from workload import standins as st
 from workload.registry import query
 
@@ -20,93 +24,100 @@ AS_OF = dt.date(1998, 6, 15)
 LOOKBACK_DAYS = 60
 LOADED_AT = dt.datetime(1998, 6, 15, 7, 4, 24)
 
-# The rules in plain SQL, written the long way: pairs of spells and month text compares.
-LATEST_END = """
-    SELECT child_id, max(coalesce(end_dt, DATE '3000-01-01')) AS latest_end
-    FROM spells
-    WHERE datediff('day', start_dt, coalesce(end_dt, DATE '3000-01-01')) > 0
-      AND (end_dt >= DATE '1998-06-15' OR end_dt IS NULL)
-      AND strftime(start_dt, '%Y%m') <= strftime(DATE '1998-06-15' + 14, '%Y%m')
-    GROUP BY child_id"""
-NO_EARLIER = """
-    NOT EXISTS (
-        SELECT 1 FROM spells aux
-        WHERE strftime(CAST(s.start_dt - INTERVAL 1 MONTH AS DATE), '%Y%m') <= strftime(coalesce(aux.end_dt, DATE '3000-01-01'), '%Y%m')
-          AND aux.start_dt < s.start_dt AND aux.child_id = s.child_id AND aux.service_id <> s.service_id
-          AND (datediff('day', aux.start_dt, aux.end_dt) > 0 OR aux.end_dt IS NULL))"""
+# The rules by their meaning, for a second engine: ranks, windows over a child's spells, and date ranges.
+LIVE = "(end_dt IS NULL OR end_dt > start_dt)"
+CURRENT = f"""
+    SELECT * FROM (
+        SELECT p.*, rank() OVER (PARTITION BY child_id ORDER BY coalesce(end_dt, DATE '3000-01-01') DESC) AS place,
+               count(*) FILTER (WHERE {LIVE} AND start_dt < DATE '1998-07-01') OVER (PARTITION BY child_id, end_dt) AS supporters
+        FROM spells p WHERE end_dt IS NULL OR end_dt > DATE '1998-06-15')
+    WHERE supporters > 0
+    QUALIFY rank() OVER (PARTITION BY child_id ORDER BY place) = 1"""
+WITH_PAST = f"""
+    SELECT p.*, max(CASE WHEN {LIVE} THEN coalesce(end_dt, DATE '3000-01-01') END) OVER (
+               PARTITION BY child_id ORDER BY start_dt RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING) AS past_end
+    FROM spells p WHERE start_dt IS NOT NULL"""
+FIRST = f"""
+    SELECT service_id, child_id, start_dt, end_dt FROM ({WITH_PAST})
+    WHERE past_end IS NULL OR past_end < date_trunc('month', start_dt - INTERVAL 1 MONTH)
+    UNION ALL SELECT service_id, child_id, start_dt, end_dt FROM spells WHERE start_dt IS NULL"""
+IN_WINDOW = f"""
+    SELECT * FROM spells
+    WHERE {LIVE} AND start_dt >= DATE '1998-04-16'
+      AND (end_dt IS NULL OR end_dt >= date_trunc('month', start_dt + INTERVAL 14 DAY) + INTERVAL 1 MONTH)"""
 ADMITTED = f"""
-    SELECT s.* FROM spells s
-    JOIN ({LATEST_END}) l ON l.child_id = s.child_id AND l.latest_end = coalesce(s.end_dt, DATE '3000-01-01')
-    WHERE datediff('day', s.start_dt, coalesce(s.end_dt, DATE '3000-01-01')) > 0
-      AND s.start_dt >= DATE '1998-06-15' - 60
-      AND (s.end_dt IS NULL OR s.end_dt >= CAST(date_trunc('month', s.start_dt + 14) + INTERVAL 1 MONTH AS DATE))
-      AND {NO_EARLIER}"""
+    SELECT w.* FROM ({IN_WINDOW}) w
+    SEMI JOIN ({CURRENT}) c ON c.service_id = w.service_id
+    SEMI JOIN ({FIRST}) f ON f.service_id = w.service_id"""
 CONVERSIONS = """
-    SELECT s.child_id, s.service_id, s.start_dt, q.modified_ts AS converted_ts,
-           row_number() OVER (PARTITION BY s.child_id ORDER BY q.modified_ts DESC NULLS LAST, s.service_id DESC) AS rn
-    FROM spells s JOIN quotes q ON q.quote_id = s.quote_id
-    WHERE strftime(s.start_dt, '%Y%m') <= '199806'"""
-FIRST_ACTIONS = """
-    SELECT a.child_id, a.period, min(a.action_ts) AS first_action_ts
-    FROM action_history a
-    WHERE a.action_id = 15 AND a.period = 1998 AND strftime(a.action_ts, '%Y%m') BETWEEN '199707' AND '199802'
-      AND EXISTS (SELECT 1 FROM spells x WHERE x.child_id = a.child_id
-                  AND 1997 BETWEEN year(x.start_dt) AND year(coalesce(x.end_dt, DATE '3000-01-01'))
-                  AND (datediff('day', x.start_dt, x.end_dt) > 0 OR x.end_dt IS NULL))
-    GROUP BY a.child_id, a.period"""
-ENROLLED_LAST_YEAR = """
-    EXISTS (SELECT 1 FROM spells x WHERE x.child_id = s.child_id
-            AND 1997 BETWEEN year(x.start_dt) AND year(coalesce(x.end_dt, DATE '3000-01-01'))
-            AND (datediff('day', x.start_dt, x.end_dt) > 0 OR x.end_dt IS NULL))"""
-RENEWAL_CASE = f"""
-    CASE WHEN c.service_id IS NULL THEN
-            CASE WHEN coalesce(h.child_id, r.child_id) IS NOT NULL THEN coalesce(h.renewal_ts, r.first_action_ts)
-                 WHEN coalesce(q.modified_ts, cv.converted_ts) < TIMESTAMP '1998-01-01' THEN coalesce(q.modified_ts, cv.converted_ts) END
-         ELSE
-            CASE WHEN coalesce(q.modified_ts, cv.converted_ts, TIMESTAMP '2000-01-01') < TIMESTAMP '1998-01-01' THEN TIMESTAMP '1998-01-01'
-                 WHEN strftime(coalesce(q.modified_ts, cv.converted_ts), '%Y%m') = '199801' AND {ENROLLED_LAST_YEAR}
-                 THEN coalesce(q.modified_ts, cv.converted_ts) END
-    END"""
-FULL_NAME = "rtrim({0}.first_name) || ' ' || rtrim({0}.last_name) || CASE WHEN rtrim({0}.second_last_name) <> '' THEN ' ' || rtrim({0}.second_last_name) ELSE '' END"
+    SELECT DISTINCT ON (child_id) child_id, service_id, start_dt, modified_ts AS converted_ts
+    FROM spells JOIN quotes USING (quote_id) WHERE start_dt < DATE '1998-07-01'
+    ORDER BY child_id, modified_ts DESC NULLS LAST, service_id DESC"""
+IN_LAST_YEAR = f"""
+    SELECT DISTINCT child_id FROM spells
+    WHERE {LIVE} AND start_dt < DATE '1998-01-01' AND (end_dt IS NULL OR end_dt >= DATE '1997-01-01')"""
+FIRST_ACTIONS = f"""
+    SELECT child_id, period, min(action_ts) AS first_action_ts
+    FROM action_history SEMI JOIN ({IN_LAST_YEAR}) USING (child_id)
+    WHERE action_id = 15 AND period = 1998 AND action_ts >= DATE '1997-07-01' AND action_ts < DATE '1998-03-01'
+    GROUP BY ALL"""
+FULL_NAME = "concat_ws(' ', rtrim(first_name) || ' ' || rtrim(last_name), nullif(rtrim(second_last_name), ''))"
 ATTENDANCE = """
-    SELECT service_id, CAST(sum(CASE WHEN day_flag = 1 OR retail_flag = 1 OR night_flag = 1 THEN 1 ELSE 0 END) AS BIGINT) AS attendance_days
+    SELECT service_id, count(*) FILTER (WHERE 1 IN (day_flag, retail_flag, night_flag)) AS attendance_days
     FROM attendance GROUP BY service_id"""
+# Every spell with its channel and the dates that its renewal depends on.
+DATED = f"""
+    SELECT p.service_id, p.child_id, p.start_dt, p.service_id IN (FROM company_services) AS is_corporate,
+           coalesce(q.modified_ts, cv.converted_ts) AS enrolled_ts,
+           h.child_id IS NOT NULL OR r.child_id IS NOT NULL AS has_renewal,
+           coalesce(h.renewal_ts, r.first_action_ts) AS renewed_ts, p.child_id IN ({IN_LAST_YEAR}) AS in_last_year
+    FROM spells p
+    LEFT JOIN quotes q USING (quote_id)
+    LEFT JOIN (SELECT * FROM renewals_history WHERE year = 1997) h ON h.child_id = p.child_id
+    LEFT JOIN ({FIRST_ACTIONS}) r ON r.child_id = p.child_id
+    LEFT JOIN ({CONVERSIONS}) cv ON cv.child_id = p.child_id"""
+RENEWED = f"""
+    SELECT service_id, child_id, is_corporate, coalesce(enrolled_ts, start_dt::TIMESTAMP) AS last_enrollment_ts,
+           CASE WHEN is_corporate AND coalesce(enrolled_ts, DATE '2000-01-01') < DATE '1998-01-01' THEN TIMESTAMP '1998-01-01'
+                WHEN is_corporate THEN CASE WHEN in_last_year AND date_trunc('month', enrolled_ts) = DATE '1998-01-01' THEN enrolled_ts END
+                WHEN has_renewal THEN renewed_ts
+                WHEN enrolled_ts < DATE '1998-01-01' THEN enrolled_ts END AS last_renewal_ts
+    FROM ({DATED})"""
+RENEWAL_TABLES = ("spells", "company_services", "quotes", "renewals_history", "action_history")
+PEOPLE = f"SELECT person_id, {FULL_NAME} AS full_name, dni, rtrim(lower(email)) AS email FROM persons"
+ROLES = """
+    SELECT family_id, person_id, rtrim(description) AS relation
+    FROM family_members LEFT JOIN descriptions ON id = relation_id"""
+# Each child with each of its payers; ids are those of people on file.
+FAMILIES = f"""
+    SELECT k.child_id, k.full_name AS child_full_name, k.dni AS child_dni, k.birth_dt AS child_birth_dt, k.gender AS child_gender,
+           p.person_id AS payer_id, p.full_name AS payer_full_name, p.dni AS payer_dni, pr.relation AS payer_relation, p.email AS payer_email,
+           g.person_id AS guardian_id, g.full_name AS guardian_full_name, g.dni AS guardian_dni, gr.relation AS guardian_relation,
+           g.email AS guardian_email
+    FROM (SELECT *, {FULL_NAME} AS full_name FROM children) k
+    LEFT JOIN (SELECT child_id, person_id AS payer_link FROM child_payers) l USING (child_id)
+    LEFT JOIN ({PEOPLE}) p ON p.person_id = payer_link
+    LEFT JOIN ({ROLES}) pr ON (pr.family_id, pr.person_id) = (k.family_id, payer_link)
+    LEFT JOIN ({PEOPLE}) g ON g.person_id = k.edu_guardian_id
+    LEFT JOIN ({ROLES}) gr ON (gr.family_id, gr.person_id) = (k.family_id, k.edu_guardian_id)"""
+PLACED = """
+    SELECT service_id, (SELECT description FROM descriptions WHERE id = status_id) AS status, rtrim(ce.name) AS center_name,
+           (SELECT rtrim(description) FROM descriptions WHERE id = level_id) AS level,
+           (SELECT rtrim(description) FROM descriptions WHERE id = shift_id) AS shift, room_id,
+           if(service_id IN (FROM company_services), 'Empresa', 'Familia') AS channel
+    FROM spells LEFT JOIN centers ce USING (center_id) LEFT JOIN center_products USING (product_id)"""
 BASE_TABLES = (
     "spells", "children", "child_payers", "persons", "family_members", "descriptions", "centers", "center_products",
     "company_services", "quotes", "renewals_history", "action_history", "attendance",
 )
 BASE_SQL = f"""
-    SELECT s.child_id, s.service_id, {FULL_NAME.format('k')} AS child_full_name, k.dni AS child_dni,
-           k.birth_dt AS child_birth_dt, k.gender AS child_gender, pp.person_id AS payer_id,
-           {FULL_NAME.format('pf')} AS payer_full_name, pf.dni AS payer_dni, rtrim(rf.description) AS payer_relation,
-           rtrim(lower(pf.email)) AS payer_email, k.edu_guardian_id AS guardian_id,
-           {FULL_NAME.format('pe')} AS guardian_full_name, pe.dni AS guardian_dni, rtrim(re.description) AS guardian_relation,
-           rtrim(lower(pe.email)) AS guardian_email, s.center_id, rtrim(ce.name) AS center_name,
-           CASE WHEN c.service_id IS NOT NULL THEN 'Empresa' ELSE 'Familia' END AS channel,
-           rtrim(lv.description) AS level, rtrim(sh.description) AS shift, cp.room_id,
-           coalesce(q.modified_ts, cv.converted_ts, CAST(s.start_dt AS TIMESTAMP)) AS last_enrollment_ts,
-           {RENEWAL_CASE} AS last_renewal_ts, s.start_dt, s.end_dt, e.description AS status,
-           coalesce(a.attendance_days, 0) AS attendance_days
-    FROM ({ADMITTED}) s
-    LEFT JOIN children k ON k.child_id = s.child_id
-    LEFT JOIN child_payers pp ON pp.child_id = k.child_id
-    LEFT JOIN persons pf ON pf.person_id = pp.person_id
-    LEFT JOIN family_members ff ON ff.family_id = k.family_id AND ff.person_id = pp.person_id
-    LEFT JOIN descriptions rf ON rf.id = ff.relation_id
-    LEFT JOIN persons pe ON pe.person_id = k.edu_guardian_id
-    LEFT JOIN family_members fe ON fe.family_id = k.family_id AND fe.person_id = k.edu_guardian_id
-    LEFT JOIN descriptions re ON re.id = fe.relation_id
-    LEFT JOIN descriptions e ON e.id = s.status_id
-    LEFT JOIN centers ce ON ce.center_id = s.center_id
-    LEFT JOIN center_products cp ON cp.product_id = s.product_id
-    LEFT JOIN descriptions lv ON lv.id = cp.level_id
-    LEFT JOIN descriptions sh ON sh.id = cp.shift_id
-    LEFT JOIN company_services c ON c.service_id = s.service_id
-    LEFT JOIN quotes q ON q.quote_id = s.quote_id
-    LEFT JOIN renewals_history h ON h.child_id = s.child_id AND h.year = 1997
-    LEFT JOIN ({FIRST_ACTIONS}) r ON r.child_id = s.child_id
-    LEFT JOIN ({CONVERSIONS}) cv ON cv.rn = 1 AND cv.child_id = s.child_id
-    LEFT JOIN ({ATTENDANCE}) a ON a.service_id = s.service_id"""
+    SELECT child_id, service_id, f.* EXCLUDE (child_id), center_id, center_name, channel, level, shift, room_id, last_enrollment_ts,
+           last_renewal_ts, start_dt, end_dt, status, coalesce(attendance_days, 0) AS attendance_days
+    FROM ({ADMITTED})
+    JOIN ({PLACED}) USING (service_id)
+    JOIN (SELECT service_id, last_enrollment_ts, last_renewal_ts FROM ({RENEWED})) USING (service_id)
+    LEFT JOIN ({FAMILIES}) f USING (child_id)
+    LEFT JOIN ({ATTENDANCE}) USING (service_id)"""
 
 
 @query(BASE_SQL, *BASE_TABLES)
@@ -134,14 +145,25 @@ PUBLISHED_SQL = f"""
            '' AS child_adaptation_scheduling_end_dt, '' AS center_interview_responsible,
            CASE WHEN center_id IN ('NPL2', 'QLC', 'SMH', 'CCBA') THEN 'true' ELSE 'false' END AS flag_poc_center
     FROM ({BASE_SQL})"""
-COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in ADMISSION_ID_COLUMNS)
+COMPLETE = """
+    child_service_id IS NOT NULL AND child_dni_code IS NOT NULL AND child_educational_guardian_dni_code IS NOT NULL
+    AND child_educational_guardian_id IS NOT NULL AND child_financial_guardian_dni_code IS NOT NULL
+    AND child_financial_guardian_id IS NOT NULL AND child_id IS NOT NULL AND educational_center_room_id IS NOT NULL
+    AND child_attendance_days_value IS NOT NULL"""
+PILOTS = ("NPL2", "QLC", "SMH", "CCBA")
+STORED = """
+    SELECT child_service_id, child_name, child_adaptation_scheduling_flag FROM admissions
+    WHERE child_service_id IN (FROM company_services) OR child_service_start_dt < '1998'"""
 
 
 def _load(spark, sf_dir):
-    """A load into a store that already holds the urgent orders."""
-    store = st.admissions(spark, sf_dir).join(st.company_services(spark, sf_dir), F.expr("child_service_id = service_id"), "left_semi")
-    stored = store.select("child_service_id", "child_name", "child_adaptation_scheduling_flag")
-    return ingestion.ingest_admissions(st.operational(spark, sf_dir), stored, AS_OF, LOADED_AT, LOOKBACK_DAYS)
+    """A load into a store that already holds the admissions of earlier years and the urgent ones of this."""
+    known = st.admissions(spark, sf_dir).select("child_service_id", "child_name", "child_adaptation_scheduling_flag", "child_service_start_dt")
+    urgent = st.company_services(spark, sf_dir).select(F.col("service_id").alias("child_service_id"), F.lit(True).alias("urgent"))
+    stored = known.join(urgent, "child_service_id", "left").filter("urgent OR child_service_start_dt < '1998'")
+    given = {f.name: f.dataType for f in T.StructType.fromDDL(ADMISSIONS)}
+    store = stored.select(*[F.col(n) if n in stored.columns else F.lit(None).cast(t).alias(n) for n, t in given.items()])
+    return ingestion.ingest_admissions(st.operational(spark, sf_dir), store, AS_OF, LOADED_AT, PILOTS, LOOKBACK_DAYS)
 
 
 @query(f"SELECT * FROM ({PUBLISHED_SQL}) WHERE {COMPLETE}", *BASE_TABLES)
@@ -150,11 +172,10 @@ def loaded_admissions(spark, sf_dir):
 
 
 @query(
-    f"""SELECT child_service_id, child_name, child_adaptation_scheduling_flag FROM admissions
-    WHERE child_service_id IN (SELECT service_id FROM company_services)
+    f"""{STORED}
     UNION ALL
-    SELECT DISTINCT child_service_id, child_name, child_adaptation_scheduling_flag FROM ({PUBLISHED_SQL})
-    WHERE {COMPLETE} AND child_service_id NOT IN (SELECT service_id FROM company_services)""",
+    SELECT DISTINCT child_service_id, child_name, child_adaptation_scheduling_flag
+    FROM ({PUBLISHED_SQL}) ANTI JOIN ({STORED}) USING (child_service_id) WHERE {COMPLETE}""",
     "admissions", *BASE_TABLES,
 )
 def ingested_state(spark, sf_dir):
@@ -169,8 +190,7 @@ def new_admissions(spark, sf_dir):
 
 
 @query(
-    f"""SELECT s.service_id, s.child_id, s.start_dt, s.end_dt FROM spells s
-    JOIN ({LATEST_END}) l ON l.child_id = s.child_id AND l.latest_end = coalesce(s.end_dt, DATE '3000-01-01')""",
+    f"SELECT service_id, child_id, start_dt, end_dt FROM ({CURRENT})",
     "spells",
 )
 def current_spell(spark, sf_dir):
@@ -178,16 +198,14 @@ def current_spell(spark, sf_dir):
     return current.select("service_id", "child_id", "start_dt", "end_dt")
 
 
-@query(f"SELECT s.service_id, s.child_id, s.start_dt, s.end_dt FROM spells s WHERE {NO_EARLIER}", "spells")
+@query(FIRST, "spells")
 def first_admission(spark, sf_dir):
     first = spells.first_admission(st.spells(spark, sf_dir))
     return first.select("service_id", "child_id", "start_dt", "end_dt")
 
 
 @query(
-    """SELECT service_id, child_id, start_dt, end_dt FROM spells
-    WHERE datediff('day', start_dt, coalesce(end_dt, DATE '3000-01-01')) > 0 AND start_dt >= DATE '1998-06-15' - 60
-      AND (end_dt IS NULL OR end_dt >= CAST(date_trunc('month', start_dt + 14) + INTERVAL 1 MONTH AS DATE))""",
+    f"SELECT service_id, child_id, start_dt, end_dt FROM ({IN_WINDOW})",
     "spells",
 )
 def admission_window(spark, sf_dir):
@@ -195,16 +213,14 @@ def admission_window(spark, sf_dir):
     return st.spells(spark, sf_dir).filter(window).select("service_id", "child_id", "start_dt", "end_dt")
 
 
-@query(
-    f"SELECT child_id, service_id, start_dt, converted_ts FROM ({CONVERSIONS}) WHERE rn = 1", "spells", "quotes"
-)
+@query(CONVERSIONS, "spells", "quotes")
 def latest_conversion(spark, sf_dir):
     return spells.latest_conversion(st.spells(spark, sf_dir), st.quotes(spark, sf_dir), AS_OF)
 
 
 @query(
-    """SELECT s.service_id, s.child_id, s.quote_id, q.modified_ts AS converted_ts
-    FROM spells s JOIN quotes q ON q.quote_id = s.quote_id WHERE strftime(s.start_dt, '%Y%m') <= '199806'""",
+    """SELECT service_id, child_id, quote_id, modified_ts AS converted_ts
+    FROM spells JOIN quotes USING (quote_id) WHERE start_dt < DATE '1998-07-01'""",
     "spells",
     "quotes",
 )
@@ -218,7 +234,7 @@ def renewal_first_action(spark, sf_dir):
     return spells.renewal_first_action(st.action_history(spark, sf_dir), st.spells(spark, sf_dir), AS_OF)
 
 
-@query(f"SELECT s.service_id, s.child_id, {ENROLLED_LAST_YEAR} AS enrolled_last_year FROM spells s", "spells")
+@query(f"SELECT service_id, child_id, child_id IN ({IN_LAST_YEAR}) AS enrolled_last_year FROM spells", "spells")
 def enrolled_last_year(spark, sf_dir):
     every = st.spells(spark, sf_dir)
     marked = spells.with_enrolled_flag(every.select("service_id", "child_id"), every, AS_OF.year - 1)
@@ -237,37 +253,15 @@ def _dated(spark, sf_dir):
     return base.with_enrollment_dates(channelled, tables, AS_OF)
 
 
-RENEWAL_JOINS = f"""
-    FROM spells s
-    LEFT JOIN company_services c ON c.service_id = s.service_id
-    LEFT JOIN quotes q ON q.quote_id = s.quote_id
-    LEFT JOIN renewals_history h ON h.child_id = s.child_id AND h.year = 1997
-    LEFT JOIN ({FIRST_ACTIONS}) r ON r.child_id = s.child_id
-    LEFT JOIN ({CONVERSIONS}) cv ON cv.rn = 1 AND cv.child_id = s.child_id"""
-RENEWAL_TABLES = ("spells", "company_services", "quotes", "renewals_history", "action_history")
-
-
-@query(
-    f"SELECT s.service_id, s.child_id, c.service_id IS NOT NULL AS is_corporate, {RENEWAL_CASE} AS last_renewal_ts {RENEWAL_JOINS}",
-    *RENEWAL_TABLES,
-)
+@query(f"SELECT service_id, child_id, is_corporate, last_renewal_ts FROM ({RENEWED})", *RENEWAL_TABLES)
 def renewal_date(spark, sf_dir):
     return _dated(spark, sf_dir).select("service_id", "child_id", "is_corporate", "last_renewal_ts")
 
 
-@query(
-    f"""SELECT s.service_id, s.child_id, coalesce(q.modified_ts, cv.converted_ts, CAST(s.start_dt AS TIMESTAMP)) AS last_enrollment_ts
-    FROM spells s LEFT JOIN quotes q ON q.quote_id = s.quote_id
-    LEFT JOIN ({CONVERSIONS}) cv ON cv.rn = 1 AND cv.child_id = s.child_id""",
-    "spells",
-    "quotes",
-)
+@query(f"SELECT service_id, child_id, last_enrollment_ts FROM ({RENEWED})", *RENEWAL_TABLES)
 def last_enrollment(spark, sf_dir):
     every, quotes = st.spells(spark, sf_dir), st.quotes(spark, sf_dir)
-    converted = spells.latest_conversion(every, quotes, AS_OF).select("child_id", "converted_ts")
-    joined = every.join(quotes, "quote_id", "left").join(converted, "child_id", "left")
-    latest = spells.last_enrollment_ts(F.col("modified_ts"), F.col("converted_ts"), F.col("start_dt"))
-    return joined.select("service_id", "child_id", latest.alias("last_enrollment_ts"))
+    return spells.with_last_enrollment(every, every, quotes, AS_OF).select("service_id", "child_id", "last_enrollment_ts")
 
 
 @query(
@@ -277,23 +271,19 @@ def last_enrollment(spark, sf_dir):
     "renewals_history",
 )
 def left_join_filtered_right(spark, sf_dir):
-    history = st.renewals_history(spark, sf_dir).filter(F.col("year") == AS_OF.year - 1)
+    """The history comes from a source of its own, landed as CSV."""
+    path = landing(spark, "renewals-history")
+    write_extract(st.renewals_history(spark, sf_dir), path)
+    source = TableSpec("csv", path, RENEWALS_HISTORY)
+    history = read_table(spark, source).filter(F.col("year") == AS_OF.year - 1)
     joined = st.spells(spark, sf_dir).select("service_id", "child_id").join(history, "child_id", "left")
     return joined.select("service_id", F.col("year").alias("renewal_year"), "renewal_ts")
 
 
 @query(
-    """SELECT s.service_id, rtrim(e.description) AS status, rtrim(ce.name) AS center_name, rtrim(lv.description) AS level,
-           rtrim(sh.description) AS shift, cp.room_id, CASE WHEN c.service_id IS NOT NULL THEN 'Empresa' ELSE 'Familia' END AS channel
-    FROM spells s
-    LEFT JOIN descriptions e ON e.id = s.status_id
-    LEFT JOIN centers ce ON ce.center_id = s.center_id
-    LEFT JOIN center_products cp ON cp.product_id = s.product_id
-    LEFT JOIN descriptions lv ON lv.id = cp.level_id
-    LEFT JOIN descriptions sh ON sh.id = cp.shift_id
-    LEFT JOIN company_services c ON c.service_id = s.service_id""",
+    f"SELECT service_id, rtrim(status) AS status, center_name, level, shift, room_id, channel FROM ({PLACED})",
     "spells", "descriptions", "centers", "center_products", "company_services",
-)
+)
 def star_enrich(spark, sf_dir):
     tables = st.operational(spark, sf_dir)
     served = base.with_service(tables.spells, tables)
@@ -303,20 +293,9 @@ def star_enrich(spark, sf_dir):
 
 
 @query(
-    f"""SELECT k.child_id, pp.person_id AS payer_id, {FULL_NAME.format('pf')} AS payer_full_name,
-           rtrim(rf.description) AS payer_relation, rtrim(lower(pf.email)) AS payer_email, k.edu_guardian_id AS guardian_id,
-           {FULL_NAME.format('pe')} AS guardian_full_name, rtrim(re.description) AS guardian_relation,
-           rtrim(lower(pe.email)) AS guardian_email
-    FROM children k
-    LEFT JOIN child_payers pp ON pp.child_id = k.child_id
-    LEFT JOIN persons pf ON pf.person_id = pp.person_id
-    LEFT JOIN family_members ff ON ff.family_id = k.family_id AND ff.person_id = pp.person_id
-    LEFT JOIN descriptions rf ON rf.id = ff.relation_id
-    LEFT JOIN persons pe ON pe.person_id = k.edu_guardian_id
-    LEFT JOIN family_members fe ON fe.family_id = k.family_id AND fe.person_id = k.edu_guardian_id
-    LEFT JOIN descriptions re ON re.id = fe.relation_id""",
+    f"SELECT * EXCLUDE (child_full_name, child_dni, child_birth_dt, child_gender, payer_dni, guardian_dni) FROM ({FAMILIES})",
     "children", "child_payers", "persons", "family_members", "descriptions",
-)
+)
 def two_role_join(spark, sf_dir):
     tables = st.operational(spark, sf_dir)
     every = tables.children.select("child_id")
@@ -369,3 +348,28 @@ def log_row_of_load(spark, sf_dir):
 def renamed_spells(spark, sf_dir):
     kept = st.spells(spark, sf_dir).select("service_id", "child_id", "start_dt", "end_dt")
     return rename_columns(kept, base.PUBLISHED_NAMES)
+
+
+# The run over the state that a load writes: new admissions, marked if a week of working days has passed.
+MARKED = f"""
+    SELECT child_service_id, child_attendance_days_value >= 3 OR CAST(child_service_start_dt AS TIMESTAMP) <= DATE '1998-06-08' AS overdue
+    FROM (SELECT DISTINCT ON (child_service_id) * FROM ({PUBLISHED_SQL}) WHERE {COMPLETE} ORDER BY child_service_id, child_financial_guardian_id)"""
+
+
+@query(
+    f"""SELECT child_service_id, if(overdue, '31/12/2050 09:00:00', '') AS child_adaptation_scheduling_start_dt,
+           if(overdue, 'wasnt scheduled', 'false') AS child_adaptation_scheduling_flag, if(overdue, 'Sin respuesta', 'false') AS interview_flag,
+           if(overdue, 1, 0)::INTEGER AS adaptations_not_schedulled_flag
+    FROM ({MARKED})""",
+    *BASE_TABLES,
+)
+def stored_state_marking(spark, sf_dir):
+    """A load into an empty table, the marking of its overdue rows, and the monitoring extract of that."""
+    store = spark.createDataFrame([], ADMISSIONS)
+    load = ingestion.ingest_admissions(st.operational(spark, sf_dir), store, AS_OF, LOADED_AT, PILOTS, LOOKBACK_DAYS)
+    marked, _ = scheduling.mark_unscheduled(load.state, AS_OF, max_wait=5, min_attendance=3)
+    extract = reporting.monitoring_extract(marked, st.journey_control(spark, sf_dir))
+    return extract.select(
+        "child_service_id", "child_adaptation_scheduling_start_dt", "child_adaptation_scheduling_flag", "interview_flag",
+        "adaptations_not_schedulled_flag",
+    )

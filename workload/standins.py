@@ -29,7 +29,7 @@ def spells(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey % 2500 AS product_id",
         "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 7 END AS status_id",
         "CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS quote_id",
-        "to_date(o_orderdate) AS start_dt",
+        "CASE WHEN o_orderkey % 41 <> 0 THEN to_date(o_orderdate) END AS start_dt",
         "CASE WHEN o_orderstatus <> 'P' THEN date_add(to_date(o_orderdate), CAST(o_orderkey % 400 AS INT)) END AS end_dt",
     )
 
@@ -171,7 +171,7 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderpriority = '5-LOW' THEN 'not a date'
                 ELSE date_format(o_orderdate, 'd/M/yyyy H:m:s') END AS child_adaptation_scheduling_dt""",
         """CASE WHEN o_orderstatus <> 'O' THEN
-                date_format(date_add(to_date(o_orderdate), CAST(o_orderkey % 30 AS INT)), 'dd/MM/yyyy HH:mm:ss')
+                date_format(date_add(to_date(o_orderdate), CAST(o_orderkey % 30 AS INT)), 'd/M/yyyy H:m:s')
                 ELSE '' END AS child_adaptation_scheduling_end_dt""",
         "CASE WHEN o_orderstatus = 'F' THEN 'Planner' ELSE '' END AS child_adaptation_responsible",
         "CASE WHEN o_orderstatus = 'F' THEN 'Agreed' END AS child_adaptation_scheduling_comment",
@@ -183,7 +183,7 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scheduling calendar; routine orders have no entry."""
+    """Scheduling calendar; not every service has an entry."""
     return (
         table(spark, sf_dir, "orders")
         .filter("o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')")
@@ -281,7 +281,7 @@ SQL = {
                o_orderkey % 2500 AS product_id,
                CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 7 END AS status_id,
                CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS quote_id,
-               CAST(o_orderdate AS DATE) AS start_dt,
+               CASE WHEN o_orderkey % 41 <> 0 THEN CAST(o_orderdate AS DATE) END AS start_dt,
                CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) END AS end_dt
         FROM orders""",
     "children": """
@@ -345,7 +345,7 @@ SQL = {
                CASE WHEN o_orderstatus = 'O' THEN '' WHEN o_orderpriority = '5-LOW' THEN 'not a date'
                     ELSE strftime(o_orderdate, '%-d/%-m/%Y %-H:%-M:%-S') END AS child_adaptation_scheduling_dt,
                CASE WHEN o_orderstatus <> 'O'
-                    THEN strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER), '%d/%m/%Y %H:%M:%S')
+                    THEN strftime(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 30 AS INTEGER), '%-d/%-m/%Y %-H:%-M:%-S')
                     ELSE '' END AS child_adaptation_scheduling_end_dt,
                CASE WHEN o_orderstatus = 'F' THEN 'Planner' ELSE '' END AS child_adaptation_responsible,
                CASE WHEN o_orderstatus = 'F' THEN 'Agreed' END AS child_adaptation_scheduling_comment,

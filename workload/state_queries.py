@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,14 +10,15 @@ from cohortline.functions import dates
 from cohortline.functions.text import clean_email, full_name, in_list_flag
 from cohortline.operators import columns, keys, migrate, outbox, reporting, scheduling
 from cohortline.plans.admissions import LOAD_DEFAULTS
-from cohortline.session import shared_dir
+from cohortline.session import landing
 from cohortline.sources.readers import TableSpec, flatten_typed_items, read_records_json, read_table
 from cohortline.sources.writers import append_rows, write_documents, write_extract
 from workload import standins as st
-from workload.audience_queries import AS_OF, HOLIDAYS, TEXT_DATE, _difference
+from workload.audience_queries import AS_OF, HOLIDAYS, OLDER_DATE, TEXT_DATE, _difference
 from workload.registry import query
 
 PILOTS = ("N2", "N3", "N5", "N7")
+OLDER_INTERVIEW = "first_interview_flag"
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-05'")
@@ -213,8 +213,8 @@ OVERDUE = f"""(child_adaptation_scheduling_flag = 'false' AND (
     "admissions",
 )
 def mark_unscheduled(spark, sf_dir):
-    marked, _ = scheduling.mark_unscheduled(st.admissions(spark, sf_dir), AS_OF, HOLIDAYS)
-    return marked.select("child_service_id", *scheduling.UNSCHEDULED_PATCH)
+    marked, _ = scheduling.mark_unscheduled(st.admissions(spark, sf_dir), AS_OF, HOLIDAYS, date_col=OLDER_DATE, interview_col=OLDER_INTERVIEW)
+    return marked.select("child_service_id", *scheduling.unscheduled_values(OLDER_DATE, OLDER_INTERVIEW))
 
 
 @query(
@@ -227,27 +227,27 @@ def mark_unscheduled(spark, sf_dir):
     "admissions", "calendar",
 )
 def calendar_after_marking(spark, sf_dir):
-    _, rows = scheduling.mark_unscheduled(st.admissions(spark, sf_dir), AS_OF, HOLIDAYS)
+    _, rows = scheduling.mark_unscheduled(st.admissions(spark, sf_dir), AS_OF, HOLIDAYS, date_col=OLDER_DATE, interview_col=OLDER_INTERVIEW)
     return scheduling.calendar_with(st.calendar(spark, sf_dir), rows)
 
 
-# Writes by key: urgent and high orders are stored, urgent and medium ones come in.
+# Writes by key: all orders are on one side or on both; those of a priority that both name are matched.
 STORED = """SELECT o_orderkey AS child_service_id, o_custkey AS child_id, 'stored' AS origin,
-    o_totalprice AS amount FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+    o_totalprice AS amount FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')"""
 INCOMING = """SELECT o_orderkey AS child_service_id, o_custkey AS child_id, 'incoming' AS origin,
     CASE WHEN o_orderstatus <> 'P' THEN o_totalprice + 1 END AS amount
-    FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM')"""
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED')"""
 
 
 def _stored(spark, sf_dir):
-    return st.table(spark, sf_dir, "orders").filter("o_orderpriority IN ('1-URGENT', '2-HIGH')").selectExpr(
+    return st.table(spark, sf_dir, "orders").filter("o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW')").selectExpr(
         "o_orderkey AS child_service_id", "o_custkey AS child_id", "'stored' AS origin",
         "o_totalprice AS amount",
     )
 
 
 def _incoming(spark, sf_dir):
-    return st.table(spark, sf_dir, "orders").filter("o_orderpriority IN ('1-URGENT', '3-MEDIUM')").selectExpr(
+    return st.table(spark, sf_dir, "orders").filter("o_orderpriority IN ('1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED')").selectExpr(
         "o_orderkey AS child_service_id", "o_custkey AS child_id", "'incoming' AS origin",
         "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice + 1 END AS amount",
     )
@@ -290,7 +290,7 @@ DOCUMENT_SCHEMA = (
 
 def _landing(spark, label):
     """A new folder in the shared place for files that a query writes and reads back."""
-    return f"{shared_dir(spark)}/cohortline/{label}-{uuid.uuid4().hex}"
+    return landing(spark, label)
 
 
 @query(f"SELECT {', '.join(DOCUMENT_COLUMNS)} FROM admissions", "admissions")
@@ -302,6 +302,16 @@ def records_json_scan(spark, sf_dir):
     return read_records_json(spark, path, DOCUMENT_SCHEMA, array_files=False)
 
 
+@query(f"SELECT {', '.join(DOCUMENT_COLUMNS)} FROM admissions", "admissions")
+def records_array_scan(spark, sf_dir):
+    """Records landed as JSON arrays, a file for each range of ids."""
+    path = _landing(spark, "arrays")
+    part = F.expr("child_service_id div 20000")
+    records = st.admissions(spark, sf_dir).groupBy(part).agg(F.collect_list(F.struct(*DOCUMENT_COLUMNS)).alias("records"))
+    write_documents(records.select(F.to_json("records").alias("payload")), path, records_per_file=1)
+    return read_records_json(spark, path, DOCUMENT_SCHEMA, array_files=True)
+
+
 @query(
     """SELECT child_service_id, child_name, nullif(child_adaptation_scheduling_dt, '') AS child_adaptation_scheduling_dt,
            child_attendance_days_value FROM admissions""",
@@ -372,7 +382,17 @@ SCHEDULED_TS = "try_strptime(a.child_adaptation_scheduling_dt, '%d/%m/%Y %H:%M:%
            CAST(day({SCHEDULED_TS}) AS INTEGER) AS child_adaptation_scheduling_day,
            CAST(month({SCHEDULED_TS}) AS INTEGER) AS child_adaptation_scheduling_month,
            CAST(year({SCHEDULED_TS}) AS INTEGER) AS child_adaptation_scheduling_year,
-           {', '.join(f"coalesce(j.{c}, '{v}') AS {c}" for c, v in reporting.CONTROL_FILLS.items())}
+           coalesce(child_adaptation_survey_email_sent_flag, 'false') AS child_adaptation_survey_email_sent_flag,
+           coalesce(child_adaptation_survey_email_read_flag, 'false') AS child_adaptation_survey_email_read_flag,
+           coalesce(child_adaptation_survey_completed_flag, 'false') AS child_adaptation_survey_completed_flag,
+           coalesce(child_adaptation_survey_tag, 'false') AS child_adaptation_survey_tag,
+           coalesce(child_adaptation_survey_email_sent_dt, '') AS child_adaptation_survey_email_sent_dt,
+           coalesce(child_welcome_email_sent_flag, 'false') AS child_welcome_email_sent_flag,
+           coalesce(child_welcome_email_read_flag, 'false') AS child_welcome_email_read_flag,
+           coalesce(child_welcome_email_sent_dt, '') AS child_welcome_email_sent_dt,
+           coalesce(child_adaptation_scheduling_reminder_email_sent_flag, 'false') AS child_adaptation_scheduling_reminder_email_sent_flag,
+           coalesce(child_adaptation_scheduling_reminder_email_read_flag, 'false') AS child_adaptation_scheduling_reminder_email_read_flag,
+           coalesce(child_adaptation_scheduling_reminder_email_dt, '') AS child_adaptation_scheduling_reminder_email_dt
     FROM admissions a LEFT JOIN journey_control j ON j.child_service_id = a.child_service_id""",
     "admissions", "journey_control",
 )
@@ -380,7 +400,7 @@ def monitoring_extract(spark, sf_dir):
     kept = st.admissions(spark, sf_dir).select(
         "child_service_id", "child_adaptation_scheduling_flag", "child_adaptation_scheduling_dt"
     )
-    return reporting.monitoring_extract(kept, st.journey_control(spark, sf_dir))
+    return reporting.monitoring_extract(kept, st.journey_control(spark, sf_dir), OLDER_DATE)
 
 
 @query(
