@@ -10,6 +10,7 @@ import pytest
 from llm import pu_quality, weak_toxicity
 from llm.common import table
 from llm.learning import fold
+from llm_fixtures import awkward, empty, labels, tuned  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 

@@ -9,6 +9,7 @@ import re
 import pytest
 
 from llm import decontaminate
+from llm_fixtures import awkward, empty, tuned  # noqa: F401
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 

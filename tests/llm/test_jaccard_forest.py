@@ -10,6 +10,7 @@ import pytest
 from llm import jaccard_forest
 from llm.components import components
 from llm.jaccard_forest import Forest, exact_links, shingles
+from llm_fixtures import awkward, empty, tuned  # noqa: F401
 
 
 def corpus():

@@ -11,6 +11,7 @@ import numpy as np
 from llm import line_crf
 from llm.line_crf import N_FEATURES, LineCrf
 from llm.shape import base_counts
+from llm_fixtures import awkward, empty, labels, tuned  # noqa: F401
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 

@@ -10,8 +10,8 @@ import pytest
 import corpus_pipeline
 from llm.common import staged, table
 from llm.queries import ORACLE, QUERIES
-from tests.llm.test_decontaminate import brute as contaminated
-from tests.llm.test_jaccard_forest import all_pairs
+from test_decontaminate import brute as contaminated
+from test_jaccard_forest import all_pairs
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="needs the driver's tables")

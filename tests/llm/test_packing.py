@@ -11,7 +11,8 @@ import pytest
 
 from llm import packing
 from llm.packing import Packer, fill
-from tests.llm.test_token_ids import expected
+from test_token_ids import expected
+from llm_fixtures import awkward, empty, tuned  # noqa: F401
 
 
 def best(counts, capacity):

@@ -6,6 +6,7 @@ import pytest
 
 from llm import redirects
 from llm.redirects import rules
+from llm_fixtures import tuned  # noqa: F401
 
 RULES = rules(("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"))
 

@@ -12,6 +12,7 @@ import pytest
 
 from llm import suffix_dedup
 from llm.suffix_sort import blind_trie, deep_shallow
+from llm_fixtures import awkward, empty, tuned  # noqa: F401
 
 
 @pytest.mark.parametrize("shallow", [0, 8, 64])

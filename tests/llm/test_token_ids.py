@@ -11,6 +11,7 @@ import pytest
 from llm import token_ids
 from llm.common import new_dir
 from llm.tokens import Encoder, vocabulary_path
+from llm_fixtures import awkward, empty, tuned  # noqa: F401
 
 
 def odd_texts(n=400):

@@ -9,6 +9,7 @@ import pytest
 
 from llm import warc
 from llm.common import filesystem, new_dir
+from llm_fixtures import tuned  # noqa: F401
 
 PAGES = "page_id long, url string, html string, record_type string"
 
