@@ -13,7 +13,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortline.session import shared_dir
+from cohortline.session import landing, staged  # noqa: F401
 
 # Rows in one Arrow batch: a batch of the longest texts stays within a worker's memory.
 BATCH_ROWS = 500
@@ -38,19 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one; every run writes to its own."""
-    return f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: the lineage ends here."""
-    path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A fresh folder of the run in the shared folder; ``session.drop_run`` deletes it."""
+    return landing(spark, "llm-" + label)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a shared folder, on the driver and in tasks alike."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):  # as Hadoop writes local paths
+        uri = "file://" + uri.removeprefix("file:")
     return pafs.FileSystem.from_uri(uri)
 
 
