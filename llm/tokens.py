@@ -11,11 +11,12 @@ words skip the pattern: they go to the library already written in the byte-level
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
 # Distinct words that one worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 MARKS = ".,;:!?"
 LATIN = "ɐ"
@@ -48,6 +49,18 @@ class Words(dict):
         return number
 
 
+def gather(pool: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` that begin and are as long as stated, one after the other."""
+    stop = np.cumsum(length)
+    return pool[np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)]
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some lists, and the lists' lengths."""
+    length = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(length.sum())), length
+
+
 class Encoder:
     """Ids by the tokenizers library, for a batch of texts at a time."""
 
@@ -65,68 +78,80 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.begins[number] = token.startswith(self.space)
         self.remembered = remembered
-        self.marks: dict[str, list[int]] = {"": []}
         self._forget()
 
     def _forget(self) -> None:
         self.words = Words()
-        self.ids = np.empty(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 12, dtype=np.int64)
+        self.pool = np.empty(1 << 16, dtype=np.uint32)
+        self.used = 0
+        # By word: where its ids lie in the pool, and whether its spaces stand otherwise than assumed.
+        self.begin, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
         self.odd = np.zeros(1 << 12, dtype=bool)
-        self.learned = 0
+        self.marks: dict[str, int] = {}
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _letters(self, bases: list[str]) -> list[list[int]]:
-        """Ids of words of Latin letters, each with a space before it."""
+    def _letters(self, bases: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of Latin letters, each with a space before it, and their lengths."""
         joined = [" " + " ".join(bases[i : i + JOINED]) for i in range(0, len(bases), JOINED)]
         written = [t.encode().decode("latin-1").translate(self.alphabet) for t in joined]
-        flat = [i for e in self.words_only.encode_batch_fast(written, add_special_tokens=False) for i in e.ids]
-        edge = [*np.flatnonzero(self.begins[np.array(flat, dtype=np.int64)]).tolist(), len(flat)] if flat else [0]
-        return [flat[a:b] for a, b in zip(edge, edge[1:], strict=False)]
+        ids, _ = flat([e.ids for e in self.words_only.encode_batch_fast(written, add_special_tokens=False)])
+        return ids, np.diff(np.append(np.flatnonzero(self.begins[ids]), len(ids)))
+
+    def _keep(self, ids: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Append ids to the pool; where each stretch begins."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        begin = self.used + np.cumsum(length) - length
+        self.used += len(ids)
+        return begin
+
+    def _set(self, numbers: list[int], ids: np.ndarray, length: np.ndarray) -> None:
+        at = np.array(numbers, dtype=np.int64)
+        self.begin[at], self.length[at] = self._keep(ids, length), length
 
     def _learn(self) -> None:
-        """Encode the words that wait and append their ids to the table."""
-        waiting, self.words.waiting = self.words.waiting, []
-        if not waiting:
-            return
-        odd = [not w or w[-1].isspace() or (w[0].isspace() and (w[0] != " " or w[1:2].isspace())) for w in waiting]
-        bases: dict[str, int] = {}
-        form: list[tuple[str, int, str]] = []
-        plain: list[str] = []
-        for w in waiting:
+        """Encode the words that wait."""
+        words, number = self.words, len(self.words) - len(self.words.waiting)
+        bare, bare_at, plain, plain_at, marked_at, of, mark_of, odd = [], [], [], [], [], [], [], []
+        marks = self.marks
+        for w in words.waiting:  # grows where a marked word's bare word is new
             base = w.rstrip(MARKS)
             if base.isalpha() and (base.isascii() or max(base) < LATIN):
-                form.append(("base", bases.setdefault(base, len(bases)), w[len(base) :]))
+                if base == w:
+                    bare.append(w)
+                    bare_at.append(number)
+                else:
+                    marked_at.append(number)
+                    of.append(words[base])
+                    mark_of.append(marks.setdefault(w[len(base) :], len(marks)))
             else:  # a text's first word carries a space in its key, all others lack it
-                form.append(("plain", len(plain), ""))
+                if not w or w[-1].isspace() or (w[0].isspace() and (w[0] != " " or w[1:2].isspace())):
+                    odd.append(number)
                 plain.append(w[1:] if w[:1] == " " else " " + w)
-        by_base, by_plain = self._letters(list(bases)), self._plain(plain)
-        flat, length = [], []
-        for kind, k, mark in form:
-            if mark not in self.marks:
-                self.marks[mark] = self._plain([mark])[0]
-            own = by_base[k] + self.marks[mark] if kind == "base" else by_plain[k]
-            flat += own
-            length.append(len(own))
-        used, new = int(self.ends[self.learned]), len(waiting)
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while self.learned + new + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+                plain_at.append(number)
+            number += 1
+        words.waiting = []
+        while number > len(self.begin):
+            self.begin, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.length))
             self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
-        self.ids[used : used + len(flat)] = flat
-        self.ends[self.learned + 1 : self.learned + new + 1] = used + np.cumsum(length)
-        self.odd[self.learned : self.learned + new] = odd
-        self.learned += new
+        self.odd[odd] = True
+        if bare:
+            self._set(bare_at, *self._letters(bare))
+        if plain:
+            self._set(plain_at, *flat(self._plain(plain)))
+        if marked_at:
+            ids, length = flat(self._plain(list(marks)))
+            begin = self._keep(ids, length)
+            both = np.stack([self.begin[of], begin[mark_of]], axis=1), np.stack([self.length[of], length[mark_of]], axis=1)
+            self._set(marked_at, gather(self.pool, both[0].ravel(), both[1].ravel()), both[1].sum(axis=1))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts."""
-        if self.learned > self.remembered:
+        if len(self.words) > self.remembered:
             self._forget()
-        if len(self.marks) > 1000:
-            self.marks = {"": []}
         every: list[str] = []
         ends = []
         for text in texts:
@@ -135,13 +160,11 @@ class Encoder:
             every += words
             ends.append(len(every))
         which = np.fromiter(map(self.words.__getitem__, every), dtype=np.int64, count=len(every))
-        self._learn()
-        begin = self.ends[which]
-        length = self.ends[which + 1] - begin
-        stop = np.cumsum(length)
-        at = np.repeat(begin - (stop - length), length) + np.arange(int(stop[-1]) if len(stop) else 0)
-        ids = self.ids[at]
-        edge = np.concatenate([[0], stop])[np.array([0, *ends], dtype=np.int64)]
+        if self.words.waiting:
+            self._learn()
+        length = self.length[which]
+        ids = gather(self.pool, self.begin[which], length)
+        edge = np.concatenate([[0], np.cumsum(length)])[np.array([0, *ends], dtype=np.int64)]
         out = [ids[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist(), strict=False)]
         strange = self.odd[which]
         if strange.any():  # only texts in which some space isn't between two other characters
