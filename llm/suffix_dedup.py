@@ -89,7 +89,7 @@ def anchors(text: memoryview | bytes, length: int = LENGTH, size: int = ANCHOR,
 
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """A row for each anchor and context of a document, with the anchor's places there."""
+    """A row for each anchor and context of a document: its first place there, and the others if there are ``more``."""
     before = length - ANCHOR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,13 +103,17 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                     left = min(p, before)
                     context = xxhash.xxh3_128_digest(text[p - left : p + length], seed=left)
                     found.setdefault((h, context), []).append(p)
-                out += [(r1, r2, h, context, places) for (h, context), places in found.items()]
+                out += [(r1, r2, h, context, places[0], places[1:] or None) for (h, context), places in found.items()]
             if out:
-                columns = zip(*out, strict=True)
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["row1", "row2", "anchor", "context", "places"])
+                row1, row2, anchor, context, place, more = zip(*out, strict=True)
+                halves = np.frombuffer(b"".join(context), "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row1, pa.int64()), pa.array(row2, pa.int64()), pa.array(anchor, pa.int64()), pa.array(halves[:, 0]),
+                     pa.array(halves[:, 1]), pa.array(place, pa.int64()), pa.array(more, pa.list_(pa.int64()))],
+                    names=["row1", "row2", "anchor", "context1", "context2", "place", "more"],
+                )
 
-    return docs.mapInArrow(run, "row1 long, row2 long, anchor long, context binary, places array<long>")
+    return docs.mapInArrow(run, "row1 long, row2 long, anchor long, context1 long, context2 long, place long, more array<long>")
 
 
 def shared_reach(left: list[bytes], right: list[bytes], length: int = LENGTH) -> list[tuple[int, int] | None]:
@@ -167,8 +171,9 @@ def _context_rows(chosen: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 names = ["anchor", "seen", "row1", "row2", "place", "before", "after"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    # Copies of one row arrive once for each copy; equal contexts of a row are one.
-    return joined.select("row1", "row2", "wanted", "text").mapInArrow(run, CONTEXTS).dropDuplicates(["anchor", "row1", "row2", "place"])
+    # A row that the table holds twice gives its contexts twice; they are seen more than once, so nothing is asked of them,
+    # and to the others they are the same partner twice.
+    return joined.select("row1", "row2", "wanted", "text").mapInArrow(run, CONTEXTS)
 
 
 def _sorted_reach(contexts: DataFrame, length: int) -> DataFrame:
@@ -232,23 +237,25 @@ def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX)
     """Repeated stretches ``first, stop`` (they may overlap) by ``row1, row2`` of ``docs``, which also has ``text``."""
     before = length - ANCHOR
     rows = staged(_anchor_rows(docs, length), "anchors")
+    n_places = 1 + F.coalesce(F.array_size("more"), F.lit(0))
     # An anchor that occurs once in the corpus, as most do, goes no further.
     met = rows.groupBy(F.col("anchor").alias("of")).agg(
-        F.sum(F.size("places")).alias("n"), F.min("context").alias("c1"), F.max("context").alias("c2")
+        F.sum(n_places).alias("n"), F.min("context1").alias("c1"), F.max("context1").alias("c2")
     )
     met = met.filter("n > 1").select("of", (F.col("c1") != F.col("c2")).alias("mixed"))
     again = staged(rows.join(met, F.col("anchor") == F.col("of")).drop("of"), "anchors-again")
 
-    around = F.transform("places", lambda p: F.struct((p - before).alias("first"), (p + length).alias("stop")))
+    places = F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<long>")))
+    around = F.transform(places, lambda p: F.struct((p - before).alias("first"), (p + length).alias("stop")))
     plain = again.filter("NOT mixed").select("row1", "row2", F.explode(around).alias("s"))
 
     mixed = again.filter("mixed")
-    contexts = mixed.groupBy(F.col("anchor").alias("a"), F.col("context").alias("c")).agg(
-        F.sum(F.size("places")).alias("seen"), F.min(F.struct("row1", "row2", F.col("places")[0].alias("place"))).alias("one")
+    keys = {"anchor": "a", "context1": "k1", "context2": "k2"}
+    contexts = mixed.groupBy(*[F.col(k).alias(v) for k, v in keys.items()]).agg(
+        F.sum(n_places).alias("seen"), F.min(F.struct("row1", "row2", "place")).alias("one")
     )
     contexts = staged(contexts, "contexts")
-    full = contexts.filter("seen > 1")
-    full = mixed.join(full, (F.col("anchor") == F.col("a")) & (F.col("context") == F.col("c")))
+    full = mixed.join(contexts.filter("seen > 1").select(*keys.values()), [F.col(k) == F.col(v) for k, v in keys.items()])
     full = full.select("row1", "row2", F.explode(around).alias("s"))
 
     size = contexts.groupBy(F.col("a").alias("of")).agg(F.count("*").alias("n"))
