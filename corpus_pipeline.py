@@ -25,9 +25,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes in 400-byte strings that start elsewhere too are cut out; no document goes."""
+    """Passages of over 50 words that start elsewhere too are cut out, and 400-byte strings of fewer words; no document goes."""
     prepare(spark)
-    cut = suffix_dedup.cut_texts(docs)
+    cut = suffix_dedup.cut_passages(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 

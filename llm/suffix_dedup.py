@@ -14,12 +14,15 @@ A full suffix array of the corpus would move every suffix.  Here a sparse one do
 
 Contexts of one anchor meet in one task up to ``group_max``; those of a more frequent anchor are
 settled by counting the hashes of their 400-byte strings, a row each, which spread over all tasks.
+
+``cut_passages`` does the same over words: each word becomes eight bytes of hash, so 51 words are a string of 408 bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import only, raw_texts, staged
+from llm.shape import SPACES
 from llm.suffix_sort import deep_shallow
 
 LENGTH = 400
 ANCHOR = 64
 GROUP_MAX = 50_000
+# Words of the shortest repeated passage that ``cut_passages`` cuts, and bytes that stand for a word.
+WORDS = 51
+CODE = 8
 # Texts are scanned in parts of so many bytes, so that a very long one needs no more memory.
 PART = 1 << 21
 
@@ -88,7 +95,28 @@ def anchors(text: memoryview | bytes, length: int = LENGTH, size: int = ANCHOR,
     return where.astype(np.int64), np.concatenate(hashes)[at]
 
 
-def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
+WORD = re.compile(rb"[^%s]+" % re.escape(SPACES))
+_SPACE = np.isin(np.arange(256), list(SPACES))
+
+
+def word_codes(text: memoryview | bytes) -> bytes:
+    """A hash for each word, one after the other."""
+    return b"".join(map(xxhash.xxh3_64_digest, bytes(text).split()))
+
+
+def near_few_words(text: memoryview | bytes, where: np.ndarray, length: int = LENGTH, words: int = WORDS) -> np.ndarray:
+    """Which anchors lie in a string of ``length`` bytes that holds under ``words`` whole words."""
+    if not len(where):
+        return np.empty(0, bool)
+    space = np.concatenate([[True], _SPACE[np.frombuffer(text, np.uint8)], [True]])
+    starts, ends = np.cumsum(space[:-2] & ~space[1:-1]), np.cumsum(~space[1:-1] & space[2:])
+    # Words that end before the string's last byte, without those that start at its first byte or earlier.
+    few = ends[length - 2 : -1] - starts[: len(starts) - length + 1] < words
+    sums = np.concatenate([[0], np.cumsum(few)])
+    return sums[np.minimum(where + 1, len(few))] > sums[np.maximum(where - (length - ANCHOR), 0)]
+
+
+def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Callable | None) -> DataFrame:
     """A row for each anchor and context of a document: its first place there, and the others if there are ``more``."""
     before = length - ANCHOR
 
@@ -97,7 +125,11 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             row1, row2 = batch.column("row1").to_pylist(), batch.column("row2").to_pylist()
             out: list[tuple] = []
             for r1, r2, text in zip(row1, row2, raw_texts(batch, "text"), strict=True):
+                text = view(text) if view else text
                 where, hashes = anchors(text, length)
+                if keep:
+                    kept = keep(text, where)
+                    where, hashes = where[kept], hashes[kept]
                 found: dict[tuple[int, bytes], list[int]] = {}
                 for p, h in zip(where.tolist(), hashes.view(np.int64).tolist(), strict=True):
                     left = min(p, before)
@@ -151,7 +183,7 @@ def shared_reach(left: list[bytes], right: list[bytes], length: int = LENGTH) ->
 CONTEXTS = "anchor long, seen long, row1 long, row2 long, place long, before binary, after binary"
 
 
-def _context_rows(chosen: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+def _context_rows(chosen: DataFrame, docs: DataFrame, length: int, view: Callable | None) -> DataFrame:
     """The text around each chosen anchor; one context each."""
     wanted = chosen.groupBy("row1", "row2").agg(F.collect_list(F.struct("anchor", "seen", "place")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"row1": "own1", "row2": "own2"})
@@ -163,6 +195,7 @@ def _context_rows(chosen: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             out = []
             ids = zip(batch.column("row1").to_pylist(), batch.column("row2").to_pylist(), batch.column("wanted").to_pylist(), strict=True)
             for (r1, r2, listed), text in zip(ids, raw_texts(batch, "text"), strict=True):
+                text = view(text) if view else text
                 for w in listed:
                     p = w["place"]
                     out.append((w["anchor"], w["seen"], r1, r2, p, bytes(text[max(0, p - before) : p])[::-1], bytes(text[p : p + length])))
@@ -233,10 +266,13 @@ def _counted_reach(contexts: DataFrame, length: int) -> DataFrame:
     return reach.select("row1", "row2", (F.col("place") - F.col("hi")).alias("first"), (F.col("place") + length - F.col("lo")).alias("stop"))
 
 
-def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:
-    """Repeated stretches ``first, stop`` (they may overlap) by ``row1, row2`` of ``docs``, which also has ``text``."""
+def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX, view: Callable | None = None, keep: Callable | None = None) -> DataFrame:
+    """Repeated stretches ``first, stop`` (they may overlap) by ``row1, row2`` of ``docs``, which also has ``text``.
+
+    They are places in what ``view`` makes of a text, or in its bytes.  ``keep`` says which anchors of it are asked for.
+    """
     before = length - ANCHOR
-    rows = staged(_anchor_rows(docs, length), "anchors")
+    rows = staged(_anchor_rows(docs, length, view, keep), "anchors")
     n_places = 1 + F.coalesce(F.array_size("more"), F.lit(0))
     # An anchor that occurs once in the corpus, as most do, goes no further.
     met = rows.groupBy(F.col("anchor").alias("of")).agg(
@@ -267,29 +303,49 @@ def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX)
         own = chosen.filter(part.format(group_max)).drop("n")
         if settle is _counted_reach and size.filter(part.format(group_max)).isEmpty():
             continue
-        found.append(settle(_context_rows(own, docs, length), length))
+        found.append(settle(_context_rows(own, docs, length, view), length))
     out = plain.union(full).select("row1", "row2", "s.first", "s.stop")
     for f in found:
         out = out.union(f)
     return out
 
 
+def _keys() -> tuple[F.Column, F.Column]:
+    return F.xxhash64("doc_id", "text"), F.xxhash64("text", "doc_id", F.lit(1))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    key1, key2 = _keys()
+    return docs.select(key1.alias("row1"), key2.alias("row2"), "text")
+
+
+def _joined(docs: DataFrame, found: DataFrame, *fields: str) -> DataFrame:
+    key1, key2 = _keys()
+    by_row = found.groupBy(F.col("row1").alias("__own1"), F.col("row2").alias("__own2")).agg(F.collect_set(F.struct(*fields)).alias("__cut"))
+    return docs.join(by_row.hint("shuffle_hash"), (key1 == F.col("__own1")) & (key2 == F.col("__own2")), "left").drop("__own1", "__own2")
+
+
 def _with_cuts(docs: DataFrame, length: int, group_max: int) -> DataFrame:
     """``docs`` with ``__cut``: all repeated stretches of its text."""
-    key1, key2 = F.xxhash64("doc_id", "text"), F.xxhash64("text", "doc_id", F.lit(1))
-    found = stretches(docs.select(key1.alias("row1"), key2.alias("row2"), "text"), length, group_max)
-    by_row = found.groupBy(F.col("row1").alias("__own1"), F.col("row2").alias("__own2")).agg(F.collect_set(F.struct("first", "stop")).alias("__cut"))
-    return docs.join(by_row.hint("shuffle_hash"), (key1 == F.col("__own1")) & (key2 == F.col("__own2")), "left").drop("__own1", "__own2")
+    return _joined(docs, stretches(_keyed(docs), length, group_max), "first", "stop")
 
 
-def cut_out(raw: bytes | memoryview, cut: list | None) -> tuple[list[tuple[int, int]], bytes]:
-    """Maximal removed runs and what is left."""
+
+
+def merged(size: int, cut: list | None) -> list[list[int]]:
+    """Maximal runs of ``cut`` within ``size`` places."""
     spans: list[list[int]] = []
-    for a, b in sorted((max(0, s["first"]), min(len(raw), s["stop"])) for s in (() if cut is None else cut)):
+    for a, b in sorted((max(0, s["first"]), min(size, s["stop"])) for s in (() if cut is None else cut)):
         if spans and a <= spans[-1][1]:
             spans[-1][1] = max(spans[-1][1], b)
         else:
             spans.append([a, b])
+    return spans
+
+
+def cut_out(raw: bytes | memoryview, cut: list | None) -> tuple[list[tuple[int, int]], bytes]:
+    """Maximal removed runs and what is left."""
+    spans = merged(len(raw), cut)
     edges = [0, *(x for s in spans for x in s), len(raw)]
     return [(a, b) for a, b in spans], b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
@@ -328,3 +384,39 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX)
         return text.combine(cut, lambda t, c: t if t is None or c is None else cut_out(t.encode(), c)[1].decode(errors="ignore"))
 
     return _with_cuts(docs, length, group_max).withColumn("text", shorter("text", "__cut")).select(*docs.columns)
+
+
+def passage_spans(raw: bytes, cut: list) -> list[dict]:
+    """``cut`` with runs of words, which are places among their codes, as bytes of ``raw``."""
+    out = [s for s in cut if not s["words"]]
+    places = [m.span() for m in WORD.finditer(raw)]
+    runs = [{"first": -(-s["first"] // CODE), "stop": s["stop"] // CODE} for s in cut if s["words"]]
+    for a, b in merged(len(places), runs):
+        out.append({"first": places[a][0], "stop": places[b - 1][1]})
+    return out
+
+
+def cut_passages(docs: DataFrame, words: int = WORDS, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:
+    """``docs`` without the runs of ``words`` or more words that start elsewhere too, whatever whitespace parts them.
+
+    Strings of ``length`` bytes that hold fewer whole words, as those of very long words do, are cut as in ``cut_texts``.
+    A character that the cut splits goes as well, null stays null.
+    """
+    keyed = _keyed(docs)
+    runs = stretches(keyed, words * CODE, group_max, view=word_codes)
+    others = stretches(keyed, length, group_max, keep=lambda text, where: near_few_words(text, where, length, words))
+    found = runs.withColumn("words", F.lit(True)).union(others.withColumn("words", F.lit(False)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = []
+            for t, c in zip(batch.column("text").to_pylist(), batch.column("__cut").to_pylist(), strict=True):
+                if t is not None and c is not None:
+                    raw = t.encode()
+                    t = cut_out(raw, passage_spans(raw, c))[1].decode(errors="ignore")
+                left.append(t)
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(left, batch.schema.field(at).type)).select(docs_columns)
+
+    docs_columns = docs.columns
+    return _joined(docs, found, "words", "first", "stop").mapInArrow(run, docs.schema)

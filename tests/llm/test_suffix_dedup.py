@@ -6,10 +6,12 @@ import collections
 import hashlib
 import os
 import random
+import re
 
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from llm import suffix_dedup
 from llm.suffix_sort import blind_trie, deep_shallow
 from llm_fixtures import awkward, empty, tuned  # noqa: F401
@@ -108,3 +110,68 @@ def test_cut_texts_keep_rows_and_columns(awkward):
 
 def test_empty_table(empty):
     assert suffix_dedup.deduplicate(empty).count() == 0
+
+
+def brute_passages(texts, words=51, length=400):
+    """Words left where no run of so many words, and no ``length`` bytes with fewer of them, starts elsewhere too."""
+    split = [list(suffix_dedup.WORD.finditer(t)) for t in texts]
+    runs = collections.Counter(tuple(m[0] for m in s[i : i + words]) for s in split for i in range(len(s) - words + 1))
+    strings = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t, s in zip(texts, split, strict=True):
+        gone = [False] * len(t)
+        for i in range(len(s) - words + 1):
+            if runs[tuple(m[0] for m in s[i : i + words])] > 1:
+                a, b = s[i].start(), s[i + words - 1].end()
+                gone[a:b] = [True] * (b - a)
+        for i in range(len(t) - length + 1):
+            own = t[i : i + length]
+            if strings[own] > 1 and len(re.findall(rb"(?<=[ \n])[^ \n]+(?=[ \n])", own)) < words:
+                gone[i : i + length] = [True] * length
+        out.append(bytes(b for b, g in zip(t, gone, strict=True) if not g).split())
+    return out
+
+
+def test_pipeline_cuts_51_words_under_400_bytes(tuned):
+    rng = random.Random(19)
+    unlike = lambda: " ".join(f"{rng.getrandbits(40):x}" for _ in range(30))
+    passage = [f"p{k}" for k in range(51)]
+    assert len(" ".join(passage)) < 400
+    heads, tails = [unlike() for _ in range(4)], [unlike() for _ in range(4)]
+    middles = [" ".join(passage), "\n".join(passage), " ".join(passage[:50]).replace("p", "q"), " ".join(passage[:50]).replace("p", "q")]
+    rows = [(k, f"{a} {m} {b}", 0) for k, (a, m, b) in enumerate(zip(heads, middles, tails, strict=True))]
+    cut = corpus_pipeline.repeated_passages(tuned, tuned.createDataFrame(rows, "doc_id long, text string, n_chars long"), "").collect()
+    want = [f"{a} {'' if k < 2 else m} {b}" for k, (a, m, b) in enumerate(zip(heads, middles, tails, strict=True))]
+    assert [(r.text, r.n_chars) for r in sorted(cut)] == [(t, len(t)) for t in want]
+
+
+@pytest.mark.parametrize("group_max", [50_000, 2])
+def test_passages_against_all_runs(tuned, group_max):
+    rng = random.Random(20)
+    words = [f"w{i}" for i in range(40)] + ["long" * 30]
+    passages = [" ".join(rng.choice(words[:40]) for _ in range(rng.randint(60, 140))) for _ in range(5)]
+    rows = []
+    for k in range(120):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 80)))
+        p, kind = rng.choice(passages).split(), rng.random()
+        a, n = rng.randint(0, 10), rng.randint(45, 80)
+        if kind < 0.6:
+            text = f"{text[:40]} {' '.join(p[a : a + n])} {text[40:]}"
+        elif kind < 0.7:
+            text = "one two " + "".join(f"{k}x" for k in range(rng.randint(150, 300))) + " three"
+        rows.append((k, text))
+    cut = suffix_dedup.cut_passages(tuned.createDataFrame(rows, "doc_id long, text string").repartition(5), group_max=group_max)
+    found = [r.text.encode().split() for r in sorted(cut.collect())]
+    raw = [t.encode() for _, t in rows]
+    want = brute_passages(raw)
+    assert any(len(w) < len(t.split()) for w, t in zip(want, raw, strict=True))
+    same = sum(f == w for f, w in zip(found, want, strict=True))
+    assert same == len(rows)
+
+
+def test_passages_keep_rows_and_columns(awkward, empty):
+    cut = suffix_dedup.cut_passages(awkward)
+    assert cut.columns == awkward.columns and cut.count() == awkward.count()
+    by_id = {r.doc_id: r.text for r in cut.filter("doc_id IS NOT NULL").collect()}
+    assert by_id[8] == "" and by_id[9] == "" and by_id[3] is None and by_id[2] == "a b c d e f g"
+    assert suffix_dedup.cut_passages(empty).count() == 0
