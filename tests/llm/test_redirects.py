@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+from urllib.parse import urldefrag, urljoin, urlsplit, urlunsplit
+
 import pytest
 
 from llm import redirects
@@ -63,3 +66,33 @@ def test_more_links(tuned):
 @pytest.mark.parametrize("listed", [RULES, []])
 def test_empty_table(tuned, listed):
     assert verdicts(tuned, [], listed) == {}
+
+
+def test_targets_against_urljoin(tuned):
+    pages = ["http://h.org/a/b/c.html?x=1#f", "HTTP://H.org", "https://h.org:8080/a/", "http://h.org/a;p?q=/z/", "http://h.org?y"]
+    targets = [
+        "page.html", "./page.html", "../a", "../../../a", "..", ".", "a/./b/../c/", "?id=2", "#top", "page#top", "/r/../s?t=../u", "/", "//other.net/x",
+        "http://Other.net/x#y", "go?to=http://other.net/", "HTTPS://other.net", "x/y:z", "?a#b",
+    ]
+    both = tuned.createDataFrame(list(itertools.product(pages, targets)), "a string, t string")
+    for r in both.select("a", "t", redirects.node(redirects.resolved(redirects.F.col("a"), redirects.F.col("t"))).alias("b")).collect():
+        want = urlsplit(urldefrag(urljoin(r.a, r.t))[0])
+        assert r.b == urlunsplit(want._replace(netloc=want.netloc.lower())), (r.a, r.t)
+    odd = tuned.createDataFrame([("http://h.org/", "mailto:a@h.org"), ("http://h.org/", "javascript:void(0)"), ("no host", "x")], "a string, t string")
+    assert {r.b for r in odd.select(redirects.resolved(redirects.F.col("a"), redirects.F.col("t")).alias("b")).collect()} == {None}
+
+
+@pytest.mark.parametrize("target", ["../es/1", "1", "./1", "/es/1", "//x.net/es/1", "HTTP://X.net/es/1", "http://x.net/es/1#top", "1#top"])
+def test_blocks_follow_every_form(tuned, target):
+    page, bad = "http://x.net/ok/p", "http://x.net/es/1"
+    listed = rules(("block", "y.org/"))
+    for html in (canonical(target), f'<meta http-equiv="refresh" content="0; url={target}">', canonical("http://first.org/") + canonical(target)):
+        own = page if "es/" in target else "http://x.net/es/p"
+        rows = [(1, own, html, None), (2, bad, canonical("http://Y.org/"), None), (3, bad + "#part", None, None), (4, "http://x.net/es/", None, None)]
+        assert {k: v[3] for k, v in verdicts(tuned, rows, listed).items()} == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
+def test_query_only_and_second_refresh(tuned):
+    html = '<meta http-equiv=refresh content="5; url=http://first.org/"><META HTTP-EQUIV="Refresh" CONTENT="0; URL=?id=2">'
+    rows = [(1, "http://a.org/p?id=1", html, None), (2, "http://a.org/p?id=2", canonical("http://x.net/es/1"), None), (3, "http://first.org/", None, None)]
+    assert {k: v[3] for k, v in verdicts(tuned, rows).items()} == {1: "block", 2: "block", 3: "block"}
