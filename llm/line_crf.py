@@ -20,9 +20,10 @@ from llm.learning import Adam, labelled, sample, with_texts
 from llm.shape import SPACES, SYMBOLS, base_counts
 
 CONTENT, BOILERPLATE = 0, 1
-# Labelled documents, and lines of each, that the weights are fitted on.
+# Labelled documents that the weights are fitted on.
 TRAIN_DOCUMENTS = 4000
-TRAIN_LINES = 48
+# Padded lines of the chains that are fitted in step.
+BLOCK_LINES = 1 << 16
 MIN_CONTENT = 0.5
 
 LETTERS_UP = bytes(range(0x41, 0x5B))
@@ -98,28 +99,46 @@ class LineCrf:
 
     @classmethod
     def fit(cls, chains: list[np.ndarray], labels: list[np.ndarray], steps: int = 150, ridge: float = 1e-3) -> "LineCrf":
-        """Maximum likelihood with a ridge, all chains in step with one another."""
+        """Maximum likelihood with a ridge, chains of like length in step with one another."""
         if not chains:
             return cls(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
+        blocks = [cls._block([chains[k] for k in own], [labels[k] for k in own]) for own in cls._by_length(chains)]
+        total = sum(on.sum() for _, on, _, _ in blocks)
+        wanted = sum(w for _, _, _, w in blocks)
+        weights = np.zeros(N_FEATURES * 2 + 6)
+        adam = Adam(len(weights), 0.1)
+        for _ in range(steps):
+            crf = cls(*cls._split(weights))
+            expected = sum(crf._expected(x, on, pair) for x, on, pair, _ in blocks)
+            weights = adam.step(weights, (expected - wanted) / total + ridge * weights)
+        return cls(*cls._split(weights))
+
+    @staticmethod
+    def _by_length(chains: list[np.ndarray]) -> Iterator[list[int]]:
+        """Chains of like length together: at most twice as long as the shortest, and ``BLOCK_LINES`` when padded."""
+        own: list[int] = []
+        for k in sorted(range(len(chains)), key=lambda k: len(chains[k])):
+            size = len(chains[k])
+            if own and (size > 2 * len(chains[own[0]]) or size * (len(own) + 1) > BLOCK_LINES):
+                yield own
+                own = []
+            own.append(k)
+        yield own
+
+    @staticmethod
+    def _block(chains: list[np.ndarray], labels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Padded features, places in use, neighbours in use, and the counts that the labels give."""
         n, longest = len(chains), max(map(len, chains))
         x = np.zeros((n, longest, N_FEATURES))
         y = np.zeros((n, longest), dtype=np.int64)
         on = np.zeros((n, longest), dtype=bool)
         for k, (c, t) in enumerate(zip(chains, labels, strict=True)):
             x[k, : len(c)], y[k, : len(c)], on[k, : len(c)] = c, t, True
-        total = on.sum()
         truth = np.eye(2)[y] * on[..., None]
         pair = on[:, 1:] & on[:, :-1]
         moves = np.zeros((2, 2))
         np.add.at(moves, (y[:, :-1][pair], y[:, 1:][pair]), 1)
-        wanted = np.concatenate([np.einsum("nlf,nls->fs", x, truth).ravel(), moves.ravel(), truth[:, 0].sum(axis=0)])
-        weights = np.zeros(N_FEATURES * 2 + 6)
-        adam = Adam(len(weights), 0.1)
-        for _ in range(steps):
-            crf = cls(*cls._split(weights))
-            expected = crf._expected(x, on, pair)
-            weights = adam.step(weights, (expected - wanted) / total + ridge * weights)
-        return cls(*cls._split(weights))
+        return x, on, pair, np.concatenate([np.einsum("nlf,nls->fs", x, truth).ravel(), moves.ravel(), truth[:, 0].sum(axis=0)])
 
     @staticmethod
     def _split(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,13 +169,13 @@ def lines_of(text: str) -> list[bytes]:
     return [line for line in text.encode().split(b"\n") if line.strip(SPACES)]
 
 
-def train(docs: DataFrame, labels: DataFrame, documents: int = TRAIN_DOCUMENTS, lines: int = TRAIN_LINES) -> LineCrf:
-    """Fit on ``lines`` lines of each of ``documents`` labelled documents; without labels all weights are 0."""
+def train(docs: DataFrame, labels: DataFrame, documents: int = TRAIN_DOCUMENTS) -> LineCrf:
+    """Fit on all lines of each of ``documents`` labelled documents; without labels all weights are 0."""
     rows = with_texts(docs, sample(labelled(labels, "quality"), documents))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(d, n, line_features(lines_of(t)[:lines]).astype("<f4").tobytes())
+            out = [(d, n, line_features(lines_of(t)).astype("<f4").tobytes())
                    for d, n, t in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts(batch, "text"), strict=True)]
             if out:
                 ids, ns, data = zip(*out, strict=True)

@@ -101,3 +101,27 @@ def test_awkward(awkward, labels):
 def test_empty_tables(empty, awkward, labels):
     assert line_crf.judge(empty, labels).count() == 0
     assert line_crf.judge(awkward, labels.limit(0)).filter("kept").count() == 1  # the long text
+
+
+def test_training_sees_every_line(tuned, monkeypatch):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    texts = ["\n".join(" ".join(word() for _ in range(5)) for _ in range(n)) + "\nmenu | home | help" * 4 for n in (3, 50, 200, 90)]
+    seen = []
+    monkeypatch.setattr(LineCrf, "fit", classmethod(lambda cls, chains, marks: seen.extend(zip(chains, marks, strict=True))))
+    docs = tuned.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    line_crf.train(docs, tuned.createDataFrame([(k, 0) for k in range(4)], "doc_id long, quality int"))
+    for text, (chain, marks) in zip(texts, seen, strict=True):
+        want = line_crf.line_features(line_crf.lines_of(text)).astype("<f4")
+        assert chain.shape == want.shape and (chain == want).all()
+        assert marks[-4:].all()  # the bars at the end of the text
+
+
+def test_blocks_of_chains_fit_as_one(monkeypatch):
+    rng = np.random.default_rng(13)
+    chains = [rng.random((n, N_FEATURES)) for n in (1, 2, 3, 9, 30, 31, 70, 150)]
+    marks = [(c[:, 1] > 0.5).astype(np.int64) for c in chains]
+    many = LineCrf.fit(chains, marks, steps=20)
+    monkeypatch.setattr(LineCrf, "_by_length", staticmethod(lambda chains: [list(range(len(chains)))]))
+    one = LineCrf.fit(chains, marks, steps=20)
+    assert np.allclose(many.emit, one.emit) and np.allclose(many.move, one.move) and np.allclose(many.first, one.first)
