@@ -1,9 +1,10 @@
 """Self-join of documents by the Jaccard similarity of their word five-grams, through a MinHash LSH forest.
 
 1. Texts with equal shingle sets collapse to one node; only nodes go on.
-2. A node's signature is cut into trees.  Each tree is a sorted trie of prefixes; the matched prefix starts at the tree's
-   full depth and is shortened until ``1 - (1 - threshold ** depth) ** trees`` reaches the target recall.
-3. Inside a trie node (a bucket) all signatures are compared in one task, and only a spanning forest of the pairs that
+2. A node's signature is cut into bands.  The depth of all bands is the largest at which
+   ``1 - (1 - threshold ** depth) ** trees`` reaches the target recall: fixed by these numbers, not by the data.  This is
+   banded MinHash LSH in place of sorted prefix tries.
+3. Among the nodes of one band and prefix (a bucket) all signatures are compared in one task, and only a spanning forest of the pairs that
    may reach the threshold leaves it: rows grow with the members, not with their pairs.
 4. Components of these forests are candidate groups: every pair of one bucket that may be similar lies in one group.
 5. Each group's shingle sets are compared exactly, all pairs, inside tasks.  What leaves is each node's
