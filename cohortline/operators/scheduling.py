@@ -121,7 +121,7 @@ def mark_unscheduled(
         {c: F.when(F.col("_overdue"), F.lit(v)).otherwise(F.col(c)) for c, v in values.items()}
     )
     calendar_rows = unscheduled_patch(admissions, overdue, CALENDAR_DATE, CALENDAR_INTERVIEW)
-    return marked.drop("_overdue"), calendar_rows.drop("child_adaptation_scheduling_flag")
+    return marked.drop("_overdue"), calendar_rows.select("child_service_id", *CALENDAR_PATCH_COLUMNS)
 
 
 def calendar_with(calendar: DataFrame, calendar_rows: DataFrame) -> DataFrame:

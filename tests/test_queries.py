@@ -1,4 +1,4 @@
-"""Every registered query against its SQL in a second engine, on the smallest tables."""
+"""Every registered query against its SQL in a second engine, on two sizes of the tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SF_DIR = Path("/root/testdata/sf0.001")
+SF_DIRS = [Path("/root/testdata/sf0.001"), Path("/root/testdata/sf0.01")]
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -20,16 +20,17 @@ TYPES = {
     "boolean": "BOOLEAN",
 }
 
-pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="needs the driver's tables")
+pytestmark = pytest.mark.skipif(not all(d.exists() for d in SF_DIRS), reason="needs the driver's tables")
 
 
-@pytest.fixture(scope="module")
-def duck():
+@pytest.fixture(scope="module", params=SF_DIRS, ids=lambda d: d.name)
+def tables(request):
+    """A folder of tables, and a connection that shows them as views."""
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
-    for path in sorted(SF_DIR.glob("*.parquet")):
+    for path in sorted(request.param.glob("*.parquet")):
         connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
-    return connection
+    return str(request.param), connection
 
 
 def test_every_query_has_its_sql():
@@ -43,8 +44,9 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(entry.QUERIES))
-def test_query_matches_sql(spark, duck, name):
-    result = entry.queries()[name](spark, str(SF_DIR))
+def test_query_matches_sql(spark, tables, name):
+    sf_dir, duck = tables
+    result = entry.queries()[name](spark, sf_dir)
     cursor = duck.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(result.columns) == sorted(columns)

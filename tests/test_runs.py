@@ -136,7 +136,9 @@ def test_mailings(spark, tables):
     survey = mailings.survey(ended, config, members, "list", "REM", AS_OF, "child_adaptation_end_process_dt")
     assert json.loads(survey.payloads.first().payload)["merge_fields"]["TIPO"] == "REM"
     assert rows(survey.accepted, "email") == [("gia@example.org",), ("hal@example.org",)]
-    assert rows(survey.rejected, "child_service_id", "reject_reason") == [(3, "missing"), (5, "missing")]
+    # Service 1 has two payers, so it is due twice; its second row carries an address that the first already uses.
+    assert rows(survey.rejected, "child_service_id", "reject_reason") == [(1, "repeated"), (3, "missing"), (5, "missing")]
+    assert survey.accepted.count() + survey.rejected.count() == published.count()
 
 
 def test_a_dangling_link_gives_no_id(spark, tables):

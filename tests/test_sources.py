@@ -155,6 +155,18 @@ def test_time_slots(spark):
 def test_staged_tables_lie_in_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     kept = session.staged(spark.range(3).withColumn("part", F.lit(None).cast("string")), "kept")
-    assert all(f.startswith(f"file://{named}/cohortline/kept-") for f in kept.inputFiles())
+    run = spark.conf.get(session.RUN)
+    assert all(f.startswith(f"file://{named}/cohortline/{run}/kept-") for f in kept.inputFiles())
     assert rows(kept, "id") == [(0,), (1,), (2,)]
     assert session.staged(spark.range(0), "empty").count() == 0
+
+
+def test_two_runs_share_no_folder(spark):
+    mine = session.run_dir(spark)
+    kept = session.staged(spark.range(2), "kept")
+    other = spark.newSession()
+    other.conf.unset(session.RUN)
+    assert session.run_dir(other) != mine
+    session.staged(other.range(5), "kept")
+    session.drop_run(other)
+    assert session.run_dir(spark) == mine and kept.count() == 2

@@ -61,7 +61,8 @@ FIRST_ACTIONS = f"""
     FROM action_history SEMI JOIN ({IN_LAST_YEAR}) USING (child_id)
     WHERE action_id = 15 AND period = 1998 AND action_ts >= DATE '1997-07-01' AND action_ts < DATE '1998-03-01'
     GROUP BY ALL"""
-FULL_NAME = "concat_ws(' ', rtrim(first_name) || ' ' || rtrim(last_name), nullif(rtrim(second_last_name), ''))"
+# A name with an unknown first or last part is unknown; only the second surname may be missing.
+FULL_NAME = "rtrim(first_name) || ' ' || rtrim(last_name) || coalesce(' ' || nullif(rtrim(second_last_name), ''), '')"
 ATTENDANCE = """
     SELECT service_id, count(*) FILTER (WHERE 1 IN (day_flag, retail_flag, night_flag)) AS attendance_days
     FROM attendance GROUP BY service_id"""
