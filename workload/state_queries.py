@@ -12,6 +12,7 @@ from cohortline.operators import columns, keys, migrate, outbox, reporting, sche
 from cohortline.plans.admissions import LOAD_DEFAULTS
 from cohortline.session import landing
 from cohortline.sources.readers import TableSpec, flatten_typed_items, read_records_json, read_table
+from cohortline.sources.state import BucketedState
 from cohortline.sources.writers import append_rows, write_documents, write_extract
 from workload import standins as st
 from workload.audience_queries import AS_OF, HOLIDAYS, OLDER_DATE, TEXT_DATE, _difference
@@ -281,6 +282,25 @@ def upsert_patch(spark, sf_dir):
     return keys.upsert_patch(_stored(spark, sf_dir), _incoming(spark, sf_dir), KEY, ["amount"])
 
 
+@query(
+    f"""WITH t AS ({STORED}), i AS ({INCOMING}),
+    put AS (SELECT * FROM t WHERE child_service_id NOT IN (SELECT child_service_id FROM i WHERE child_service_id % 10 = 3)
+            UNION ALL SELECT * FROM i WHERE child_service_id % 10 = 3),
+    patched AS (SELECT p.child_service_id, p.child_id, p.origin,
+                       CASE WHEN i.child_service_id IS NOT NULL THEN i.amount ELSE p.amount END AS amount
+                FROM put p LEFT JOIN i ON i.child_service_id = p.child_service_id AND i.child_id % 5 = 0)
+    SELECT * FROM patched UNION ALL SELECT * FROM i WHERE child_service_id NOT IN (SELECT child_service_id FROM patched)"""
+)
+def bucketed_state(spark, sf_dir):
+    """A stored state in buckets after a put, a patch and an insert by three loads, read back by its last manifest."""
+    incoming = _incoming(spark, sf_dir)
+    state = BucketedState.create(_stored(spark, sf_dir), _landing(spark, "bucketed"), KEY, buckets=16)
+    state.replace(incoming.filter("child_service_id % 10 = 3"))
+    state.patch(incoming.filter("child_id % 5 = 0").select(*KEY, "amount"), ["amount"])
+    state.insert(incoming)
+    return state.read()
+
+
 DOCUMENT_COLUMNS = ["child_service_id", "child_name", "child_educational_guardian_id", "child_adaptation_scheduling_comment"]
 DOCUMENT_SCHEMA = (
     "child_service_id long, child_name string, child_educational_guardian_id long, "
