@@ -75,6 +75,11 @@ def falls_on(ts: Column, day: dt.date) -> Column:
     return (ts >= midnight(day)) & (ts < midnight(day + dt.timedelta(days=1)))
 
 
+def falls_between(ts: Column, first: dt.date, last: dt.date) -> Column:
+    """The timestamp lies on a day of the range; written as a range that a typed scan can prune by."""
+    return (ts >= midnight(first)) & (ts < midnight(last + dt.timedelta(days=1)))
+
+
 def days_from(as_of: dt.date, event: str | Column) -> Column:
     """Signed days from ``as_of`` to the event; negative for past events."""
     return F.datediff(_col(event), F.lit(as_of))

@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import dates
-from cohortline.functions.business_days import business_days_between
+from cohortline.functions.business_days import business_days_between, dates_counting
 from cohortline.functions.text import audience_tag, nonblank, service_day_tag
 from cohortline.operators.columns import require_nonblank, try_casts
 from cohortline.operators.keys import absent_from, first_per_key
+from cohortline.session import staged_observed
+from cohortline.sources.dated import EVENT_DATE, between
 from cohortline.sources.schemas import ENDED_COLUMN, SCHEDULED_COLUMN
 
 # Fixed values.
@@ -105,10 +107,18 @@ def contacts_by_working_days(
     convention: str = "legacy",
     date_col: str = SCHEDULED_COLUMN,
 ) -> DataFrame:
-    """Guardians whose scheduled adaptation was exactly ``days`` working days ago."""
-    contacts = scheduled_contacts(admissions, as_of, days, code, holidays, convention, date_col)
-    due = require_nonblank(contacts.filter(F.col("send_email_flag") == SEND), "child_educational_guardian_email")
-    return due.select(
+    """Guardians whose scheduled adaptation was exactly ``days`` working days ago.
+
+    The days that count so many are one range, so no row's working days are counted.  With ``date_col`` the typed date of a
+    table written by ``write_dated``, only the due partitions are read.
+    """
+    first, last = dates_counting(as_of, -days, holidays, convention)
+    if date_col == EVENT_DATE:
+        due = between(admissions, first, last)
+    else:
+        due = admissions.filter(dates.falls_between(dates.parse_text_ts(date_col), first, last))
+    due = require_nonblank(due.filter(F.col("child_adaptation_scheduling_flag") == "true"), "child_educational_guardian_email")
+    return with_tag(due.select(*_PERSON_COLUMNS), as_of, code).select(
         "child_service_id",
         "current_date",
         F.col("child_educational_guardian_email").alias("email"),
@@ -195,34 +205,26 @@ def with_refusal(
     members: DataFrame,
     audience_id: str,
     email: str = "email",
-    order: Sequence[Column | str] = ("child_service_id", "email"),
+    order: Sequence[str] = ("child_service_id", "email"),
+    row_id: str = "contact_id",
 ) -> DataFrame:
     """Each contact with the reason why the list would refuse it: ``member``, ``repeated`` or NULL.
 
-    The accepted ones are those of ``new_members_only``.  ``contacts`` must be a stored table: the first row of an
-    address is known by its place there.  No window holds an address's rows: its first row is
-    cut before the exchange and joined back.
+    The accepted ones are those of ``new_members_only``.  ``row_id`` names a stored column that tells the contacts apart.  No window
+    holds an address's rows: its first row is cut before the exchange and joined back.
     """
-    place = F.monotonically_increasing_id()
-    keyed = contacts.withColumn("_address", F.lower(F.trim(email))).withColumn("_place", place)
-    first = first_per_key(keyed.select("_address", "_place", *_names(order)), ["_address"], [*order, "_place"])
-    first = first.select(F.col("_address").alias("_of"), F.col("_place").alias("_first"))
+    keyed = contacts.withColumn("_address", F.lower(F.trim(email)))
+    place = F.struct(*order, row_id)
+    first = keyed.groupBy(F.col("_address").alias("_of")).agg(F.min(place)[row_id].alias("_first"))
     listed = members.filter(F.col("audience_id") == audience_id).select(
         F.lower(F.trim("email_address")).alias("_listed")
     )
     known = keyed.join(first, F.col("_address") == F.col("_of"), "left")
     known = known.join(listed.distinct(), F.col("_address") == F.col("_listed"), "left")
-    reason = F.when(F.col("_listed").isNotNull(), "member").when(F.col("_place") != F.col("_first"), "repeated")
+    reason = F.when(F.col("_listed").isNotNull(), "member").when(F.col(row_id) != F.col("_first"), "repeated")
     return known.withColumn("reject_reason", reason).select(*contacts.columns, "reject_reason")
 
 
-def _names(order: Sequence[Column | str]) -> list[str]:
-    """The columns of an order that names columns."""
-    if not all(isinstance(o, str) for o in order):
-        raise TypeError("an order of column names is wanted")
-    return list(order)
-
-
 @dataclass(frozen=True)
 class Campaign:
     """Settings of one campaign; ``threshold_days`` is the positive N of "N days ago"."""
@@ -262,10 +264,10 @@ def load_campaign(config: DataFrame, code: str) -> Campaign:
 def audience_gate(audience: DataFrame, min_rows: int = 0) -> DataFrame:
     """The audience if it has more than ``min_rows`` rows, else nothing.
 
-    The size test stops after ``min_rows + 1`` rows.
+    It is computed once: the job that stages its rows counts them.
     """
-    size = audience.select(F.lit(1).alias("one")).limit(min_rows + 1).agg(F.count("one")).scalar()
-    return audience.filter(size > min_rows)
+    kept, seen = staged_observed(audience, "audience", rows=F.count(F.lit(1)))
+    return kept if seen["rows"] > min_rows else kept.limit(0)
 
 
 def sends_automatically(flag: Column, automatic: Sequence[str] = (AUTOMATIC,)) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.text import nonblank
@@ -39,9 +39,14 @@ def try_casts(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({n: F.col(n).try_cast(t) for n, t in types.items()})
 
 
+def missing_columns(columns: Iterable[str]) -> Column:
+    """The names of the columns that are NULL in a row, or empty text."""
+    return F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+
+
 def split_on_required(df: DataFrame, columns: Iterable[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with all required columns known, and the others with the names of what they miss."""
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    missing = missing_columns(columns)
     marked = df.withColumn("reject_reason", missing)
     complete = marked.filter("reject_reason = ''").drop("reject_reason")
     return complete, marked.filter("reject_reason <> ''")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions import dates
@@ -73,13 +73,19 @@ def monitoring_extract(admissions: DataFrame, control: DataFrame, date_col: str
 
 
 def ingestion_log_row(loaded: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """The audit row of a load, counted in the same job."""
+    """The audit row of a load, by a job of its own; ``counted_log_row`` needs none."""
     return loaded.agg(F.count(F.lit(1)).alias("loaded_rows_value")).select(
         F.lit(loaded_at.strftime("%d/%m/%Y %H:%M:%S")).alias("data_ingestion_process_dt"),
         "loaded_rows_value",
     )
 
 
+def counted_log_row(spark: SparkSession, loaded_rows: int, loaded_at: dt.datetime) -> DataFrame:
+    """The same row from a count that the load's own job has taken."""
+    row = (loaded_at.strftime("%d/%m/%Y %H:%M:%S"), loaded_rows)
+    return spark.createDataFrame([row], "data_ingestion_process_dt string, loaded_rows_value long")
+
+
 def ingestion_log(log: DataFrame) -> DataFrame:
     """The log with its text dates parsed."""
     return log.withColumn("data_ingestion_process_dt", dates.parse_text_ts("data_ingestion_process_dt"))

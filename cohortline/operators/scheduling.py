@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions import dates
-from cohortline.functions.business_days import business_days_between
+from cohortline.functions.business_days import dates_counting
 from cohortline.functions.text import flag, in_list_flag
 from cohortline.operators.columns import fill_defaults
 from cohortline.operators.keys import upsert_patch
@@ -82,8 +82,8 @@ def is_overdue(
     convention: str = "legacy",
 ) -> Column:
     """Still open, and started ``max_wait`` working days ago or attended often enough."""
-    start = F.to_date(dates.as_ts("child_service_start_dt"))
-    waited = business_days_between(F.lit(as_of), start, holidays, convention) <= -max_wait
+    _, last = dates_counting(as_of, -max_wait, holidays, convention)
+    waited = F.to_date(dates.as_ts("child_service_start_dt")) <= F.lit(last)
     attended = F.col("child_attendance_days_value").try_cast("int") >= min_attendance
     return (F.col("child_adaptation_scheduling_flag") == "false") & (waited | attended)
 

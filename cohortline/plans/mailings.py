@@ -7,12 +7,15 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cohortline.operators import audience as au
 from cohortline.operators import journeys
 from cohortline.session import staged
 from cohortline.sources.schemas import ENDED_COLUMN, SCHEDULED_COLUMN
 
+ROW_ID = "contact_id"
+
 
 @dataclass(frozen=True)
 class Mailing:
@@ -28,6 +31,11 @@ class Mailing:
     sends_automatically: bool
 
 
+def _numbered(contacts: DataFrame) -> DataFrame:
+    """The contacts with an id each, to be stored with them."""
+    return contacts.withColumn(ROW_ID, F.monotonically_increasing_id())
+
+
 def _mailing(
     contacts: DataFrame,
     members: DataFrame,
@@ -38,7 +46,7 @@ def _mailing(
 ) -> Mailing:
     """The contacts and what the list says of them are staged: both are one day's share of the
     admissions, and documents and events must come from the same rows."""
-    due = au.audience_gate(staged(contacts, "audience"), min_rows)
+    due = au.audience_gate(_numbered(contacts), min_rows)
     accepted, rejected = _split(due, members, audience_id)
     return Mailing(
         accepted=accepted,
@@ -52,11 +60,15 @@ def _mailing(
 def _split(
     due: DataFrame, members: DataFrame, audience_id: str, order: tuple[str, ...] = ("child_service_id", "email")
 ) -> tuple[DataFrame, DataFrame]:
-    """Contacts that the list accepts, and all others with the reason; together they are all that is due."""
+    """Contacts that the list accepts, and all others with the reason; together they are all that is due.
+
+    A service with two payers is due twice, and its second row is refused as repeated if both have one address.
+    """
     usable, unusable = au.split_contacts(due)
-    judged = staged(au.with_refusal(usable, members, audience_id, order=order), "judged")
-    accepted = judged.filter("reject_reason IS NULL").drop("reject_reason")
-    return accepted, unusable.unionByName(judged.filter("reject_reason IS NOT NULL"))
+    judged = staged(au.with_refusal(usable, members, audience_id, order=order, row_id=ROW_ID), "judged")
+    accepted = judged.filter("reject_reason IS NULL").drop("reject_reason", ROW_ID)
+    refused = judged.filter("reject_reason IS NOT NULL")
+    return accepted, unusable.unionByName(refused).drop(ROW_ID)
 
 
 def reminder(
@@ -115,7 +127,7 @@ def view_survey(
 ) -> Mailing:
     """The recipients of a survey view, typed by one row of the survey types."""
     campaign = au.load_campaign(config, code)
-    due = staged(au.survey_audience(recipients, types, type_id), "audience")
+    due = staged(_numbered(au.survey_audience(recipients, types, type_id)), "audience")
     accepted, rejected = _split(due, members, audience_id, ("tag", "email"))
     return Mailing(
         accepted=accepted,

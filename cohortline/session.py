@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 RUN = "cohortline.run"  # the session's setting that names its run
 
@@ -67,6 +67,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_observed(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``staged``, with aggregates that the writing job itself takes of the rows that it writes."""
+    seen = Observation()
+    kept = staged(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), label)
+    return kept, seen.get
+
+
 def landing(spark: SparkSession, label: str) -> str:
     """A new folder of the run."""
     return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -60,6 +60,11 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return reader.format(spec.format).load(spec.location)
 
 
+def read_runs(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``append_run`` wrote, each run once, with its ``run_id`` as text."""
+    return spark.read.schema(f"{schema}, run_id string").parquet(path)
+
+
 def read_records_json(
     spark: SparkSession, path: str, schema: str | T.StructType, array_files: bool = False
 ) -> DataFrame:

@@ -5,13 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def append_rows(df: DataFrame, path: str, format: str = "parquet") -> None:
-    """Append to a log or event table."""
+    """Append to a log or event table; a repeated call appends again, ``append_run`` does not."""
     df.write.mode("append").format(format).save(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Append a run's rows so that a repeat of the run replaces them.
+
+    Each run has a partition ``run_id`` of its own and overwrites no other.  A run that repeats without any row leaves what it wrote before.
+    """
+    marked = df.withColumn("run_id", F.lit(run_id))
+    marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
 def write_keyed_table(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str) -> None:
     """A state table bucketed by its key: writes by key and joins on it then need no exchange.
 

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortline.functions.business_days import business_days_between, holiday_dates
+from cohortline.functions.business_days import business_days_between, dates_counting, holiday_dates
 
 DAYS = st.dates(dt.date(1995, 1, 1), dt.date(2030, 12, 31))
 HOLIDAYS = [dt.date(y, m, d) for y in range(1996, 2029) for m, d in ((1, 1), (5, 1), (9, 18), (12, 25))]
@@ -78,3 +78,25 @@ def test_holiday_table_is_read_once_per_day(spark):
         [(dt.date(2024, 5, 1),), (dt.date(2024, 1, 1),), (dt.date(2024, 5, 1),), (None,)], "holiday date"
     )
     assert holiday_dates(table) == [dt.date(2024, 1, 1), dt.date(2024, 5, 1)]
+
+
+@pytest.mark.parametrize("convention", ["legacy", "modern"])
+@settings(max_examples=25, deadline=None)
+@given(today=st.dates(dt.date(2020, 6, 1), dt.date(2021, 6, 1)), holidays=st.lists(st.dates(dt.date(2020, 1, 1), dt.date(2021, 12, 31)), max_size=150))
+def test_days_of_a_count_are_one_range(convention, today, holidays):
+    """Over all days of two years: the range holds exactly the days that count so many."""
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=n) for n in range(731)]
+    by_count = {}
+    for day in days:
+        by_count.setdefault(by_numpy(today, day, holidays, convention), []).append(day)
+    for count in sorted(by_count)[1:-1]:  # the outer ones go on beyond the two years
+        first, last = dates_counting(today, count, holidays, convention)
+        assert by_count[count] == [d for d in days if first <= d <= last]
+
+
+def test_a_calendar_of_millennia(spark):
+    """Holidays of far apart years take the same lookup."""
+    holidays = [dt.date(1, 1, 1), dt.date(2024, 1, 1), dt.date(9999, 12, 31)]
+    pairs = [(dt.date(2023, 12, 29), dt.date(2024, 1, 3)), (dt.date(2024, 1, 3), dt.date(2023, 12, 29)), (dt.date(1, 1, 1), dt.date(9999, 12, 31))]
+    want = [by_numpy(a, b, holidays, "legacy") for a, b in pairs]
+    assert counted(spark, pairs, holidays, "legacy") == want

@@ -6,6 +6,7 @@ import os
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from cohortline import session
 from cohortline.operators.keys import duplicate_keys
@@ -14,6 +15,8 @@ from cohortline.plans import admissions as base
 from cohortline.plans import ingestion, mailings, upkeep
 from cohortline.operators import reporting
 from cohortline.sources import schemas as s
+from cohortline.sources.readers import read_runs
+from cohortline.sources.state import BucketedState
 
 AS_OF = dt.date(2024, 3, 15)
 NOW = dt.datetime(2024, 3, 15, 7, 4, 24)
@@ -184,7 +187,7 @@ def test_refused_contacts_have_a_reason(spark):
     contacts = session.staged(
         spark.createDataFrame(
             [(1, "A@b.cl"), (2, "a@b.cl "), (2, "a@b.cl "), (3, "c@d.cl"), (4, "e@f.cl")], "child_service_id long, email string"
-        ),
+        ).withColumn("contact_id", F.monotonically_increasing_id()),
         "contacts",
     )
     members = spark.createDataFrame([("list", "C@d.cl"), ("other", "e@f.cl"), ("list", "c@D.cl")], "audience_id string, email_address string")
@@ -202,3 +205,32 @@ def test_a_finished_run_leaves_nothing(spark):
     assert os.listdir(folder)
     session.drop_run(own)
     assert not os.path.exists(folder) and own.conf.get(session.RUN, None) is None
+
+
+def test_the_job_that_stages_the_rows_counts_them(spark):
+    kept, seen = session.staged_observed(spark.range(10), "counted", rows=F.count(F.lit(1)), odd=F.count_if(F.col("id") % 2 == 1))
+    assert seen == {"rows": 10, "odd": 5} and kept.count() == 10
+    assert session.staged_observed(spark.range(0), "counted", rows=F.count(F.lit(1)))[1] == {"rows": 0}
+    assert session.staged_observed(spark.createDataFrame([], "a long").filter("false"), "counted", rows=F.count(F.lit(1)))[1] == {"rows": 0}
+
+
+def test_a_load_is_counted_by_one_scan(spark, tables):
+    """The log row needs no job: its plan has no scan, and equals a count of the loaded rows."""
+    load = ingestion.ingest_admissions(tables, spark.createDataFrame([], s.ADMISSIONS), AS_OF, NOW, PILOTS)
+    assert (load.rows, load.rejects) == (load.loaded.count() + load.rejected.count(), load.rejected.count())
+    assert rows(load.log) == rows(reporting.ingestion_log_row(load.loaded, NOW))
+    assert "Scan parquet" not in load.log._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_load_stored_twice_changes_nothing(spark, tables):
+    load = ingestion.ingest_admissions(tables, spark.createDataFrame([], s.ADMISSIONS), AS_OF, NOW, PILOTS)
+    stored = spark.createDataFrame([], s.ADMISSIONS).select(load.incoming.columns)
+    state = BucketedState.create(stored, session.landing(spark, "state"), ["child_service_id"], 8)
+    log = session.landing(spark, "log")
+    for _ in range(2):
+        ingestion.store_load(load, state, log, "2024-03-15")
+    assert rows(state.read()) == rows(load.state.select(state.read().columns))
+    written = read_runs(spark, log, "data_ingestion_process_dt string, loaded_rows_value long")
+    assert rows(written) == [("15/03/2024 07:04:24", 3, "2024-03-15")]
+    ingestion.store_load(load, state, log, "2024-03-16")
+    assert written.sparkSession.read.parquet(log).count() == 2

@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from cohortline.functions.business_days import business_days_between
+from cohortline.functions import dates
+from cohortline.functions.business_days import business_days_between, dates_counting
 from cohortline.operators import audience as au
 from cohortline.operators import journeys, slots
 from cohortline.plans import mailings
-from cohortline.session import staged
+from cohortline.session import landing, staged
+from cohortline.sources.dated import EVENT_DATE, EVENT_MONTH, due_in_windows, read_dated, write_dated
 from workload import standins as st
 from workload.registry import query
 
@@ -135,6 +137,43 @@ def contacts_by_working_days(spark, sf_dir):
     return au.contacts_by_working_days(st.admissions(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS, date_col=OLDER_DATE)
 
 
+def _dated(spark, sf_dir):
+    """Admissions stored by the month of their scheduled date."""
+    path, stored = landing(spark, "dated"), st.admissions(spark, sf_dir)
+    write_dated(stored, path, OLDER_DATE, "child_service_id")
+    return read_dated(spark, path, stored.schema)
+
+
+@query(REMINDED, "admissions")
+def contacts_from_due_partitions(spark, sf_dir):
+    return au.contacts_by_working_days(_dated(spark, sf_dir), AS_OF, DAYS, CODE, HOLIDAYS, date_col=EVENT_DATE)
+
+
+@query(
+    f"""SELECT child_service_id, campaign_email_code, event AS event_date
+    FROM (SELECT child_service_id, {TEXT_DATE.format('child_adaptation_scheduling_dt')} AS event FROM admissions) a
+    JOIN campaign_config c ON DATE '1998-06-15' - event = try_cast(c.trigger_threshold_days AS INTEGER)""",
+    "admissions", "campaign_config",
+)
+def due_by_campaign(spark, sf_dir):
+    """Every campaign with what is due for it today, from the partitions that any of them needs."""
+    day = F.date_sub(F.lit(AS_OF), F.col("trigger_threshold_days").try_cast("int"))
+    windows = st.campaign_config(spark, sf_dir).select("campaign_email_code", day.alias("first_day"), day.alias("last_day"))
+    due = due_in_windows(_dated(spark, sf_dir).select("child_service_id", EVENT_DATE, EVENT_MONTH), windows)
+    return due.select("child_service_id", "campaign_email_code", EVENT_DATE)
+
+
+@query(
+    f"""SELECT o_orderkey AS service_id, CAST(o_orderdate AS DATE) AS order_day FROM orders
+    WHERE {_difference('CAST(o_orderdate AS DATE)')} BETWEEN -25 AND -20"""
+)
+def days_by_working_day_count(spark, sf_dir):
+    """Orders 20 to 25 working days ago, by the range of days that count so many."""
+    first, last = dates_counting(AS_OF, -25, HOLIDAYS)[0], dates_counting(AS_OF, -20, HOLIDAYS)[1]
+    due = st.table(spark, sf_dir, "orders").filter(dates.falls_between(F.col("o_orderdate"), first, last))
+    return due.select(F.col("o_orderkey").alias("service_id"), F.to_date("o_orderdate").alias("order_day"))
+
+
 @query(
     f"""SELECT a.child_service_id, a.child_educational_guardian_email AS email,
            coalesce(j.child_adaptation_survey_tag, a.child_service_id || '-1998-06-15') AS tag,
@@ -208,9 +247,10 @@ def usable_contacts(spark, sf_dir):
     "admissions", "members",
 )
 def rejected_contacts(spark, sf_dir):
-    usable, unusable = au.split_contacts(staged(_every_address(spark, sf_dir), "addresses"))
+    numbered = _every_address(spark, sf_dir).withColumn("contact_id", F.monotonically_increasing_id())
+    usable, unusable = au.split_contacts(staged(numbered, "addresses"))
     refused = au.with_refusal(usable, st.members(spark, sf_dir), "journey").filter("reject_reason IS NOT NULL")
-    return unusable.unionByName(refused)
+    return unusable.unionByName(refused).drop("contact_id")
 
 
 @query(_accepted(EVERY_ADDRESS), "admissions", "members")

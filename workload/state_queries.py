@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import dates
 from cohortline.functions.text import clean_email, full_name, in_list_flag
-from cohortline.operators import columns, keys, migrate, outbox, reporting, scheduling
+from cohortline.operators import columns, delivery, keys, migrate, outbox, reporting, scheduling
 from cohortline.plans.admissions import LOAD_DEFAULTS
-from cohortline.session import landing
-from cohortline.sources.readers import TableSpec, flatten_typed_items, read_records_json, read_table
+from cohortline.session import landing, staged, staged_observed
+from cohortline.sources.readers import TableSpec, flatten_typed_items, read_records_json, read_runs, read_table
 from cohortline.sources.state import BucketedState
-from cohortline.sources.writers import append_rows, write_documents, write_extract
+from cohortline.sources.writers import append_rows, append_run, write_documents, write_extract
 from workload import standins as st
 from workload.audience_queries import AS_OF, HOLIDAYS, OLDER_DATE, TEXT_DATE, _difference
 from workload.registry import query
@@ -359,6 +359,20 @@ def append_log(spark, sf_dir):
     return read_table(spark, TableSpec("parquet", path))
 
 
+@query(
+    """SELECT '15/06/1998 07:04:24' AS data_ingestion_process_dt, count(*) AS loaded_rows_value, 'orders-15' AS run_id FROM orders
+    UNION ALL SELECT '16/06/1998 07:04:24', count(*), 'lineitem-16' FROM lineitem"""
+)
+def append_log_again(spark, sf_dir):
+    """Two loads, of which the first runs twice: its row is there once."""
+    path = _landing(spark, "runs")
+    for day, name in ((15, "orders"), (16, "lineitem"), (15, "orders")):
+        rows, seen = staged_observed(st.table(spark, sf_dir, name), "load", rows=F.count(F.lit(1)))
+        row = reporting.counted_log_row(spark, seen["rows"], dt.datetime(1998, 6, day, 7, 4, 24))
+        append_run(row, path, f"{name}-{day}")
+    return read_runs(spark, path, "data_ingestion_process_dt string, loaded_rows_value long")
+
+
 @query(f"SELECT {', '.join(DOCUMENT_COLUMNS)} FROM admissions", "admissions")
 def outbox_items(spark, sf_dir):
     documents = outbox.outbox_items(st.admissions(spark, sf_dir), DOCUMENT_COLUMNS)
@@ -380,6 +394,27 @@ def outbox_batches(spark, sf_dir):
     return rows.select("batch_id", "n_items", "position", "item.*")
 
 
+@query(
+    """SELECT batch_id, count(*) AS n_items, CAST(CASE WHEN batch_id % 3 = 1 THEN 2 ELSE 0 END AS BIGINT) AS n_attempts, batch_id % 3 = 1 AS given_up
+    FROM (SELECT (row_number() OVER (ORDER BY child_service_id) - 1) // 300 AS batch_id FROM admissions)
+    WHERE batch_id % 3 > 0 AND batch_id % 7 <> 1 GROUP BY batch_id""",
+    "admissions",
+)
+def undelivered_batches(spark, sf_dir):
+    """Batches still to send after a run with gaps: every third arrived, a third failed twice, some of these arrived after all, the others were never tried."""
+    batches = delivery.keyed_batches(outbox.outbox_batches(st.admissions(spark, sf_dir), KEY, columns=DOCUMENT_COLUMNS))
+    stored = staged(batches, "batches")
+    path = _landing(spark, "ledger")
+    tried = stored.select("batch_key", "batch_id", F.lit(dt.datetime(1998, 6, 15, 8)).cast("timestamp_ntz").alias("attempted_ts"))
+    first = tried.withColumn("status", F.when(F.expr("batch_id % 3 = 0"), delivery.SENT).when(F.expr("batch_id % 3 = 1"), delivery.FAILED))
+    append_run(first.filter("status IS NOT NULL").drop("batch_id"), path, "morning")
+    again = first.filter("status = 'failed' OR batch_id % 7 = 1").withColumn("status", F.when(F.expr("batch_id % 7 = 1"), delivery.SENT).otherwise(delivery.FAILED))
+    append_run(again.drop("batch_id"), path, "noon")
+    ledger = read_runs(spark, path, delivery.LEDGER)
+    return delivery.due_again(stored, ledger, max_attempts=2).select("batch_id", "n_items", "n_attempts", "given_up")
+
+
+
 @query(
     """SELECT educational_center_code, count(*) AS adaptations_total_Q,
            CAST(sum(CASE WHEN child_adaptation_scheduling_flag = 'wasnt scheduled' THEN 1 ELSE 0 END) AS BIGINT) AS adaptations_not_schedulled_flag,
