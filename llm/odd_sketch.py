@@ -1,10 +1,11 @@
 """Near-duplicate classes by MinHash bands, odd sketches and exact verification.
 
 1. A document's set is its distinct four-word shingles.  Documents with equal sets are one node; only nodes go on.
-2. A node has ``bands * rows`` MinHash samples.  Equal samples of a band are a bucket; a pair at the threshold misses every bucket with a chance of 3 in a million.
-3. All samples are folded into one odd sketch: a bitmap that holds the parity of the samples hashed to each bit.  The number of ones in the XOR of
-   two sketches estimates how many samples differ, most precisely where few do.  Only pairs whose estimate may reach the threshold are candidates.
-4. First a star in each bucket of some bands: its nodes against its first one.  These few pairs connect most of a class.
+2. A node has 24 bands of four MinHash samples.  Equal bands are a bucket; a pair at the threshold misses every bucket with a chance of 3 in a million.
+3. More samples, one for each bin of a single hash (the least hash of the bin), are folded into an odd sketch: a bitmap that holds the parity of the samples
+   that fall on each bit.  The ones in the XOR of two sketches estimate how many samples differ, most precisely where few do; a set of up to a
+   few hundred shingles has nearly all of them in its sketch.  Only pairs whose count of ones is likely at the threshold or above it are candidates.
+4. First the stars: in each bucket the nodes against the one with the first document.  These few pairs connect most of a class.
 5. Then every pair of a bucket whose two nodes are not connected yet: the nodes outside the bucket's largest component against all of its
    nodes.  A large group of near copies is one component by then, so its pairs are never gone through.  Of the candidates the closest pair of each two components
    is verified first, and all that this leaves unconnected after it.
@@ -16,7 +17,6 @@ so hot buckets and leaders split; step 5 deals large buckets into blocks.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,10 +32,9 @@ from llm.jaccard_forest import shingles
 
 WORDS = 4
 PERCENT = 80  # a link shares this part of the union, in hundredths
-BANDS, ROWS, STAR_BANDS = 24, 4, 4
-WORDS64 = 8  # 64-bit words of an odd sketch
-# An estimate below this is nearly five standard deviations from the threshold.
-LEAST_ESTIMATE = 0.6
+BANDS, ROWS = 24, 4
+BINS, BITS = 1024, 1024  # samples and bits of an odd sketch
+DEVIATIONS = 4.5  # so far above what a pair at the threshold shows, a pair is no candidate
 BLOCK = 2048
 
 
@@ -43,51 +42,47 @@ BLOCK = 2048
 class Sketch:
     bands: int = BANDS
     rows: int = ROWS
-    words: int = WORDS64
-    least: float = LEAST_ESTIMATE
+    bins: int = BINS
+    bits: int = BITS
 
-    @property
-    def samples(self) -> int:
-        return self.bands * self.rows
-
-    @property
-    def bits(self) -> int:
-        return 64 * self.words
-
-    def minima(self, keys: np.ndarray) -> np.ndarray:
-        """The MinHash samples of a set of 64-bit hashes."""
+    def band_keys(self, keys: np.ndarray) -> list[int]:
+        """A signed 64-bit key for each band of MinHash samples of a set of 64-bit hashes."""
         rng = np.random.default_rng(20140407)
-        odd = rng.integers(0, 1 << 63, self.samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        mix = rng.integers(0, 1 << 63, self.samples, dtype=np.uint64)
-        least = np.full(self.samples, np.iinfo(np.uint64).max, dtype=np.uint64)
+        odd = rng.integers(0, 1 << 63, self.bands * self.rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        mix = rng.integers(0, 1 << 63, self.bands * self.rows, dtype=np.uint64)
+        least = np.full(self.bands * self.rows, np.iinfo(np.uint64).max, dtype=np.uint64)
         for i in range(0, len(keys), 512):
             least = np.minimum(least, ((keys[i : i + 512, None] ^ mix) * odd).min(axis=0))
-        return least
-
-    def band_keys(self, minima: np.ndarray) -> list[int]:
-        """A signed 64-bit key for each band."""
-        keys = (xxhash.xxh3_64_intdigest(row.tobytes(), seed=k) for k, row in enumerate(minima.reshape(self.bands, self.rows)))
+        keys = (xxhash.xxh3_64_intdigest(row.tobytes(), seed=k) for k, row in enumerate(least.reshape(self.bands, self.rows)))
         return [k - (1 << 64) if k >> 63 else k for k in keys]
 
-    def fold(self, minima: np.ndarray) -> np.ndarray:
-        """The odd sketch of the samples: parities of the samples that fall on each bit."""
-        own = minima + np.arange(1, self.samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        own ^= own >> np.uint64(33)
-        own *= np.uint64(0xFF51AFD7ED558CCD)
-        own ^= own >> np.uint64(33)
-        odd = np.bincount((own % np.uint64(self.bits)).astype(np.int64), minlength=self.bits) & 1
-        return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-    def estimate(self, ones: int) -> float:
-        """The similarity that so many ones in the XOR of two sketches stand for."""
-        if 2 * ones >= self.bits:
-            return -math.inf
-        return 1 + self.bits / (4 * self.samples) * math.log(1 - 2 * ones / self.bits)
-
-    @property
-    def most_ones(self) -> int:
-        """The most ones with which a pair is still a candidate."""
-        return max(n for n in range(self.bits // 2) if self.estimate(n) >= self.least)
+    def fold(self, keys: np.ndarray) -> np.ndarray:
+        """The odd sketch of a set's samples: of each bin of the sorted hashes the least one."""
+        bin_of = keys >> np.uint64(64 - (self.bins - 1).bit_length())
+        samples = keys[np.flatnonzero(np.r_[True, bin_of[1:] != bin_of[:-1]])]
+        samples = (samples ^ (samples >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        place = ((samples ^ (samples >> np.uint64(33))) % np.uint64(self.bits)).astype(np.int64)
+        return np.packbits((np.bincount(place, minlength=self.bits) & 1).astype(np.uint8)).view(np.int64)
+
+    def limit(self, size: np.ndarray, other: np.ndarray, similarity: float = PERCENT / 100, deviations: float = DEVIATIONS) -> np.ndarray:
+        """The most ones that the XOR of two sketches shows, but for so many deviations, if sets of these sizes are so similar."""
+        union = (size + other) / (1 + similarity)
+        filled = self.bins * -np.expm1(-union / self.bins)
+        # Differing bins, drawn from a finite set of shingles; the other set's sample of such a bin is there or not.
+        differ = filled * (1 - similarity)
+        both = -np.expm1(-np.maximum(size, other) / self.bins)
+        spread = (1 + both) ** 2 * differ * similarity * np.maximum(0, 1 - filled / union) + differ * both * (1 - both)
+        toggled = differ * (1 + both)
+        # Toggles that meet on one bit cancel out.
+        once, twice = (1 - 2 / self.bits) ** toggled, (1 - 4 / self.bits) ** toggled
+        variance = self.bits / 4 * (1 - twice) + self.bits**2 / 4 * (twice - once**2) + spread * once**2
+        return np.ceil(self.bits / 2 * (1 - once) + deviations * np.sqrt(np.maximum(variance, 0)))
+
+    def near(self, size: np.ndarray, odd: np.ndarray, other_size: np.ndarray, other_odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs may be linked, by the sizes of their sets and by their sketches, and the ones of their XOR."""
+        ones = np.bitwise_count(odd ^ other_odd).sum(axis=1, dtype=np.int64)
+        fits = 100 * np.minimum(size, other_size) >= PERCENT * np.maximum(size, other_size)
+        return fits & (ones <= self.limit(size, other_size)), ones
 
 
 def _nodes(docs: DataFrame, sketch: Sketch) -> DataFrame:
@@ -100,36 +95,45 @@ def _nodes(docs: DataFrame, sketch: Sketch) -> DataFrame:
                 own = shingles(bytes(text).lower(), WORDS)
                 nodes.append(xxhash.xxh3_128_digest(own.tobytes()))
                 sizes.append(len(own))
-                minima = sketch.minima(own) if len(own) else None
-                keys.append(sketch.band_keys(minima) if len(own) else [])
-                odd.append(sketch.fold(minima).tolist() if len(own) else [])
+                keys.append(sketch.band_keys(own) if len(own) else [])
+                odd.append(sketch.fold(own).tobytes() if len(own) else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("row1"), batch.column("row2"),
-                 pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))],
+                 pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.binary())],
                 names=["doc_id", "row1", "row2", "node", "size", "keys", "odd"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, row1 long, row2 long, node binary, size long, keys array<long>, odd array<long>")
-
-
-def _near(sketch: Sketch, size: Column, odd: Column, other_size: Column, other_odd: Column) -> Column:
-    """Whether two nodes may be linked, by the sizes of their sets and by their sketches."""
-    ones = sum((F.bit_count(odd[k].bitwiseXOR(other_odd[k])) for k in range(sketch.words)), F.lit(0))
-    return (100 * F.least(size, other_size) >= PERCENT * F.greatest(size, other_size)) & (ones <= sketch.most_ones)
+    return docs.mapInArrow(run, "doc_id long, row1 long, row2 long, node binary, size long, keys array<long>, odd binary")
 
 
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _bits(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint64).reshape(len(column), -1)
+
+
 def _stars(shared: DataFrame, nodes: DataFrame, sketch: Sketch) -> DataFrame:
-    """Candidate pairs ``a, b`` of a bucket's first node with each other one, in some bands."""
-    some = shared.filter(F.col("band") < STAR_BANDS).join(nodes.select(F.col("node").alias("of"), "size", "odd"), F.col("node") == F.col("of")).drop("of")
-    lead = some.groupBy("key").agg(F.min(F.struct("node", "size", "odd")).alias("lead"))
-    lead = staged(lead.withColumnRenamed("key", "of"), "odd-leads")
-    met = some.join(lead, F.col("key") == F.col("of")).filter(F.col("node") != F.col("lead.node"))
-    met = met.filter(_near(sketch, F.col("size"), F.col("odd"), F.col("lead.size"), F.col("lead.odd")))
-    return staged(met.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct(), "odd-stars")
+    """Candidate pairs ``a, b``: the node of a bucket's first document with each other one."""
+    some = shared.join(nodes.select(F.col("node").alias("of"), "copy_id"), F.col("node") == F.col("of")).drop("of")
+    place = F.struct(F.col("copy_id").isNull(), "copy_id", "node")
+    lead = staged(some.groupBy(F.col("key").alias("of")).agg(F.min(place)["node"].alias("lead")), "odd-leads")
+    met = shared.join(lead, F.col("key") == F.col("of")).filter("node <> lead")
+    pairs = staged(met.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "odd-pairs")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            number = lambda c: batch.column(c).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            near, _ = sketch.near(number("size_a"), _bits(batch.column("odd_a").to_pylist()), number("size_b"), _bits(batch.column("odd_b").to_pylist()))
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    mine = nodes.select(F.col("node").alias("of_a"), F.col("size").alias("size_a"), F.col("odd").alias("odd_a"))
+    other = nodes.select(F.col("node").alias("of_b"), F.col("size").alias("size_b"), F.col("odd").alias("odd_b"))
+    both = pairs.join(mine, F.col("a") == F.col("of_a")).join(other, F.col("b") == F.col("of_b")).drop("of_a", "of_b")
+    return staged(both.mapInArrow(run, "a binary, b binary"), "odd-stars")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -180,7 +184,6 @@ def _crossing(shared: DataFrame, nodes: DataFrame, label: DataFrame, sketch: Ske
     outside = rows.filter("out").select("*", mine("outer").alias("x"), F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("y"))
     everyone = rows.withColumn("out", F.lit(False)).select("*", F.explode(F.expr("sequence(0L, outer - 1L)")).alias("x"), mine("blocks").alias("y"))
     dealt = outside.unionByName(everyone).select("key", "x", "y", "out", "node", "comp", "size", "odd")
-    most = sketch.most_ones
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
@@ -188,13 +191,11 @@ def _crossing(shared: DataFrame, nodes: DataFrame, label: DataFrame, sketch: Ske
             all_, out = rows[:first], rows[first:]
             if not all_ or not out:  # a block in which this bucket has no node
                 continue
-            odd = np.array([r["odd"] for r in all_], dtype=np.int64).view(np.uint64)
-            size = np.array([r["size"] for r in all_], dtype=np.int64)
+            odd, size = _bits([r["odd"] for r in all_]), np.array([r["size"] for r in all_], dtype=np.int64)
             comp = np.array([xxhash.xxh3_64_intdigest(r["comp"]) for r in all_], dtype=np.uint64)
             found: list[tuple] = []
             for r in out:
-                ones = np.bitwise_count(odd ^ np.array(r["odd"], dtype=np.int64).view(np.uint64)).sum(axis=1)
-                near = (ones <= most) & (100 * np.minimum(size, r["size"]) >= PERCENT * np.maximum(size, r["size"]))
+                near, ones = sketch.near(size, odd, np.int64(r["size"]), _bits([r["odd"]]))
                 near &= comp != np.uint64(xxhash.xxh3_64_intdigest(r["comp"]))
                 for k in np.flatnonzero(near).tolist():
                     found.append((*sorted((r["node"], all_[k]["node"])), int(ones[k])))
@@ -241,7 +242,7 @@ def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK) -> D
     several = staged(every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("of")), "odd-several")
     shared = staged(every.join(several, F.col("key") == F.col("of")).drop("of"), "odd-shared")
     met = shared.select("node").distinct()
-    nearby = staged(nodes.drop("keys", "copy_id").join(met, "node"), "odd-met")
+    nearby = staged(nodes.drop("keys").join(met, "node"), "odd-met")
     wanted = nearby.select("node", F.col("one.row1").alias("m1"), F.col("one.row2").alias("m2"))
     texts = docs.join(wanted, (F.col("row1") == F.col("m1")) & (F.col("row2") == F.col("m2"))).select("node", "text")
     texts = staged(texts, "odd-texts").dropDuplicates(["node"]) if _repeated(rows) else staged(texts, "odd-texts")

@@ -81,29 +81,40 @@ def test_a_chain_of_copies_is_one_class(tuned):
 def test_links_across_components_that_the_stars_leave(tuned, monkeypatch):
     """Without stars, the pairs of step 5 alone connect the classes."""
     rows = corpus()
-    monkeypatch.setattr(odd_sketch, "STAR_BANDS", 0)
+    monkeypatch.setattr(odd_sketch, "_stars", lambda shared, nodes, sketch: shared.selectExpr("node AS a", "node AS b").limit(0))
     assert found(tuned, rows, block=7) == brute(rows)
 
 
-def test_estimate_of_similarity():
-    """The sketch's estimate stays within a tenth of the similarity where that is high."""
-    sketch, rng = Sketch(bands=64, rows=4, words=16), np.random.default_rng(5)
-    for share in (0.8, 0.9, 0.95, 1.0):
-        errors = []
-        for _ in range(30):
-            every = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
-            both = int(1000 * share)
-            half = (1000 - both) // 2
-            a, b = every[: both + half], np.concatenate([every[:both], every[both + half :]])
-            ones = int(np.bitwise_count((sketch.fold(sketch.minima(a)) ^ sketch.fold(sketch.minima(b))).view(np.uint64)).sum())
-            errors.append(sketch.estimate(ones) - len(set(a) & set(b)) / len(set(a) | set(b)))
-        assert abs(np.mean(errors)) < 0.02 and max(map(abs, errors)) < 0.1
-
-
-def test_the_filter_is_far_below_the_threshold():
-    sketch = Sketch()
-    assert sketch.estimate(sketch.most_ones) >= sketch.least > sketch.estimate(sketch.most_ones + 1)
-    assert (1 - 0.8**sketch.rows) ** sketch.bands < 4e-6
+def pair(rng, size, similarity):
+    """Two sorted sets of hashes of about this size and similarity."""
+    both = round(2 * size * similarity / (1 + similarity))
+    every = np.unique(rng.integers(0, 1 << 64, 2 * size - both, dtype=np.uint64))
+    rng.shuffle(every)
+    half = (len(every) - both) // 2
+    return np.sort(every[: both + half]), np.sort(np.concatenate([every[:both], every[both + half :]]))
+
+
+@pytest.mark.parametrize("size", [5, 40, 300, 3000])
+def test_sketches_tell_high_similarities(size):
+    """No pair at the threshold is lost; of those well below it few are taken for candidates, where sets are large enough to tell."""
+    sketch, rng = Sketch(), np.random.default_rng(5)
+
+    def share(similarity):
+        hits = 0
+        for _ in range(200):
+            a, b = pair(rng, size, similarity)
+            near, _ = sketch.near(np.array([len(a)]), sketch.fold(a).view(np.uint64)[None], np.array([len(b)]), sketch.fold(b).view(np.uint64)[None])
+            hits += int(near[0])
+        return hits / 200
+
+    assert share(0.82 if size > 5 else 0.9) == 1
+    assert share(0.5) < (0.05 if size >= 300 else 0.7)
+    if size == 300:
+        assert share(0.7) < 0.5 and share(0.65) < 0.05
+
+
+def test_bands_miss_next_to_nothing():
+    assert (1 - 0.8**odd_sketch.ROWS) ** odd_sketch.BANDS < 4e-6
 
 
 def test_awkward_and_empty(awkward, empty):
