@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortline.functions import dates
 from cohortline.operators.keys import first_per_key
+from cohortline.operators.running import max_before
 from cohortline.session import staged
 
 # Fixed values.
@@ -76,6 +77,20 @@ def first_admission(spells: DataFrame) -> DataFrame:
     return spells.join(returning, ["child_id", "start_dt"], "left_anti")
 
 
+def first_admission_by_moment(spells: DataFrame, start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+    """``first_admission`` of spells that begin at moments instead of on days.
+
+    A spell that begins an hour earlier on the same day is earlier.  A child may have any number of moments, so the running
+    maximum goes over ranges of them (``running.max_before``).  The anti-join is on child and moment, which spreads a hot child as well.
+    """
+    lived = F.col(end).isNull() | (F.col(end) > F.col(start))
+    last = F.when(lived, F.coalesce(F.col(end), F.lit(dates.OPEN_END).cast("timestamp_ntz")))
+    prior = max_before(spells.withColumn("_last", last), "child_id", start, "_last", "spell-moments")
+    month = F.trunc(F.add_months(F.col(start), -1), "MM").cast("timestamp_ntz")
+    returning = prior.filter(F.col("prior") >= month).select("child_id", start)
+    return spells.join(returning, ["child_id", start], "left_anti").select(*spells.columns)
+
+
 def admission_window(as_of: dt.date, lookback_days: int = LOOKBACK_DAYS) -> Column:
     """Started in the window, not cancelled, and no early leaver.
 

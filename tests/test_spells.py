@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from cohortline.operators import spells as sp
+from cohortline.operators.running import max_before
 from cohortline.sources import schemas
 
 AS_OF = dt.date(2024, 3, 15)
@@ -220,3 +221,56 @@ def test_a_spell_without_a_start_is_not_earlier(spark):
     frame = spell_frame(spark, [(1, 7, dt.date(2024, 3, 10), None), (2, 7, None, None)])
     assert rows(sp.first_admission(frame), "service_id") == [(1,), (2,)]
     assert rows(sp.new_admissions(frame, AS_OF), "service_id") == [(1,)]
+
+
+def moments(seed, hot):
+    """Spells with hours: many equal days, some equal moments."""
+    rng = random.Random(seed)
+    data = []
+    for service in range(400):
+        start = dt.datetime(2023, 1, 1) + dt.timedelta(days=rng.randint(0, 500), hours=rng.choice([0, 8, 8, 9, 17]))
+        length = dt.timedelta(days=rng.choice([0, 1, 20, 45, 90, 200]), hours=rng.choice([0, 5]))
+        child = 1 if hot and rng.random() < 0.7 else rng.randint(1, 60)
+        data.append((service, child, None if rng.random() < 0.05 else start, None if rng.random() < 0.05 else start + length))
+    return data
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(1, False), (2, True), (3, True)])
+def test_moments_match_pairwise_checks(spark, seed, hot):
+    spells = moments(seed, hot)
+
+    def month_before(moment):
+        first = moment.replace(day=1, hour=0, minute=0)
+        return (first - dt.timedelta(days=1)).replace(day=1)
+
+    far = dt.datetime(3000, 1, 1)
+    want = {
+        s for s, child, start, _ in spells
+        if start is None or not any(
+            c == child and b is not None and b < start and (e is None or e > b) and (e or far) >= month_before(start) for _, c, b, e in spells
+        )
+    }
+    frame = spark.createDataFrame(spells, "service_id long, child_id long, start_ts timestamp_ntz, end_ts timestamp_ntz").repartition(5)
+    assert {r.service_id for r in sp.first_admission_by_moment(frame).collect()} == want
+    assert sp.first_admission_by_moment(frame.limit(0)).count() == 0
+
+
+def test_running_maximum_over_many_ranges(spark):
+    """One group with most rows fills several ranges, and what each begins with is carried into it."""
+    rng = random.Random(9)
+    data = [(None if k % 50 == 0 else 1 if k % 4 else k % 13, rng.randint(0, 5000) if k % 31 else None, rng.choice([None, rng.randint(0, 10**6)])) for k in range(6000)]
+    frame = spark.createDataFrame(data, "g long, o long, v long").repartition(6)
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = {(r.g, r.o): r.prior for r in max_before(own.createDataFrame(data, "g long, o long, v long"), "g", "o", "v").collect()}
+    want = {}
+    for g in {g for g, _, _ in data if g is not None}:
+        best = None
+        for o in sorted({o for h, o, _ in data if h == g and o is not None}):
+            want[g, o] = best
+            here = [v for h, p, v in data if h == g and p == o and v is not None]
+            best = max([*here, *([best] if best is not None else [])], default=None)
+    assert got == want
+    assert {(r.g, r.o): r.prior for r in max_before(frame, "g", "o", "v").collect()} == want
+    ranges = own.createDataFrame(data, "g long, o long, v long").filter("g = 1 AND o IS NOT NULL").select("g", "o").distinct().repartitionByRange("g", "o")
+    assert ranges.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 1

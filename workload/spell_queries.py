@@ -205,6 +205,27 @@ def first_admission(spark, sf_dir):
     return first.select("service_id", "child_id", "start_dt", "end_dt")
 
 
+MOMENTS = """
+    SELECT service_id, child_id, start_dt + to_hours(CAST(service_id % 24 AS INTEGER)) AS start_ts,
+           end_dt + to_hours(CAST(service_id % 7 AS INTEGER)) AS end_ts FROM spells"""
+
+
+@query(
+    f"""SELECT * FROM ({MOMENTS}) m WHERE NOT EXISTS (
+        SELECT 1 FROM ({MOMENTS}) p WHERE p.child_id = m.child_id AND p.start_ts < m.start_ts AND (p.end_ts IS NULL OR p.end_ts > p.start_ts)
+          AND coalesce(p.end_ts, TIMESTAMP '3000-01-01') >= date_trunc('month', m.start_ts - INTERVAL 1 MONTH))""",
+    "spells",
+)
+def first_admission_by_moment(spark, sf_dir):
+    moments = st.spells(spark, sf_dir).selectExpr(
+        "service_id", "child_id",
+        "CAST(start_dt AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST(service_id % 24 AS INT)) AS start_ts",
+        "CAST(end_dt AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST(service_id % 7 AS INT)) AS end_ts",
+    )
+    return spells.first_admission_by_moment(moments)
+
+
+
 @query(
     f"SELECT service_id, child_id, start_dt, end_dt FROM ({IN_WINDOW})",
     "spells",
