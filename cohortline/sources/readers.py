@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortline.sources.json_arrays import read_json_array_files
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -70,9 +72,11 @@ def read_records_json(
 ) -> DataFrame:
     """JSON records landed as files: one record per line, or with ``array_files`` one array per file.
 
-    Line files split across tasks; array files do not, so land big extracts as many files.
+    Both kinds of files are split across tasks.
     """
-    return spark.read.schema(schema).option("multiLine", array_files).json(path)
+    if array_files:
+        return read_json_array_files(spark, path, schema)
+    return spark.read.schema(schema).json(path)
 
 
 def flatten_typed_items(df: DataFrame, item: str, schema: str | T.StructType) -> DataFrame:

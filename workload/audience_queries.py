@@ -10,6 +10,7 @@ from cohortline.functions import dates
 from cohortline.functions.business_days import business_days_between, dates_counting
 from cohortline.operators import audience as au
 from cohortline.operators import journeys, slots
+from cohortline.operators.holidays import CHILE, expanded, rule_table
 from cohortline.plans import mailings
 from cohortline.session import landing, staged
 from cohortline.sources.dated import EVENT_DATE, EVENT_MONTH, due_in_windows, read_dated, write_dated
@@ -174,6 +175,31 @@ def days_by_working_day_count(spark, sf_dir):
     return due.select(F.col("o_orderkey").alias("service_id"), F.to_date("o_orderdate").alias("order_day"))
 
 
+# The holidays of 1995 to 2001, written out by year where a law moved them.
+PUBLISHED = """
+    SELECT make_date(y, m, k) FROM generate_series(1995, 2001) t(y), (VALUES (1, 1, 2001), (5, 1, 2001), (5, 21, 2001), (6, 29, 1999), (8, 15, 2001),
+        (9, 11, 1998), (9, 18, 2001), (9, 19, 2001), (10, 12, 1999), (11, 1, 2001), (12, 8, 2001), (12, 25, 2001)) f(m, k, until) WHERE y <= until
+    UNION ALL SELECT make_date(y, m, k) + o FROM (VALUES (1995, 4, 16), (1996, 4, 7), (1997, 3, 30), (1998, 4, 12), (1999, 4, 4), (2000, 4, 23),
+        (2001, 4, 15)) e(y, m, k), (VALUES (-2), (-1)) o(o)
+    UNION ALL SELECT unnest([DATE '1995-06-15', DATE '1996-06-06', DATE '1997-05-29', DATE '1998-06-11', DATE '1999-06-03', DATE '2000-06-19', DATE '2001-06-11',
+        DATE '2000-06-26', DATE '2001-07-02', DATE '2000-10-09', DATE '2001-10-15', DATE '1999-09-06', DATE '2000-09-04', DATE '2001-09-03'])"""
+COUNTED_DAYS = f"""
+    SELECT d, sum(CASE WHEN isodow(d) < 6 AND d NOT IN ({PUBLISHED}) THEN 1 ELSE 0 END) OVER (ORDER BY d) AS n
+    FROM (SELECT CAST(unnest(generate_series(DATE '1994-12-31', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d)"""
+
+
+@query(
+    f"""SELECT o_orderkey AS service_id, CAST(today.n - own.n AS INTEGER) AS days_waited
+    FROM orders JOIN ({COUNTED_DAYS}) own ON own.d = CAST(o_orderdate AS DATE) - 1
+    JOIN ({COUNTED_DAYS}) today ON today.d = DATE '1998-06-14'"""
+)
+def working_days_by_rules(spark, sf_dir):
+    """Working days since each order, by the holidays that the country's rules make of the years."""
+    table = expanded(rule_table(spark, CHILE), 1995, 2001)
+    days = business_days_between(F.to_date("o_orderdate"), F.lit(AS_OF), table)
+    return st.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("service_id"), days.alias("days_waited"))
+
+
 @query(
     f"""SELECT a.child_service_id, a.child_educational_guardian_email AS email,
            coalesce(j.child_adaptation_survey_tag, a.child_service_id || '-1998-06-15') AS tag,
