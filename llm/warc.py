@@ -379,16 +379,27 @@ def page_number(record_id: F.Column) -> F.Column:
     return F.substring_index(record_id, ":", -1).try_cast("long")
 
 
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each page of the archives below ``path``, with size and digest of the payload that was read.
+
+    A revisit has those of the response that it refers to, of equal digest by its own header; both are null where no such
+    payload is found, as after damage to the archive.
+    """
+    read = read_archive(spark, path).filter("record_type = 'response'")
+    read = read.select("record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), base32(F.sha1("payload")).alias("payload_digest"))
+    asked = read_archive(spark, path, payload=False).filter("record_type = 'revisit'").select("record_id", "refers_to", F.col("payload_digest").alias("named"))
+    # A page id that the table repeats gives equal records; the pages themselves are all kept.
+    known = read.distinct().withColumnRenamed("record_id", "of")
+    found = asked.join(known, (F.col("refers_to") == F.col("of")) & (F.col("named") == F.col("payload_digest")), "left")
+    columns = lambda kind, refers_to: [
+        page_number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", F.lit(kind).alias("record_type"), page_number(refers_to).alias("refers_to"),
+    ]
+    return read.select(*columns("response", F.lit(None).cast("string"))).unionByName(found.select(*columns("revisit", F.col("refers_to"))))
+
+
 def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Write the archives and read them back: a row for each page."""
+    """Write the archives and read their payloads back: a row for each page."""
     spark = pages.sparkSession
     path = new_dir(spark, "warc")
     archive(pages, path, min_bytes)
-    rows = read_archive(spark, path, payload=False)
-    return rows.select(
-        page_number(F.col("record_id")).alias("page_id"),
-        "payload_bytes",
-        "payload_digest",
-        "record_type",
-        page_number(F.col("refers_to")).alias("refers_to"),
-    )
+    return read_back(spark, path)
