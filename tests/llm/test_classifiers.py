@@ -57,6 +57,40 @@ def test_risk_separates_without_negatives():
     assert (model.scores(rng.normal(-1.5, 1, (500, 3))) < 0.5).mean() > 0.95
 
 
+def test_risk_and_its_slopes_against_enumeration():
+    """The risk row by row, and gradient and curvature by differences of it."""
+    rng = np.random.default_rng(14)
+    pos, unl = (np.hstack([rng.normal(size=(n, 3)), np.ones((n, 1))]) for n in (7, 11))
+    for w in rng.normal(size=(20, 4)) * 3:
+        loss = lambda g: np.log(1 + np.exp(-g))
+        good, bad = ([loss(sign * float(x @ w)) for x in pos] for sign in (1, -1))
+        rest = [loss(-float(x @ w)) for x in unl]
+        assert np.allclose(pu_quality.losses(pos, w), (good, bad))
+        negative = sum(rest) / 11 - 0.6 * sum(bad) / 7
+        risk = 0.6 * sum(good) / 7 + max(0, negative)
+        assert np.allclose(pu_quality.nn_risk(pos, sum(rest) / 11, w, 0.6), (risk, negative))
+        found = pu_quality.slopes(unl, w)
+        total = lambda v: pu_quality.losses(unl, v)[1].sum()
+        eye = np.eye(4) * 1e-4
+        gradient = [(total(w + e) - total(w - e)) / 2e-4 for e in eye]
+        curve = [[(total(w + a + b) - total(w + a - b) - total(w - a + b) + total(w - a - b)) / 4e-8 for a in eye] for b in eye]
+        assert found[0] == 11 and np.allclose(found[1:5], gradient, atol=1e-5) and np.allclose(found[5:].reshape(4, 4), curve, atol=1e-3)
+
+
+def test_every_unlabelled_row_counts(tuned):
+    """Sums over a stored table equal those in memory, and a row outside the fold changes them."""
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(1300, pu_quality.N_FEATURES)).astype("<f4")
+    rows = tuned.createDataFrame([(bytes(v.tobytes()),) for v in x], "x binary").repartition(7)
+    measure = lambda y: pu_quality.slopes(y, np.full(y.shape[1], 0.1))
+    assert np.allclose(pu_quality.Stored(rows).total(measure), pu_quality.Rows(x.astype(float)).total(measure))
+    docs = [(k, "alpha beta gamma delta. " * 30 + f"word{k}") for k in range(200)] + [(1000 + k, "zz 99 | ## " * (k % 7 + 1)) for k in range(200)]
+    labels = tuned.createDataFrame([(k, 1, None) for k in range(0, 200, 3)], "doc_id long, quality int, toxic int")
+    train = lambda d: pu_quality.train(pu_quality.with_features(tuned.createDataFrame(d, "doc_id long, text string")), labels)
+    few, many = train(docs[:320]), train(docs)
+    assert many.prior < few.prior, (few.prior, many.prior)
+
+
 def test_label_model_finds_accuracies_without_labels():
     rng = np.random.default_rng(14)
     y = rng.random(6000) < 0.3
