@@ -7,8 +7,8 @@
    few hundred shingles has nearly all of them in its sketch.  Only pairs whose count of ones is likely at the threshold or above it are candidates.
 4. First the stars: in each bucket the nodes against the one with the first document.  These few pairs connect most of a class.
 5. Then every pair of a bucket whose two nodes are not connected yet: the nodes outside the bucket's largest component against all of its
-   nodes.  A large group of near copies is one component by then, so its pairs are never gone through.  Of the candidates the closest pair of each two components
-   is verified first, and all that this leaves unconnected after it.
+   nodes, in the first bucket that both share.  A large group of near copies is mostly one component by then.  Only nodes with a candidate go on
+   with their texts, and inside a task the closest candidates are verified first, until their components are connected or no candidate is left.
 6. Each candidate pair's full sets decide.  Components of the links are the classes.
 
 A link is left unverified only where its ends are connected anyway.  All groupings combine before they shuffle and are stored before they are joined,
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import only, raw_texts, staged
@@ -36,6 +36,8 @@ BANDS, ROWS = 24, 4
 BINS, BITS = 1024, 1024  # samples and bits of an odd sketch
 DEVIATIONS = 4.5  # so far above what a pair at the threshold shows, a pair is no candidate
 BLOCK = 2048
+# A task of step 5 holds at most about so many bytes of text from each of its two blocks.
+BLOCK_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -98,16 +100,13 @@ def _nodes(docs: DataFrame, sketch: Sketch) -> DataFrame:
                 keys.append(sketch.band_keys(own) if len(own) else [])
                 odd.append(sketch.fold(own).tobytes() if len(own) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("row1"), batch.column("row2"),
+                [batch.column("doc_id").cast(pa.int64()), batch.column("row1"), batch.column("row2"), batch.column("bytes"),
                  pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.binary())],
-                names=["doc_id", "row1", "row2", "node", "size", "keys", "odd"],
+                names=["doc_id", "row1", "row2", "bytes", "node", "size", "keys", "odd"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, row1 long, row2 long, node binary, size long, keys array<long>, odd binary")
-
-
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    rows = docs.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    return rows.mapInArrow(run, "doc_id long, row1 long, row2 long, bytes long, node binary, size long, keys array<long>, odd binary")
 
 
 def _bits(column: list[bytes]) -> np.ndarray:
@@ -136,8 +135,14 @@ def _stars(shared: DataFrame, nodes: DataFrame, sketch: Sketch) -> DataFrame:
     return staged(both.mapInArrow(run, "a binary, b binary"), "odd-stars")
 
 
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets share at least 80 of 100 of their union."""
+    common = len(a) + len(b) - len(np.union1d(a, b))
+    return 100 * common >= PERCENT * (len(a) + len(b) - common)
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose full sets share at least 80 of 100 of their union; ``texts(node, text)``."""
+    """The pairs ``a, b`` that are linked by their full sets; ``texts(node, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
@@ -147,9 +152,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for node, text, other in zip(a, raw_texts(batch, "text_a"), raw_texts(batch, "text_b"), strict=True):
                 if node != last:
                     last, held = node, shingles(bytes(text).lower(), WORDS)
-                mine = shingles(bytes(other).lower(), WORDS)
-                common = len(held) + len(mine) - len(np.union1d(held, mine))
-                keep.append(100 * common >= PERCENT * (len(held) + len(mine) - common))
+                keep.append(linked(held, shingles(bytes(other).lower(), WORDS)))
             chosen = [k for k, yes in enumerate(keep) if yes]
             yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in chosen], pa.binary()), pa.array([b[k] for k in chosen], pa.binary())], names=["a", "b"])
 
@@ -169,42 +172,108 @@ def _labelled(label: DataFrame, links: DataFrame) -> DataFrame:
     return staged(after.select("node", F.coalesce("component", "comp").alias("comp")), "odd-labels")
 
 
-def _crossing(shared: DataFrame, nodes: DataFrame, label: DataFrame, sketch: Sketch, block: int) -> DataFrame:
-    """Candidate pairs ``a, b`` of one bucket and different components, with the ``ones`` of their sketches."""
-    marked = staged(shared.select("key", "node").join(label, "node"), "odd-marked")
-    parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    sizes = parts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    count = lambda n: F.ceil(n / block).cast("long")
-    sizes = sizes.filter("parts > 1").select(F.col("key").alias("of"), "main", count(F.col("all") - F.col("most")).alias("outer"), count(F.col("all")).alias("blocks"))
-    sizes = staged(sizes, "odd-sizes")
-    rows = marked.join(sizes, F.col("key") == F.col("of")).drop("of").withColumn("out", F.col("comp") != F.col("main"))
-    rows = rows.join(nodes.select(F.col("node").alias("of"), "size", "odd"), F.col("node") == F.col("of")).drop("of", "main")
-    # A unit is a block of the nodes outside the main component against a block of all nodes.
+def _dealt(shared: DataFrame, nodes: DataFrame, label: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """Units ``key, x, y`` of the buckets with several components: a block of the nodes outside the largest one (``out``) and a block of all nodes."""
+    known = label.join(nodes.select(F.col("node").alias("of"), "bytes"), F.col("node") == F.col("of")).drop("of")
+    marked = staged(shared.join(known, "node"), "odd-marked")
+    parts = marked.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    most = F.max(F.struct("n", "comp", "bytes"))
+    sizes = parts.groupBy("key").agg(most.alias("most"), F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    count = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / block_bytes), F.lit(1)).cast("long")
+    sizes = sizes.filter("parts > 1").select(
+        F.col("key").alias("of"), F.col("most.comp").alias("main"), count(F.col("n"), F.col("bytes")).alias("blocks"),
+        count(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("outer"),
+    )
+    rows = marked.join(staged(sizes, "odd-sizes"), F.col("key") == F.col("of")).withColumn("out", F.col("comp") != F.col("main"))
     mine = lambda n: F.expr(f"pmod(xxhash64(node), {n})")
     outside = rows.filter("out").select("*", mine("outer").alias("x"), F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("y"))
     everyone = rows.withColumn("out", F.lit(False)).select("*", F.explode(F.expr("sequence(0L, outer - 1L)")).alias("x"), mine("blocks").alias("y"))
-    dealt = outside.unionByName(everyone).select("key", "x", "y", "out", "node", "comp", "size", "odd")
+    return outside.unionByName(everyone).select("key", "band", "x", "y", "out", "node", "comp")
+
+
+class _Unit:
+    """The rows of one unit, and which of its pairs are candidates."""
+
+    def __init__(self, rows: list[dict], sketch: Sketch) -> None:
+        first = next((k for k, r in enumerate(rows) if r["out"]), len(rows))
+        self.all, self.out, self.sketch, self.band = rows[:first], rows[first:], sketch, rows[0]["band"]
+        if self.all:
+            self.odd, self.keys = _bits([r["odd"] for r in self.all]), np.array([r["keys"] for r in self.all], dtype=np.int64)
+            self.size = np.array([r["size"] for r in self.all], dtype=np.int64)
+            self.comp = np.array([xxhash.xxh3_64_intdigest(r["comp"]) for r in self.all], dtype=np.uint64)
+
+    def candidates(self, r: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Places among all nodes, and the ones of the sketches, of a row's candidates of which this is the first common bucket."""
+        if not self.all:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        near, ones = self.sketch.near(self.size, self.odd, np.int64(r["size"]), _bits([r["odd"]]))
+        near &= self.comp != np.uint64(xxhash.xxh3_64_intdigest(r["comp"]))
+        near[near] = (self.keys[near] == np.array(r["keys"], dtype=np.int64)).argmax(axis=1) == self.band
+        found = np.flatnonzero(near)
+        return found, ones[found]
+
+
+def _with_candidates(units: DataFrame, nodes: DataFrame, sketch: Sketch) -> DataFrame:
+    """The rows of the units that have a candidate there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _grouped(batches):
-            first = next((k for k, r in enumerate(rows) if r["out"]), len(rows))
-            all_, out = rows[:first], rows[first:]
-            if not all_ or not out:  # a block in which this bucket has no node
-                continue
-            odd, size = _bits([r["odd"] for r in all_]), np.array([r["size"] for r in all_], dtype=np.int64)
-            comp = np.array([xxhash.xxh3_64_intdigest(r["comp"]) for r in all_], dtype=np.uint64)
-            found: list[tuple] = []
-            for r in out:
-                near, ones = sketch.near(size, odd, np.int64(r["size"]), _bits([r["odd"]]))
-                near &= comp != np.uint64(xxhash.xxh3_64_intdigest(r["comp"]))
-                for k in np.flatnonzero(near).tolist():
-                    found.append((*sorted((r["node"], all_[k]["node"])), int(ones[k])))
-            if found:
-                a, b, n = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], names=["a", "b", "ones"])
-
-    dealt = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "out")
-    return dealt.mapInArrow(run, "a binary, b binary, ones long").distinct()
+            unit, keep = _Unit(rows, sketch), []
+            met = np.zeros(len(unit.all), dtype=bool)
+            for r in unit.out:
+                found, _ = unit.candidates(r)
+                met[found] = True
+                if len(found):
+                    keep.append(r)
+            keep += [unit.all[k] for k in np.flatnonzero(met).tolist()]
+            if keep:
+                kinds = (("key", pa.int64()), ("band", pa.int32()), ("x", pa.int64()), ("y", pa.int64()), ("out", pa.bool_()), ("node", pa.binary()), ("comp", pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in keep], t) for c, t in kinds], names=[c for c, _ in kinds])
+
+    return _in_units(units, nodes).mapInArrow(run, "key long, band int, x long, y long, out boolean, node binary, comp binary")
+
+
+def _in_units(units: DataFrame, nodes: DataFrame, *more: str) -> DataFrame:
+    """The units' rows with what is known of their nodes, each unit whole and its outer nodes last."""
+    known = nodes.select(F.col("node").alias("of"), "size", "odd", "keys", *more)
+    rows = units.join(known, F.col("node") == F.col("of")).drop("of")
+    return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "out", "node")
+
+
+def _linked(units: DataFrame, nodes: DataFrame, sketch: Sketch) -> DataFrame:
+    """Links ``a, b`` that connect the components of each unit as all of its links would; ``nodes`` with their ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _grouped(batches):
+            unit, pairs = _Unit(rows, sketch), []
+            for i, r in enumerate(unit.out):
+                found, ones = unit.candidates(r)
+                pairs += zip(ones.tolist(), [i] * len(found), found.tolist(), strict=True)
+            root: dict[bytes, bytes] = {}
+            sets: dict[bytes, np.ndarray] = {}
+
+            def find(c: bytes) -> bytes:
+                while (up := root.get(c, c)) != c:  # noqa: B023
+                    c = up
+                return c
+
+            def set_of(r: dict) -> np.ndarray:
+                if r["node"] not in sets:  # noqa: B023
+                    sets[r["node"]] = shingles(r["text"].encode().lower(), WORDS)  # noqa: B023
+                return sets[r["node"]]  # noqa: B023
+
+            links = []
+            for _, i, k in sorted(pairs):
+                left, right = unit.out[i], unit.all[k]
+                c, d = find(left["comp"]), find(right["comp"])
+                if c != d and linked(set_of(left), set_of(right)):
+                    root[max(c, d)] = min(c, d)
+                    links.append((left["node"], right["node"]))
+            if links:
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return _in_units(units, nodes, "text").mapInArrow(run, "a binary, b binary")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
@@ -221,7 +290,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
         yield rows
 
 
-def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK) -> DataFrame:
+def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row ``doc_id, n_shingles, component_id, kept`` for each row of ``docs(doc_id, text)``.
 
     ``n_shingles`` is the size of the document's set (one to three words are one shingle), ``component_id`` the smallest ``doc_id`` that links lead to, its own
@@ -233,7 +302,7 @@ def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK) -> D
     rows = staged(_nodes(docs, sketch), "odd-rows")
     nodes = rows.filter("size > 0").groupBy("node").agg(
         F.min("doc_id").alias("copy_id"), F.min(F.struct("row1", "row2")).alias("one"), F.first("size").alias("size"),
-        F.first("keys").alias("keys"), F.first("odd").alias("odd"),
+        F.first("keys").alias("keys"), F.first("odd").alias("odd"), F.max("bytes").alias("bytes"),
     )
     nodes = staged(nodes, "odd-nodes")
 
@@ -242,7 +311,7 @@ def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK) -> D
     several = staged(every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("of")), "odd-several")
     shared = staged(every.join(several, F.col("key") == F.col("of")).drop("of"), "odd-shared")
     met = shared.select("node").distinct()
-    nearby = staged(nodes.drop("keys").join(met, "node"), "odd-met")
+    nearby = staged(nodes.join(met, "node"), "odd-met")
     wanted = nearby.select("node", F.col("one.row1").alias("m1"), F.col("one.row2").alias("m2"))
     texts = docs.join(wanted, (F.col("row1") == F.col("m1")) & (F.col("row2") == F.col("m2"))).select("node", "text")
     texts = staged(texts, "odd-texts").dropDuplicates(["node"]) if _repeated(rows) else staged(texts, "odd-texts")
@@ -251,14 +320,11 @@ def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK) -> D
     stars = _stars(shared, nearby, sketch)
     label = _labelled(label, verified(stars, texts))
 
-    left = _crossing(shared, nearby, label, sketch, block)
-    left = staged(left.join(stars.select(*_ordered("a", "b")), ["a", "b"], "left_anti"), "odd-crossing")
-    if not left.isEmpty():
-        closest = _between(left, label).groupBy("ca", "cb").agg(F.min(F.struct("ones", "a", "b")).alias("one"))
-        closest = staged(closest.select("one.a", "one.b"), "odd-closest")
-        label = _labelled(label, verified(closest, texts))
-        rest = _between(left, label).join(closest, ["a", "b"], "left_anti").select("a", "b")
-        label = _labelled(label, verified(staged(rest, "odd-rest"), texts))
+    units = staged(_with_candidates(_dealt(shared, nearby, label, block, block_bytes), nearby, sketch), "odd-units")
+    if not units.isEmpty():
+        asked = units.select("node").distinct()
+        known = staged(nearby.join(asked, "node").join(texts, "node"), "odd-asked")
+        label = _labelled(label, staged(_linked(units, known, sketch), "odd-links"))
 
     own = nodes.select("node", "copy_id").join(label.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     own = staged(own.select("node", "copy_id", F.coalesce("comp", "node").alias("comp")), "odd-own")
@@ -269,14 +335,6 @@ def classes(docs: DataFrame, sketch: Sketch = Sketch(), block: int = BLOCK) -> D
     return found.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _between(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components, with these."""
-    left = label.select(F.col("node").alias("a"), F.col("comp").alias("x"))
-    right = label.select(F.col("node").alias("b"), F.col("comp").alias("y"))
-    found = pairs.join(left, "a").join(right, "b").filter("x <> y")
-    return found.select("a", "b", "ones", F.least("x", "y").alias("ca"), F.greatest("x", "y").alias("cb"))
-
-
 def _repeated(rows: DataFrame) -> bool:
     """Whether the table holds a row more than once."""
     return not rows.groupBy("row1", "row2").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()

@@ -60,10 +60,10 @@ def found(spark, rows, **options):
     return sorted(repr(tuple(r)) for r in odd_sketch.classes(docs, **options).collect())
 
 
-@pytest.mark.parametrize("block", [2048, 5])
-def test_classes(tuned, block):
+@pytest.mark.parametrize(("block", "block_bytes"), [(2048, odd_sketch.BLOCK_BYTES), (5, odd_sketch.BLOCK_BYTES), (2048, 3000)])
+def test_classes(tuned, block, block_bytes):
     rows = corpus()
-    assert found(tuned, rows, block=block) == brute(rows)
+    assert found(tuned, rows, block=block, block_bytes=block_bytes) == brute(rows)
 
 
 def test_a_chain_of_copies_is_one_class(tuned):
