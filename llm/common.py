@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 
 from cohortline.session import landing, staged  # noqa: F401
 
-# Rows in one Arrow batch: a batch of the longest texts stays within a worker's memory.
+# Rows and bytes in one Arrow batch: a batch of the longest texts stays within a worker's memory.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 ROOT = str(Path(__file__).resolve().parents[1])
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Small Arrow batches, skew joins on, and workers that find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
@@ -76,6 +79,18 @@ def raw_texts(batch: pa.RecordBatch, column: str) -> Iterator[memoryview]:
         yield memoryview(v.as_buffer() if v.is_valid else b"")
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the operator's own names, so that no extra column can clash."""
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from llm.common import only, texts
-from llm.tokens import DEFAULT_VOCABULARY, encoder
+from llm.tokens import DEFAULT_VOCABULARY, REMEMBERED, encoder
 
 CAPACITY = 1024
 # Remainders that wait in a task's buffer before they are packed.
@@ -147,20 +147,21 @@ def pack_documents(
     end_id: int | None = 0,
     waiting: int = WAITING,
     with_ids: bool = True,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """A row for each piece of ``docs(doc_id, text)``: where it lies in its document and sequence.
 
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit integers (left out without
     ``with_ids``).  Null text is the empty text: a piece with the end id alone.  Rows with a null or
     repeated ``doc_id`` are packed like all others, other columns are ignored, and an empty table
-    gives no rows.
+    gives no rows.  ``remembered`` bounds the distinct words that a worker keeps encoded.
     """
     schema = PIECES if with_ids else pa.schema(list(PIECES)[:-1])
     ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(capacity, waiting, TaskContext.get().partitionId() * SEQUENCES, with_ids)
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, remembered)
         end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
 
         def out() -> pa.RecordBatch:

