@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import only, raw_texts, staged
+from llm.common import free, only, raw_texts, staged
 from llm.components import components
 
 WORDS = 5
@@ -39,6 +39,7 @@ BLOCK_BYTES = 16 << 20
 # standard deviations below it).
 MAYBE = 0.64
 REMEMBERED = 300_000
+MATRIX_BYTES = 64 << 20
 
 
 class WordHashes(dict):
@@ -228,7 +229,9 @@ def _candidates(units: DataFrame, maybe: float) -> DataFrame:
     return sorted_units.mapInArrow(run, "a binary, b binary")
 
 
-def exact_links(sets: list[np.ndarray], threshold: float, blocks: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def exact_links(
+    sets: list[np.ndarray], threshold: float, blocks: np.ndarray | None = None, matrix_bytes: int = MATRIX_BYTES
+) -> Iterator[tuple[int, np.ndarray]]:
     """For each set, the later sets whose Jaccard similarity reaches the threshold."""
     n = len(sets)
     size = np.array([len(s) for s in sets], dtype=np.int64)
@@ -239,9 +242,21 @@ def exact_links(sets: list[np.ndarray], threshold: float, blocks: np.ndarray | N
     place = np.cumsum(shared) - 1
     keep = shared[column]
     owner, column = owner[keep], place[column[keep]]
-    width = int(shared.sum() + 63) // 64
-    words = np.zeros((n, max(1, width)), dtype=np.uint64)
-    np.bitwise_or.at(words, (owner, column >> 6), np.uint64(1) << (column & 63).astype(np.uint64))
+    total = int(shared.sum())
+    # The bits of some shared shingles at a time, so that the matrix of sets and shingles has a bound in bytes.
+    step = max(64, 8 * matrix_bytes // max(1, n) // 64 * 64)
+    parts = []
+    for first in range(0, max(1, total), step):
+        own = (column >= first) & (column < first + step)
+        at = column[own] - first
+        words = np.zeros((n, max(1, (min(step, total - first) + 63) // 64)), dtype=np.uint64)
+        np.bitwise_or.at(words, (owner[own], at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+        if total <= step:
+            parts.append(words)
+            break
+        held = np.zeros((n, n), dtype=np.int32) if first == 0 else held
+        for i in range(n - 1):
+            held[i, i + 1 :] += np.bitwise_count(words[i + 1 :] & words[i]).sum(axis=1, dtype=np.int32)
     for i in range(n - 1):
         ratio = np.minimum(size[i], size[i + 1 :]) >= threshold * np.maximum(size[i], size[i + 1 :]) - 1e-9
         if blocks is not None:
@@ -249,7 +264,7 @@ def exact_links(sets: list[np.ndarray], threshold: float, blocks: np.ndarray | N
         later = np.flatnonzero(ratio) + i + 1
         if not len(later):
             continue
-        common = np.bitwise_count(words[later] & words[i]).sum(axis=1, dtype=np.int64)
+        common = np.bitwise_count(words[later] & words[i]).sum(axis=1, dtype=np.int64) if parts else held[i, later].astype(np.int64)
         yield i, later[common >= threshold * (size[i] + size[later] - common) - 1e-9]
 
 
@@ -353,9 +368,10 @@ def representatives(docs: DataFrame, forest: Forest = Forest(), block: int = BLO
     member = same.join(own.select("of", "component"), F.col("node") == F.col("of"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row1", "row2", "n")).alias("one")
     keep = staged(member.groupBy("component").agg(first).select("one.row1", "one.row2", "one.n"), "forest-kept")
-    keep = keep.withColumnsRenamed({"row1": "__m1", "row2": "__m2", "n": "__n"})
-    every = docs.withColumn("__row1", F.xxhash64("doc_id", "text")).withColumn("__row2", F.xxhash64("text", "doc_id", F.lit(1)))
-    found = every.join(keep.hint("shuffle_hash"), (F.col("__row1") == F.col("__m1")) & (F.col("__row2") == F.col("__m2")))
-    if not keep.filter("__n > 1").isEmpty():  # a row that the table holds more than once
-        found = found.dropDuplicates(["__row1", "__row2"])
+    row1, row2, m1, m2, n = free(docs, "__row1", "__row2", "__m1", "__m2", "__n")
+    keep = keep.withColumnsRenamed({"row1": m1, "row2": m2, "n": n})
+    every = docs.withColumn(row1, F.xxhash64("doc_id", "text")).withColumn(row2, F.xxhash64("text", "doc_id", F.lit(1)))
+    found = every.join(keep.hint("shuffle_hash"), (F.col(row1) == F.col(m1)) & (F.col(row2) == F.col(m2)))
+    if not keep.filter(F.col(n) > 1).isEmpty():  # a row that the table holds more than once
+        found = found.dropDuplicates([row1, row2])
     return found.select(*docs.columns)

@@ -70,6 +70,22 @@ def test_exact_links():
     assert found == {(i, j) for i in range(60) for j in range(i + 1, 60) if len(own[i] & own[j]) >= 0.6 * len(own[i] | own[j])}
 
 
+def test_exact_links_in_parts():
+    """A bound on the matrix changes nothing."""
+    rng = random.Random(22)
+    sets = [np.unique(np.array(rng.sample(range(3000), rng.randint(400, 2500)), dtype=np.uint64)) for _ in range(20)]
+    blocks = np.array([k % 3 for k in range(20)])
+    for own in (None, blocks):
+        whole = [(i, js.tolist()) for i, js in exact_links(sets, 0.3, own)]
+        assert [(i, js.tolist()) for i, js in exact_links(sets, 0.3, own, matrix_bytes=20 * 16)] == whole and any(js for _, js in whole)
+
+
+def test_columns_of_any_name_come_through(tuned):
+    docs = tuned.createDataFrame([(k, f"a b c d e f g{k // 2}", k) for k in range(6)], "doc_id long, text string, __row1 long").withColumn("__m2", jaccard_forest.F.lit(7))
+    kept = jaccard_forest.representatives(docs)
+    assert sorted(tuple(r) for r in kept.collect()) == [(k, f"a b c d e f g{k // 2}", k, 7) for k in (0, 2, 4)]
+
+
 def test_shingles():
     assert len(shingles(b"")) == 0 and len(shingles(b"a b")) == 1 and len(shingles(b"a b c d e f")) == 2
     assert (shingles(b"a b c d e a b c d e") == shingles(b"a b c d e a b c d e a b c d e")).all()
