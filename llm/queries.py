@@ -75,8 +75,11 @@ def op6_weak_toxicity(spark, sf_dir):
 
 @query()
 def op7_suffix_dedup(spark, sf_dir):
-    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), text=False)
-    return found.selectExpr("doc_id", "n_bytes", "n_removed", "cast(size(spans) as long) AS n_spans", "kept_sha256")
+    """Besides the digest columns the text that is left; a byte of a character that a cut splits is shown as U+FFFD."""
+    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.selectExpr(
+        "doc_id", "n_bytes", "n_removed", "cast(size(spans) as long) AS n_spans", "kept_sha256", "make_valid_utf8(cast(kept as string)) AS text"
+    )
 
 
 @query()

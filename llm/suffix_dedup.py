@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import only, raw_texts, staged
+from llm.common import free, only, raw_texts, staged
 from llm.shape import SPACES
 from llm.suffix_sort import deep_shallow
 
@@ -278,7 +278,8 @@ def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX,
     met = rows.groupBy(F.col("anchor").alias("of")).agg(
         F.sum(n_places).alias("n"), F.min("context1").alias("c1"), F.max("context1").alias("c2")
     )
-    met = met.filter("n > 1").select("of", (F.col("c1") != F.col("c2")).alias("mixed"))
+    # Stored before it is joined, so that Spark can split a hot anchor.
+    met = staged(met.filter("n > 1").select("of", (F.col("c1") != F.col("c2")).alias("mixed")), "anchors-met")
     again = staged(rows.join(met, F.col("anchor") == F.col("of")).drop("of"), "anchors-again")
 
     places = F.concat(F.array("place"), F.coalesce("more", F.array().cast("array<long>")))
@@ -294,7 +295,7 @@ def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX,
     full = mixed.join(contexts.filter("seen > 1").select(*keys.values()), [F.col(k) == F.col(v) for k, v in keys.items()])
     full = full.select("row1", "row2", F.explode(around).alias("s"))
 
-    size = contexts.groupBy(F.col("a").alias("of")).agg(F.count("*").alias("n"))
+    size = staged(contexts.groupBy(F.col("a").alias("of")).agg(F.count("*").alias("n")), "contexts-size")
     chosen = contexts.join(size, F.col("a") == F.col("of")).select(
         F.col("a").alias("anchor"), "seen", F.col("one.row1").alias("row1"), F.col("one.row2").alias("row2"), F.col("one.place").alias("place"), "n"
     )
@@ -321,12 +322,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _joined(docs: DataFrame, found: DataFrame, *fields: str) -> DataFrame:
     key1, key2 = _keys()
-    by_row = found.groupBy(F.col("row1").alias("__own1"), F.col("row2").alias("__own2")).agg(F.collect_set(F.struct(*fields)).alias("__cut"))
-    return docs.join(by_row.hint("shuffle_hash"), (key1 == F.col("__own1")) & (key2 == F.col("__own2")), "left").drop("__own1", "__own2")
+    own1, own2 = free(docs, "__own1", "__own2")
+    by_row = found.groupBy(F.col("row1").alias(own1), F.col("row2").alias(own2)).agg(F.collect_set(F.struct(*fields)).alias(cut_name(docs)))
+    return docs.join(by_row.hint("shuffle_hash"), (key1 == F.col(own1)) & (key2 == F.col(own2)), "left").drop(own1, own2)
+
+
+def cut_name(docs: DataFrame) -> str:
+    """The column of repeated stretches that ``docs`` is given."""
+    return free(docs, "__cut")[0]
 
 
 def _with_cuts(docs: DataFrame, length: int, group_max: int) -> DataFrame:
-    """``docs`` with ``__cut``: all repeated stretches of its text."""
+    """``docs`` with all repeated stretches of its text."""
     return _joined(docs, stretches(_keyed(docs), length, group_max), "first", "stop")
 
 
@@ -383,7 +390,7 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX)
     def shorter(text, cut):
         return text.combine(cut, lambda t, c: t if t is None or c is None else cut_out(t.encode(), c)[1].decode(errors="ignore"))
 
-    return _with_cuts(docs, length, group_max).withColumn("text", shorter("text", "__cut")).select(*docs.columns)
+    return _with_cuts(docs, length, group_max).withColumn("text", shorter("text", cut_name(docs))).select(*docs.columns)
 
 
 def passage_spans(raw: bytes, cut: list) -> list[dict]:
@@ -410,7 +417,7 @@ def cut_passages(docs: DataFrame, words: int = WORDS, length: int = LENGTH, grou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left = []
-            for t, c in zip(batch.column("text").to_pylist(), batch.column("__cut").to_pylist(), strict=True):
+            for t, c in zip(batch.column("text").to_pylist(), batch.column(cut).to_pylist(), strict=True):
                 if t is not None and c is not None:
                     raw = t.encode()
                     t = cut_out(raw, passage_spans(raw, c))[1].decode(errors="ignore")
@@ -418,5 +425,5 @@ def cut_passages(docs: DataFrame, words: int = WORDS, length: int = LENGTH, grou
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "text", pa.array(left, batch.schema.field(at).type)).select(docs_columns)
 
-    docs_columns = docs.columns
+    docs_columns, cut = docs.columns, cut_name(docs)
     return _joined(docs, found, "words", "first", "stop").mapInArrow(run, docs.schema)

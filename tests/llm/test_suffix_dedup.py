@@ -175,3 +175,11 @@ def test_passages_keep_rows_and_columns(awkward, empty):
     by_id = {r.doc_id: r.text for r in cut.filter("doc_id IS NOT NULL").collect()}
     assert by_id[8] == "" and by_id[9] == "" and by_id[3] is None and by_id[2] == "a b c d e f g"
     assert suffix_dedup.cut_passages(empty).count() == 0
+
+
+def test_extra_columns_come_through(tuned):
+    words = " ".join(f"word{k}" for k in range(60))
+    docs = tuned.createDataFrame([(k, f"begin{k} {words} end{k}", k) for k in range(3)], "doc_id long, text string, __cut long").withColumn("__own1", suffix_dedup.F.lit("x"))
+    for cut in (suffix_dedup.cut_passages(docs), suffix_dedup.cut_texts(docs, length=80)):
+        assert cut.columns == docs.columns
+        assert all((r["__cut"], r["__own1"]) == (r.doc_id, "x") and "word30" not in r.text for r in cut.collect())
