@@ -40,7 +40,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 token ids: a row for each piece, with its ids."""
     prepare(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, remembered=200_000)
 
 
 STAGES = [
