@@ -1,13 +1,14 @@
 """Self-join of documents by the Jaccard similarity of their word five-grams, through a MinHash LSH forest.
 
 1. Texts with equal shingle sets collapse to one node; only nodes go on.
-2. A node's signature is cut into bands.  The depth of all bands is the largest at which
-   ``1 - (1 - threshold ** depth) ** trees`` reaches the target recall: fixed by these numbers, not by the data.  This is
-   banded MinHash LSH in place of sorted prefix tries.
-3. Among the nodes of one band and prefix (a bucket) all signatures are compared in one task, and only a spanning forest of the pairs that
+2. A node's signature is a path of six hashes in each of 21 prefix tries.  Each trie's paths are sorted over range partitions, so the nodes below one
+   trie node are neighbours, and the common prefix of neighbours tells how deep they part.  Paths that share less than the least depth with both neighbours go no further.
+3. All tries are matched at full depth first.  Then matched prefixes are shortened, one trie after the other, until the expected recall at the threshold
+   reaches the target.  Each time that trie is shortened which brings the fewest additional pairs of the data for the recall that it adds.
+4. Among the nodes of one trie and prefix (a bucket) all signatures are compared in one task, and only a spanning forest of the pairs that
    may reach the threshold leaves it: rows grow with the members, not with their pairs.
-4. Components of these forests are candidate groups: every pair of one bucket that may be similar lies in one group.
-5. Each group's shingle sets are compared exactly, all pairs, inside tasks.  What leaves is each node's
+5. Components of these forests are candidate groups: every pair of one bucket that may be similar lies in one group.
+6. Each group's shingle sets are compared exactly, all pairs, inside tasks.  What leaves is each node's
    number of links and again a spanning forest, whose components are the classes.
 
 A bucket or group of more than ``block`` nodes is dealt into blocks, and each pair of blocks is a unit of its own, so no
@@ -16,6 +17,7 @@ task ever gathers an unbounded group and no pair is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,21 +79,39 @@ def shingles(text, size: int = WORDS) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Forest:
-    """The forest's shape and the depth to which its prefixes are shortened."""
+    """The forest's shape and the depths to which its prefixes are shortened."""
 
     threshold: float = THRESHOLD
     trees: int = TREES
     depth: int = DEPTH
     recall: float = TARGET_RECALL
 
+    def expected(self, depths: list[int]) -> float:
+        """The chance that a pair at the threshold shares a prefix of one of the depths."""
+        return 1 - math.prod(1 - self.threshold**d for d in depths)
+
     @property
-    def prefix(self) -> int:
-        """The longest prefix that still reaches the target recall at the threshold."""
+    def least(self) -> int:
+        """The depth that reaches the target recall in all tries alike; none is shortened beyond it."""
         for depth in range(self.depth, 0, -1):
-            if 1 - (1 - self.threshold**depth) ** self.trees >= self.recall:
+            if self.expected([depth] * self.trees) >= self.recall:
                 return depth
         raise ValueError("more trees are needed for this recall")
 
+    def depths(self, pairs: dict[tuple[int, int], int]) -> list[int]:
+        """A depth for each trie; ``pairs[tree, depth]`` are the pairs of nodes that share a prefix there."""
+        chosen, least = [self.depth] * self.trees, self.least
+
+        def price(tree: int) -> tuple[float, int]:
+            now = chosen[tree]
+            gain = math.log(1 - self.threshold**now) - math.log(1 - self.threshold ** (now - 1))
+            return (pairs.get((tree, now - 1), 0) - pairs.get((tree, now), 0)) / gain, tree
+
+        while self.expected(chosen) < self.recall:
+            _, tree = min(price(t) for t in range(self.trees) if chosen[t] > least)
+            chosen[tree] -= 1
+        return chosen
+
     def signature(self, keys: np.ndarray) -> np.ndarray:
         """The smallest of each hash function, 32 bits of it."""
         rng = np.random.default_rng(20240229)
@@ -105,11 +125,9 @@ class Forest:
         least ^= least >> np.uint64(31)
         return (least * ODD >> np.uint64(32)).astype(np.uint32)
 
-    def tree_keys(self, signature: np.ndarray) -> list[int]:
-        """One signed 64-bit key for each tree's shortened prefix."""
-        own = signature.reshape(self.trees, self.depth)[:, : self.prefix]
-        keys = (xxhash.xxh3_64_intdigest(row.tobytes(), seed=k) for k, row in enumerate(own))
-        return [k - (1 << 64) if k >> 63 else k for k in keys]
+    def paths(self, signature: np.ndarray) -> list[bytes]:
+        """The signature's path in each trie; paths sort as their hashes do."""
+        return [row.astype(">u4").tobytes() for row in signature.reshape(self.trees, self.depth)]
 
 
 def forest_edges(n: int, pairs: Iterator[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
@@ -138,24 +156,71 @@ def _nodes(docs: DataFrame, forest: Forest) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys, whole = [], [], []
+            nodes, paths, whole = [], [], []
             for text in raw_texts(batch, "text"):
                 own = shingles(text)
                 nodes.append(xxhash.xxh3_128_digest(own.tobytes()))
                 if len(own):
                     signature = forest.signature(own)
-                    keys.append(forest.tree_keys(signature))
+                    paths.append(forest.paths(signature))
                     whole.append((signature & np.uint32(255)).astype(np.uint8).tobytes())
                 else:
-                    keys.append([])
+                    paths.append([])
                     whole.append(b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), batch.column("row1"), batch.column("row2"), batch.column("bytes"),
-                 pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(whole, pa.binary())],
-                names=["doc_id", "row1", "row2", "bytes", "node", "keys", "bits"],
+                 pa.array(nodes, pa.binary()), pa.array(paths, pa.list_(pa.binary())), pa.array(whole, pa.binary())],
+                names=["doc_id", "row1", "row2", "bytes", "node", "paths", "bits"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, row1 long, row2 long, bytes long, node binary, keys array<long>, bits binary")
+    return rows.mapInArrow(run, "doc_id long, row1 long, row2 long, bytes long, node binary, paths array<binary>, bits binary")
+
+
+def _neighbours(nodes: DataFrame, forest: Forest) -> DataFrame:
+    """``tree, path, node`` of the paths that share at least the least depth with a neighbour of their sorted trie.
+
+    A path at the edge of a partition stays, as its neighbour is in another one.
+    """
+    least, depth = forest.least, forest.depth
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row so far, and whether it shares enough with the one before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held[0], table])
+            hashes = np.frombuffer(b"".join(table.column("path").to_pylist()), dtype=np.uint32).reshape(-1, depth)
+            tree = table.column("tree").to_numpy()
+            alike = np.logical_and.accumulate(hashes[1:] == hashes[:-1], axis=1).sum(axis=1) >= least
+            alike &= tree[1:] == tree[:-1]
+            # The first row of all is at the partition's edge.
+            before = np.r_[True if held is None else held[1], alike]
+            keep = before.copy()
+            keep[:-1] |= alike
+            done = table.slice(0, table.num_rows - 1).filter(pa.array(keep[:-1]))
+            held = (table.slice(table.num_rows - 1), bool(before[-1]))
+            yield from done.to_batches()
+        if held is not None:
+            yield from held[0].to_batches()
+
+    every = nodes.select(F.posexplode("paths").alias("tree", "path"), "node")
+    order = ["tree", "path", "node"]
+    return every.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "tree int, path binary, node binary")
+
+
+def _buckets(met: DataFrame, forest: Forest) -> DataFrame:
+    """``node, key`` for each path, cut off at its trie's depth."""
+    prefix = lambda depth: F.substring("path", 1, 4 * depth)
+    pairs = {}
+    for depth in range(forest.least, forest.depth + 1):
+        groups = met.groupBy("tree", prefix(depth).alias("prefix")).agg(F.count("*").alias("n"))
+        counted = groups.groupBy("tree").agg(F.sum(F.expr("n * (n - 1) div 2")).alias("pairs"))
+        pairs |= {(r.tree, depth): r.pairs for r in counted.collect()}  # a row for each trie
+    depths = F.array(*[F.lit(d) for d in forest.depths(pairs)])
+    cut = met.withColumn("depth", F.get(depths, F.col("tree")))
+    return cut.select("node", F.xxhash64("tree", F.expr("substring(path, 1, 4 * depth)")).alias("key"))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -308,14 +373,14 @@ def _classes(docs: DataFrame, forest: Forest, block: int, block_bytes: int) -> t
     """Rows with their nodes, and each node's class and link counts."""
     rows = staged(_nodes(docs, forest), "forest")
     nodes = rows.groupBy("node").agg(
-        F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"),
+        F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.first("paths").alias("paths"),
         F.first("bits").alias("bits"), F.min(F.struct("row1", "row2", "bytes")).alias("one"),
     )
     nodes = staged(nodes, "forest-nodes")
 
     # Buckets of two nodes or more.
-    every = nodes.select("node", F.explode("keys").alias("key"))
-    sizes = every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    every = _buckets(staged(_neighbours(nodes, forest), "forest-met"), forest)
+    sizes = staged(every.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "forest-sizes")
     buckets = _dealt(every, sizes, "key", block)
     units = buckets.join(nodes.select(F.col("node").alias("of"), "bits"), F.col("node") == F.col("of")).drop("of")
     group = components(_candidates(units, MAYBE))
@@ -323,7 +388,7 @@ def _classes(docs: DataFrame, forest: Forest, block: int, block_bytes: int) -> t
     # Texts of the groups' nodes: one row's text stands for all of a node's copies.
     members = group.join(nodes.select(F.col("node").alias("of"), "one", "copies"), F.col("node") == F.col("of"))
     members = staged(members.select("node", F.col("component").alias("key"), "copies", "one.*"), "forest-groups")
-    weights = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    weights = staged(members.groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "forest-weights")
     units = _dealt(members.drop("bytes"), weights, "key", block, block_bytes).withColumnsRenamed({"row1": "m1", "row2": "m2"})
     texts = docs.select("text", "row1", "row2")
     texts = texts.join(units.hint("shuffle_hash"), (F.col("row1") == F.col("m1")) & (F.col("row2") == F.col("m2")))

@@ -55,11 +55,55 @@ def test_one_row_of_each_class_stays(tuned):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for c, _, _ in all_pairs(rows).values()})
 
 
-def test_prefix_is_shortened_to_the_recall():
-    assert Forest().prefix == 5
-    assert Forest(recall=0.99).prefix == 6
+def test_prefixes_are_shortened_where_it_costs_least():
+    forest = Forest()
+    assert forest.least == 5 and Forest(recall=0.99).least == 6
     with pytest.raises(ValueError):
-        Forest(trees=1).prefix  # noqa: B018
+        Forest(trees=1).least  # noqa: B018
+    cheap = {7, 11, 20}
+    pairs = {(t, d): 0 if t in cheap else 100 * (7 - d) + t for t in range(21) for d in (5, 6)}
+    depths = forest.depths(pairs)
+    assert forest.expected(depths) >= forest.recall > forest.expected([6] * 21)
+    assert all(depths[t] == 5 for t in cheap) and set(depths) == {5, 6}
+    last = max(t for t in range(21) if depths[t] == 5 and t not in cheap)
+    longer = [6 if t == last else d for t, d in enumerate(depths)]
+    assert forest.expected(longer) < forest.recall  # none is shortened without need
+    assert depths == forest.depths({k: v * 3 for k, v in pairs.items()}) == Forest().depths(pairs)
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_neighbours_in_sorted_tries(tuned, partitions):
+    """Every two paths with a common prefix of the least depth are kept, wherever ranges are cut."""
+    rng = random.Random(23)
+    forest = Forest(trees=3, depth=6, recall=0.6)
+    assert forest.least == 5
+    word = lambda: rng.randrange(2)
+    rows = [(k.to_bytes(2, "big"), [np.array([word() for _ in range(6)], ">u4").tobytes() for _ in range(3)]) for k in range(25)]
+    rows += [(b"only", [np.array([9, t, 9, 9, 9, 9], ">u4").tobytes() for t in range(3)]), (b"none", [])]
+    own = tuned.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    nodes = own.createDataFrame(rows, "node binary, paths array<binary>")
+    kept = {(r.tree, bytes(r.path), bytes(r.node)) for r in jaccard_forest._neighbours(nodes, forest).collect()}
+    every = {(t, p, n) for n, paths in rows for t, p in enumerate(paths)}
+    needed = {x for x in every if any(y != x and y[0] == x[0] and y[1][:20] == x[1][:20] for y in every)}
+    assert needed <= kept <= every
+    if partitions == 1:
+        assert len(kept - needed) <= 2
+
+
+def test_recall_of_candidates_at_the_threshold(tuned):
+    """Pairs at a similarity just above the threshold, a thousand of them, all far from one another."""
+    rng = random.Random(24)
+    rows, n = [], 100
+    for k in range(1000):
+        text = [f"w{k}x{i}" for i in range(n + 4)]
+        rows.append((2 * k, " ".join(text)))
+        rows.append((2 * k + 1, " ".join([*text[:-11], *(f"v{k}x{i}" for i in range(11))])))  # 89 of 111 shingles
+    rng.shuffle(rows)
+    found = jaccard_forest.join(tuned.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    linked = sum(r.n_links for r in found.collect()) / 2000
+    assert linked >= 0.998
 
 
 def test_exact_links():
