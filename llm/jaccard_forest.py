@@ -98,7 +98,7 @@ class Forest:
                 return depth
         raise ValueError("more trees are needed for this recall")
 
-    def depths(self, pairs: dict[tuple[int, int], int]) -> list[int]:
+    def depths(self, pairs: dict[tuple[int, int], float]) -> list[int]:
         """A depth for each trie; ``pairs[tree, depth]`` are the pairs of nodes that share a prefix there."""
         chosen, least = [self.depth] * self.trees, self.least
 
@@ -216,7 +216,7 @@ def _buckets(met: DataFrame, forest: Forest) -> DataFrame:
     pairs = {}
     for depth in range(forest.least, forest.depth + 1):
         groups = met.groupBy("tree", prefix(depth).alias("prefix")).agg(F.count("*").alias("n"))
-        counted = groups.groupBy("tree").agg(F.sum(F.expr("n * (n - 1) div 2")).alias("pairs"))
+        counted = groups.groupBy("tree").agg(F.sum(F.expr("cast(n AS double) * (n - 1) / 2")).alias("pairs"))
         pairs |= {(r.tree, depth): r.pairs for r in counted.collect()}  # a row for each trie
     depths = F.array(*[F.lit(d) for d in forest.depths(pairs)])
     cut = met.withColumn("depth", F.get(depths, F.col("tree")))
