@@ -397,9 +397,9 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     return read.select(*columns("response", F.lit(None).cast("string"))).unionByName(found.select(*columns("revisit", F.col("refers_to"))))
 
 
-def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+def round_trip(pages: DataFrame, min_bytes: int = 0, compression: str = "gzip") -> DataFrame:
     """Write the archives and read their payloads back: a row for each page."""
     spark = pages.sparkSession
     path = new_dir(spark, "warc")
-    archive(pages, path, min_bytes)
+    archive(pages, path, min_bytes, compression)
     return read_back(spark, path)
