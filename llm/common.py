@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import posixpath
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -19,6 +21,7 @@ from cohortline.session import landing, staged  # noqa: F401
 BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
 ROOT = str(Path(__file__).resolve().parents[1])
+_SHIPPED: list = []  # contexts whose executors have been sent the packages
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -29,13 +32,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            context.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    elif context not in _SHIPPED:
+        context.addPyFile(packed_sources())
+        _SHIPPED.append(context)
     return spark
 
 
+def packed_sources(packages: tuple[str, ...] = ("llm", "cohortline")) -> str:
+    """An archive of the packages, for executors that don't see this folder."""
+    path = os.path.join(tempfile.mkdtemp(prefix="sources-"), "sources.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for package in packages:
+            for file in sorted(Path(ROOT, package).rglob("*.py")):
+                out.write(file, str(file.relative_to(ROOT)))
+    return path
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from llm.common import staged, table
+from llm.common import packed_sources, staged, table
 from llm.queries import ORACLE, QUERIES
+from llm_fixtures import awkward, empty, tuned  # noqa: F401
 from test_decontaminate import brute as contaminated
 from test_jaccard_forest import all_pairs
 
@@ -68,3 +72,29 @@ def test_pipeline_stage_by_stage(spark):
     packed = apply("packing", clean)
     assert {r.doc_id for r in packed.collect()} == texts(clean).keys()
     assert corpus_pipeline.run(spark, str(SF_DIR)).count() == packed.count()
+
+
+AWKWARD = {"n_words": 1, "hit_items": 2, "hit_spans": 3, "__toxicity": 4, "__row1": 5, "__cut": 6, "__words": 7, "score": 8}
+
+
+def test_pipeline_over_awkward_rows(awkward, empty):
+    """Nulls, blank, long and repeated texts and clashing names through every stage; and no rows at all."""
+    for docs in (awkward, empty):
+        docs = docs.withColumns({c: F.lit(v) for c, v in AWKWARD.items()})
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = staged(stage(docs.sparkSession, docs, str(SF_DIR)), "awkward")
+            assert after.columns == docs.columns and after.count() <= n
+            assert all(r[c] == v for r in after.select(*AWKWARD).collect() for c, v in AWKWARD.items())
+            if name != "n-gram Jaccard join":
+                assert after.count() == n  # none of them is toxic or contaminated, and cuts drop no document
+            docs, n = after, after.count()
+        packed = corpus_pipeline.STAGES[-1][1](docs.sparkSession, docs, str(SF_DIR))
+        assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_packages_travel_in_one_archive(tmp_path):
+    """Executors without this folder import the operators from what they are sent."""
+    code = f"import sys; sys.path = [{packed_sources()!r}] + [p for p in sys.path if 'repo' not in p and p]; import llm.merkle; print(llm.merkle.__file__)"
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin"}, capture_output=True, text=True, check=True)
+    assert "sources.zip" in found.stdout
