@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents through the stages below, each written as Parquet and read again."""
+"""The corpus pipeline: documents through the stages below, each written as Parquet and read again.
+
+In every stage a null or repeated ``doc_id`` is a row like any other, a null text is the empty text (and stays null where the stage
+returns texts), further columns come through unchanged whatever their names, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import decontaminate, jaccard_forest, packing, suffix_dedup, weak_toxicity
-from llm.common import prepare, staged, table
+from llm.common import free, prepare, staged, table
 
 TOXIC = 0.7
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.7 or more go."""
+    """Documents that score 0.7 or more go; each row is judged by its own text, so copies go together."""
     classifier = weak_toxicity.train(docs, table(prepare(spark), sf_dir, "labels"))
-    scored = weak_toxicity.with_scores(docs, classifier, "__toxicity")
-    return scored.filter(F.col("__toxicity") < TOXIC).select(*docs.columns)
+    (score,) = free(docs, "__toxicity")
+    scored = weak_toxicity.with_scores(docs, classifier, score)
+    return scored.filter(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of copies and near copies the document with the smallest id stays."""
+    """Of each class of copies and near copies the document with the smallest id stays, null ids last.
+
+    Texts without words are copies of one another.
+    """
     prepare(spark)
     return jaccard_forest.representatives(docs)
 
@@ -32,13 +40,17 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth of the words or more lie in benchmark windows go."""
-    found = decontaminate.contamination(docs, table(prepare(spark), sf_dir, "benchmark"))
-    return found.filter(~decontaminate.contaminated()).select(*docs.columns)
+    """Documents of which a twentieth of the words or more lie in benchmark windows go; those without words stay."""
+    words, spans, items = free(docs, "__words", "__spans", "__items")
+    mine = {"n_words": words, "hit_spans": spans, "hit_items": items}
+    names = {c: n for c, n in mine.items() if c in docs.columns}
+    found = decontaminate.contamination(docs.withColumnsRenamed(names), table(prepare(spark), sf_dir, "benchmark"))
+    kept = found.filter(~decontaminate.contaminated()).drop(*mine)
+    return kept.withColumnsRenamed({n: c for c, n in names.items()}).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 token ids: a row for each piece, with its ids."""
+    """Sequences of at most 1024 token ids: a row for each piece, with its ids; a document without text is its end id alone."""
     prepare(spark)
     return packing.pack_documents(docs, remembered=200_000)
 
