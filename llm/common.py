@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import posixpath
+import sys
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -53,6 +56,19 @@ def packed_sources(packages: tuple[str, ...] = ("llm", "cohortline")) -> str:
     return path
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run``, after which a worker gives back the memory that it has freed; workers live on and serve other stages."""
+
+    @functools.wraps(run)
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return done
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

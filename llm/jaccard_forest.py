@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import free, only, raw_texts, staged
+from llm.common import free, only, raw_texts, staged, trimmed
 from llm.components import components
 
 WORDS = 5
@@ -55,6 +55,13 @@ class WordHashes(dict):
 
 
 _HASHES = WordHashes()
+
+
+def forget_words() -> None:
+    """Give up the words that this worker remembers."""
+    _HASHES.clear()
+
+
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,8 +179,9 @@ def _nodes(docs: DataFrame, forest: Forest) -> DataFrame:
                  pa.array(nodes, pa.binary()), pa.array(paths, pa.list_(pa.binary())), pa.array(whole, pa.binary())],
                 names=["doc_id", "row1", "row2", "bytes", "node", "paths", "bits"],
             )
+        forget_words()
 
-    return rows.mapInArrow(run, "doc_id long, row1 long, row2 long, bytes long, node binary, paths array<binary>, bits binary")
+    return rows.mapInArrow(trimmed(run), "doc_id long, row1 long, row2 long, bytes long, node binary, paths array<binary>, bits binary")
 
 
 def _neighbours(nodes: DataFrame, forest: Forest) -> DataFrame:
@@ -291,7 +299,7 @@ def _candidates(units: DataFrame, maybe: float) -> DataFrame:
                 )
 
     sorted_units = units.select("unit", "key", "node", "bits", "block", "across").repartition("unit").sortWithinPartitions("unit", "key", "bits")
-    return sorted_units.mapInArrow(run, "a binary, b binary")
+    return sorted_units.mapInArrow(trimmed(run), "a binary, b binary")
 
 
 def exact_links(
@@ -366,7 +374,7 @@ def _verify(units: DataFrame, threshold: float) -> DataFrame:
                 )
 
     ordered = units.select("unit", "key", "node", "text", "copies", "block", "across").repartition("unit").sortWithinPartitions("unit", "key", "node")
-    return ordered.mapInArrow(run, "a binary, b binary, links long, others long")
+    return ordered.mapInArrow(trimmed(run), "a binary, b binary, links long, others long")
 
 
 def _classes(docs: DataFrame, forest: Forest, block: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:

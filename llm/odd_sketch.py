@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import only, raw_texts, staged
+from llm.common import only, raw_texts, staged, trimmed
 from llm.components import components
 from llm.jaccard_forest import shingles
 
@@ -106,7 +106,7 @@ def _nodes(docs: DataFrame, sketch: Sketch) -> DataFrame:
             )
 
     rows = docs.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    return rows.mapInArrow(run, "doc_id long, row1 long, row2 long, bytes long, node binary, size long, keys array<long>, odd binary")
+    return rows.mapInArrow(trimmed(run), "doc_id long, row1 long, row2 long, bytes long, node binary, size long, keys array<long>, odd binary")
 
 
 def _bits(column: list[bytes]) -> np.ndarray:

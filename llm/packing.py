@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from llm.common import only, texts
+from llm.common import only, texts, trimmed
 from llm.tokens import DEFAULT_VOCABULARY, REMEMBERED, encoder
 
 CAPACITY = 1024
@@ -178,5 +178,7 @@ def pack_documents(
         packer.finish()
         if packer.rows:
             yield out()
+        if remembered < REMEMBERED:
+            enc.forget()
 
-    return only(docs, doc_id="doc_id", text="text").mapInArrow(run, ddl + (", ids binary" if with_ids else ""))
+    return only(docs, doc_id="doc_id", text="text").mapInArrow(trimmed(run), ddl + (", ids binary" if with_ids else ""))

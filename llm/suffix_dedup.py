@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import free, only, raw_texts, staged
+from llm.common import free, only, raw_texts, staged, trimmed
 from llm.shape import SPACES
 from llm.suffix_sort import deep_shallow
 
@@ -145,7 +145,7 @@ def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Call
                     names=["row1", "row2", "anchor", "context1", "context2", "place", "more"],
                 )
 
-    return docs.mapInArrow(run, "row1 long, row2 long, anchor long, context1 long, context2 long, place long, more array<long>")
+    return docs.mapInArrow(trimmed(run), "row1 long, row2 long, anchor long, context1 long, context2 long, place long, more array<long>")
 
 
 def shared_reach(left: list[bytes], right: list[bytes], length: int = LENGTH) -> list[tuple[int, int] | None]:
@@ -206,7 +206,7 @@ def _context_rows(chosen: DataFrame, docs: DataFrame, length: int, view: Callabl
 
     # A row that the table holds twice gives its contexts twice; they are seen more than once, so nothing is asked of them,
     # and to the others they are the same partner twice.
-    return joined.select("row1", "row2", "wanted", "text").mapInArrow(run, CONTEXTS)
+    return joined.select("row1", "row2", "wanted", "text").mapInArrow(trimmed(run), CONTEXTS)
 
 
 def _sorted_reach(contexts: DataFrame, length: int) -> DataFrame:
@@ -236,7 +236,7 @@ def _sorted_reach(contexts: DataFrame, length: int) -> DataFrame:
         if out:
             yield _stretches(out)
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "row1 long, row2 long, first long, stop long")
+    return contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(trimmed(run), "row1 long, row2 long, first long, stop long")
 
 
 def _stretches(rows: list[tuple]) -> pa.RecordBatch:
@@ -380,7 +380,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MA
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=names)
 
     ddl = "doc_id long, n_bytes long, spans array<struct<first:long,stop:long>>, n_removed long, kept_sha256 string, kept binary"
-    return _with_cuts(docs, length, group_max).select("doc_id", "text", "__cut").mapInArrow(run, ddl)
+    return _with_cuts(docs, length, group_max).select("doc_id", "text", "__cut").mapInArrow(trimmed(run), ddl)
 
 
 def cut_texts(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:
@@ -426,4 +426,4 @@ def cut_passages(docs: DataFrame, words: int = WORDS, length: int = LENGTH, grou
             yield batch.set_column(at, "text", pa.array(left, batch.schema.field(at).type)).select(docs_columns)
 
     docs_columns, cut = docs.columns, cut_name(docs)
-    return _joined(docs, found, "words", "first", "stop").mapInArrow(run, docs.schema)
+    return _joined(docs, found, "words", "first", "stop").mapInArrow(trimmed(run), docs.schema)

@@ -78,9 +78,10 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.begins[number] = token.startswith(self.space)
         self.remembered = remembered
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Start afresh without any word."""
         self.words = Words()
         self.pool = np.empty(1 << 16, dtype=np.uint32)
         self.used = 0
@@ -151,7 +152,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of whole texts."""
         if len(self.words) > self.remembered:
-            self._forget()
+            self.forget()
         every: list[str] = []
         ends = []
         for text in texts:

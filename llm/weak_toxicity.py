@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import only, staged, texts
+from llm.common import only, staged, texts, trimmed
 from llm.learning import Adam, fold, labelled, sample, sigmoid, with_texts
 
 # Labelled documents of the training folds that voters and classifier are fitted on.
@@ -60,7 +60,7 @@ def mine(rows: DataFrame, min_gain: float = MIN_GAIN, min_precision: float = MIN
     totals = rows.groupBy("label").count().collect()
     n = {r.label: r["count"] for r in totals}
     n1, n0 = n.get(1, 0), n.get(0, 0)
-    counts = rows.select("label", "text").mapInArrow(count, "sign string, toxic long, clean long")
+    counts = rows.select("label", "text").mapInArrow(trimmed(count), "sign string, toxic long, clean long")
     counts = counts.groupBy("sign").agg(F.sum("toxic").alias("p"), F.sum("clean").alias("n"))
     odds = F.log((F.col("p") + 0.5) / (n1 + 1)) - F.log((F.col("n") + 0.5) / (n0 + 1))
     base = F.log(F.lit((n0 + n1 + 1) / (n1 + 0.5)))
@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1,
                 names=["signs", "dense", "votes"],
             )
 
-    found = rows.select("text").mapInArrow(features, "signs array<int>, dense array<double>, votes array<int>").collect()
+    found = rows.select("text").mapInArrow(trimmed(features), "signs array<int>, dense array<double>, votes array<int>").collect()
     found.sort(key=lambda r: (r.votes, r.dense, sorted(r.signs)))
     if not found:
         return train_classifier(voters, [], np.empty(0))
