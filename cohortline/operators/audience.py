@@ -152,7 +152,7 @@ def with_constant_lookup(df: DataFrame, lookup: DataFrame, key: str, value: obje
     """Attach one column of the lookup row with a constant key; no such row, no result.
 
     A key that is not unique gives a row for each of its lookup rows, as a join does.  The rows come in
-    as one list by a scalar subquery, so nothing is shuffled.
+    as one list by a scalar subquery, so nothing is shuffled; ``lookup`` is a table of types, of which one key has few rows.
     """
     found = lookup.filter(F.col(key) == F.lit(value)).agg(F.collect_list(F.struct(column)).alias("found")).scalar()
     attached = df.withColumn("_row", F.explode(found))
