@@ -22,7 +22,7 @@ from cohortline.session import landing, staged  # noqa: F401
 
 # Rows and bytes in one Arrow batch: a batch of the longest texts stays within a worker's memory.
 BATCH_ROWS = 500
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 ROOT = str(Path(__file__).resolve().parents[1])
 _SHIPPED: list = []  # contexts whose executors have been sent the packages
 

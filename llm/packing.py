@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from llm.common import only, texts, trimmed
-from llm.tokens import DEFAULT_VOCABULARY, REMEMBERED, encoder
+from llm.tokens import DEFAULT_VOCABULARY, REMEMBERED, drop_encoders, encoder
 
 CAPACITY = 1024
 # Remainders that wait in a task's buffer before they are packed.
@@ -179,6 +179,7 @@ def pack_documents(
         if packer.rows:
             yield out()
         if remembered < REMEMBERED:
-            enc.forget()
+            del enc
+            drop_encoders()
 
     return only(docs, doc_id="doc_id", text="text").mapInArrow(trimmed(run), ddl + (", ids binary" if with_ids else ""))

@@ -241,10 +241,10 @@ def with_scores(docs: DataFrame, classifier: Classifier, column: str = "toxicity
     """``docs`` with a score from 0 to 1 for its ``text``; null text is the empty text."""
     sent = docs.sparkSession.sparkContext.broadcast(classifier)
 
-    @F.pandas_udf("double")
-    def run(text):
+    @F.arrow_udf("double")
+    def run(text: pa.Array) -> pa.Array:
         model = sent.value
-        return text.fillna("").map(model.score).astype(float)
+        return pa.array([model.score(t or "") for t in text.to_pylist()], pa.float64())
 
     return docs.withColumn(column, run(F.col("text")))
 
