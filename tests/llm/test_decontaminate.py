@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from llm import decontaminate
@@ -52,27 +53,43 @@ def corpus():
     return docs + [(900, None), (901, ""), (902, "w1"), (903, "w1 " * 3000)], items
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 50])
-def test_hits(tuned, block_bytes):
+@pytest.mark.parametrize("bits", [decontaminate.BITS, 64])
+def test_hits(tuned, bits):
+    """A bitmap that lets every shingle through gives the same hits."""
     docs, items = corpus()
     d = tuned.createDataFrame(docs, "doc_id long, text string").repartition(3)
     i = tuned.createDataFrame(items, "item_id long, text string")
-    found = decontaminate.digests(decontaminate.contamination(d, i, block_bytes=block_bytes)).collect()
+    found = decontaminate.digests(decontaminate.contamination(d, i, bits=bits)).collect()
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found}
     assert got == brute(docs, items)
 
 
 def test_windows_are_found_by_their_rarest_shingle(tuned):
     docs, items = corpus()
-    block = decontaminate.Block([(k, (t or "").encode()) for k, t in items])
-    counts = decontaminate.shingle_counts(tuned.createDataFrame(docs, "doc_id long, text string"), block)
-    block.choose(counts)
-    for prefix, chosen in zip(block.prefixes, block.chosen, strict=True):
-        n = counts[list(block.shingles).index(prefix)]
-        for w, place in chosen:
-            size = min(3, len(block.windows[w]))
-            keys = block.keys(block.windows[w], size)
-            assert keys[place] == prefix and all(counts[list(block.shingles).index(k)] >= n for k in keys)
+    d = tuned.createDataFrame(docs, "doc_id long, text string")
+    cut = decontaminate.windows(tuned.createDataFrame(items, "item_id long, text string"))
+    count = {}
+    for _, text in docs:
+        own = words(text)
+        for size in (1, 2, 3):
+            for i in range(len(own) - size + 1):
+                count[tuple(own[i : i + size])] = count.get(tuple(own[i : i + size]), 0) + 1
+    got = {r.window: r.place for r in decontaminate.prefixes(cut, d).collect()}
+    for window in {r.window for r in cut.collect()}:
+        own = window.split(" ")
+        size = min(3, len(own))
+        n = [count.get(tuple(own[i : i + size]), 0) for i in range(len(own) - size + 1)]
+        assert got.get(window) == (n.index(min(n)) if min(n) else None)
+
+
+def test_bitmap_lets_every_wanted_shingle_through(tuned):
+    rng = random.Random(25)
+    keys = [(rng.getrandbits(64) - (1 << 63), 1 + k % 3) for k in range(2000)]
+    for bits in (64, 1 << 16):
+        wanted = decontaminate.Wanted.of(tuned.createDataFrame(keys, "key long, size int"), bits)
+        assert wanted.has(np.array([k for k, _ in keys], dtype=np.int64)).all() and wanted.sizes == [1, 2, 3]
+    other = np.array([rng.getrandbits(64) - (1 << 63) for _ in range(2000)], dtype=np.int64)
+    assert wanted.has(other).mean() < 0.1
 
 
 def test_awkward_and_empty(awkward, empty, tuned):
