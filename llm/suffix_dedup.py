@@ -15,6 +15,10 @@ A full suffix array of the corpus would move every suffix.  Here a sparse one do
 Contexts of one anchor meet in one task up to ``group_max``; those of a more frequent anchor are
 settled by counting the hashes of their 400-byte strings, a row each, which spread over all tasks.
 
+51 whole words may be fewer than 400 bytes, and an anchor of theirs need not be one of a 400-byte string.  Where such passages
+are asked for as well, every 51 words under 400 bytes give an anchor too, and around an anchor that two contexts share
+their windows of 51 words are counted by hash, where the shared text holds so many at all.  Longer ones are 400-byte strings.
+
 ``cut_passages`` does the same over words: each word becomes eight bytes of hash, so 51 words are a string of 408 bytes.
 """
 
@@ -37,11 +41,13 @@ from llm.suffix_sort import deep_shallow
 LENGTH = 400
 ANCHOR = 64
 GROUP_MAX = 50_000
-# Words of the shortest repeated passage that ``cut_passages`` cuts, and bytes that stand for a word.
+# Words of the shortest repeated passage, and bytes that stand for a word in ``cut_passages``.
 WORDS = 51
 CODE = 8
 # Texts are scanned in parts of so many bytes, so that a very long one needs no more memory.
 PART = 1 << 21
+# Low bits that hold a place within a part, where places are ordered by their hashes.
+PLACE = 22
 
 _RNG = np.random.default_rng(711)
 _BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,24 +78,58 @@ def sliding(values: np.ndarray, size: int, least: bool) -> np.ndarray:
     return take(behind[: n - size + 1], ahead[size - 1 : n])
 
 
-def anchors(text: memoryview | bytes, length: int = LENGTH, size: int = ANCHOR, part: int = PART) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors and their hashes."""
+def word_windows(text: memoryview | bytes, words: int = WORDS, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each ``words`` whole words in a row that take under ``length`` bytes."""
+    space = np.concatenate([[True], _SPACE[np.frombuffer(text, np.uint8)], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[: max(0, len(edges) - 2 * words + 2) : 2], edges[2 * words - 1 :: 2]
+    few = ends - starts < length
+    return starts[few], ends[few]
+
+
+def least_places(h: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Places of the smallest hash within each ``first`` to ``stop``, of equal ones the first."""
+    key = h >> np.uint64(PLACE) << np.uint64(PLACE) | np.arange(len(h), dtype=np.uint64)
+    level = np.frexp(stop - first)[1] - 1
+    least = np.empty(len(first), np.uint64)
+    for k in range(level.max(initial=-1) + 1):
+        if k:
+            key = np.minimum(key[: -(1 << k - 1)], key[1 << k - 1 :])
+        own = np.flatnonzero(level == k)
+        if len(own):
+            least[own] = np.minimum(key[first[own]], key[stop[own] - (1 << k)])
+    return np.unique(least & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+
+
+def anchors(
+    text: memoryview | bytes, length: int = LENGTH, size: int = ANCHOR, part: int = PART, words: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors and their hashes; with ``words`` those of so many words under ``length`` bytes as well."""
     data = np.frombuffer(text, np.uint8)
     window = length - size + 1
-    if len(data) < length:
+    begin, end = word_windows(text, words, length) if words else (np.empty(0, np.int64),) * 2
+    long = end - begin >= size
+    begin, end = begin[long], end[long]
+    if len(data) < length and not len(begin):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     places, hashes = [], []
-    starts = len(data) - length + 1
+    starts = max(1, len(data) - length + 1)
     for first in range(0, starts, part):
         stop = min(starts, first + part)
         h = string_hashes(data[first : stop + length - 1], size)
-        least = sliding(h, window, least=True)
-        # A place is an anchor if it holds the smallest hash of any window that it lies in.
-        around = np.zeros(len(h) + window - 1, dtype=np.uint64)
-        around[window - 1 : window - 1 + len(least)] = least
-        own = np.flatnonzero(h == sliding(around, window, least=False))
-        places.append(own + first)
-        hashes.append(h[own])
+        if len(h) >= window:
+            least = sliding(h, window, least=True)
+            # A place is an anchor if it holds the smallest hash of any window that it lies in.
+            around = np.zeros(len(h) + window - 1, dtype=np.uint64)
+            around[window - 1 : window - 1 + len(least)] = least
+            own = np.flatnonzero(h == sliding(around, window, least=False))
+            places.append(own + first)
+            hashes.append(h[own])
+        if len(begin):
+            a, b = np.searchsorted(begin, [first, stop if stop < starts else len(data)])
+            own = least_places(h, begin[a:b] - first, end[a:b] - first - size + 1)
+            places.append(own + first)
+            hashes.append(h[own])
     where = np.concatenate(places)
     where, at = np.unique(where, return_index=True)
     return where.astype(np.int64), np.concatenate(hashes)[at]
@@ -116,7 +156,7 @@ def near_few_words(text: memoryview | bytes, where: np.ndarray, length: int = LE
     return sums[np.minimum(where + 1, len(few))] > sums[np.maximum(where - (length - ANCHOR), 0)]
 
 
-def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Callable | None) -> DataFrame:
+def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Callable | None, words: int | None) -> DataFrame:
     """A row for each anchor and context of a document: its first place there, and the others if there are ``more``."""
     before = length - ANCHOR
 
@@ -126,7 +166,7 @@ def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Call
             out: list[tuple] = []
             for r1, r2, text in zip(row1, row2, raw_texts(batch, "text"), strict=True):
                 text = view(text) if view else text
-                where, hashes = anchors(text, length)
+                where, hashes = anchors(text, length, words=words)
                 if keep:
                     kept = keep(text, where)
                     where, hashes = where[kept], hashes[kept]
@@ -148,15 +188,17 @@ def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Call
     return docs.mapInArrow(trimmed(run), "row1 long, row2 long, anchor long, context1 long, context2 long, place long, more array<long>")
 
 
-def shared_reach(left: list[bytes], right: list[bytes], length: int = LENGTH) -> list[tuple[int, int] | None]:
+Sorted = tuple[list[int], list[int]]
+
+
+def shared_reach(left: Sorted, right: Sorted, length: int = LENGTH) -> list[tuple[int, int] | None]:
     """For contexts of one anchor: the smallest and largest ``d`` at which the string that starts ``d`` bytes
     before the anchor also lies in another context; None where there is none.
 
-    ``left`` holds the bytes before the anchor in reverse, ``right`` those from its start on.
+    ``left`` is the order and common prefixes of the bytes before the anchor in reverse, ``right`` of those from its start on.
     """
-    n = len(left)
-    order_l, prefix_l = deep_shallow(left)
-    order_r, prefix_r = deep_shallow(right)
+    (order_l, prefix_l), (order_r, prefix_r) = left, right
+    n = len(order_l)
     out: list[tuple[int, int] | None] = [None] * n
     if n == 2:
         lo, hi = max(0, length - prefix_r[1]), min(prefix_l[1], length - ANCHOR)
@@ -180,6 +222,62 @@ def shared_reach(left: list[bytes], right: list[bytes], length: int = LENGTH) ->
     return [(int(a), int(b)) if b >= 0 else None for a, b in zip(low, high, strict=True)]
 
 
+def _windows_around(left: bytes, right: bytes, words: int, length: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """A context's text, and the bytes before and from the anchor's start on of its windows of ``words`` that contain the anchor.
+
+    An edge of the context that is not the text's lies so far off that no window under ``length`` bytes reaches it.
+    """
+    whole = left[::-1] + right
+    first, stop = word_windows(whole, words, length)
+    own = (first <= len(left)) & (stop >= len(left) + ANCHOR)
+    return whole, len(left) - first[own], stop[own] - len(left)
+
+
+def _window_hashes(whole: bytes, at: int, ahead: np.ndarray, behind: np.ndarray) -> list[bytes]:
+    return [xxhash.xxh3_128_digest(whole[at - d : at + e], seed=d) for d, e in zip(ahead.tolist(), behind.tolist(), strict=True)]
+
+
+def shared_windows(
+    left: list[bytes], right: list[bytes], sorted_l: Sorted, sorted_r: Sorted, reach: list[tuple[int, int] | None], length: int = LENGTH, words: int = WORDS
+) -> list[list[tuple[int, int]]]:
+    """For contexts of one anchor: the outermost windows of ``words`` whole words under ``length`` bytes that other
+    contexts hold too, as bytes before and from the anchor's start on; none where ``reach`` covers all that is shared."""
+    n = len(left)
+    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    most: list[list[int]] = []
+    for order, prefix in (sorted_l, sorted_r):
+        near = [0] * n
+        for k, p, q in zip(order, prefix, [*prefix[1:], 0], strict=True):
+            near[k] = max(p, q)
+        most.append(near)
+    # What a context shares with any other must hold so many words.
+    own = [
+        k
+        for k, (a, b) in enumerate(zip(*most, strict=True))
+        if a + b >= 2 * words - 1 and len((left[k][:a][::-1] + right[k][:b]).split()) >= words
+    ]
+    open_ = [k for k in own if not reach[k] or reach[k][1] < most[0][k] or length - reach[k][0] < most[1][k]]
+    if len(own) < 2 or not open_:
+        return out
+    hashes, of, found = bytearray(), [], {}
+    for k in own:
+        whole, ahead, behind = _windows_around(left[k], right[k], words, length)
+        inside = (ahead <= most[0][k]) & (behind <= most[1][k])
+        found[k] = ahead, behind = ahead[inside], behind[inside]
+        hashes += b"".join(_window_hashes(whole, len(left[k]), ahead, behind))
+        of.append(len(ahead))
+    halves = np.frombuffer(bytes(hashes), "<u8").reshape(-1, 2)
+    order = np.lexsort((halves[:, 0], halves[:, 1]))
+    equal = (halves[order[1:]] == halves[order[:-1]]).all(axis=1)
+    twice = np.zeros(len(halves), bool)
+    twice[order[1:][equal]] = twice[order[:-1][equal]] = True
+    for k, hit in zip(own, np.split(twice, np.cumsum(of)[:-1]), strict=True):
+        at = np.flatnonzero(hit)
+        if len(at):
+            out[k] = [(int(found[k][0][i]), int(found[k][1][i])) for i in sorted({at[0], at[-1]})]
+    return out
+
+
 CONTEXTS = "anchor long, seen long, row1 long, row2 long, place long, before binary, after binary"
 
 
@@ -206,19 +304,27 @@ def _context_rows(chosen: DataFrame, docs: DataFrame, length: int, view: Callabl
 
     # A row that the table holds twice gives its contexts twice; they are seen more than once, so nothing is asked of them,
     # and to the others they are the same partner twice.
-    return joined.select("row1", "row2", "wanted", "text").mapInArrow(trimmed(run), CONTEXTS)
+    # All columns of ``docs`` are taken, so that whoever joins it by row again finds it shuffled already.
+    return joined.select(*docs.columns, "wanted").mapInArrow(trimmed(run), CONTEXTS)
 
 
-def _sorted_reach(contexts: DataFrame, length: int) -> DataFrame:
+def _sorted_reach(contexts: DataFrame, length: int, words: int | None) -> DataFrame:
     """Repeated stretches around anchors whose contexts fit in one task."""
 
     def settle(rows: list[dict]) -> Iterator[tuple]:
         if len(rows) < 2:
             return
-        reach = shared_reach([r["before"] for r in rows], [r["after"] for r in rows], length)
-        for r, found in zip(rows, reach, strict=True):
-            if found and r["seen"] == 1:
+        left, right = [r["before"] for r in rows], [r["after"] for r in rows]
+        sorted_l, sorted_r = deep_shallow(left), deep_shallow(right)
+        reach = shared_reach(sorted_l, sorted_r, length)
+        windows = shared_windows(left, right, sorted_l, sorted_r, reach, length, words) if words else [[]] * len(rows)
+        for r, found, short in zip(rows, reach, windows, strict=True):
+            if r["seen"] > 1:
+                continue
+            if found:
                 yield r["row1"], r["row2"], r["place"] - found[1], r["place"] + length - found[0]
+            for ahead, behind in short:
+                yield r["row1"], r["row2"], r["place"] - ahead, r["place"] + behind
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -243,36 +349,54 @@ def _stretches(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["row1", "row2", "first", "stop"])
 
 
-def _counted_reach(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors of any frequency: a row for each 400-byte string around them, counted."""
+def _counted_reach(contexts: DataFrame, length: int, words: int | None) -> DataFrame:
+    """The same for anchors of any frequency: a row for each 400-byte string around them, counted, and for each window of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 left, right = r["before"], r["after"]
                 whole = left[::-1] + right
-                steps = range(max(0, length - len(right)), len(left) + 1)
+                steps = list(range(max(0, length - len(right)), len(left) + 1))
                 strings = [xxhash.xxh3_128_digest(whole[len(left) - d : len(left) - d + length]) for d in steps]
+                reach = [length - d for d in steps]
+                if words:
+                    _, ahead, behind = _windows_around(left, right, words, length)
+                    strings += _window_hashes(whole, len(left), ahead, behind)
+                    steps, reach = steps + ahead.tolist(), reach + behind.tolist()
                 n = len(strings)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k]] * n, pa.int64()) for k in ("anchor", "seen", "row1", "row2", "place")] + [pa.array(list(steps), pa.int64()), pa.array(strings, pa.binary())],
-                    names=["anchor", "seen", "row1", "row2", "place", "d", "string"],
+                    [pa.array([r[k]] * n, pa.int64()) for k in ("anchor", "seen", "row1", "row2", "place")]
+                    + [pa.array(steps, pa.int64()), pa.array(reach, pa.int64()), pa.array(strings, pa.binary())],
+                    names=["anchor", "seen", "row1", "row2", "place", "d", "e", "string"],
                 )
 
-    rows = contexts.mapInArrow(run, "anchor long, seen long, row1 long, row2 long, place long, d long, string binary")
-    twice = rows.groupBy(F.col("anchor").alias("a"), F.col("d").alias("at"), F.col("string").alias("of")).agg(F.count("*").alias("n")).filter("n > 1")
-    hit = rows.filter("seen = 1").join(twice, (F.col("anchor") == F.col("a")) & (F.col("d") == F.col("at")) & (F.col("string") == F.col("of")))
-    reach = hit.groupBy("row1", "row2", "place").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    return reach.select("row1", "row2", (F.col("place") - F.col("hi")).alias("first"), (F.col("place") + length - F.col("lo")).alias("stop"))
-
-
-def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX, view: Callable | None = None, keep: Callable | None = None) -> DataFrame:
+    rows = contexts.mapInArrow(run, "anchor long, seen long, row1 long, row2 long, place long, d long, e long, string binary")
+    keys = {"anchor": "a", "d": "at", "e": "to", "string": "of"}
+    twice = rows.groupBy(*[F.col(k).alias(v) for k, v in keys.items()]).agg(F.count("*").alias("n")).filter("n > 1")
+    hit = rows.filter("seen = 1").join(twice, [F.col(k) == F.col(v) for k, v in keys.items()])
+    # Strings around one place overlap there: the two outermost of a kind cover what all of them do.
+    ends = hit.groupBy("row1", "row2", "place", F.expr(f"d + e < {length}")).agg(F.max(F.struct("d", "e")).alias("l"), F.max(F.struct("e", "d")).alias("r"))
+    both = F.array(*[F.struct((F.col("place") - F.col(f"{s}.d")).alias("first"), (F.col("place") + F.col(f"{s}.e")).alias("stop")) for s in "lr"])
+    return ends.select("row1", "row2", F.explode(F.array_distinct(both)).alias("s")).select("row1", "row2", "s.first", "s.stop")
+
+
+def stretches(
+    docs: DataFrame,
+    length: int = LENGTH,
+    group_max: int = GROUP_MAX,
+    view: Callable | None = None,
+    keep: Callable | None = None,
+    words: int | None = None,
+) -> DataFrame:
     """Repeated stretches ``first, stop`` (they may overlap) by ``row1, row2`` of ``docs``, which also has ``text``.
 
     They are places in what ``view`` makes of a text, or in its bytes.  ``keep`` says which anchors of it are asked for.
+    With ``words`` stretches under ``length`` bytes are repeated runs of so many whole words; a text under ``length`` bytes
+    has longer ones, beyond its ends, where all of it is repeated.
     """
     before = length - ANCHOR
-    rows = staged(_anchor_rows(docs, length, view, keep), "anchors")
+    rows = staged(_anchor_rows(docs, length, view, keep, words), "anchors")
     n_places = 1 + F.coalesce(F.array_size("more"), F.lit(0))
     # An anchor that occurs once in the corpus, as most do, goes no further.
     met = rows.groupBy(F.col("anchor").alias("of")).agg(
@@ -304,7 +428,7 @@ def stretches(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX,
         own = chosen.filter(part.format(group_max)).drop("n")
         if settle is _counted_reach and size.filter(part.format(group_max)).isEmpty():
             continue
-        found.append(settle(_context_rows(own, docs, length, view), length))
+        found.append(settle(_context_rows(own, docs, length, view), length, words))
     out = plain.union(full).select("row1", "row2", "s.first", "s.stop")
     for f in found:
         out = out.union(f)
@@ -357,30 +481,51 @@ def cut_out(raw: bytes | memoryview, cut: list | None) -> tuple[list[tuple[int,
     return [(a, b) for a, b in spans], b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX, text: bool = True) -> DataFrame:
-    """A row for each row of ``docs``: ``doc_id, n_bytes, spans, n_removed, kept_sha256`` and, with ``text``, the bytes ``kept``.
+def repeated_spans(raw: bytes | memoryview, cut: list | None, length: int = LENGTH) -> tuple[list[list[int]], list[list[int]]]:
+    """Maximal runs of repeated strings of ``length`` bytes, and of these and repeated runs of words together."""
+    long = [s for s in cut or () if s["stop"] - s["first"] >= length]
+    if not long or len(raw) >= length:
+        return merged(len(raw), long), merged(len(raw), cut)
+    # No string of ``length`` bytes, but a copy of a text: all its words are repeated.
+    edges = np.flatnonzero(~_SPACE[np.frombuffer(raw, np.uint8)])
+    return [], [[int(edges[0]), int(edges[-1]) + 1]]
+
+
+def deduplicate(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX, text: bool = True, words: int | None = WORDS) -> DataFrame:
+    """A row for each row of ``docs``: ``doc_id, n_bytes, spans, n_removed, kept_sha256``, with ``text`` the bytes ``kept``, and ``passages``.
 
     ``spans`` are the maximal removed runs as byte offsets.  Null text is the empty text; texts under
     ``length`` bytes lose nothing; rows that repeat another row lose everything, as all copies do; a null or repeated
     ``doc_id`` is no obstacle, as a row is known by its id and text together; other columns are ignored.
+
+    ``passages`` are the maximal runs of bytes in strings that start elsewhere too and hold ``length`` bytes or ``words``
+    whole words, the latter between whitespace or a text's ends in both places.  What is removed does not depend on ``words``.
     """
     docs = only(docs, doc_id="doc_id", text="text").withColumn("text", F.coalesce("text", F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
-        types = [pa.int64(), span, pa.int64(), pa.string(), pa.binary()]
-        names = ["doc_id", "n_bytes", "spans", "n_removed", "kept_sha256", "kept"]
+        types = [pa.int64(), span, pa.int64(), pa.string(), pa.binary(), span]
+        names = ["doc_id", "n_bytes", "spans", "n_removed", "kept_sha256", "kept", "passages"]
+        listed = lambda spans: [{"first": a, "stop": b} for a, b in spans]
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
-            for cut, raw in zip(batch.column("__cut").to_pylist(), raw_texts(batch, "text"), strict=True):
-                spans, left = cut_out(raw, cut)
-                new = (len(raw), [{"first": a, "stop": b} for a, b in spans], len(raw) - len(left), hashlib.sha256(left).hexdigest(), left if text else None)
+            columns: list[list] = [[], [], [], [], [], []]
+            for cut, raw in zip(batch.column("cut").to_pylist(), raw_texts(batch, "text"), strict=True):
+                spans, passages = repeated_spans(raw, cut, length)
+                _, left = cut_out(raw, listed(spans))
+                new = (len(raw), listed(spans), len(raw) - len(left), hashlib.sha256(left).hexdigest(), left if text else None, listed(passages))
                 for c, v in zip(columns, new, strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=names)
 
-    ddl = "doc_id long, n_bytes long, spans array<struct<first:long,stop:long>>, n_removed long, kept_sha256 string, kept binary"
-    return _with_cuts(docs, length, group_max).select("doc_id", "text", "__cut").mapInArrow(trimmed(run), ddl)
+    key1, key2 = _keys()
+    keyed = docs.select(key1.alias("row1"), key2.alias("row2"), "doc_id", "text")
+    found = stretches(keyed, length, group_max, words=words)
+    by_row = found.groupBy(F.col("row1").alias("own1"), F.col("row2").alias("own2")).agg(F.collect_set(F.struct("first", "stop")).alias("cut"))
+    joined = keyed.join(by_row.hint("shuffle_hash"), (F.col("row1") == F.col("own1")) & (F.col("row2") == F.col("own2")), "left")
+    spans = "array<struct<first:long,stop:long>>"
+    ddl = f"doc_id long, n_bytes long, spans {spans}, n_removed long, kept_sha256 string, kept binary, passages {spans}"
+    return joined.select("doc_id", "text", "cut").mapInArrow(trimmed(run), ddl)
 
 
 def cut_texts(docs: DataFrame, length: int = LENGTH, group_max: int = GROUP_MAX) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from llm import suffix_dedup
+from llm import queries, suffix_dedup
 from llm.suffix_sort import blind_trie, deep_shallow
 from llm_fixtures import awkward, empty, tuned  # noqa: F401
 
@@ -183,3 +183,71 @@ def test_extra_columns_come_through(tuned):
     for cut in (suffix_dedup.cut_passages(docs), suffix_dedup.cut_texts(docs, length=80)):
         assert cut.columns == docs.columns
         assert all((r["__cut"], r["__own1"]) == (r.doc_id, "x") and "word30" not in r.text for r in cut.collect())
+
+
+def brute_covered(texts, words=51, length=400):
+    """Maximal runs of bytes in strings of ``length`` bytes or ``words`` whole words that start elsewhere too."""
+    split = [[m.span() for m in suffix_dedup.WORD.finditer(t)] for t in texts]
+    windows = [[(s[i][0], s[i + words - 1][1]) for i in range(len(s) - words + 1)] for s in split]
+    runs = collections.Counter(t[a:b] for t, w in zip(texts, windows, strict=True) for a, b in w)
+    strings = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t, own in zip(texts, windows, strict=True):
+        gone = bytearray(len(t) + 2)
+        for a, b in [(a, b) for a, b in own if runs[t[a:b]] > 1] + [(i, i + length) for i in range(len(t) - length + 1) if strings[t[i : i + length]] > 1]:
+            gone[a + 1 : b + 1] = b"\1" * (b - a)
+        edges = [k for k in range(len(t) + 1) if gone[k] != gone[k + 1]]
+        out.append(list(zip(edges[::2], edges[1::2], strict=True)))
+    return out
+
+
+def test_op7_tells_passages_of_51_words_under_400_bytes(tuned, tmp_path):
+    rng = random.Random(21)
+    unlike = lambda: " ".join(f"{rng.getrandbits(40):x}" for _ in range(60))
+    passage = " ".join(f"p{k}" for k in range(51))
+    shorter = " ".join(f"q{k}" for k in range(50))
+    texts = [f"{unlike()} {m} {unlike()}" for m in (passage, passage, shorter, shorter, "", "")] + [passage, f"{passage}x {unlike()}", None]
+    tuned.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(queries.QUERIES["op7_suffix_dedup"](tuned, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    assert [r.n_passage_bytes for r in found] == [len(passage)] * 2 + [0] * 4 + [len(passage), 0, 0]
+    assert [r.n_removed for r in found] == [0] * 9 and [r.text for r in found] == [t or "" for t in texts]
+
+
+@pytest.mark.parametrize("group_max", [50_000, 2])
+def test_passages_against_all_strings(tuned, group_max):
+    rng = random.Random(22)
+    words = [f"w{i}" for i in range(40)] + ["long" * 30, "é" * 9]
+    passages = [" ".join(rng.choice(words[:40]) for _ in range(rng.randint(60, 140))) for _ in range(5)]
+    rows = []
+    for k in range(150):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 80)))
+        p, kind = rng.choice(passages), rng.random()
+        if kind < 0.5:
+            a, n = rng.randint(0, 10), rng.randint(45, 80)
+            text = f"{text[:40]} {' '.join(p.split()[a : a + n])}{rng.choice([' ', '', chr(10)])}{text[40:]}"
+        elif kind < 0.6:
+            text = text[:40] + p[rng.randint(0, 30) :][: rng.randint(150, 450)] + text[40:]
+        elif kind < 0.65:
+            text = " ".join(["a", "b"] * rng.randint(20, 120))
+        elif kind < 0.75:
+            text = rng.choice(["", " "]) + " ".join(passages[0].split()[:55]) + rng.choice(["", "\n"])
+        rows.append((k, text))
+    docs = tuned.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sorted(suffix_dedup.deduplicate(docs, group_max=group_max).collect(), key=lambda r: r.doc_id)
+    raw = [t.encode() for _, t in rows]
+    want = brute_covered(raw)
+    assert [[tuple(s) for s in r.passages] for r in found] == want
+    assert [(r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in found] == brute(raw)
+    assert sum(bool(w) and not r.n_removed for r, w in zip(found, want, strict=True)) > 10
+
+
+def test_windows_give_equal_anchors_in_any_part():
+    rng = random.Random(23)
+    run = " ".join(f"{rng.getrandbits(12):x}" for _ in range(51))
+    for left in ("", "x " * 30, "y" * 700 + " "):
+        text = f"{left}{run} {'z' * 500}".encode()
+        whole = suffix_dedup.anchors(text, words=51)
+        for part in (100, 301):
+            assert all((a == b).all() for a, b in zip(suffix_dedup.anchors(text, part=part, words=51), whole, strict=True))
+        alone = {(p + len(left), h) for p, h in zip(*(x.tolist() for x in suffix_dedup.anchors(run.encode(), words=51)), strict=True)}
+        assert alone and alone <= set(zip(*(x.tolist() for x in whole), strict=True))
