@@ -92,13 +92,15 @@ def least_places(h: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarr
     key = h >> np.uint64(PLACE) << np.uint64(PLACE) | np.arange(len(h), dtype=np.uint64)
     level = np.frexp(stop - first)[1] - 1
     least = np.empty(len(first), np.uint64)
-    for k in range(level.max(initial=-1) + 1):
+    for k, n in enumerate(np.bincount(level).tolist()):
         if k:
             key = np.minimum(key[: -(1 << k - 1)], key[1 << k - 1 :])
-        own = np.flatnonzero(level == k)
-        if len(own):
+        if n:
+            own = slice(None) if n == len(first) else np.flatnonzero(level == k)
             least[own] = np.minimum(key[first[own]], key[stop[own] - (1 << k)])
-    return np.unique(least & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+    # The windows' ends ascend, and so do these places.
+    place = (least & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+    return place[np.diff(place, prepend=-1) > 0]
 
 
 def anchors(
@@ -191,33 +193,49 @@ def _anchor_rows(docs: DataFrame, length: int, view: Callable | None, keep: Call
 Sorted = tuple[list[int], list[int]]
 
 
-def shared_reach(left: Sorted, right: Sorted, length: int = LENGTH) -> list[tuple[int, int] | None]:
+def longest_shared(found: Sorted) -> list[int]:
+    """For each string that was sorted its longest common prefix with another."""
+    order, prefix = found
+    out = [0] * len(order)
+    for k, p, q in zip(order, prefix, [*prefix[1:], 0], strict=True):
+        out[k] = p if p > q else q
+    return out
+
+
+def shared_reach(left: Sorted, right: Sorted, most_l: list[int], most_r: list[int], length: int = LENGTH) -> list[tuple[int, int] | None]:
     """For contexts of one anchor: the smallest and largest ``d`` at which the string that starts ``d`` bytes
     before the anchor also lies in another context; None where there is none.
 
-    ``left`` is the order and common prefixes of the bytes before the anchor in reverse, ``right`` of those from its start on.
+    ``left`` is the order and common prefixes of the bytes before the anchor in reverse, ``right`` of those from its start
+    on, ``most_l`` and ``most_r`` are their longest ones.
     """
     (order_l, prefix_l), (order_r, prefix_r) = left, right
     n = len(order_l)
+    most = length - ANCHOR
     out: list[tuple[int, int] | None] = [None] * n
+    own = [k for k in range(n) if min(most_l[k], most) + most_r[k] >= length]
+    if not own:
+        return out
     if n == 2:
-        lo, hi = max(0, length - prefix_r[1]), min(prefix_l[1], length - ANCHOR)
-        return [(lo, hi)] * 2 if lo <= hi else out
-    most = length - ANCHOR
+        return [(max(0, length - prefix_r[1]), min(prefix_l[1], most))] * 2
+    lowest, highest = length - max(most_r[k] for k in own), max(most_l[k] for k in own)
     cut = {min(p, most) for p in prefix_l[1:]} | {length - p for p in prefix_r[1:] if p >= ANCHOR}
-    order_l, order_r = np.array(order_l), np.array(order_r)
+    order_l, order_r, own = np.array(order_l), np.array(order_r), np.array(own)
     prefix_l, prefix_r = np.array(prefix_l), np.array(prefix_r)
     low, high = np.full(n, most + 1), np.full(n, -1)
     group_l, group_r = np.empty(n, np.int64), np.empty(n, np.int64)
-    for d in sorted(c for c in cut if 0 <= c <= most):
+    for d in sorted(c for c in cut if max(0, lowest) <= c <= min(most, highest)):
         # Which contexts share d bytes to the left and length - d to the right with one another.
-        group_l[order_l] = np.cumsum(prefix_l < d)
-        group_r[order_r] = np.cumsum(prefix_r < length - d)
+        group_l[order_l] = (prefix_l < d).cumsum()
+        group_r[order_r] = (prefix_r < length - d).cumsum()
         if d == 0:
             group_l[:] = 0
-        _, at, count = np.unique(group_l * (n + 1) + group_r, return_inverse=True, return_counts=True)
-        twice = count[at] > 1
-        low[twice & (low > d)] = d
+        group = (group_l * (n + 1) + group_r)[own]
+        order = group.argsort()
+        group = group[order]
+        equal = group[1:] == group[:-1]
+        twice = np.concatenate([own[order[1:][equal]], own[order[:-1][equal]]])
+        low[twice] = np.minimum(low[twice], d)
         high[twice] = d
     return [(int(a), int(b)) if b >= 0 else None for a, b in zip(low, high, strict=True)]
 
@@ -238,31 +256,26 @@ def _window_hashes(whole: bytes, at: int, ahead: np.ndarray, behind: np.ndarray)
 
 
 def shared_windows(
-    left: list[bytes], right: list[bytes], sorted_l: Sorted, sorted_r: Sorted, reach: list[tuple[int, int] | None], length: int = LENGTH, words: int = WORDS
+    left: list[bytes], right: list[bytes], most_l: list[int], most_r: list[int], reach: list, asked: list[bool], length: int = LENGTH, words: int = WORDS
 ) -> list[list[tuple[int, int]]]:
     """For contexts of one anchor: the outermost windows of ``words`` whole words under ``length`` bytes that other
-    contexts hold too, as bytes before and from the anchor's start on; none where ``reach`` covers all that is shared."""
-    n = len(left)
-    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-    most: list[list[int]] = []
-    for order, prefix in (sorted_l, sorted_r):
-        near = [0] * n
-        for k, p, q in zip(order, prefix, [*prefix[1:], 0], strict=True):
-            near[k] = max(p, q)
-        most.append(near)
+    contexts hold too, as bytes before and from the anchor's start on.
+
+    There may be none where ``reach`` covers all that is shared, or where none is ``asked`` for.
+    """
+    out: list[list[tuple[int, int]]] = [[] for _ in left]
     # What a context shares with any other must hold so many words.
     own = [
         k
-        for k, (a, b) in enumerate(zip(*most, strict=True))
+        for k, (a, b) in enumerate(zip(most_l, most_r, strict=True))
         if a + b >= 2 * words - 1 and len((left[k][:a][::-1] + right[k][:b]).split()) >= words
     ]
-    open_ = [k for k in own if not reach[k] or reach[k][1] < most[0][k] or length - reach[k][0] < most[1][k]]
-    if len(own) < 2 or not open_:
+    if len(own) < 2 or not any(asked[k] and (not reach[k] or reach[k][1] < most_l[k] or length - reach[k][0] < most_r[k]) for k in own):
         return out
     hashes, of, found = bytearray(), [], {}
     for k in own:
         whole, ahead, behind = _windows_around(left[k], right[k], words, length)
-        inside = (ahead <= most[0][k]) & (behind <= most[1][k])
+        inside = (ahead <= most_l[k]) & (behind <= most_r[k])
         found[k] = ahead, behind = ahead[inside], behind[inside]
         hashes += b"".join(_window_hashes(whole, len(left[k]), ahead, behind))
         of.append(len(ahead))
@@ -316,8 +329,10 @@ def _sorted_reach(contexts: DataFrame, length: int, words: int | None) -> DataFr
             return
         left, right = [r["before"] for r in rows], [r["after"] for r in rows]
         sorted_l, sorted_r = deep_shallow(left), deep_shallow(right)
-        reach = shared_reach(sorted_l, sorted_r, length)
-        windows = shared_windows(left, right, sorted_l, sorted_r, reach, length, words) if words else [[]] * len(rows)
+        most_l, most_r = longest_shared(sorted_l), longest_shared(sorted_r)
+        reach = shared_reach(sorted_l, sorted_r, most_l, most_r, length)
+        asked = [r["seen"] == 1 for r in rows]
+        windows = shared_windows(left, right, most_l, most_r, reach, asked, length, words) if words else [[]] * len(rows)
         for r, found, short in zip(rows, reach, windows, strict=True):
             if r["seen"] > 1:
                 continue
